@@ -16,6 +16,12 @@ from pyspark.sql import types as T
 from msglog.operators.sequence import first_n
 from msglog.operators.splits import hinted
 
+# A physical column that equals the sequence minus an offset, for tables read as logs.
+SeqColumn = tuple[str, int]
+# Stored logs are partitioned by blocks of this many sequence numbers.
+BLOCK = 1 << 26
+BLOCK_COLUMN = "seq_block"
+
 START_RULES = ("earliest", "latest", "time", "seq")
 STOP_RULES = ("never", "latest", "seq", "time", "count")
 
@@ -43,55 +49,85 @@ def at_millis(df: DataFrame, column: str, epoch_ms: int) -> Column:
     return F.timestamp_millis(F.lit(epoch_ms))
 
 
+def seq_from(log: DataFrame, first: int, seq: SeqColumn | None = None) -> Column:
+    """``stream_seq >= first`` in a form that prunes: on the physical column of a table read as
+    a log, and on the block partitions of a stored one."""
+    column, offset = seq or ("stream_seq", 0)
+    condition = F.col(column) >= first - offset
+    return (F.col(BLOCK_COLUMN) >= first // BLOCK) & condition if BLOCK_COLUMN in log.columns else condition
+
+
+def seq_to(log: DataFrame, last: int, seq: SeqColumn | None = None) -> Column:
+    """``stream_seq <= last``, likewise."""
+    column, offset = seq or ("stream_seq", 0)
+    condition = F.col(column) <= last - offset
+    return (F.col(BLOCK_COLUMN) <= last // BLOCK) & condition if BLOCK_COLUMN in log.columns else condition
+
+
 def last_seq(log: DataFrame) -> int:
     """The last sequence stored now; 0 for an empty log."""
     row = log.agg(F.max("stream_seq").alias("last")).first()
     return row.last or 0
 
 
-def start_at(log: DataFrame, rule: tuple, snapshot: int | None = None) -> DataFrame:
-    """Apply a start rule. ``latest`` delivers only what follows ``snapshot``,
-    by default the last sequence stored when the read is built."""
+def start_at(log: DataFrame, rule: tuple, snapshot: int | None = None, seq: SeqColumn | None = None) -> DataFrame:
+    """Apply a start rule. ``latest`` delivers only what follows the ``snapshot`` sequence;
+    without one a batch read starts at its own end and is empty."""
     kind = check_rule("start", rule)[0]
     if kind == "earliest":
         return log
     if kind == "latest":
-        return log.where(F.col("stream_seq") > (last_seq(log) if snapshot is None else snapshot))
+        return log.where(F.lit(False)) if snapshot is None else log.where(seq_from(log, snapshot + 1, seq))
     if kind == "seq":
-        return log.where(F.col("stream_seq") >= rule[1])
+        return log.where(seq_from(log, rule[1], seq))
     return log.where(F.col("timestamp") >= at_millis(log, "timestamp", rule[1]))
 
 
-def stop_cuts(log: DataFrame, rule: tuple, split: str = "split_id") -> DataFrame:
+def stop_cuts(log: DataFrame, rule: tuple, split: str = "split_id", seq: SeqColumn | None = None) -> DataFrame:
     """Per split, the sequence of the first message at or past the stop (the last one read)."""
-    reached = (F.col("stream_seq") >= rule[1] if rule[0] == "seq"
+    reached = (seq_from(log, rule[1], seq) if rule[0] == "seq"
                else F.col("timestamp") >= at_millis(log, "timestamp", rule[1]))
     return log.where(reached).groupBy(split).agg(F.min("stream_seq").alias("cut"))
 
 
-def stop_at(log: DataFrame, rule: tuple, split: str | None = None,
-            n_splits: int | None = None, snapshot: int | None = None) -> DataFrame:
+def _until(log: DataFrame, cuts: DataFrame, n_splits: int, seq: SeqColumn | None) -> DataFrame:
+    """Nothing past the last cut is read, provided that every split has one."""
+    column, offset = seq or ("stream_seq", 0)
+    never = F.lit((1 << 63) - 1)
+    bound = F.when(F.count(F.lit(1)) == n_splits, F.max("cut") - offset).otherwise(never)
+    return log.where(F.col(column) <= cuts.agg(bound.alias("bound")).scalar())
+
+
+def stop_at(log: DataFrame, rule: tuple, split: str | None = None, n_splits: int | None = None,
+            snapshot: int | None = None, seq: SeqColumn | None = None) -> DataFrame:
     """Apply a stop rule. ``seq`` and ``time`` stop each split on its own, after its first
-    message at or past the stop; ``count`` counts in stream order over the whole read."""
+    message at or past the stop; ``count`` counts in stream order over the whole read.
+
+    ``latest`` stops at the ``snapshot`` sequence. Without one nothing needs to be cut: a
+    batch frame lists its files when it is built, and what is appended later is not in it.
+    """
     kind = check_rule("stop", rule)[0]
-    if kind == "never":
+    if kind == "never" or (kind == "latest" and snapshot is None):
         return log
     if kind == "latest":
-        return log.where(F.col("stream_seq") <= (last_seq(log) if snapshot is None else snapshot))
+        return log.where(seq_to(log, snapshot, seq))
     if kind == "count":
         return first_n(log, rule[1])
     if split is None:
-        cut = stop_cuts(log.withColumn("_all", F.lit(0)), rule, "_all").select("cut").scalar()
-        return log.where(cut.isNull() | (F.col("stream_seq") <= cut))
-    cuts = hinted(stop_cuts(log, rule, split), n_splits)
-    return (log.join(cuts, split, "left")
+        cuts = stop_cuts(log.withColumn("_all", F.lit(0)), rule, "_all", seq)
+        return _until(log, cuts, 1, seq)
+    cuts = stop_cuts(log, rule, split, seq)
+    if n_splits is not None:
+        log = _until(log, cuts, n_splits, seq)
+    return (log.join(hinted(cuts, n_splits), split, "left")
             .where(F.col("cut").isNull() | (F.col("stream_seq") <= F.col("cut")))
             .select(*log.columns))
 
 
-def finished(log: DataFrame, rule: tuple, split: str = "split_id", n_splits: int | None = None) -> DataFrame:
+def finished(log: DataFrame, rule: tuple, split: str = "split_id", n_splits: int | None = None,
+             seq: SeqColumn | None = None) -> DataFrame:
     """Per split: messages read, last sequence read, and whether the stop was reached."""
-    cuts = hinted(stop_cuts(log, rule, split), n_splits)
+    cuts = hinted(stop_cuts(log, rule, split, seq), n_splits)
     kept = log.join(cuts, split, "left").where(F.col("cut").isNull() | (F.col("stream_seq") <= F.col("cut")))
     return kept.groupBy(split).agg(
         F.count(F.lit(1)).alias("n_read"),

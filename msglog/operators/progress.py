@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from msglog.operators.positions import SeqColumn
 from msglog.operators.splits import hinted
 
 KEYS = ["split_id", "stream_seq"]
@@ -89,13 +90,23 @@ def redeliver(deliveries: DataFrame, acks: DataFrame, now: Column, ack_wait: str
             .select(*KEYS, (F.col("_attempt") + 1).cast("int").alias("attempt")))
 
 
-def resume(matched: DataFrame, progress: DataFrame, n_splits: int | None = None) -> DataFrame:
+def resume(matched: DataFrame, progress: DataFrame, splits: DataFrame | None = None,
+           n_splits: int | None = None, seq: SeqColumn | None = None) -> DataFrame:
     """Messages of each active split after its last sequence. A split without progress starts
-    from the beginning; a paused one keeps its place and delivers nothing."""
-    state = hinted(progress.select("split_id", "last_seq", "status"), n_splits)
-    return (matched.join(state, "split_id", "left")
-            .where((F.coalesce("status", F.lit("active")) == "active")
-                   & (F.col("stream_seq") > F.coalesce("last_seq", F.lit(0))))
+    from the beginning; a paused one keeps its place and delivers nothing.
+
+    With ``splits``, the split ids of the read, the part of the log that every active split
+    has behind it is not scanned again.
+    """
+    state = progress.select("split_id", "last_seq", "status")
+    active = F.coalesce("status", F.lit("active")) == "active"
+    last = F.coalesce("last_seq", F.lit(0))
+    if splits is not None:
+        column, offset = seq or ("stream_seq", 0)
+        behind = splits.select("split_id").join(state, "split_id", "left").where(active).agg(F.min(last).alias("b"))
+        matched = matched.where(F.col(column) > behind.select(F.col("b") - offset).scalar())
+    return (matched.join(hinted(state, n_splits), "split_id", "left")
+            .where(active & (F.col("stream_seq") > last))
             .drop("last_seq", "status"))
 
 

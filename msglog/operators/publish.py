@@ -101,17 +101,18 @@ def mark_status(captured: DataFrame, order: str, known: DataFrame | None = None,
     has_id = F.col("stream").isNotNull() & F.col("msg_id").isNotNull()
     repeated = (captured.where(has_id).groupBy(*key)
                 .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_copies"))
-                .where(F.col("_copies") > 1).drop("_copies"))
-    out = captured.join(repeated, key, "left")
+                .where(F.col("_copies") > 1)
+                .select("stream", F.col("msg_id").alias("_id"), "_first"))
+    # Rows without an id match nothing; a key of their own keeps them out of one partition.
+    spread = F.when(has_id, F.col("msg_id")).otherwise(F.concat(F.lit("\u0000"), F.col(order).cast("string")))
+    out = captured.withColumn("_id", spread).join(repeated, ["stream", "_id"], "left")
     duplicate = F.col("_first").isNotNull() & (F.col(order) > F.col("_first"))
-    extra = ["_first"]
     if known is not None:
         seen = _known_ids(captured.where(has_id).select(*key), known.select(*key), n_rows)
-        out = out.join(hinted(seen, n_rows), key, "left")
+        out = out.join(hinted(seen.withColumnRenamed("msg_id", "_id"), n_rows), ["stream", "_id"], "left")
         duplicate = duplicate | F.col("_seen").isNotNull()
-        extra.append("_seen")
-    status = (F.when(F.col("stream").isNull(), FAILED).when(duplicate, DUPLICATE).otherwise(OK))
-    return out.withColumn("status", status).drop(*extra).select(*captured.columns, "status")
+    status = F.when(F.col("stream").isNull(), FAILED).when(has_id & duplicate, DUPLICATE).otherwise(OK)
+    return out.withColumn("status", status).select(*captured.columns, "status")
 
 
 def _known_ids(ids: DataFrame, known: DataFrame, n_rows: int | None) -> DataFrame:

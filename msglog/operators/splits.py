@@ -181,7 +181,8 @@ def check_no_overlap(spark: SparkSession, filters: Sequence[str] | DataFrame) ->
 def share(frame: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows per group and their share of all rows."""
     counts = frame.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    total = frame.agg(F.count(F.lit(1)).alias("total"))
+    # The total comes from the counts, which share their exchange with this one.
+    total = counts.agg(F.sum("n").alias("total"))
     return counts.withColumn("share", F.col("n") / total.scalar())
 
 

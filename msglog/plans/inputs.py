@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from msglog.operators.positions import last_seq
-from msglog.operators.splits import FilterSet, match_filters, with_split
+from msglog.operators.splits import FilterSet, match_filters, values, with_split
 from msglog.sources.adapters import EVENT_TOKENS, events_log
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -25,11 +25,16 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole events log through one split per event type."""
+    """The whole events log, read through one split per event type."""
     chosen = FilterSet.of(spark, TYPE_FILTERS)
     return with_split(match_filters(log(spark, sf_dir), chosen, tokens=EVENT_TOKENS), "consumer")
 
 
+def splits(spark: SparkSession) -> DataFrame:
+    """The splits of that read."""
+    return with_split(values(spark, [{"stream": "events", "filter": f} for f in TYPE_FILTERS]), "consumer")
+
+
 def share_of_log(frame: DataFrame, numerator: int, denominator: int) -> int:
     """A sequence number at a share of the log, so that positions move with its size."""
     return last_seq(frame) * numerator // denominator

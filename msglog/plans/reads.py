@@ -17,15 +17,15 @@ from msglog.functions import subjects as S
 from msglog.operators import discovery, positions
 from msglog.operators.progress import delivered_count
 from msglog.operators.sequence import first_n, running_max
-from msglog.operators.splits import FilterSet, match_filters, multi_match, overlapping, share, with_split
+from msglog.operators.splits import FilterSet, match_filters, multi_match, overlapping, share, values, with_split
 from msglog.operators.stats import last_message, last_per_subject, stream_info
 from msglog.plans.catalog import query
 from msglog.plans.inputs import (N_SPLITS, PAYLOAD, TYPE_FILTERS, deliveries, k_of, log, share_of_log,
                                  split_log)
-from msglog.sources.adapters import (EVENT_TOKENS, ORDER_TOKENS, documents_log, events_stream, orders_log,
+from msglog.sources.adapters import (EVENT_SEQ, EVENT_TOKENS, ORDER_TOKENS, documents_log, events_stream, orders_log,
                                      table)
 from msglog.sources.log import create_log_view, read_log
-from msglog.sources.store import shared_dir
+from msglog.sources.store import saved, shared_dir
 from msglog.streaming.flows import drain
 
 MID_JANUARY_MS = 1_705_276_800_000  # 2024-01-15 00:00:00 UTC
@@ -70,7 +70,7 @@ def sql_view(spark: SparkSession, sf: str) -> DataFrame:
 @query("scan_default_splits", 'SELECT stream_seq, subject, "filter", split_id FROM S', ("L", "S"))
 def scan_default_splits(spark: SparkSession, sf: str) -> DataFrame:
     source = log(spark, sf)
-    registry = discovery.discover_filters(source, depth=2)
+    registry = saved(discovery.discover_filters(source, depth=2), "registry")
     chosen = FilterSet.of(spark, registry.select("filter"))
     return with_split(match_filters(source, chosen), "consumer") \
         .select("stream_seq", "subject", "filter", "split_id")
@@ -129,7 +129,7 @@ def last_message_query(spark: SparkSession, sf: str) -> DataFrame:
 # --- start and stop positions ----------------------------------------------
 
 def _from(spark: SparkSession, sf: str, rule: tuple, snapshot: int | None = None) -> DataFrame:
-    return positions.start_at(log(spark, sf), rule, snapshot).select("stream_seq", "subject")
+    return positions.start_at(log(spark, sf), rule, snapshot, EVENT_SEQ).select("stream_seq", "subject")
 
 
 @query("start_earliest", "SELECT stream_seq, subject FROM L")
@@ -154,7 +154,9 @@ def start_seq(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stop_latest", "SELECT stream_seq, subject FROM L WHERE stream_seq <= (SELECT max(stream_seq) FROM L)")
 def stop_latest(spark: SparkSession, sf: str) -> DataFrame:
-    return positions.stop_at(log(spark, sf), ("latest",)).select("stream_seq", "subject")
+    source = log(spark, sf)
+    return positions.stop_at(source, ("latest",), snapshot=positions.last_seq(source), seq=EVENT_SEQ) \
+        .select("stream_seq", "subject")
 
 
 @query("stop_seq", """, cuts AS (SELECT split_id, min(stream_seq) AS cut FROM S
@@ -163,7 +165,8 @@ def stop_latest(spark: SparkSession, sf: str) -> DataFrame:
        ("L", "S"))
 def stop_seq(spark: SparkSession, sf: str) -> DataFrame:
     rule = ("seq", share_of_log(log(spark, sf), 2, 5))
-    return positions.stop_at(split_log(spark, sf), rule, "split_id", N_SPLITS).select("split_id", "stream_seq")
+    return positions.stop_at(split_log(spark, sf), rule, "split_id", N_SPLITS, seq=EVENT_SEQ) \
+        .select("split_id", "stream_seq")
 
 
 @query("stop_time", """, cuts AS (SELECT split_id, min(stream_seq) AS cut FROM S
@@ -171,7 +174,7 @@ def stop_seq(spark: SparkSession, sf: str) -> DataFrame:
   SELECT split_id, stream_seq FROM S LEFT JOIN cuts USING (split_id) WHERE cut IS NULL OR stream_seq <= cut""",
        ("L", "S"))
 def stop_time(spark: SparkSession, sf: str) -> DataFrame:
-    return positions.stop_at(split_log(spark, sf), ("time", MID_JANUARY_MS), "split_id", N_SPLITS) \
+    return positions.stop_at(split_log(spark, sf), ("time", MID_JANUARY_MS), "split_id", N_SPLITS, seq=EVENT_SEQ) \
         .select("split_id", "stream_seq")
 
 
@@ -188,7 +191,7 @@ def stop_count(spark: SparkSession, sf: str) -> DataFrame:
   FROM S LEFT JOIN cuts USING (split_id) WHERE cut IS NULL OR stream_seq <= cut GROUP BY split_id""", ("L", "S"))
 def split_finished(spark: SparkSession, sf: str) -> DataFrame:
     rule = ("seq", positions.last_seq(log(spark, sf)) - 5)
-    return positions.finished(split_log(spark, sf), rule, "split_id", N_SPLITS)
+    return positions.finished(split_log(spark, sf), rule, "split_id", N_SPLITS, EVENT_SEQ)
 
 
 @query("boundedness", """, T AS (SELECT max(stream_seq) AS last FROM L)
@@ -206,7 +209,7 @@ def boundedness(spark: SparkSession, sf: str) -> DataFrame:
     parts = []
     for rule in rules:
         source = log(spark, sf) if positions.is_bounded(rule) else events_stream(spark, sf)
-        read = read_log(spark, frame=source, stop=rule, metadata=["streamSeq"]).select("streamSeq")
+        read = read_log(spark, frame=source, stop=rule, seq=EVENT_SEQ, metadata=["streamSeq"]).select("streamSeq")
         bounded = not read.isStreaming
         if not bounded:
             out = shared_dir(spark, "scan")
@@ -275,9 +278,10 @@ def _registry(spark: SparkSession, sf: str) -> DataFrame:
     second, where ``error`` subjects are withdrawn."""
     source = log(spark, sf)
     mid = share_of_log(source, 1, 2)
-    early = discovery.discover_filters(source.where(F.col("stream_seq") <= mid), depth=3)
-    late = discovery.discover_filters(
-        source.where((F.col("stream_seq") > mid) & (F.col("event_type") != "error")), depth=3)
+    first_half, second_half = positions.seq_to(source, mid, EVENT_SEQ), positions.seq_from(source, mid + 1, EVENT_SEQ)
+    early = saved(discovery.discover_filters(source.where(first_half), depth=3), "registry")
+    late = saved(discovery.discover_filters(source.where(second_half & (F.col("event_type") != "error")), depth=3),
+                 "registry")
     first = early.select("stream", "filter", F.lit(1).cast("long").alias("from_seq"),
                          F.lit(None).cast("long").alias("to_seq"))
     return discovery.update_registry(first, late, mid + 1)
@@ -291,7 +295,8 @@ def registry_update(spark: SparkSession, sf: str) -> DataFrame:
 @query("scan_filter_history", _HISTORY + """SELECT stream_seq, "filter" FROM L JOIN registry ON subject = "filter"
   WHERE stream_seq >= from_seq AND (to_seq IS NULL OR stream_seq < to_seq)""")
 def scan_filter_history(spark: SparkSession, sf: str) -> DataFrame:
-    return discovery.scan_history(spark, log(spark, sf), _registry(spark, sf)).select("stream_seq", "filter")
+    registry = saved(_registry(spark, sf), "registry")
+    return discovery.scan_history(spark, log(spark, sf), registry).select("stream_seq", "filter")
 
 
 def _mixed_filters(spark: SparkSession, sf: str) -> DataFrame:
@@ -310,7 +315,7 @@ _MIXED = """, F AS (SELECT DISTINCT unnest(['events.' || event_type || '.>', 'ev
     AND (a.w[2] = b.w[2] OR '*' IN (a.w[2], b.w[2]))
     AND (a.w[3] = b.w[3] OR '>' IN (a.w[3], b.w[3]))""")
 def filters_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    return overlapping(FilterSet.of(spark, _mixed_filters(spark, sf)))
+    return overlapping(FilterSet.of(spark, saved(_mixed_filters(spark, sf), "filters")))
 
 
 @query("multi_match", """, F AS (SELECT DISTINCT 'events.*.' || user_id AS f, '^events\\.[^.]+\\.' || user_id || '$' AS p FROM L
@@ -320,8 +325,9 @@ def filters_overlap(spark: SparkSession, sf: str) -> DataFrame:
 def multi_match_query(spark: SparkSession, sf: str) -> DataFrame:
     source = log(spark, sf)
     per_user = source.select(F.concat(F.lit("events.*."), F.col("user_id").cast("string")).alias("filter")).distinct()
-    per_type = source.select(F.explode(F.array(F.lit("events.click.>"), F.lit("events.view.>"))).alias("filter")).distinct()
-    return multi_match(match_filters(source, FilterSet.of(spark, per_user.unionByName(per_type))))
+    per_type = values(spark, [{"filter": "events.click.>"}, {"filter": "events.view.>"}])
+    filters = saved(per_user.unionByName(per_type), "filters")
+    return multi_match(match_filters(source, FilterSet.of(spark, filters)))
 
 
 @query("consumer_name", _MIXED + """ SELECT f AS "filter", 'job-' || substr(md5(f), 1, 5) AS consumer FROM F""")
@@ -561,7 +567,7 @@ def filter_skew(spark: SparkSession, sf: str) -> DataFrame:
     """Share of the log per filter, for one filter per user."""
     source = log(spark, sf)
     per_user = source.select(F.concat(F.lit("events.*."), F.col("user_id").cast("string")).alias("filter")).distinct()
-    matched = match_filters(source.select("subject"), FilterSet.of(spark, per_user))
+    matched = match_filters(source.select("subject"), FilterSet.of(spark, saved(per_user, "filters")))
     return share(matched, ["filter"])
 
 

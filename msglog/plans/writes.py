@@ -17,8 +17,9 @@ from msglog.operators import stats
 from msglog.operators.discovery import discover_filters, unread
 from msglog.operators.splits import values, with_split
 from msglog.plans.catalog import query
-from msglog.plans.inputs import (N_SPLITS, TYPE_FILTERS, acks, deliveries, instant, k_of, log, progress, split_log)
-from msglog.sources.adapters import EVENT_TOKENS, documents_log, events_stream, orders_log, table
+from msglog.plans.inputs import (N_SPLITS, TYPE_FILTERS, acks, deliveries, instant, k_of, log, progress, split_log,
+                                 splits)
+from msglog.sources.adapters import EVENT_SEQ, EVENT_TOKENS, documents_log, events_stream, orders_log, table
 from msglog.sources.store import open_log, shared_dir
 from msglog.streaming import flows
 
@@ -316,17 +317,16 @@ _Q = ("L", "S", "progress")
 @query("resume_from_progress", """SELECT s.split_id, s.stream_seq FROM S s LEFT JOIN progress p USING (split_id)
   WHERE s.stream_seq > coalesce(last_seq, 0) AND coalesce(status, 'active') = 'active'""", _Q)
 def resume_from_progress(spark: SparkSession, sf: str) -> DataFrame:
-    return G.resume(split_log(spark, sf), progress(spark, sf), N_SPLITS).select("split_id", "stream_seq")
+    return G.resume(split_log(spark, sf), progress(spark, sf), splits(spark), N_SPLITS, EVENT_SEQ).select("split_id", "stream_seq")
 
 
 @query("pause_resume", """SELECT s.split_id, s.stream_seq FROM S s LEFT JOIN progress p USING (split_id)
   WHERE s.stream_seq > coalesce(last_seq, 0) AND s.event_type <> 'click'""", _Q)
 def pause_resume(spark: SparkSession, sf: str) -> DataFrame:
     """`click` is paused and `view` resumed: what came meanwhile arrives, nothing is lost."""
-    name = {f: row.split_id for f in ("events.click.>", "events.view.>")
-            for row in [with_split(values(spark, [{"filter": f, "stream": "events"}]), "consumer").first()]}
+    name = {row["filter"]: row.split_id for row in splits(spark).collect()}
     state = G.set_status(progress(spark, sf), pause=(name["events.click.>"],), resume=(name["events.view.>"],))
-    return G.resume(split_log(spark, sf), state, N_SPLITS).select("split_id", "stream_seq")
+    return G.resume(split_log(spark, sf), state, splits(spark), N_SPLITS, EVENT_SEQ).select("split_id", "stream_seq")
 
 
 @query("progress_update", """, b AS (SELECT split_id, max(stream_seq) AS seen FROM S

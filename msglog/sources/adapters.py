@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from msglog.schema import HEADERS
 
 EVENT_TOKENS = {1: ("event_type", "string"), 2: ("user_id", "bigint")}
+EVENT_SEQ = ("event_id", 1)
 ORDER_TOKENS = {1: ("o_orderstatus", "string")}
-CONVERSATION_TOKENS = {1: ("conv_id", "bigint"), 2: ("role", "string")}
 DOCUMENT_TOKENS = {1: ("lang", "string"), 2: ("source", "string")}
 
 
@@ -46,7 +46,7 @@ def events_as_log(rows: DataFrame) -> DataFrame:
         headers=F.create_map(F.lit("event-type"), F.array("event_type"),
                              F.lit("user"), F.array(F.col("user_id").cast("string"))),
         msg_id=F.col("event_id").cast("string"),
-        keep=("event_type", "user_id"),
+        keep=("event_type", "user_id", "event_id"),
     )
 
 

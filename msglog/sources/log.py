@@ -45,6 +45,7 @@ class ReadOptions:
     headers_only: bool = False
     partition_tokens: tuple[int, ...] = ()
     tokens: TokenColumns | None = None
+    seq: positions.SeqColumn | None = None
     max_files: int | None = None
     max_bytes: int | None = None
 
@@ -104,12 +105,9 @@ def select_messages(spark: SparkSession, log: DataFrame, opts: ReadOptions,
     streaming = log.isStreaming
     if streaming and (opts.limit is not None or "consumerSeq" in opts.metadata or "pending" in opts.metadata):
         raise ValueError("limit, consumerSeq and pending need a bounded read")
-    snapshot = opts.snapshot
-    if snapshot is None and not streaming and "latest" in (opts.start[0], opts.stop[0]):
-        snapshot = positions.last_seq(log)
-    if streaming and opts.start[0] == "latest" and snapshot is None:
+    if streaming and opts.start[0] == "latest" and opts.snapshot is None:
         raise ValueError("start rule 'latest' on a stream needs a snapshot sequence")
-    log = positions.start_at(log, opts.start, snapshot)
+    log = positions.start_at(log, opts.start, opts.snapshot, opts.seq)
 
     split, n_splits = None, None
     filters = opts.registry.select("filter").distinct() if opts.registry is not None else opts.filters
@@ -119,7 +117,7 @@ def select_messages(spark: SparkSession, log: DataFrame, opts: ReadOptions,
         chosen = FilterSet.of(spark, filters)
         log = with_split(match_filters(log, chosen, tokens=tokens), opts.consumer_prefix)
         split, n_splits = "split_id", chosen.size
-    log = positions.stop_at(log, opts.stop, split, n_splits, snapshot)
+    log = positions.stop_at(log, opts.stop, split, n_splits, opts.snapshot, opts.seq)
     if "consumerSeq" in opts.metadata or "pending" in opts.metadata:
         log = dense_seq(log, ["split_id"], "stream_seq", "consumer_seq", pending="pending")
     if opts.limit is not None:
@@ -137,6 +135,10 @@ def decode_log(log: DataFrame, opts: ReadOptions) -> DataFrame:
         return M.project(log, physical, opts.metadata, opts.names)
     mode = "FAILFAST" if opts.on_error == "fail" else "PERMISSIVE"
     value = P.parsed(F.col("data"), opts.format, opts.schema, mode)
+    if opts.on_error == "fail" and opts.format in ("json", "csv", "avro"):
+        # A generator lets predicates on subject and metadata pass below it but keeps those on
+        # payload fields above: a message the subject predicate excludes is never parsed.
+        value = F.explode(F.array(value))
     decoded = log.withColumn("payload", value)
     is_row = isinstance(decoded.schema["payload"].dataType, T.StructType)
     physical.append("payload.*" if is_row else F.col("payload").alias("value"))

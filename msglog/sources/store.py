@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from msglog.functions.subjects import TokenColumns
+from msglog.operators.positions import BLOCK, BLOCK_COLUMN
 from msglog.schema import ENVELOPE
 
 # Names starting with '_' are skipped when the directory is read as a log.
@@ -30,6 +31,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
 
 
+def saved(frame: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: what follows starts from files,
+    and using it twice does not compute it twice."""
+    spark = frame.sparkSession
+    path = shared_dir(spark, purpose)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def token_columns(positions: tuple[int, ...]) -> TokenColumns:
     """Partition columns of a log stored by subject token."""
     return {i: (f"token_{i}", "string") for i in positions}
@@ -37,7 +47,7 @@ def token_columns(positions: tuple[int, ...]) -> TokenColumns:
 
 def stored_schema(positions: tuple[int, ...] = ()) -> T.StructType:
     extra = [T.StructField(name, T.StringType()) for name, _ in token_columns(positions).values()]
-    return T.StructType([*ENVELOPE.fields, *extra])
+    return T.StructType([*ENVELOPE.fields, *extra, T.StructField(BLOCK_COLUMN, T.LongType())])
 
 
 def open_log(spark: SparkSession, path: str, positions: tuple[int, ...] = ()) -> DataFrame:
@@ -60,11 +70,13 @@ def open_stream(spark: SparkSession, path: str, positions: tuple[int, ...] = (),
 
 def append_log(frame: DataFrame, path: str, positions: tuple[int, ...] = (),
                writers: int | None = None, max_records_per_file: int | None = None) -> None:
-    """Append envelopes. Rows are ordered by sequence inside each file, so that row-group
-    statistics prune reads by sequence and time."""
+    """Append envelopes, partitioned by stream, chosen subject tokens and block of sequences.
+    Rows are ordered by sequence inside each file, so that row-group statistics prune reads
+    by sequence and time within a block."""
     for i in positions:
         frame = frame.withColumn(f"token_{i}", F.get(F.split("subject", r"\."), F.lit(i)))
-    parts = ["stream", *[f"token_{i}" for i in positions]]
+    frame = frame.withColumn(BLOCK_COLUMN, F.expr(f"stream_seq div {BLOCK}"))
+    parts = ["stream", *[f"token_{i}" for i in positions], BLOCK_COLUMN]
     if writers:
         # Range, not hash: a subject that holds a third of the rows is spread over writers.
         frame = frame.repartitionByRange(writers, *parts, "stream_seq")
@@ -88,7 +100,7 @@ def stream_heads(spark: SparkSession, path: str) -> DataFrame:
     Appends leave their last sequence in a small side table. Only row groups past that
     point are looked at, so the cost follows what is new, not the size of the log.
     """
-    log = open_log(spark, path).select("stream", F.col("stream_seq").alias("head"))
+    log = open_log(spark, path).select("stream", BLOCK_COLUMN, F.col("stream_seq").alias("head"))
     heads_path = os.path.join(path, HEADS)
     if not log_exists(spark, heads_path):
         return log.groupBy("stream").agg(F.max("head").alias("head"))
@@ -96,14 +108,15 @@ def stream_heads(spark: SparkSession, path: str) -> DataFrame:
              .groupBy("stream").agg(F.max("head").alias("head")))
     few = known.limit(MAX_HEAD_SCANS + 1).collect()
     if len(few) <= MAX_HEAD_SCANS:
-        newer = [log.where((F.col("stream") == row.stream) & (F.col("head") > row.head)) for row in few]
+        newer = [log.where((F.col("stream") == row.stream) & (F.col(BLOCK_COLUMN) >= row.head // BLOCK)
+                           & (F.col("head") > row.head)) for row in few]
         newer.append(log.where(~F.col("stream").isin([row.stream for row in few])))
-        found = reduce(DataFrame.unionByName, newer, known)
+        found = reduce(DataFrame.unionByName, [part.drop(BLOCK_COLUMN) for part in newer], known)
     else:
         streams = known.agg(F.collect_set("stream")).scalar()
         floor = known.agg(F.min("head")).scalar()
         found = known.unionByName(
-            log.where(~F.array_contains(streams, F.col("stream")) | (F.col("head") > floor)))
+            log.drop(BLOCK_COLUMN).where(~F.array_contains(streams, F.col("stream")) | (F.col("head") > floor)))
     return found.groupBy("stream").agg(F.max("head").alias("head"))
 
 

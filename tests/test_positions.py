@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+import random
+from datetime import timedelta
+
+import pytest
+from fixtures import START, column, log_of, message
+from pyspark.sql import functions as F
+
+from msglog.operators import positions
+from msglog.operators.sequence import dense_seq, first_n, nth_seq, running_max
+from msglog.operators.splits import FilterSet, match_filters, with_split
+
+
+def numbered(spark, n: int):
+    return log_of(spark, [message(i, "s.a", bytes([i - 1])) for i in range(1, n + 1)])
+
+
+def test_stop_latest_keeps_what_was_there(spark):
+    first, grown = numbered(spark, 3), numbered(spark, 6)
+    bound = positions.last_seq(first)
+    assert column(positions.stop_at(grown, ("latest",), snapshot=bound), "stream_seq") == [1, 2, 3]
+
+
+def test_start_latest_delivers_only_what_follows(spark):
+    log = numbered(spark, 6)
+    assert column(positions.start_at(log, ("latest",), snapshot=4), "stream_seq") == [5, 6]
+    assert column(positions.start_at(log, ("latest",)), "stream_seq") == []
+
+
+def test_stop_sequence(spark):
+    assert sorted(column(positions.stop_at(numbered(spark, 9), ("seq", 3)), "stream_seq")) == [1, 2, 3]
+
+
+def test_stop_time_includes_the_first_message_past_it(spark):
+    at = int((START + timedelta(seconds=4)).timestamp() * 1000) - 500
+    assert sorted(column(positions.stop_at(numbered(spark, 6), ("time", at)), "stream_seq")) == [1, 2, 3, 4]
+
+
+def test_stop_falls_into_a_gap_of_the_filter(spark):
+    log = log_of(spark, [message(i, "s.x" if i in (1, 2, 7, 9) else "s.y") for i in range(1, 11)])
+    split = with_split(match_filters(log, FilterSet.of(spark, ["s.x"])), "c")
+    assert sorted(column(positions.stop_at(split, ("seq", 5), "split_id", 1), "stream_seq")) == [1, 2, 7]
+
+
+def test_each_split_stops_on_its_own(spark):
+    log = log_of(spark, [message(i, "s.x" if i % 3 else "s.y") for i in range(1, 13)])
+    split = with_split(match_filters(log, FilterSet.of(spark, ["s.x", "s.y"])), "c")
+    kept = positions.stop_at(split, ("seq", 11), "split_id", 2)
+    assert sorted(column(kept, "stream_seq")) == list(range(1, 13))
+    done = {r.last_read: r.finished for r in positions.finished(split, ("seq", 12), "split_id", 2).collect()}
+    assert done == {12: True, 11: False}
+
+
+@pytest.mark.parametrize("kind,rule", [
+    ("start", ("time", -1)), ("start", ("seq",)), ("start", ("never",)), ("stop", ("seq", -1)),
+    ("stop", ("count", 0)), ("stop", ("count",)), ("stop", ("earliest",)), ("stop", ())])
+def test_bad_rules(kind, rule):
+    with pytest.raises(ValueError):
+        positions.check_rule(kind, rule)
+
+
+def test_only_never_is_unbounded():
+    assert [positions.is_bounded(r) for r in [("never",), ("latest",), ("seq", 1), ("time", 1), ("count", 1)]] == \
+        [False, True, True, True, True]
+
+
+@pytest.fixture(scope="module")
+def sparse(spark):
+    """Sequences with gaps, in two very uneven splits, in random order."""
+    rng = random.Random(7)
+    seqs = sorted(rng.sample(range(1, 5000), 900))
+    rows = [(s, "big" if i % 20 else "small", rng.randint(0, 10_000)) for i, s in enumerate(seqs)]
+    rng.shuffle(rows)
+    return spark.createDataFrame(rows, "seq LONG, split STRING, v INT").cache()
+
+
+@pytest.mark.parametrize("width", [1, 64, 1 << 20])
+def test_dense_seq_equals_row_number(sparse, width):
+    got = dense_seq(sparse, ["split"], "seq", "n", pending="left", width=width).collect()
+    for split in ("big", "small"):
+        rows = sorted((r for r in got if r.split == split), key=lambda r: r.seq)
+        assert [r.n for r in rows] == list(range(1, len(rows) + 1))
+        assert [r.left for r in rows] == list(range(len(rows) - 1, -1, -1))
+
+
+@pytest.mark.parametrize("width", [1, 64, 1 << 20])
+def test_running_max_equals_the_window(sparse, width):
+    got = running_max(sparse, ["split"], "seq", "v", "top", width=width).collect()
+    for split in ("big", "small"):
+        best = -1
+        for row in sorted((r for r in got if r.split == split), key=lambda r: r.seq):
+            best = max(best, row.v)
+            assert row.top == best
+
+
+@pytest.mark.parametrize("n", [1, 2, 450, 899, 900, 901, 5000])
+def test_nth_seq(sparse, n):
+    order = sorted(column(sparse, "seq"))
+    cut = nth_seq(sparse, n, "seq", width=64).first().cut
+    assert cut == (order[n - 1] if n <= len(order) else None)
+
+
+@pytest.mark.parametrize("n", [1, 450, 900, 2000])
+def test_large_limits_stay_distributed_and_exact(sparse, monkeypatch, n):
+    from msglog.operators import sequence
+
+    want = sorted(column(sparse, "seq"))[:n]
+    assert column(first_n(sparse, n, "seq"), "seq") == want
+    monkeypatch.setattr(sequence, "TOP_K_ROWS", 0)
+    assert sorted(column(first_n(sparse, n, "seq"), "seq")) == want
+
+
+def test_limit_below_one(sparse):
+    with pytest.raises(ValueError):
+        first_n(sparse, 0, "seq")
+
+
+def test_time_literals_follow_the_column_type(spark):
+    log = numbered(spark, 3)
+    local = log.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    at = int((START + timedelta(seconds=2)).timestamp() * 1000)
+    for frame in (log, local):
+        assert column(positions.start_at(frame, ("time", at)), "stream_seq") == [2, 3]
