@@ -64,6 +64,15 @@ def _literal_prefix(tokens: list[str]) -> str:
     return "".join(head)
 
 
+def _pattern(words: list[str]) -> str:
+    parts = {"*": "[^.]+", ">": ".+"}
+    return r"\.".join(parts.get(w, re.escape(w)) for w in words)
+
+
+def _column(subject: Column | str) -> Column:
+    return F.col(subject) if isinstance(subject, str) else subject
+
+
 def token_guard(words: Mapping[int, str], tokens: TokenColumns | None) -> Column | None:
     """Equalities on physical token columns implied by the words at given positions."""
     guards = [F.col(tokens[i][0]) == F.lit(word).try_cast(tokens[i][1])
@@ -74,7 +83,7 @@ def token_guard(words: Mapping[int, str], tokens: TokenColumns | None) -> Column
 def guard(filter_: str, subject: Column | str = "subject", tokens: TokenColumns | None = None) -> Column:
     """A cheap necessary condition for a match, built only from pushable predicates."""
     words = tokens_of(filter_)
-    col = F.col(subject) if isinstance(subject, str) else subject
+    col = _column(subject)
     if "*" not in words and words[-1] != ">":
         condition = col == F.lit(filter_)
     elif prefix := _literal_prefix(words):
@@ -96,10 +105,7 @@ def matches(filter_: str, subject: Column | str = "subject", tokens: TokenColumn
     condition = guard(filter_, subject, tokens)
     if "*" not in words:
         return condition
-    parts = {"*": "[^.]+", ">": ".+"}
-    pattern = "^" + r"\.".join(parts.get(w, re.escape(w)) for w in words) + "$"
-    col = F.col(subject) if isinstance(subject, str) else subject
-    return condition & col.rlike(pattern)
+    return condition & _column(subject).rlike(f"^{_pattern(words)}$")
 
 
 def matches_any(filters: Iterable[str], subject: Column | str = "subject",
@@ -107,18 +113,23 @@ def matches_any(filters: Iterable[str], subject: Column | str = "subject",
     """True where any filter matches; literal-only lists become ``IN``."""
     filters = list(filters)
     if all("*" not in tokens_of(f) and not f.endswith(">") for f in filters):
-        col = F.col(subject) if isinstance(subject, str) else subject
-        condition = col.isin(filters)
+        condition = _column(subject).isin(filters)
         common = {i: w for i, w in enumerate(tokens_of(filters[0]))
                   if all(tokens_of(f)[i:i + 1] == [w] for f in filters)}
         extra = token_guard(common, tokens)
         return condition if extra is None else extra & condition
-    any_of = lambda parts: reduce(lambda a, b: a | b, parts)
-    condition = any_of([matches(f, subject, tokens) for f in filters])
-    if any("*" in f for f in filters):
-        # A disjunction holding a regular expression does not push; its guards do.
-        condition = any_of([guard(f, subject, tokens) for f in filters]) & condition
-    return condition
+    guards = guard_any(filters, subject, tokens)
+    if all("*" not in f for f in filters):
+        return guards
+    # One alternation for all: a disjunction that holds a regular expression does not push,
+    # and one that repeats the guards would be folded into them.
+    return guards & _column(subject).rlike("^(?:" + "|".join(_pattern(tokens_of(f)) for f in filters) + ")$")
+
+
+def guard_any(filters: Iterable[str], subject: Column | str = "subject",
+              tokens: TokenColumns | None = None) -> Column:
+    """A pushable condition that every message matching one of the filters meets."""
+    return reduce(lambda a, b: a | b, [guard(f, subject, tokens) for f in filters])
 
 
 def candidate(shape_: str, words: Column) -> Column:

@@ -77,9 +77,9 @@ def match_filters(log: DataFrame, filters: FilterSet, subject: str = "subject",
 
 def _match_inline(log: DataFrame, filters: Sequence[str], subject: str,
                   tokens: S.TokenColumns | None) -> DataFrame:
-    kept = log.where(S.matches_any(filters, subject, tokens))
     if len(filters) == 1:
-        return kept.withColumn("filter", F.lit(filters[0]))
+        return log.where(S.matches(filters[0], subject, tokens)).withColumn("filter", F.lit(filters[0]))
+    kept = log.where(S.guard_any(filters, subject, tokens))
     hits = F.array(*[F.when(S.matches(f, subject), F.lit(f)) for f in filters])
     return kept.withColumn("filter", F.explode(hits)).where(F.col("filter").isNotNull())
 

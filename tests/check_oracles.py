@@ -31,9 +31,8 @@ def rows_of(columns, rows) -> Counter:
     return Counter(tuple(_value(row[i]) for i in order) for row in rows)
 
 
-def compare(spark, con, query, sql: str, sf_dir: str) -> str | None:
+def compare(frame, con, sql: str) -> str | None:
     """None when both sides agree, else what differs."""
-    frame = query(spark, sf_dir)
     got = [tuple(r) for r in frame.collect()]
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
@@ -60,7 +59,7 @@ def main() -> int:
         start = time.time()
         try:
             if name in oracles:
-                problem = compare(spark, con, queries[name], oracles[name], sf_dir)
+                problem = compare(queries[name](spark, sf_dir), con, oracles[name])
             else:
                 problem = None if queries[name](spark, sf_dir).count() else "no rows"
         except Exception as e:  # noqa: BLE001  (report every query)

@@ -65,6 +65,12 @@ def test_one_filter_matches_like_the_definition(log, filter_):
     assert got == sorted(s for s in SUBJECTS if plain_match(filter_, s))
 
 
+@pytest.mark.parametrize("filters", [["a.b", "c"], ["a.>", "*.b.c"], ["a.*", "b.*.c", ">"], ["a.b", "c.>"], ["a.*.c", "a.b"]])
+def test_any_of_several_filters(log, filters):
+    got = sorted(column(log.where(S.matches_any(filters)), "subject"))
+    assert got == sorted(s for s in SUBJECTS if any(plain_match(f, s) for f in filters))
+
+
 def expected_pairs(filters):
     return sorted((s, f) for f in filters for s in SUBJECTS if plain_match(f, s))
 
