@@ -55,7 +55,8 @@ def split_bad(log: DataFrame, schema: T.StructType, format: str = "json",
         struct = F.from_json(content, wide, options)
     else:
         struct = F.from_csv(content, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide), options)
-    tried = log.withColumn("payload", struct)
+    # Behind a generator each payload is parsed once, not once per use.
+    tried = log.withColumn("payload", F.explode(F.array(struct)))
     is_bad = F.coalesce(F.col(f"payload.{_CORRUPT}").isNotNull() | F.col("payload").isNull(), F.lit(True))
     good = tried.where(~is_bad).withColumn("payload", F.col("payload").dropFields(_CORRUPT))
     return good, tried.where(is_bad).drop("payload")

@@ -61,9 +61,7 @@ def pending(deliveries: DataFrame, acks: DataFrame, ack: str = "each", n_splits:
 def floors(deliveries: DataFrame, acks: DataFrame, n_splits: int | None = None) -> DataFrame:
     """``(split_id, ack_floor, delivered_floor)``: the last message below which nothing is
     outstanding, and the last one delivered."""
-    known = acks.select(*KEYS).distinct().withColumn("_ack", F.lit(True))
-    state = deliveries.select(*KEYS).join(known, KEYS, "left")
-    unacked = (state.where(F.col("_ack").isNull())
+    unacked = (pending_explicit(deliveries.select(*KEYS), acks)
                .groupBy("split_id").agg(F.min("stream_seq").alias("_first_open")))
     below = F.col("_first_open").isNull() | (F.col("stream_seq") < F.col("_first_open"))
     return (deliveries.select(*KEYS).join(hinted(unacked, n_splits), "split_id", "left")

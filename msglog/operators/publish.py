@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from msglog.functions import headers as H
 from msglog.functions import payload as P
 from msglog.functions.subjects import is_valid_subject
-from msglog.operators.sequence import dense_seq, number_buckets
-from msglog.operators.splits import FilterSet, first_capture, hinted
+from msglog.operators.sequence import bucket_offsets, dense_seq, number_buckets
+from msglog.operators.splits import BROADCAST_ROWS, FilterSet, first_capture, hinted, union_all
 from msglog.schema import HEADERS, WRITABLE
-from msglog.sources.store import append_log, log_exists, open_log, record_heads, shared_dir, stream_heads
+from msglog.sources.store import append_log, log_exists, open_log, record_heads, saved, stream_heads
 
 OK, DUPLICATE, FAILED = "ok", "duplicate", "failed"
 # monotonically_increasing_id() keeps the partition above this bit, the row below it.
@@ -79,7 +79,10 @@ def live(registry: DataFrame) -> DataFrame:
 
 def capture(messages: DataFrame, registry: DataFrame) -> DataFrame:
     """Add the ``stream`` that stores each message; NULL where none does."""
-    filters = FilterSet.of(messages.sparkSession, live(registry).select("filter", "stream"))
+    return _capture(messages, FilterSet.of(messages.sparkSession, live(registry).select("filter", "stream")))
+
+
+def _capture(messages: DataFrame, filters: FilterSet) -> DataFrame:
     found = first_capture(messages, filters, "stream")
     return found.withColumn("stream", F.when(is_valid_subject(F.col("subject")), F.col("stream")))
 
@@ -156,58 +159,93 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
     ids to stored messages at or past that time. One writer per stream at a time.
     """
     spark = messages.sparkSession
-    captured = capture(messages, registry)
-    if order_by:
-        captured = captured.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    stage = shared_dir(spark, "publish")
-    captured.withColumn("_addr", F.monotonically_increasing_id()).write.parquet(f"{stage}/batch")
-    batch = spark.read.parquet(f"{stage}/batch")
+    filters = FilterSet.of(spark, live(registry).select("filter", "stream"))
+    if order_by and filters.size <= BROADCAST_ROWS:
+        # Capture by broadcast leaves rows where they are and is better done once they are
+        # spread. The sort comes last: below a join it would be dropped as pointless.
+        captured = _capture(messages.repartitionByRange(*order_by), filters).sortWithinPartitions(*order_by)
+    elif order_by:
+        captured = _capture(messages, filters).repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    else:
+        captured = _capture(messages, filters)
+    batch = saved(captured.withColumn("_addr", F.monotonically_increasing_id()), "publish") \
+        .withColumn("_bucket", F.shiftright("_addr", _PART_SHIFT))
+    size = batch.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("stream").isNull()).alias("failed"),
+        F.count_if(F.col("stream").isNotNull() & F.col("msg_id").isNotNull()).alias("ids"),
+        F.count_distinct("_bucket").alias("parts"), F.count_distinct("stream", "_bucket").alias("runs")).first()
+    if strict and size.failed:
+        subjects = [row.subject for row in rejected(batch).select("subject").limit(5).collect()]
+        raise CaptureError(f"{size.failed} messages have a subject no stream captures, such as {subjects}")
 
-    exists = log_exists(spark, path)
     known = None
-    if dedupe and exists:
+    exists = log_exists(spark, path)
+    if exists:
         known = open_log(spark, path, partition_tokens).where(F.col("msg_id").isNotNull())
         if dedupe_since is not None:
             known = known.where(F.col("timestamp") >= dedupe_since)
-    n_rows = batch.count()
-    if dedupe:
-        marked = mark_status(batch.select("stream", "msg_id", "_addr"), "_addr", known, n_rows)
-    else:
-        marked = batch.select("_addr", F.when(F.col("stream").isNull(), FAILED).otherwise(OK).alias("status"))
-    # Fixed on storage too: the log changes below, and these rows must not follow it.
-    marked.where(F.col("status") != OK).select("_addr", "status").write.parquet(f"{stage}/unstored")
-    unstored = spark.read.schema("_addr LONG, status STRING").parquet(f"{stage}/unstored")
-    counts = {row.status: row["count"] for row in unstored.groupBy("status").count().collect()}
-    counts = {DUPLICATE: counts.get(DUPLICATE, 0), FAILED: counts.get(FAILED, 0)}
-    counts[OK] = n_rows - counts[DUPLICATE] - counts[FAILED]
-    if strict and counts[FAILED]:
-        subjects = [row.subject for row in rejected(batch).select("subject").limit(5).collect()]
-        raise CaptureError(f"{counts[FAILED]} messages have a subject no stream captures, such as {subjects}")
+    left_out = [rejected(batch).select("_addr", F.lit(FAILED).alias("status"))] if size.failed else []
+    if dedupe and size.ids:
+        left_out += _duplicates(batch, known, size.ids)
+    counts = {OK: size.rows, DUPLICATE: 0, FAILED: 0}
+    unstored = None
+    if left_out:
+        # Written out: the log changes below, and these rows must not follow it.
+        unstored = saved(union_all(left_out).distinct(), "publish")
+        counts.update({row.status: row["count"] for row in unstored.groupBy("status").count().collect()})
+        counts[OK] -= counts[DUPLICATE] + counts[FAILED]
+    n_unstored = size.rows - counts[OK]
 
-    n_unstored = counts[DUPLICATE] + counts[FAILED]
     kept = batch.join(hinted(unstored, n_unstored), "_addr", "left_anti") if n_unstored else batch
-    kept = kept.withColumn("_bucket", F.shiftright("_addr", _PART_SHIFT))
-    numbered = number_buckets(kept, ["stream"], "_addr", "_n").drop("_bucket")
+    if n_unstored or size.runs > size.parts:
+        numbered = number_buckets(kept, ["stream"], "_addr", "_n")
+    else:
+        # Whole parts of one stream each: the address within a part is the position.
+        starts = bucket_offsets(kept, ["stream"]).select("stream", "_bucket", "_offset")
+        within = F.col("_addr") - F.shiftleft("_bucket", _PART_SHIFT)
+        numbered = kept.join(hinted(starts, size.runs), ["stream", "_bucket"]) \
+            .withColumn("_n", F.col("_offset") + within + 1)
+    heads = kept.groupBy("stream").agg(F.count(F.lit(1)).alias("_new"), F.lit(0).cast("long").alias("_old"))
     if exists:
-        # Written out for the same reason: the heads move with the append.
-        stream_heads(spark, path).coalesce(1).write.parquet(f"{stage}/heads")
-        heads = spark.read.schema("stream STRING, head LONG").parquet(f"{stage}/heads")
-        numbered = numbered.join(F.broadcast(heads) if _few_streams(registry) else heads, "stream", "left")
+        # For the same reason: the heads move with the append.
+        stored_heads = saved(stream_heads(spark, path), "publish").withColumnRenamed("head", "_stored")
+        heads = heads.join(stored_heads, "stream", "left") \
+            .select("stream", "_new", F.coalesce("_stored", F.lit(0)).alias("_old"))
+        numbered = numbered.join(hinted(heads.select("stream", "_old"), _n_streams(registry)), "stream")
     else:
-        numbered = numbered.withColumn("head", F.lit(0))
-    stored = numbered.withColumn("stream_seq", F.coalesce("head", F.lit(0)) + F.col("_n"))
+        numbered = numbered.withColumn("_old", F.lit(0))
+    stored = numbered.withColumn("stream_seq", F.col("_old") + F.col("_n"))
     if counts[OK]:
         append_log(stored, path, partition_tokens, writers, max_records_per_file)
-        record_heads(stored.groupBy("stream").agg(F.max("stream_seq").alias("head")), path)
+        record_heads(heads.select("stream", (F.col("_old") + F.col("_new")).alias("head")), path)
+
+    results = batch.join(stored.select("_addr", "stream_seq"), "_addr", "left")
+    if unstored is not None:
+        results = results.join(hinted(unstored, n_unstored), "_addr", "left")
+    else:
+        results = results.withColumn("status", F.lit(OK))
+    return PublishResult(results.withColumn("status", F.coalesce("status", F.lit(OK))).drop("_addr", "_bucket"), counts)
 
-    results = (batch.join(hinted(unstored, n_unstored), "_addr", "left")
-               .join(stored.select("_addr", "stream_seq"), "_addr", "left")
-               .withColumn("status", F.coalesce("status", F.lit(OK))).drop("_addr"))
-    return PublishResult(results, counts)
+
+def _duplicates(batch: DataFrame, known: DataFrame | None, n_ids: int) -> list[DataFrame]:
+    """Addresses of messages whose id comes earlier in the batch or is in the log. The ids in
+    question are written out first, so that joining them back can go by their number."""
+    key = ["stream", "msg_id"]
+    ids = batch.where(F.col("stream").isNotNull() & F.col("msg_id").isNotNull()).select(*key, "_addr")
+    found = []
+    repeated = saved(ids.groupBy(*key).agg(F.min("_addr").alias("_first"), F.count(F.lit(1)).alias("_copies"))
+                     .where(F.col("_copies") > 1).drop("_copies"), "publish")
+    if n_repeated := repeated.count():
+        found.append(ids.join(hinted(repeated, n_repeated), key).where(F.col("_addr") > F.col("_first")))
+    if known is not None:
+        seen = saved(_known_ids(ids.select(*key), known.select(*key), n_ids), "publish")
+        if n_seen := seen.count():
+            found.append(ids.join(hinted(seen, n_seen), key, "left_semi"))
+    return [rows.select("_addr", F.lit(DUPLICATE).alias("status")) for rows in found]
 
 
-def _few_streams(registry: DataFrame) -> bool:
-    return hinted(registry, registry.select("stream").distinct().count()) is not registry
+def _n_streams(registry: DataFrame) -> int:
+    return registry.select("stream").distinct().count()
 
 
 def publish_sql(spark: SparkSession, query: str, path: str, registry: DataFrame, *,

@@ -38,19 +38,23 @@ def dense_seq(df: DataFrame, keys: Sequence[str], order: str, out: str,
         .drop("_bucket")
 
 
+def bucket_offsets(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key and ``_bucket``: the rows of the key before the bucket and in all."""
+    counts = df.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.select(
+        *keys, "_bucket",
+        F.coalesce(F.sum("_rows").over(_before(keys)), F.lit(0)).alias("_offset"),
+        F.sum("_rows").over(Window.partitionBy(*keys)).alias("_total"),
+    )
+
+
 def number_buckets(df: DataFrame, keys: Sequence[str], order: str, out: str,
                    pending: str | None = None) -> DataFrame:
     """:func:`dense_seq` for rows that already carry a ``_bucket`` ascending with ``order``."""
     keys = list(keys)
-    counts = df.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        *keys, "_bucket",
-        F.coalesce(F.sum("_n").over(_before(keys)), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
-    )
     rank = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(order))
     numbered = (df.withColumn("_rank", rank)
-                .join(offsets, [*keys, "_bucket"])
+                .join(bucket_offsets(df, keys), [*keys, "_bucket"])
                 .withColumn(out, (F.col("_offset") + F.col("_rank")).cast("long")))
     columns = [*df.columns, out]
     if pending:

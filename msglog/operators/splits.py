@@ -9,7 +9,7 @@ filter.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,20 +68,42 @@ class FilterSet:
 
 
 def match_filters(log: DataFrame, filters: FilterSet, subject: str = "subject",
-                  tokens: S.TokenColumns | None = None) -> DataFrame:
-    """``log`` with a ``filter`` column: one row per message and filter it matches."""
-    if filters.inline:
-        return _match_inline(log, filters.inline, subject, tokens)
-    return _match_join(log, filters, subject)
+                  tokens: S.TokenColumns | None = None, disjoint: bool = False) -> DataFrame:
+    """``log`` with a ``filter`` column: one row per message and filter it matches.
+
+    ``disjoint`` states that no message matches two of the filters, as is checked for every
+    read with explicit filters; a short list then needs no row generation.
+    """
+    if not filters.inline:
+        return _match_join(log, filters, subject)
+    names = {f: F.lit(f) for f in filters.inline}
+    return _match_inline(log, names, "filter", subject, tokens, disjoint)
 
 
-def _match_inline(log: DataFrame, filters: Sequence[str], subject: str,
-                  tokens: S.TokenColumns | None) -> DataFrame:
-    if len(filters) == 1:
-        return log.where(S.matches(filters[0], subject, tokens)).withColumn("filter", F.lit(filters[0]))
-    kept = log.where(S.guard_any(filters, subject, tokens))
-    hits = F.array(*[F.when(S.matches(f, subject), F.lit(f)) for f in filters])
-    return kept.withColumn("filter", F.explode(hits)).where(F.col("filter").isNotNull())
+def match_splits(log: DataFrame, filters: FilterSet, prefix: str, subject: str = "subject",
+                 tokens: S.TokenColumns | None = None, disjoint: bool = False) -> DataFrame:
+    """:func:`match_filters` with the ``consumer`` and ``split_id`` of each filter, named once
+    per filter and not once per message."""
+    if filters.inline:
+        names = {f: F.struct(F.lit(f).alias("filter"), S.consumer_name(prefix, F.lit(f)).alias("consumer"))
+                 for f in filters.inline}
+        matched = _match_inline(log, names, "_split", subject, tokens, disjoint)
+        matched = matched.select(*log.columns, "_split.filter", "_split.consumer")
+    else:
+        named = replace(filters, frame=filters.frame.withColumn("consumer", S.consumer_name(prefix, F.col("filter"))))
+        matched = _match_join(log, named, subject)
+    return matched.withColumn("split_id", S.split_id(F.col("stream"), F.col("consumer")))
+
+
+def _match_inline(log: DataFrame, names: dict[str, Column], out: str, subject: str,
+                  tokens: S.TokenColumns | None, disjoint: bool) -> DataFrame:
+    if len(names) == 1:
+        [(filter_, value)] = names.items()
+        return log.where(S.matches(filter_, subject, tokens)).withColumn(out, value)
+    kept = log.where(S.guard_any(names, subject, tokens))
+    hits = [F.when(S.matches(f, subject), value) for f, value in names.items()]
+    found = F.coalesce(*hits) if disjoint else F.explode(F.array(*hits))
+    return kept.withColumn(out, found).where(F.col(out).isNotNull())
 
 
 def _match_join(log: DataFrame, filters: FilterSet, subject: str) -> DataFrame:
@@ -101,11 +123,10 @@ def _key(shape: Column, filter_: Column) -> Column:
     return F.concat(shape, F.lit(":"), filter_)
 
 
-def with_split(matched: DataFrame, prefix: str, stream: Column | None = None) -> DataFrame:
-    """Add ``consumer`` and ``split_id`` for the matched filter."""
-    stream = F.col("stream") if stream is None else stream
-    named = matched.withColumn("consumer", S.consumer_name(prefix, F.col("filter")))
-    return named.withColumn("split_id", S.split_id(stream, F.col("consumer")))
+def with_split(filters: DataFrame, prefix: str) -> DataFrame:
+    """``(stream, filter)`` rows with their ``consumer`` and ``split_id``."""
+    named = filters.withColumn("consumer", S.consumer_name(prefix, F.col("filter")))
+    return named.withColumn("split_id", S.split_id(F.col("stream"), F.col("consumer")))
 
 
 def multi_match(matched: DataFrame, by: Sequence[str] = ("stream", "stream_seq")) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from msglog.operators.positions import last_seq
-from msglog.operators.splits import FilterSet, match_filters, values, with_split
+from msglog.operators.splits import FilterSet, match_splits, values, with_split
 from msglog.sources.adapters import EVENT_TOKENS, events_log
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -27,7 +27,7 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole events log, read through one split per event type."""
     chosen = FilterSet.of(spark, TYPE_FILTERS)
-    return with_split(match_filters(log(spark, sf_dir), chosen, tokens=EVENT_TOKENS), "consumer")
+    return match_splits(log(spark, sf_dir), chosen, "consumer", tokens=EVENT_TOKENS, disjoint=True)
 
 
 def splits(spark: SparkSession) -> DataFrame:

@@ -17,7 +17,7 @@ from msglog.functions import subjects as S
 from msglog.operators import discovery, positions
 from msglog.operators.progress import delivered_count
 from msglog.operators.sequence import first_n, running_max
-from msglog.operators.splits import FilterSet, match_filters, multi_match, overlapping, share, values, with_split
+from msglog.operators.splits import FilterSet, match_filters, match_splits, multi_match, overlapping, share, values
 from msglog.operators.stats import last_message, last_per_subject, stream_info
 from msglog.plans.catalog import query
 from msglog.plans.inputs import (N_SPLITS, PAYLOAD, TYPE_FILTERS, deliveries, k_of, log, share_of_log,
@@ -72,7 +72,7 @@ def scan_default_splits(spark: SparkSession, sf: str) -> DataFrame:
     source = log(spark, sf)
     registry = saved(discovery.discover_filters(source, depth=2), "registry")
     chosen = FilterSet.of(spark, registry.select("filter"))
-    return with_split(match_filters(source, chosen), "consumer") \
+    return match_splits(source, chosen, "consumer") \
         .select("stream_seq", "subject", "filter", "split_id")
 
 
@@ -553,7 +553,7 @@ def limit_filtered(spark: SparkSession, sf: str) -> DataFrame:
 def wm_late_audit(spark: SparkSession, sf: str) -> DataFrame:
     """The watermark each message meets in its split, and whether it is behind it."""
     chosen = FilterSet.of(spark, ["orders.F.>", "orders.O.>", "orders.P.>"])
-    read = match_filters(orders_log(spark, sf), chosen, tokens=ORDER_TOKENS) \
+    read = match_filters(orders_log(spark, sf), chosen, tokens=ORDER_TOKENS, disjoint=True) \
         .select("filter", "stream_seq", M.event_time(F.col("timestamp")).alias("event_time"))
     running = running_max(read, ["filter"], "stream_seq", "event_time", "_top")
     watermark = F.col("_top") - F.expr("INTERVAL 30 DAYS")

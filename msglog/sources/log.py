@@ -20,7 +20,7 @@ from msglog.functions import payload as P
 from msglog.functions.subjects import TokenColumns
 from msglog.operators import positions
 from msglog.operators.sequence import dense_seq, first_n
-from msglog.operators.splits import FilterSet, check_no_overlap, match_filters, with_split
+from msglog.operators.splits import FilterSet, check_no_overlap, match_splits
 from msglog.sources.store import open_log, open_stream, token_columns
 
 
@@ -115,7 +115,7 @@ def select_messages(spark: SparkSession, log: DataFrame, opts: ReadOptions,
         if opts.registry is None:
             check_no_overlap(spark, filters)
         chosen = FilterSet.of(spark, filters)
-        log = with_split(match_filters(log, chosen, tokens=tokens), opts.consumer_prefix)
+        log = match_splits(log, chosen, opts.consumer_prefix, tokens=tokens, disjoint=opts.registry is None)
         split, n_splits = "split_id", chosen.size
     log = positions.stop_at(log, opts.stop, split, n_splits, opts.snapshot, opts.seq)
     if "consumerSeq" in opts.metadata or "pending" in opts.metadata:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from msglog.functions import subjects as S
 from msglog.operators import positions
 from msglog.operators.progress import resume
-from msglog.operators.splits import FilterSet, match_filters, values, with_split
+from msglog.operators.splits import FilterSet, match_filters, match_splits, values, with_split
 from msglog.plans import inputs
 from msglog.sources.adapters import EVENT_SEQ, EVENT_TOKENS, events_log
 from msglog.sources.log import read_log
@@ -96,7 +96,7 @@ def test_subject_predicate_is_below_the_decoder(spark, path):
 
 def test_resume_skips_what_all_splits_have_read(spark, path):
     splits = with_split(values(spark, [{"stream": "s", "filter": "s.a.>"}]), "c")
-    matched = with_split(match_filters(open_log(spark, path, (1,)), FilterSet.of(spark, ["s.a.>"])), "c")
+    matched = match_splits(open_log(spark, path, (1,)), FilterSet.of(spark, ["s.a.>"]), "c")
     done = splits.select("split_id", F.lit(90).cast("long").alias("last_seq"), F.lit("active").alias("status"))
     got = resume(matched, done, splits, 1)
     assert "GreaterThan(stream_seq,ScalarSubquery" in pushed(got)

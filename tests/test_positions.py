@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from msglog.operators import positions
 from msglog.operators.sequence import dense_seq, first_n, nth_seq, running_max
-from msglog.operators.splits import FilterSet, match_filters, with_split
+from msglog.operators.splits import FilterSet, match_splits
 
 
 def numbered(spark, n: int):
@@ -39,13 +39,13 @@ def test_stop_time_includes_the_first_message_past_it(spark):
 
 def test_stop_falls_into_a_gap_of_the_filter(spark):
     log = log_of(spark, [message(i, "s.x" if i in (1, 2, 7, 9) else "s.y") for i in range(1, 11)])
-    split = with_split(match_filters(log, FilterSet.of(spark, ["s.x"])), "c")
+    split = match_splits(log, FilterSet.of(spark, ["s.x"]), "c")
     assert sorted(column(positions.stop_at(split, ("seq", 5), "split_id", 1), "stream_seq")) == [1, 2, 7]
 
 
 def test_each_split_stops_on_its_own(spark):
     log = log_of(spark, [message(i, "s.x" if i % 3 else "s.y") for i in range(1, 13)])
-    split = with_split(match_filters(log, FilterSet.of(spark, ["s.x", "s.y"])), "c")
+    split = match_splits(log, FilterSet.of(spark, ["s.x", "s.y"]), "c")
     kept = positions.stop_at(split, ("seq", 11), "split_id", 2)
     assert sorted(column(kept, "stream_seq")) == list(range(1, 13))
     done = {r.last_read: r.finished for r in positions.finished(split, ("seq", 12), "split_id", 2).collect()}

@@ -7,7 +7,7 @@ from fixtures import START, column, log_of, message
 from pyspark.sql import functions as F
 
 from msglog.operators import progress as G
-from msglog.operators.splits import FilterSet, match_filters, values, with_split
+from msglog.operators.splits import FilterSet, match_splits, values, with_split
 from msglog.schema import ACKS, DELIVERIES, PROGRESS
 
 
@@ -80,7 +80,7 @@ def test_redelivery(spark):
 @pytest.fixture(scope="module")
 def read(spark):
     log = log_of(spark, [message(i, "s.a" if i % 2 else "s.b") for i in range(1, 13)])
-    return with_split(match_filters(log, FilterSet.of(spark, ["s.a", "s.b"])), "c")
+    return match_splits(log, FilterSet.of(spark, ["s.a", "s.b"]), "c")
 
 
 @pytest.fixture(scope="module")

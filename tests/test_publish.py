@@ -175,7 +175,12 @@ def test_dedupe_since_limits_the_look_up(spark, path):
     assert W.publish(rows, path, registry(spark), dedupe_since=recent).counts == {"ok": 2, "duplicate": 1, "failed": 0}
 
 
-def test_order_of_sequences(spark, path):
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_order_of_sequences(spark, path, monkeypatch, broadcast_rows):
+    from msglog.operators import splits
+
+    monkeypatch.setattr(splits, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(W, "BROADCAST_ROWS", broadcast_rows)
     rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(7)
     W.publish(W.outgoing(rows, subject="s.a", keep=["v"]), path, registry(spark), order_by=["v"])
     log = open_log(spark, path).select("stream_seq", F.get_json_object(P.text(F.col("data")), "$.v").cast("int").alias("v"))

@@ -7,7 +7,7 @@ from fixtures import column, log_of, message
 from pyspark.sql import functions as F
 
 from msglog.functions import subjects as S
-from msglog.operators.splits import FilterSet, check_no_overlap, match_filters, multi_match, overlapping, values
+from msglog.operators.splits import FilterSet, check_no_overlap, match_filters, match_splits, multi_match, overlapping, values
 
 WORDS = ["a", "b", "c"]
 
@@ -86,6 +86,16 @@ def test_short_lists_match_inline(spark, log):
     assert pairs(match_filters(log, chosen)) == expected_pairs(filters)
 
 
+def test_disjoint_filters_give_the_same_rows(spark, log):
+    filters = ["a.*", "b.>", "a.b.c", "c"]
+    chosen = FilterSet.of(spark, filters)
+    assert pairs(match_filters(log, chosen, disjoint=True)) == expected_pairs(filters)
+    inline = match_splits(log, chosen, "job", disjoint=True)
+    joined = match_splits(log, FilterSet.of(spark, values(spark, [{"filter": f} for f in filters])), "job")
+    key = ["stream_seq", "filter", "consumer", "split_id"]
+    assert sorted(map(tuple, inline.select(*key).collect())) == sorted(map(tuple, joined.select(*key).collect()))
+
+
 @pytest.mark.parametrize("as_table", [False, True])
 def test_many_filters_match_by_candidate(spark, log, as_table):
     filters = random_filters(60, seed=2)
