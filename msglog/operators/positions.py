@@ -112,7 +112,7 @@ def stop_at(log: DataFrame, rule: tuple, split: str | None = None, n_splits: int
     if kind == "latest":
         return log.where(seq_to(log, snapshot, seq))
     if kind == "count":
-        return first_n(log, rule[1])
+        return first_n(log, rule[1], physical=seq)
     if split is None:
         cuts = stop_cuts(log.withColumn("_all", F.lit(0)), rule, "_all", seq)
         return _until(log, cuts, 1, seq)

@@ -205,16 +205,17 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
         within = F.col("_addr") - F.shiftleft("_bucket", _PART_SHIFT)
         numbered = kept.join(hinted(starts, size.runs), ["stream", "_bucket"]) \
             .withColumn("_n", F.col("_offset") + within + 1)
-    heads = kept.groupBy("stream").agg(F.count(F.lit(1)).alias("_new"), F.lit(0).cast("long").alias("_old"))
+    heads = kept.groupBy("stream").agg(F.count(F.lit(1)).alias("_new"))
     if exists:
         # For the same reason: the heads move with the append.
-        stored_heads = saved(stream_heads(spark, path), "publish").withColumnRenamed("head", "_stored")
-        heads = heads.join(stored_heads, "stream", "left") \
-            .select("stream", "_new", F.coalesce("_stored", F.lit(0)).alias("_old"))
-        numbered = numbered.join(hinted(heads.select("stream", "_old"), _n_streams(registry)), "stream")
+        before = saved(stream_heads(spark, path), "publish").withColumnRenamed("head", "_old")
+        heads = heads.join(before, "stream", "full_outer").fillna(0, ["_new", "_old"])
     else:
-        numbered = numbered.withColumn("_old", F.lit(0))
-    stored = numbered.withColumn("stream_seq", F.col("_old") + F.col("_n"))
+        heads = heads.withColumn("_old", F.lit(0).cast("long"))
+    n_streams = registry.select("stream").distinct().count() if exists else 0
+    numbered = (numbered.join(hinted(before, n_streams), "stream", "left") if exists
+                else numbered.withColumn("_old", F.lit(0)))
+    stored = numbered.withColumn("stream_seq", F.coalesce("_old", F.lit(0)) + F.col("_n"))
     if counts[OK]:
         append_log(stored, path, partition_tokens, writers, max_records_per_file)
         record_heads(heads.select("stream", (F.col("_old") + F.col("_new")).alias("head")), path)
@@ -228,24 +229,24 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
 
 
 def _duplicates(batch: DataFrame, known: DataFrame | None, n_ids: int) -> list[DataFrame]:
-    """Addresses of messages whose id comes earlier in the batch or is in the log. The ids in
-    question are written out first, so that joining them back can go by their number."""
+    """Addresses of messages whose id comes earlier in the batch or is in the log."""
     key = ["stream", "msg_id"]
     ids = batch.where(F.col("stream").isNotNull() & F.col("msg_id").isNotNull()).select(*key, "_addr")
-    found = []
-    repeated = saved(ids.groupBy(*key).agg(F.min("_addr").alias("_first"), F.count(F.lit(1)).alias("_copies"))
-                     .where(F.col("_copies") > 1).drop("_copies"), "publish")
-    if n_repeated := repeated.count():
-        found.append(ids.join(hinted(repeated, n_repeated), key).where(F.col("_addr") > F.col("_first")))
-    if known is not None:
-        seen = saved(_known_ids(ids.select(*key), known.select(*key), n_ids), "publish")
-        if n_seen := seen.count():
-            found.append(ids.join(hinted(seen, n_seen), key, "left_semi"))
-    return [rows.select("_addr", F.lit(DUPLICATE).alias("status")) for rows in found]
 
+    def sized(rows: DataFrame) -> tuple[DataFrame, int]:
+        """A small batch bounds what is found in it; otherwise that is written out and counted."""
+        if n_ids <= BROADCAST_ROWS:
+            return rows, n_ids
+        kept = saved(rows, "publish")
+        return kept, kept.count()
 
-def _n_streams(registry: DataFrame) -> int:
-    return registry.select("stream").distinct().count()
+    repeated = sized(ids.groupBy(*key).agg(F.min("_addr").alias("_first"), F.count(F.lit(1)).alias("_copies"))
+                     .where(F.col("_copies") > 1).drop("_copies"))
+    found = [ids.join(hinted(*repeated), key).where(F.col("_addr") > F.col("_first"))]
+    if known is not None:
+        seen = sized(_known_ids(ids.select(*key), known.select(*key), n_ids))
+        found.append(ids.join(hinted(*seen), key, "left_semi"))
+    return [rows.select("_addr", F.lit(DUPLICATE).alias("status")) for rows in found]
 
 
 def publish_sql(spark: SparkSession, query: str, path: str, registry: DataFrame, *,

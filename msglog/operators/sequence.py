@@ -92,11 +92,21 @@ def nth_seq(df: DataFrame, n: int, order: str = "stream_seq", width: int = BUCKE
     return ranked.where(F.col("_rank") == wanted).agg(F.max(order).alias("cut"))
 
 
-def first_n(df: DataFrame, n: int, order: str = "stream_seq") -> DataFrame:
-    """The first ``n`` rows by ``order``; stays distributed when ``n`` is large."""
+def first_n(df: DataFrame, n: int, order: str = "stream_seq", physical: tuple[str, int] | None = None) -> DataFrame:
+    """The first ``n`` rows by ``order``, an integer unique in ``df``.
+
+    The cut is looked for in the ``order`` column alone; the second pass takes it to the scan,
+    so other columns are read around the first rows only, and the result stays distributed.
+    ``physical`` is a column that equals ``order`` minus an offset, where the scan has one.
+    """
     if n < 1:
         raise ValueError("a message limit must be at least 1")
     if n <= TOP_K_ROWS:
-        return df.orderBy(order).limit(n)
-    cut = nth_seq(df, n, order).scalar()
-    return df.where(cut.isNull() | (F.col(order) <= cut))
+        head = df.select(order).orderBy(order).limit(n)
+        cut = head.agg(F.when(F.count(F.lit(1)) == n, F.max(order)).alias("cut"))
+    else:
+        cut = nth_seq(df, n, order)
+    column, offset = physical or (order, 0)
+    everything = F.lit((1 << 63) - 1)
+    bound = cut.select(F.coalesce(F.col("cut") - offset, everything).alias("bound"))
+    return df.where(F.col(column) <= bound.scalar())

@@ -182,7 +182,7 @@ def stop_time(spark: SparkSession, sf: str) -> DataFrame:
   LIMIT (SELECT max(stream_seq) // 4 FROM L)""")
 def stop_count(spark: SparkSession, sf: str) -> DataFrame:
     rule = ("count", share_of_log(log(spark, sf), 1, 4))
-    return positions.stop_at(log(spark, sf), rule).select("stream_seq", "subject")
+    return positions.stop_at(log(spark, sf), rule, seq=EVENT_SEQ).select("stream_seq", "subject")
 
 
 @query("split_finished", """, cuts AS (SELECT split_id, min(stream_seq) AS cut FROM S
@@ -537,14 +537,14 @@ def pred_with_config(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("limit_scan", """SELECT k, subject, stream_seq AS "streamSeq" FROM L ORDER BY stream_seq LIMIT 10""")
 def limit_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return read_log(spark, frame=log(spark, sf), format="json", schema=PAYLOAD, limit=10,
+    return read_log(spark, frame=log(spark, sf), format="json", schema=PAYLOAD, limit=10, seq=EVENT_SEQ,
                     metadata=["subject", "streamSeq"])
 
 
 @query("limit_filtered", """SELECT k, stream_seq FROM L WHERE subject LIKE 'events.click.%' ORDER BY stream_seq LIMIT 10""")
 def limit_filtered(spark: SparkSession, sf: str) -> DataFrame:
     chosen = log(spark, sf).where(S.subject_like("events.click.%", tokens=EVENT_TOKENS))
-    return first_n(chosen.select("stream_seq", "data"), 10).select(k_of().alias("k"), "stream_seq")
+    return first_n(chosen, 10, physical=EVENT_SEQ).select(k_of().alias("k"), "stream_seq")
 
 
 @query("wm_late_audit", """, R AS (SELECT 'orders.' || o_orderstatus || '.>' AS "filter", stream_seq, "timestamp",

@@ -121,7 +121,7 @@ def select_messages(spark: SparkSession, log: DataFrame, opts: ReadOptions,
     if "consumerSeq" in opts.metadata or "pending" in opts.metadata:
         log = dense_seq(log, ["split_id"], "stream_seq", "consumer_seq", pending="pending")
     if opts.limit is not None:
-        log = first_n(log, opts.limit)
+        log = first_n(log, opts.limit, physical=opts.seq)
     if opts.watermark is not None:
         log = log.withColumn("event_time", M.event_time(F.col("timestamp"))).withWatermark("event_time", opts.watermark)
     return log

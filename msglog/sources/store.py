@@ -19,6 +19,7 @@ from msglog.schema import ENVELOPE
 HEADS = "_heads"
 # Up to this many streams the newest part of each is looked up on its own.
 MAX_HEAD_SCANS = 32
+KEPT_SNAPSHOTS = 8
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -88,24 +89,36 @@ def append_log(frame: DataFrame, path: str, positions: tuple[int, ...] = (),
     writer.parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def log_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def _snapshots(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the head snapshots of a log, oldest first."""
+    fs, target = _file_system(spark, os.path.join(path, HEADS))
+    if not fs.exists(target):
+        return []
+    return sorted(status.getPath().toString() for status in fs.listStatus(target))
 
 
 def stream_heads(spark: SparkSession, path: str) -> DataFrame:
     """``(stream, head)``: the last sequence of each stream of a stored log.
 
-    Appends leave their last sequence in a small side table. Only row groups past that
-    point are looked at, so the cost follows what is new, not the size of the log.
+    Appends leave a small snapshot of all heads. Only row groups past the newest snapshot are
+    looked at, so the cost follows what is new, not the size of the log; a snapshot that is
+    missing or old costs a longer look but never a wrong head.
     """
     log = open_log(spark, path).select("stream", BLOCK_COLUMN, F.col("stream_seq").alias("head"))
-    heads_path = os.path.join(path, HEADS)
-    if not log_exists(spark, heads_path):
+    snapshots = _snapshots(spark, path)
+    if not snapshots:
         return log.groupBy("stream").agg(F.max("head").alias("head"))
-    known = (spark.read.schema("stream STRING, head LONG").parquet(heads_path)
-             .groupBy("stream").agg(F.max("head").alias("head")))
+    known = spark.read.schema("stream STRING, head LONG").parquet(snapshots[-1])
     few = known.limit(MAX_HEAD_SCANS + 1).collect()
     if len(few) <= MAX_HEAD_SCANS:
         newer = [log.where((F.col("stream") == row.stream) & (F.col(BLOCK_COLUMN) >= row.head // BLOCK)
@@ -121,4 +134,11 @@ def stream_heads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def record_heads(heads: DataFrame, path: str) -> None:
-    heads.select("stream", "head").coalesce(1).write.mode("append").parquet(os.path.join(path, HEADS))
+    """Write the heads of all streams as the newest snapshot; a few older ones are kept."""
+    spark = heads.sparkSession
+    snapshots = _snapshots(spark, path)
+    number = int(os.path.basename(snapshots[-1])) + 1 if snapshots else 0
+    heads.select("stream", "head").coalesce(1).write.mode("append").parquet(os.path.join(path, HEADS, f"{number:012d}"))
+    for old in snapshots[:-KEPT_SNAPSHOTS]:
+        fs, target = _file_system(spark, old)
+        fs.delete(target, True)

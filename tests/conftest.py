@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01"
 
 def session() -> SparkSession:
     spark = (SparkSession.builder.master("local[8]").appName("msglog")
-             .config("spark.sql.shuffle.partitions", "8")
+             .config("spark.sql.shuffle.partitions", "4")
              .config("spark.ui.enabled", "false")
              .config("spark.driver.memory", "8g")
              .config("spark.sql.session.timeZone", "UTC")

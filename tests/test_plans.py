@@ -82,11 +82,12 @@ def test_unused_columns_are_not_read(spark, path):
     assert schema == "struct<subject:string>"
 
 
-def test_limit_is_below_the_decoder(spark, path):
+def test_limit_is_below_the_decoder_and_narrow(spark, path):
     text = plan(read_log(spark, path, format="json", schema="a INT", limit=5))
-    assert text.index("from_json") > text.index("TakeOrderedAndProject") or "Generate" in text
-    tree = text.split("\n\n")[0]
-    assert tree.index("Generate") < tree.index("TakeOrderedAndProject")
+    assert "LessThanOrEqual(stream_seq,ScalarSubquery" in text
+    main, subquery = text.split("===== Subqueries =====")
+    assert "TakeOrderedAndProject" in subquery and "TakeOrderedAndProject" not in main
+    assert set(re.findall(r"ReadSchema: (.*)", subquery)) == {"struct<stream_seq:bigint>"}
 
 
 def test_subject_predicate_is_below_the_decoder(spark, path):

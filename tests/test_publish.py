@@ -204,6 +204,27 @@ def test_heads_see_messages_that_no_head_was_recorded_for(spark, path):
     assert max(seqs(open_log(spark, path).where("stream = 's'"))) == 4
 
 
+def test_head_snapshots_cover_all_streams_and_do_not_pile_up(spark, path, monkeypatch):
+    from msglog.sources import store
+
+    monkeypatch.setattr(store, "KEPT_SNAPSHOTS", 2)
+    both = registry(spark, ("s", "s.>"), ("t", "t.>"))
+    W.publish(ids_batch(spark, [None, None], "t.a"), path, both)
+    for _ in range(4):
+        W.publish(ids_batch(spark, [None]), path, both)
+    kept = store._snapshots(spark, path)
+    assert len(kept) == 3
+    newest = spark.read.schema("stream STRING, head LONG").parquet(kept[-1])
+    assert {r.stream: r["head"] for r in newest.collect()} == {"s": 4, "t": 2}
+
+
+def test_large_batches_count_what_they_broadcast(spark, path, monkeypatch):
+    monkeypatch.setattr(W, "BROADCAST_ROWS", 1)
+    for _ in range(2):
+        W.publish(ids_batch(spark, ["a", "b", "a", "c", None, None]), path, registry(spark), order_by=["n"])
+    assert seqs(open_log(spark, path)) == [1, 2, 3, 4, 5, 6, 7]
+
+
 def test_many_streams_look_up_heads_at_once(spark, path, monkeypatch):
     from msglog.sources import store
 
