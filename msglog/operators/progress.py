@@ -75,6 +75,16 @@ def delivered_count(deliveries: DataFrame) -> DataFrame:
     return deliveries.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("delivered"))
 
 
+def with_attempt(read: DataFrame, deliveries: DataFrame | None = None) -> DataFrame:
+    """Add ``delivered``, the number of the present delivery: one more than the past ones of the
+    same message and split."""
+    if deliveries is None:
+        return read.withColumn("delivered", F.lit(1).cast("long"))
+    past = delivered_count(deliveries).withColumnRenamed("delivered", "_past")
+    return (read.join(past, KEYS, "left")
+            .withColumn("delivered", (F.coalesce("_past", F.lit(0)) + 1).cast("long")).drop("_past"))
+
+
 def redeliver(deliveries: DataFrame, acks: DataFrame, now: Column, ack_wait: str,
               max_deliver: int | None = None) -> DataFrame:
     """Messages due again at ``now``: unacknowledged, last delivered at least ``ack_wait`` ago

@@ -170,10 +170,14 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
         captured = _capture(messages, filters)
     batch = saved(captured.withColumn("_addr", F.monotonically_increasing_id()), "publish") \
         .withColumn("_bucket", F.shiftright("_addr", _PART_SHIFT))
-    size = batch.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("stream").isNull()).alias("failed"),
-        F.count_if(F.col("stream").isNotNull() & F.col("msg_id").isNotNull()).alias("ids"),
-        F.count_distinct("_bucket").alias("parts"), F.count_distinct("stream", "_bucket").alias("runs")).first()
+    # One row per stream and part first: a part is a task of the write above.
+    runs = batch.groupBy("stream", "_bucket").agg(F.count(F.lit(1)).alias("n"), F.count("msg_id").alias("with_id"))
+    stored_here = F.col("stream").isNotNull()
+    total = lambda column, rows: F.coalesce(F.sum(F.when(rows, F.col(column))), F.lit(0))
+    size = runs.agg(
+        total("n", F.lit(True)).alias("rows"), total("n", ~stored_here).alias("failed"),
+        total("with_id", stored_here).alias("ids"), F.count(F.lit(1)).alias("runs"),
+        F.count_distinct("_bucket").alias("parts")).first()
     if strict and size.failed:
         subjects = [row.subject for row in rejected(batch).select("subject").limit(5).collect()]
         raise CaptureError(f"{size.failed} messages have a subject no stream captures, such as {subjects}")

@@ -19,6 +19,7 @@ from msglog.functions import metadata as M
 from msglog.functions import payload as P
 from msglog.functions.subjects import TokenColumns
 from msglog.operators import positions
+from msglog.operators.progress import with_attempt
 from msglog.operators.sequence import dense_seq, first_n
 from msglog.operators.splits import FilterSet, check_no_overlap, match_splits
 from msglog.sources.store import open_log, open_stream, token_columns
@@ -43,6 +44,7 @@ class ReadOptions:
     names: Mapping[str, str] = field(default_factory=dict)
     watermark: str | None = None
     headers_only: bool = False
+    deliveries: DataFrame | None = None
     partition_tokens: tuple[int, ...] = ()
     tokens: TokenColumns | None = None
     seq: positions.SeqColumn | None = None
@@ -62,14 +64,14 @@ class ReadOptions:
             raise ValueError("a message limit must be at least 1")
         M.check_metadata(self.metadata)
         if self.needs_split and self.filters is None and self.registry is None:
-            raise ValueError("consumer, consumerSeq and pending need filters or a registry")
+            raise ValueError("consumer, consumerSeq, pending and past deliveries need filters or a registry")
         if self.format != "string" and not callable(self.format) and not self.headers_only and self.schema is None:
             raise ValueError(f"format {self.format!r} needs a declared schema")
         return self
 
     @property
     def needs_split(self) -> bool:
-        return any(k in ("consumer", "consumerSeq", "pending") for k in self.metadata)
+        return self.deliveries is not None or any(k in ("consumer", "consumerSeq", "pending") for k in self.metadata)
 
     @property
     def bounded(self) -> bool:
@@ -120,6 +122,8 @@ def select_messages(spark: SparkSession, log: DataFrame, opts: ReadOptions,
     log = positions.stop_at(log, opts.stop, split, n_splits, opts.snapshot, opts.seq)
     if "consumerSeq" in opts.metadata or "pending" in opts.metadata:
         log = dense_seq(log, ["split_id"], "stream_seq", "consumer_seq", pending="pending")
+    if "delivered" in opts.metadata and "delivered" not in log.columns:
+        log = with_attempt(log, opts.deliveries)
     if opts.limit is not None:
         log = first_n(log, opts.limit, physical=opts.seq)
     if opts.watermark is not None:

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from msglog.functions.metadata import event_time
 from msglog.functions.subjects import TokenColumns, matches
 from msglog.operators.publish import publish
-from msglog.operators.splits import union_all
+from msglog.operators.splits import FilterSet, match_splits, union_all
 
 
 def drain(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -53,6 +53,30 @@ def dedupe_stream(log: DataFrame, delay: str | None = None) -> DataFrame:
     return with_watermark(log, delay).dropDuplicatesWithinWatermark(["stream", "msg_id"])
 
 
+def consume(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
+            registry: Callable[[SparkSession], DataFrame], prefix: str = "consumer",
+            tokens: TokenColumns | None = None, interval: str | None = None) -> StreamingQuery:
+    """Hand every micro-batch, with ``filter``, ``consumer`` and ``split_id``, to ``handle``.
+
+    The ``registry`` of filters is read again for each batch: a filter that was added is read
+    from then on, one that was withdrawn delivers nothing more.
+    """
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        filters = registry(batch.sparkSession).select("filter").distinct()
+        chosen = FilterSet.of(batch.sparkSession, filters)
+        handle(match_splits(batch, chosen, prefix, tokens=tokens), epoch)
+
+    return _run(stream, step, checkpoint, interval)
+
+
+def _run(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str,
+         interval: str | None) -> StreamingQuery:
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+            .trigger(**trigger).start())
+
+
 def publish_stream(stream: DataFrame, path: str, registry: Callable[[SparkSession], DataFrame],
                    checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None,
                    interval: str | None = None, **options) -> StreamingQuery:
@@ -64,6 +88,4 @@ def publish_stream(stream: DataFrame, path: str, registry: Callable[[SparkSessio
         messages = prepare(batch) if prepare else batch
         publish(messages, path, registry(batch.sparkSession), **options)
 
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(**trigger).start())
+    return _run(stream, write, checkpoint, interval)

@@ -9,6 +9,7 @@ from msglog.functions import headers as H
 from msglog.functions import metadata as M
 from msglog.functions import payload as P
 from msglog.operators.splits import values
+from msglog.schema import DELIVERIES
 from msglog.sources.log import create_log_view, read_log
 from msglog.sources.store import append_log, open_log, shared_dir
 
@@ -170,6 +171,17 @@ def test_metadata_of_an_unsplit_read(spark):
         .first().headers == {}
 
 
+def test_delivered_counts_past_attempts(spark):
+    log = people(spark)
+    assert set(column(read_log(spark, frame=log, headers_only=True, metadata=["delivered"]), "delivered")) == {1}
+    options = dict(frame=log, filters=["s.standard.*"], headers_only=True)
+    split = read_log(spark, metadata=["consumer"], **options).first().consumer
+    past = spark.createDataFrame([(f"s > {split}", 3, 1, None), (f"s > {split}", 3, 2, None), ("other", 4, 1, None)],
+                                 DELIVERIES)
+    read = read_log(spark, metadata=["streamSeq", "delivered"], deliveries=past, **options).collect()
+    assert {r.streamSeq: r.delivered for r in read} == {i: 3 if i == 3 else 1 for i in range(1, 11)}
+
+
 def test_stored_by_token(spark):
     path = shared_dir(spark, "test")
     append_log(people(spark), path, positions=(1,))

@@ -111,6 +111,20 @@ def test_registry_is_read_again_for_every_batch(spark, path):
     assert len(seen) == 2 and open_log(spark, f"{path}-target").count() in (3, 6)
 
 
+def test_consume_follows_added_and_withdrawn_filters(spark, path):
+    for i in range(3):
+        append_log(log_of(spark, [message(3 * i + j, f"s.{c}") for j, c in enumerate("abc", start=1)]).coalesce(1), path)
+    names = iter([["s.a"], ["s.a", "s.b"], ["s.b"]])
+    seen = []
+
+    def handle(batch, epoch):
+        seen.append((epoch, sorted((r["filter"], r.split_id.startswith("s > job-")) for r in batch.collect())))
+
+    flows.consume(open_stream(spark, path, max_files=1), handle, f"{path}-checkpoint",
+                  lambda s: values(s, [{"filter": n} for n in next(names)]), prefix="job").awaitTermination()
+    assert seen == [(0, [("s.a", True)]), (1, [("s.a", True), ("s.b", True)]), (2, [("s.b", True)])]
+
+
 def test_uncaptured_subject_fails_the_stream(spark, path):
     append(spark, path, 1, ["x"], "s.a")
     query = flows.publish_stream(open_stream(spark, path).drop("stream", "stream_seq"), f"{path}-target",
