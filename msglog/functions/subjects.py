@@ -132,6 +132,17 @@ def guard_any(filters: Iterable[str], subject: Column | str = "subject",
     return reduce(lambda a, b: a | b, [guard(f, subject, tokens) for f in filters])
 
 
+def collide(a: str, b: str) -> bool:
+    """Whether some subject matches both filters."""
+    x, y = tokens_of(a), tokens_of(b)
+    for p, q in zip(x, y):
+        if ">" in (p, q):
+            return True
+        if p != q and "*" not in (p, q):
+            return False
+    return len(x) == len(y)
+
+
 def candidate(shape_: str, words: Column) -> Column:
     """The only filter of this shape that could match a subject split into ``words``."""
     n = len(shape_)

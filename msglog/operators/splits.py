@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from msglog.functions import subjects as S
 
 # Lists up to this length are matched by predicates, without a join.
 INLINE_FILTERS = 16
+# Longer lists become a table of their own instead of literals in the plan.
+LITERAL_ROWS = 500
 # Filter tables up to this many rows are broadcast; larger ones shuffle.
 BROADCAST_ROWS = 100_000
 
@@ -51,7 +54,8 @@ class FilterSet:
         if not filters:
             raise ValueError("at least one subject filter is needed")
         shapes = tuple(sorted({S.shape_of(f) for f in filters}))
-        frame = values(spark, [{"filter": f} for f in filters])
+        frame = (values(spark, [{"filter": f} for f in filters]) if len(filters) <= LITERAL_ROWS
+                 else spark.createDataFrame([(f,) for f in filters], "filter STRING"))
         return cls(frame, shapes, len(filters), filters if len(filters) <= INLINE_FILTERS else ())
 
     @classmethod
@@ -193,9 +197,13 @@ def _compatible(x: str, y: str) -> bool:
 
 def check_no_overlap(spark: SparkSession, filters: Sequence[str] | DataFrame) -> None:
     """Raise ValueError when two filters of one read overlap."""
-    clash = overlapping(FilterSet.of(spark, filters)).limit(5).collect()
+    chosen = FilterSet.of(spark, filters)
+    if chosen.inline:
+        clash = [pair for pair in combinations(chosen.inline, 2) if S.collide(*pair)]
+    else:
+        clash = [(row.a, row.b) for row in overlapping(chosen).limit(5).collect()]
     if clash:
-        shown = ", ".join(f"{row.a} / {row.b}" for row in clash)
+        shown = ", ".join(f"{a} / {b}" for a, b in clash[:5])
         raise ValueError(f"overlapping subject filters in one read: {shown}")
 
 

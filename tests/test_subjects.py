@@ -157,6 +157,15 @@ def test_overlap_of_many_is_set_intersection(spark):
     want = sorted((a, b) for a in filters for b in filters if a < b and sets[a] & sets[b])
     got = sorted((r.a, r.b) for r in overlapping(FilterSet.of(spark, filters)).collect())
     assert got == want
+    assert want == sorted((a, b) for a in filters for b in filters if a < b and S.collide(a, b))
+    with pytest.raises(ValueError, match="overlapping"):
+        check_no_overlap(spark, filters)
+
+
+def test_long_lists_become_a_table(spark, log):
+    filters = [f"x.{i}" for i in range(600)] + ["a.*"]
+    check_no_overlap(spark, filters)
+    assert pairs(match_filters(log, FilterSet.of(spark, filters))) == expected_pairs(["a.*"])
 
 
 def test_empty_token_is_an_error_not_an_overlap(spark):
