@@ -103,17 +103,20 @@ def resume(matched: DataFrame, progress: DataFrame, splits: DataFrame | None = N
     """Messages of each active split after its last sequence. A split without progress starts
     from the beginning; a paused one keeps its place and delivers nothing.
 
-    With ``splits``, the split ids of the read, the part of the log that every active split
-    has behind it is not scanned again.
+    With ``splits``, the split ids of the read, of which there are ``n_splits``, the part of the
+    log that every active split has behind it is not scanned again.
     """
     state = progress.select("split_id", "last_seq", "status")
     active = F.coalesce("status", F.lit("active")) == "active"
     last = F.coalesce("last_seq", F.lit(0))
     if splits is not None:
         column, offset = seq or ("stream_seq", 0)
-        behind = splits.select("split_id").join(state, "split_id", "left").where(active).agg(F.min(last).alias("b"))
-        matched = matched.where(F.col(column) > behind.select(F.col("b") - offset).scalar())
-    return (matched.join(hinted(state, n_splits), "split_id", "left")
+        # At most one row per split of the read, whatever else the progress table holds.
+        state = splits.select("split_id").join(state, "split_id", "left")
+        behind = state.where(active).agg((F.min(last) - offset).alias("behind"))
+        matched = matched.where(F.col(column) > behind.scalar())
+        state = hinted(state, n_splits)
+    return (matched.join(state, "split_id", "left")
             .where(active & (F.col("stream_seq") > last))
             .drop("last_seq", "status"))
 

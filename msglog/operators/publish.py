@@ -216,8 +216,7 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
         heads = heads.join(before, "stream", "full_outer").fillna(0, ["_new", "_old"])
     else:
         heads = heads.withColumn("_old", F.lit(0).cast("long"))
-    n_streams = registry.select("stream").distinct().count() if exists else 0
-    numbered = (numbered.join(hinted(before, n_streams), "stream", "left") if exists
+    numbered = (numbered.join(hinted(before, before.count()), "stream", "left") if exists
                 else numbered.withColumn("_old", F.lit(0)))
     stored = numbered.withColumn("stream_seq", F.coalesce("_old", F.lit(0)) + F.col("_n"))
     if counts[OK]:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import codecs
+import zlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,3 +75,22 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.max(F.when(before, F.col("stream_seq"))).alias("last_seq"))
             .select("split_id", "last_seq",
                     F.when(F.col("filter") == "events.view.>", "paused").otherwise("active").alias("status")))
+
+
+def compressing():
+    """A custom encoder and its decoder, exchanged in Arrow batches; what comes before the loop
+    runs once per task. Local functions travel to executors by value."""
+
+    @F.pandas_udf(T.BinaryType())
+    def deflate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = codecs.getencoder("utf-8")
+        for batch in batches:
+            yield batch.map(lambda text: zlib.compress(encode(text)[0]))
+
+    @F.pandas_udf(T.StringType())
+    def inflate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        decode = codecs.getdecoder("utf-8")
+        for batch in batches:
+            yield batch.map(lambda data: decode(zlib.decompress(data))[0])
+
+    return deflate, inflate

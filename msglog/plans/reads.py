@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import uuid
-import zlib
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from msglog.functions import headers as H
 from msglog.functions import metadata as M
@@ -20,8 +17,8 @@ from msglog.operators.sequence import first_n, running_max
 from msglog.operators.splits import FilterSet, match_filters, match_splits, multi_match, overlapping, share, values
 from msglog.operators.stats import last_message, last_per_subject, stream_info
 from msglog.plans.catalog import query
-from msglog.plans.inputs import (N_SPLITS, PAYLOAD, TYPE_FILTERS, deliveries, k_of, log, share_of_log,
-                                 split_log)
+from msglog.plans.inputs import (N_SPLITS, PAYLOAD, TYPE_FILTERS, compressing, deliveries, k_of, log,
+                                 share_of_log, split_log)
 from msglog.sources.adapters import (EVENT_SEQ, EVENT_TOKENS, ORDER_TOKENS, documents_log, events_stream, orders_log,
                                      table)
 from msglog.sources.log import create_log_view, read_log
@@ -375,21 +372,12 @@ def decode_bad_split(spark: SparkSession, sf: str) -> DataFrame:
     return counted.unionByName(failed).select("stream", "bad", "n", "sum_k")
 
 
-@F.pandas_udf(T.StringType())
-def _inflate(data: pd.Series) -> pd.Series:
-    return data.map(lambda b: zlib.decompress(b).decode("utf-8"))
-
-
-@F.pandas_udf(T.BinaryType())
-def _deflate(text: pd.Series) -> pd.Series:
-    return text.map(lambda s: zlib.compress(s.encode("utf-8")))
-
-
 @query("decode_udf", "SELECT stream_seq, subject, text AS value FROM D", ("D",))
 def decode_udf(spark: SparkSession, sf: str) -> DataFrame:
     """A custom decoder for compressed payloads, exchanged in Arrow batches."""
-    packed = documents_log(spark, sf).withColumn("data", _deflate(P.text(F.col("data"))))
-    return packed.select("stream_seq", "subject", P.parsed(F.col("data"), _inflate).alias("value"))
+    deflate, inflate = compressing()
+    packed = documents_log(spark, sf).withColumn("data", deflate(P.text(F.col("data"))))
+    return packed.select("stream_seq", "subject", P.parsed(F.col("data"), inflate).alias("value"))
 
 
 # --- metadata --------------------------------------------------------------------

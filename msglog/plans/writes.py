@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import zlib
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from msglog.functions import headers as H
 from msglog.functions import payload as P
@@ -17,8 +13,8 @@ from msglog.operators import stats
 from msglog.operators.discovery import discover_filters, unread
 from msglog.operators.splits import values, with_split
 from msglog.plans.catalog import query
-from msglog.plans.inputs import (N_SPLITS, TYPE_FILTERS, acks, deliveries, instant, k_of, log, progress, split_log,
-                                 splits)
+from msglog.plans.inputs import (N_SPLITS, TYPE_FILTERS, acks, compressing, deliveries, instant, k_of, log, progress,
+                                 split_log, splits)
 from msglog.sources.adapters import EVENT_SEQ, EVENT_TOKENS, documents_log, events_stream, orders_log, table
 from msglog.sources.store import open_log, shared_dir
 from msglog.streaming import flows
@@ -47,22 +43,13 @@ def encode_json(spark: SparkSession, sf: str) -> DataFrame:
         document.contains('"note":null').alias("keeps_null"))
 
 
-@F.pandas_udf(T.BinaryType())
-def _deflate(text: pd.Series) -> pd.Series:
-    return text.map(lambda s: zlib.compress(s.encode("utf-8")))
-
-
-@F.pandas_udf(T.StringType())
-def _inflate(data: pd.Series) -> pd.Series:
-    return data.map(lambda b: zlib.decompress(b).decode("utf-8"))
-
-
 @query("encode_udf", "SELECT subject, text AS value FROM D", ("D",))
 def encode_udf(spark: SparkSession, sf: str) -> DataFrame:
     """A custom encoder, checked by decoding what it wrote."""
     rows = documents_log(spark, sf).select("subject", P.text(F.col("data")).alias("text"))
-    sent = W.outgoing(rows, format=_deflate, columns=F.col("text"))
-    return sent.select("subject", _inflate("data").alias("value"))
+    deflate, inflate = compressing()
+    sent = W.outgoing(rows, format=deflate, columns=F.col("text"))
+    return sent.select("subject", inflate("data").alias("value"))
 
 
 @query("route_static", "SELECT 'orders.all' AS subject, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS sum_key FROM O", ("O",))
