@@ -19,7 +19,8 @@ from msglog.functions.subjects import is_valid_subject
 from msglog.operators.sequence import bucket_offsets, dense_seq, number_buckets
 from msglog.operators.splits import BROADCAST_ROWS, FilterSet, first_capture, hinted, union_all
 from msglog.schema import HEADERS, WRITABLE
-from msglog.sources.store import append_log, log_exists, open_log, record_heads, saved, stream_heads
+from msglog.sources.store import (append_log, discard, log_exists, open_log, record_heads, saved, shared_dir,
+                                  stream_heads)
 
 OK, DUPLICATE, FAILED = "ok", "duplicate", "failed"
 # monotonically_increasing_id() keeps the partition above this bit, the row below it.
@@ -139,11 +140,16 @@ def assign_seq(messages: DataFrame, order: str, start_after: int = 0) -> DataFra
 
 @dataclass(frozen=True)
 class PublishResult:
-    """Outcome of one publish: a row per message with ``status`` and, where stored,
-    ``stream_seq``; and the number of messages per status."""
+    """Outcome of one publish: the number of messages per status, and a row per message with
+    ``status`` and, where stored, ``stream_seq``. The rows come from the staged files; call
+    ``discard`` once they are no longer needed."""
 
     messages: DataFrame
     counts: dict[str, int]
+    stage: str
+
+    def discard(self) -> None:
+        discard(self.messages.sparkSession, self.stage)
 
 
 def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool = True,
@@ -168,7 +174,8 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
         captured = _capture(messages, filters).repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     else:
         captured = _capture(messages, filters)
-    batch = saved(captured.withColumn("_addr", F.monotonically_increasing_id()), "publish") \
+    stage = shared_dir(spark, "publish")
+    batch = saved(captured.withColumn("_addr", F.monotonically_increasing_id()), "batch", stage) \
         .withColumn("_bucket", F.shiftright("_addr", _PART_SHIFT))
     # One row per stream and part first: a part is a task of the write above.
     runs = batch.groupBy("stream", "_bucket").agg(F.count(F.lit(1)).alias("n"), F.count("msg_id").alias("with_id"))
@@ -180,6 +187,7 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
         F.count_distinct("_bucket").alias("parts")).first()
     if strict and size.failed:
         subjects = [row.subject for row in rejected(batch).select("subject").limit(5).collect()]
+        discard(spark, stage)
         raise CaptureError(f"{size.failed} messages have a subject no stream captures, such as {subjects}")
 
     known = None
@@ -190,12 +198,12 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
             known = known.where(F.col("timestamp") >= dedupe_since)
     left_out = [rejected(batch).select("_addr", F.lit(FAILED).alias("status"))] if size.failed else []
     if dedupe and size.ids:
-        left_out += _duplicates(batch, known, size.ids)
+        left_out += _duplicates(batch, known, size.ids, stage)
     counts = {OK: size.rows, DUPLICATE: 0, FAILED: 0}
     unstored = None
     if left_out:
         # Written out: the log changes below, and these rows must not follow it.
-        unstored = saved(union_all(left_out).distinct(), "publish")
+        unstored = saved(union_all(left_out).distinct(), "unstored", stage)
         counts.update({row.status: row["count"] for row in unstored.groupBy("status").count().collect()})
         counts[OK] -= counts[DUPLICATE] + counts[FAILED]
     n_unstored = size.rows - counts[OK]
@@ -212,7 +220,7 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
     heads = kept.groupBy("stream").agg(F.count(F.lit(1)).alias("_new"))
     if exists:
         # For the same reason: the heads move with the append.
-        before = saved(stream_heads(spark, path), "publish").withColumnRenamed("head", "_old")
+        before = saved(stream_heads(spark, path), "heads", stage).withColumnRenamed("head", "_old")
         heads = heads.join(before, "stream", "full_outer").fillna(0, ["_new", "_old"])
     else:
         heads = heads.withColumn("_old", F.lit(0).cast("long"))
@@ -228,26 +236,26 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
         results = results.join(hinted(unstored, n_unstored), "_addr", "left")
     else:
         results = results.withColumn("status", F.lit(OK))
-    return PublishResult(results.withColumn("status", F.coalesce("status", F.lit(OK))).drop("_addr", "_bucket"), counts)
+    return PublishResult(results.withColumn("status", F.coalesce("status", F.lit(OK))).drop("_addr", "_bucket"), counts, stage)
 
 
-def _duplicates(batch: DataFrame, known: DataFrame | None, n_ids: int) -> list[DataFrame]:
+def _duplicates(batch: DataFrame, known: DataFrame | None, n_ids: int, stage: str) -> list[DataFrame]:
     """Addresses of messages whose id comes earlier in the batch or is in the log."""
     key = ["stream", "msg_id"]
     ids = batch.where(F.col("stream").isNotNull() & F.col("msg_id").isNotNull()).select(*key, "_addr")
 
-    def sized(rows: DataFrame) -> tuple[DataFrame, int]:
+    def sized(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
         """A small batch bounds what is found in it; otherwise that is written out and counted."""
         if n_ids <= BROADCAST_ROWS:
             return rows, n_ids
-        kept = saved(rows, "publish")
+        kept = saved(rows, name, stage)
         return kept, kept.count()
 
     repeated = sized(ids.groupBy(*key).agg(F.min("_addr").alias("_first"), F.count(F.lit(1)).alias("_copies"))
-                     .where(F.col("_copies") > 1).drop("_copies"))
+                     .where(F.col("_copies") > 1).drop("_copies"), "repeated")
     found = [ids.join(hinted(*repeated), key).where(F.col("_addr") > F.col("_first"))]
     if known is not None:
-        seen = sized(_known_ids(ids.select(*key), known.select(*key), n_ids))
+        seen = sized(_known_ids(ids.select(*key), known.select(*key), n_ids), "seen")
         found.append(ids.join(hinted(*seen), key, "left_semi"))
     return [rows.select("_addr", F.lit(DUPLICATE).alias("status")) for rows in found]
 

@@ -175,7 +175,7 @@ def _order_messages(spark: SparkSession, sf: str) -> DataFrame:
   o_totalprice FROM O""", ("O",))
 def sink_batch(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "log")
-    W.publish(_order_messages(spark, sf), path, _registry(spark, ("orders", "orders.>")), order_by=["o"])
+    W.publish(_order_messages(spark, sf), path, _registry(spark, ("orders", "orders.>")), order_by=["o"]).discard()
     document = P.text(F.col("data"))
     return open_log(spark, path).where(F.col("stream") == "orders").select(
         "subject", "stream_seq", F.get_json_object(document, "$.o_orderkey").cast("long").alias("o_orderkey"),
@@ -204,7 +204,7 @@ def sink_stream(spark: SparkSession, sf: str) -> DataFrame:
 def sink_parallelism(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "log")
     W.publish(_order_messages(spark, sf), path, _registry(spark, ("orders", "orders.>")), order_by=["o"],
-              writers=4, partition_tokens=(1,), max_records_per_file=5_000_000)
+              writers=4, partition_tokens=(1,), max_records_per_file=5_000_000).discard()
     return open_log(spark, path, (1,)).groupBy("subject").agg(
         F.count(F.lit(1)).alias("n"), F.min("stream_seq").alias("first_seq"))
 
@@ -222,7 +222,7 @@ def republish(spark: SparkSession, sf: str) -> DataFrame:
     stored = open_log(spark, path).where(F.col("stream_seq") <= first.counts[W.OK])
     again = W.outgoing(stored.withColumn("subject", F.regexp_replace("subject", r"^orders\.(\w+)\..*$", "orders.again.$1")),
                        format=lambda data: data, columns=F.col("data"), keep=["stream_seq"])
-    W.publish(again.withColumnRenamed("stream_seq", "o"), path, streams, order_by=["o"], dedupe=False)
+    W.publish(again.withColumnRenamed("stream_seq", "o"), path, streams, order_by=["o"], dedupe=False).discard()
     return open_log(spark, path).groupBy("subject").agg(
         F.count(F.lit(1)).alias("n"), F.min("stream_seq").alias("first_seq"), F.max("stream_seq").alias("last_seq"))
 

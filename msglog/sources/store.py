@@ -32,15 +32,21 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
 
 
-def saved(frame: DataFrame, purpose: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: what follows starts from files,
-    and using it twice does not compute it twice."""
+def saved(frame: DataFrame, purpose: str, under: str | None = None) -> DataFrame:
+    """Write a frame to the shared folder, or to a folder in it, and read it back: what follows
+    starts from files, and using it twice does not compute it twice."""
     spark = frame.sparkSession
-    path = shared_dir(spark, purpose)
+    path = os.path.join(under, purpose) if under else shared_dir(spark, purpose)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate files."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
 def token_columns(positions: tuple[int, ...]) -> TokenColumns:
     """Partition columns of a log stored by subject token."""
     return {i: (f"token_{i}", "string") for i in positions}
@@ -140,5 +146,4 @@ def record_heads(heads: DataFrame, path: str) -> None:
     number = int(os.path.basename(snapshots[-1])) + 1 if snapshots else 0
     heads.select("stream", "head").coalesce(1).write.mode("append").parquet(os.path.join(path, HEADS, f"{number:012d}"))
     for old in snapshots[:-KEPT_SNAPSHOTS]:
-        fs, target = _file_system(spark, old)
-        fs.delete(target, True)
+        discard(spark, old)

@@ -86,6 +86,6 @@ def publish_stream(stream: DataFrame, path: str, registry: Callable[[SparkSessio
 
     def write(batch: DataFrame, _: int) -> None:
         messages = prepare(batch) if prepare else batch
-        publish(messages, path, registry(batch.sparkSession), **options)
+        publish(messages, path, registry(batch.sparkSession), **options).discard()
 
     return _run(stream, write, checkpoint, interval)

@@ -194,6 +194,16 @@ def test_results_keep_their_sequences_after_later_appends(spark, path):
     assert again == {"a": 1, "b": 2}
 
 
+def test_staged_files_can_be_discarded(spark, path):
+    from msglog.sources.store import log_exists
+
+    result = W.publish(ids_batch(spark, ["a", "b", "a"]), path, registry(spark))
+    assert log_exists(spark, result.stage)
+    result.discard()
+    assert not log_exists(spark, result.stage)
+    assert seqs(open_log(spark, path)) == [1, 2]
+
+
 def test_heads_see_messages_that_no_head_was_recorded_for(spark, path):
     from msglog.sources.store import append_log
 
