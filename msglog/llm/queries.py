@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from msglog.llm import packing
+from msglog.llm import packing, simhash
 from msglog.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +31,10 @@ def _query(name: str, sql: str | None = None):
 @_query("op9_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@_query("op7_simhash_classes")
+def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_classes(table(spark, sf_dir, "documents"), "doc_id", k=3, radius=3)
+    return found.select(F.col("key").alias("doc_id"), F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"),
+                        F.col("class").alias("component_id"))
