@@ -72,3 +72,16 @@ def log10(x: float) -> float:
 def arrow_map(frame: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
     return frame.mapInArrow(step, schema)
+
+
+def slices(texts: list[str], limit: int = 4_000_000) -> Iterator[list[int]]:
+    """Row numbers of consecutive texts that hold about ``limit`` characters together."""
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        held.append(i)
+        size += len(text)
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msglog.llm import packing, simhash
-from msglog.llm.common import prepare, table
+from msglog.llm import packing, simhash, toxicity
+from msglog.llm.common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +38,12 @@ def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_classes(table(spark, sf_dir, "documents"), "doc_id", k=3, radius=3)
     return found.select(F.col("key").alias("doc_id"), F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"),
                         F.col("class").alias("component_id"))
+
+
+@_query("op2_ftrl_toxicity")
+def ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0)
+    return toxicity.score(docs, model).select(
+        F.col("key").alias("doc_id"), (fold(F.col("key")) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
