@@ -37,11 +37,11 @@ _KEEP = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 class Rates:
     """FTRL-proximal parameters and the passes over the sample."""
 
-    alpha: float = 0.1
+    alpha: float = 0.5
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 1.0
-    epochs: int = 3
+    l1: float = 5.0
+    l2: float = 0.1
+    epochs: int = 8
 
 
 def features(texts: list[str], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
