@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msglog.llm import packing, simhash, toxicity
+from msglog.llm import chunks, packing, simhash, toxicity
 from msglog.llm.common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,10 @@ def ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         F.col("key").alias("doc_id"), (fold(F.col("key")) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query("op10_gear_chunk_repeats")
+def gear_chunk_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunks.repeated_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "kept", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"),
+                        "start_byte", "end_byte", "copies", "first_doc_id")
