@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msglog.llm import chunks, packing, simhash, toxicity
+from msglog.llm import chunks, merkle, packing, simhash, toxicity
 from msglog.llm.common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,8 @@ def gear_chunk_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chunks.repeated_spans(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "kept", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"),
                         "start_byte", "end_byte", "copies", "first_doc_id")
+
+
+@_query("op3_merkle_fingerprints", merkle.ORACLE)
+def merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edited_copies(table(spark, sf_dir, "documents"))
