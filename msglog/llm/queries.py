@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msglog.llm import chunks, merkle, packing, simhash, toxicity
+from msglog.llm import chunks, merkle, packing, simhash, toxicity, urls
 from msglog.llm.common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,23 @@ def gear_chunk_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_merkle_fingerprints", merkle.ORACLE)
 def merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited_copies(table(spark, sf_dir, "documents"))
+
+
+# (host, path, verdict) of the registered query: fixed values.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@_query("op4_url_digest_filter", """
+WITH r(host, path, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+  ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+f AS (SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
+  row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) AS k
+  FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f WHERE k = 1""")
+def url_digest_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("key", "page_id")
