@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msglog.llm import chunks, merkle, packing, simhash, toxicity, urls
+from msglog.llm import chunks, decontaminate, merkle, packing, simhash, toxicity, urls
 from msglog.llm.common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,9 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f W
 def url_digest_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("key", "page_id")
+
+
+@_query("op6_seeded_alignment")
+def seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("key", "doc_id")
