@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msglog.llm import chunks, decontaminate, merkle, packing, simhash, toxicity, urls
+from msglog.llm import chunks, decontaminate, hmm, merkle, packing, simhash, toxicity, urls
 from msglog.llm.common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def url_digest_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("key", "doc_id")
+
+
+@_query("op1_hmm_scores")
+def hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.scores(table(spark, sf_dir, "documents"), fold(F.col("doc_id")) == 1)
