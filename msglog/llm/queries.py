@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msglog.llm import chunks, decontaminate, hmm, merkle, packing, simhash, toxicity, urls
+from msglog.llm import chunks, decontaminate, hmm, merkle, packing, simhash, toxicity, urls, warc
 from msglog.llm.common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,13 @@ def seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op1_hmm_scores")
 def hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.scores(table(spark, sf_dir, "documents"), fold(F.col("doc_id")) == 1)
+
+
+@_query("op5_warc_capture_index", """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS original FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN original END AS refers_to FROM g""")
+def warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
