@@ -53,13 +53,15 @@ class ByteTokenizer:
     begins a word. Texts with runs of white space or a special token are encoded as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = True):
+        """``special``: whether special tokens written in a text get their own ids, or are text."""
         from tokenizers import Tokenizer
 
         self._whole = Tokenizer.from_file(path)
+        self._whole.encode_special_tokens = not special
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self._special = [t["content"] for t in spec.get("added_tokens", [])]
+        self._special = [t["content"] for t in spec.get("added_tokens", [])] if special else []
         self._runs = re.compile(r"\s\s")
         vocabulary = spec["model"]["vocab"]
         self._begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msglog.llm import chunks, decontaminate, hmm, merkle, packing, simhash, toxicity, urls, warc
+from msglog.llm import chunks, decontaminate, hmm, merkle, packing, simhash, tokenfiles, toxicity, urls, warc
 from msglog.llm.common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,9 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN original END AS refers_to FROM g""")
 def warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
+@_query("op8_separator_scan")
+def separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.documents_counted(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_tokens", "file", "document", "start")
