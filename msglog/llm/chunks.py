@@ -183,11 +183,18 @@ def without_spans(text: str, cut: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[at:]]).decode("utf-8", "surrogatepass")
 
 
-def without_repeats(rows: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
-    """``rows(row, doc_id, text, ...)`` whose texts keep only the first place of each repeated chunk."""
-    cuts = (spans(repeated_chunks(rows, min_words, window)).where("not kept").groupBy("row")
-            .agg(F.sort_array(F.collect_list(F.struct("start_byte", "end_byte"))).alias("cuts")))
-    names = rows.columns
+def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
+    """``docs(doc_id, text, ...)`` whose texts keep only the first place of each repeated chunk; the
+    other columns are unchanged. Rows are named by the hash of both columns: like rows, like cuts."""
+    key = "row"
+    while key in docs.columns:
+        key += "_"
+    rows = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    named = rows.select(F.col(key).alias("row"), "doc_id", "text")
+    cuts = (spans(repeated_chunks(named, min_words, window)).where("not kept").groupBy("row")
+            .agg(F.sort_array(F.collect_list(F.struct("start_byte", "end_byte"))).alias("cuts"))
+            .withColumnRenamed("row", key))
+    names = docs.columns
     at = names.index("text")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,5 +205,5 @@ def without_repeats(rows: DataFrame, min_words: int = MIN_WORDS, window: int = W
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = rows.join(cuts, "row", "left").select(*names, "cuts")
-    return joined.mapInArrow(step, rows.schema)
+    joined = rows.join(cuts, key, "left").select(*names, cuts["cuts"])
+    return joined.mapInArrow(step, docs.schema)

@@ -268,31 +268,37 @@ def _document_counts(docs: DataFrame, items: Items) -> dict[int, int]:
     return {r[0]: r[1] for r in counted.groupBy("gram").agg(F.sum("n")).collect()}  # n-grams of one block of items
 
 
-HITS = "key long, item_id long, score double, first_word int, last_word int"
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
-    """Rows (key, item_id, score, first_word, last_word) of every passage of ``docs(key, text)`` that
-    copies an item of ``benchmark(item_id, text)``; words are counted from 0, the last is exclusive."""
-    spark = docs.sparkSession
+def _seeded(docs: DataFrame, benchmark: DataFrame, settings: Settings) -> Iterator:
+    """The seeds of each block of items, broadcast; a block holds ``block_items`` items or so."""
     total = docs.count()
     rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     blocks = max(1, -(-benchmark.count() // settings.block_items))
     numbered = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-    out = None
     for block in range(blocks):
         items = Items([(r[0], r[1]) for r in numbered.where(F.col("block") == block).collect()], settings.n)
         seeds = items.seeds(_document_counts(docs, items), settings.rare * total, settings.stretch)
-        sent = spark.sparkContext.broadcast(seeds)
+        yield docs.sparkSession.sparkContext.broadcast(seeds)
+
+
+def _batch_hits(texts: list[str | None], items: Items, settings: Settings) -> list[tuple]:
+    texts = [t or "" for t in texts]
+    return [(part[r], *hit) for part in slices(texts) for r, *hit in _hits([texts[i] for i in part], items, settings)]
+
+
+HITS = "key long, item_id long, score double, first_word int, last_word int"
 
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
+    """Rows (key, item_id, score, first_word, last_word) of every passage of ``docs(key, text)`` that
+    copies an item of ``benchmark(item_id, text)``; words are counted from 0, the last is exclusive."""
+    out = None
+    for sent in _seeded(docs, benchmark, settings):
         def step(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             items = sent.value
             for batch in batches:
-                ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-                hits: list[tuple] = []
-                for part in slices(texts):
-                    hits += [(ids[part[r]], None if items.null[i] else int(items.ids[i]), s, a, b)
-                             for r, i, s, a, b in _hits([texts[i] for i in part], items, settings)]
+                ids = batch.column(0).to_pylist()
+                hits = [(ids[r], None if items.null[i] else int(items.ids[i]), s, a, b)
+                        for r, i, s, a, b in _batch_hits(batch.column(1).to_pylist(), items, settings)]
                 cols = list(zip(*hits, strict=True)) if hits else [[]] * 5
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
@@ -301,3 +307,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", set
         part = docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string")).mapInArrow(step, HITS)
         out = part if out is None else out.union(part)
     return out
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs(text, ...)`` without a copy of an item, unchanged; texts are not shuffled."""
+    at, out = docs.columns.index("text"), docs
+    for sent in _seeded(docs, benchmark, settings):
+        def step(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            items = sent.value
+            for batch in batches:
+                clean = np.ones(batch.num_rows, dtype=bool)
+                clean[[hit[0] for hit in _batch_hits(batch.column(at).to_pylist(), items, settings)]] = False
+                yield batch.filter(pa.array(clean))
+
+        out = out.mapInArrow(step, docs.schema)
+    return out

@@ -141,24 +141,42 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int = 20_0
     return Model(bits, float(got["weight"].iloc[0]), got["feature"].to_numpy()[1:], got["weight"].to_numpy()[1:])
 
 
+def _scores(texts: list[str | None], model: Model, weight: np.ndarray) -> np.ndarray:
+    bits, out = model.bits, [np.zeros(0)]
+    texts = [t or "" for t in texts]
+    for part in slices(texts):
+        row, feature = features([texts[i] for i in part], bits)
+        counts = weight[feature] != 0
+        pairs = np.unique((row[counts] << bits) + feature[counts])
+        total = np.bincount(pairs >> bits, weights=weight[pairs & ((1 << bits) - 1)], minlength=len(part))
+        out.append(_sigmoid(model.bias + total))
+    return np.concatenate(out)
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs(text, ...)`` whose score is below ``threshold``, unchanged."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        weight = model.dense()
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch.column(at).to_pylist(), model, weight) < threshold))
+
+    return docs.mapInArrow(step, docs.schema)
+
+
 def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """Rows (key, score) of all documents."""
-    bits = model.bits
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         weight = model.dense()
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            scores = [np.zeros(0)]
-            for part in slices(texts):
-                row, feature = features([texts[i] for i in part], bits)
-                counts = weight[feature] != 0
-                pairs = np.unique((row[counts] << bits) + feature[counts])
-                total = np.bincount(pairs >> bits, weights=weight[pairs & ((1 << bits) - 1)], minlength=len(part))
-                scores.append(_sigmoid(model.bias + total))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores))], names=["key", "score"])
+            got = _scores(batch.column(1).to_pylist(), model, weight)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got)], names=["key", "score"])
 
     return (docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string"))
             .mapInArrow(step, "key long, score double"))
