@@ -31,6 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from msglog.llm.common import free_name
+
 MIN_WORDS = 24
 WINDOW = 12
 GEAR = 8
@@ -186,13 +188,11 @@ def without_spans(text: str, cut: list[tuple[int, int]]) -> str:
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
     """``docs(doc_id, text, ...)`` whose texts keep only the first place of each repeated chunk; the
     other columns are unchanged. Rows are named by the hash of both columns: like rows, like cuts."""
-    key = "row"
-    while key in docs.columns:
-        key += "_"
+    key, cut = free_name(docs, "row"), free_name(docs, "cuts")
     rows = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     named = rows.select(F.col(key).alias("row"), "doc_id", "text")
     cuts = (spans(repeated_chunks(named, min_words, window)).where("not kept").groupBy("row")
-            .agg(F.sort_array(F.collect_list(F.struct("start_byte", "end_byte"))).alias("cuts"))
+            .agg(F.sort_array(F.collect_list(F.struct("start_byte", "end_byte"))).alias(cut))
             .withColumnRenamed("row", key))
     names = docs.columns
     at = names.index("text")
@@ -205,5 +205,5 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int = W
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = rows.join(cuts, key, "left").select(*names, cuts["cuts"])
+    joined = rows.join(cuts, key, "left").select(*names, cut)
     return joined.mapInArrow(step, docs.schema)

@@ -85,3 +85,11 @@ def slices(texts: list[str], limit: int = 4_000_000) -> Iterator[list[int]]:
             held, size = [], 0
     if held:
         yield held
+
+
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of the frame has it, in whatever case."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

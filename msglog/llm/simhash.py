@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msglog.llm.common import partitions, ranges, saved, words
+from msglog.llm.common import free_name, partitions, ranges, saved, words
 from msglog.llm.components import components
 
 PIECE = 32_768
@@ -262,9 +262,7 @@ def one_of_each(docs: DataFrame, **settings: int) -> DataFrame:
     """The rows of ``docs(doc_id, text, ...)`` that are the smallest of their class by doc_id; of rows
     alike in both, one. Columns are unchanged. Rows are named by the hash of both columns, so texts
     take part in one join only."""
-    key = "row_key"
-    while key in docs.columns:
-        key += "_"
+    key = free_name(docs, "row_key")
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     classes = near_classes(keyed, key, **(CLEAN | settings))
     ids = keyed.select(F.col(key).alias("key"), "doc_id").distinct()

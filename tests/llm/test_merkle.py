@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import hashlib
+import sys
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
+from msglog.llm import merkle, queries
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_query_agrees_with_its_sql(spark):
+    from check_oracles import compare, connect
+
+    name = "op3_merkle_fingerprints"
+    frame = queries.QUERIES[name](spark, SMALL)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+    assert compare(frame, connect(SMALL), queries.ORACLES[name]) is None
+
+
+def test_next_rows_over_many_ranges_and_a_hot_id(spark):
+    rows = [(i % 40 if i % 3 else 7, f"t{i}") for i in range(300)] + [(None, "n1"), (None, "n2")]
+    got = merkle.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    ids = {t: i for i, t in rows}
+    follow = {r.text: r.next_text for r in got}
+    assert len(got) == len(rows) and sorted(follow.values()) == sorted(t for _, t in rows)
+    at, seen = got[0].text, []
+    for _ in rows:  # one cycle in falling order of ids
+        seen.append(ids[at])
+        at = follow[at]
+    turn = seen.index(39, seen.index(None) if None in seen else 0)
+    order = seen[turn:] + seen[:turn]
+    key = [-1 if i is None else i for i in order]
+    first = max(range(len(key)), key=lambda i: (key[i] >= key[i - 1] and key[i] == 39 and key[i - 1] != 39))
+    key = key[first:] + key[:first]
+    assert key == sorted(key, reverse=True)
+
+
+def test_differing_branches_locate_edits(spark):
+    a, b = "s0 p0\np1\n\ns1 p0\np1\np2\n\ns2", "s0 p0\np1\n\ns1 p0\nEDIT\np2\nmore\n\ns2"
+    row = spark.range(1).select(merkle.differing(merkle.tree(F.lit(a)), merkle.tree(F.lit(b))).alias("d"),
+                                merkle.root(merkle.tree(F.lit(a))).alias("x"), merkle.root(merkle.tree(F.lit(b))).alias("y")).first()
+    assert [tuple(p) for p in row.d] == [(1, 1), (1, 3)] and row.x != row.y
+
+
+def test_splitting_keeps_texts_apart(spark):
+    texts = ["", "\n", "\n\n", "\n\n\n", "a\n\n\nb", "a\n\nb", "a\nb", "a b", "a  b", "ab"]
+    roots = spark.createDataFrame([(t,) for t in texts], "t string").select(merkle.root(merkle.tree(F.col("t")))).collect()
+    assert len({r[0] for r in roots}) == len(texts)
+
+
+def test_odd_rows(odd, none, spark):
+    rows = merkle.edited_copies(odd).collect()
+    assert len(rows) == odd.count() and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
+    assert {r.fingerprint for r in rows if r.doc_id in (1, 2)} == {merkle_root_of_empty()}
+    assert merkle.edited_copies(none).count() == 0
+    only = merkle.edited_copies(spark.createDataFrame([(1, "abc def")], "doc_id long, text string")).first()
+    assert only.near_next == 1.0 and only.edited_sha256 == hashlib.sha256(b"abc dab").hexdigest()
+
+
+def merkle_root_of_empty() -> str:
+    def sha(text: str) -> str:
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    return sha("r" + sha("s" + sha("p")))
