@@ -65,10 +65,15 @@ def _literal_prefix(tokens: list[str]) -> str:
 
 
 def _pattern(words: list[str]) -> str:
-    parts = {"*": "[^.]+", ">": ".+"}
+    parts = {"*": "[^.]+", ">": r"[^.]+(?:\.[^.]+)*"}
     return r"\.".join(parts.get(w, re.escape(w)) for w in words)
 
 
+def no_empty_token(subject: Column) -> Column:
+    """No filter matches a subject with an empty token, whatever wildcard would stand for it."""
+    return ~subject.contains("..") & ~subject.startswith(".") & ~subject.endswith(".") & (subject != "")
+
+
 def _column(subject: Column | str) -> Column:
     return F.col(subject) if isinstance(subject, str) else subject
 
@@ -104,7 +109,7 @@ def matches(filter_: str, subject: Column | str = "subject", tokens: TokenColumn
     words = tokens_of(filter_)
     condition = guard(filter_, subject, tokens)
     if "*" not in words:
-        return condition
+        return condition & no_empty_token(_column(subject)) if words[-1] == ">" else condition
     return condition & _column(subject).rlike(f"^{_pattern(words)}$")
 
 
@@ -120,7 +125,7 @@ def matches_any(filters: Iterable[str], subject: Column | str = "subject",
         return condition if extra is None else extra & condition
     guards = guard_any(filters, subject, tokens)
     if all("*" not in f for f in filters):
-        return guards
+        return guards & no_empty_token(_column(subject))
     # One alternation for all: a disjunction that holds a regular expression does not push,
     # and one that repeats the guards would be folded into them.
     return guards & _column(subject).rlike("^(?:" + "|".join(_pattern(tokens_of(f)) for f in filters) + ")$")

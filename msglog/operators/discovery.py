@@ -50,10 +50,18 @@ def update_registry(registry: DataFrame, current: DataFrame, seq: int) -> DataFr
 def scan_history(spark: SparkSession, log: DataFrame, registry: DataFrame) -> DataFrame:
     """Messages read under a filter history: a filter sees only what was stored while it was
     in force, so a revoked one delivers nothing more and a new one nothing older."""
-    history = registry.select("filter", "from_seq", "to_seq")
-    matched = match_filters(log, FilterSet.of(spark, history))
-    return matched.where((F.col("stream_seq") >= F.col("from_seq"))
-                         & (F.col("to_seq").isNull() | (F.col("stream_seq") < F.col("to_seq"))))
+    history = registry.select(*[c for c in ("stream", "filter", "from_seq", "to_seq") if c in registry.columns])
+    return in_force(match_filters(log, FilterSet.of(spark, history)), keep=True)
+
+
+def in_force(matched: DataFrame, keep: bool = False) -> DataFrame:
+    """Matched messages whose filter was in force when they were stored, where the filters say so;
+    ``keep`` keeps the interval columns."""
+    if "from_seq" in matched.columns:
+        matched = matched.where(F.col("from_seq").isNull() | (F.col("stream_seq") >= F.col("from_seq")))
+    if "to_seq" in matched.columns:
+        matched = matched.where(F.col("to_seq").isNull() | (F.col("stream_seq") < F.col("to_seq")))
+    return matched if keep else matched.drop("from_seq", "to_seq")
 
 
 def unread(filters: DataFrame, progress: DataFrame) -> DataFrame:

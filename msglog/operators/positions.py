@@ -38,7 +38,7 @@ def check_rule(kind: str, rule: tuple) -> tuple:
 
 
 def is_bounded(stop: tuple) -> bool:
-    return check_rule("stop", stop)[0] != "never"
+    return callable(stop) or check_rule("stop", stop)[0] != "never"
 
 
 def at_millis(df: DataFrame, column: str, epoch_ms: int) -> Column:
@@ -98,28 +98,39 @@ def _until(log: DataFrame, cuts: DataFrame, n_splits: int, seq: SeqColumn | None
     return log.where(F.col(column) <= cuts.agg(bound.alias("bound")).scalar())
 
 
+def tie_columns(log: DataFrame, split: str | None) -> tuple[str, ...]:
+    """What tells rows of one sequence apart: their stream and split, where the log has them."""
+    return tuple(c for c in ("stream", split) if c in log.columns)
+
+
 def stop_at(log: DataFrame, rule: tuple, split: str | None = None, n_splits: int | None = None,
-            snapshot: int | None = None, seq: SeqColumn | None = None) -> DataFrame:
-    """Apply a stop rule. ``seq`` and ``time`` stop each split on its own, after its first
-    message at or past the stop; ``count`` counts in stream order over the whole read.
+            snapshot: int | None = None, seq: SeqColumn | None = None, one_stream: bool = False) -> DataFrame:
+    """Apply a stop rule. ``seq`` and ``time`` stop each split of each stream on its own, after
+    its first message at or past the stop; ``count`` counts in the order of sequences, then
+    streams and splits, over the whole read. ``one_stream`` states that the log has one stream
+    and ``n_splits`` splits; the scan then ends at the last cut. A rule may also be a function
+    from the log to the part of it that is read.
 
     ``latest`` stops at the ``snapshot`` sequence. Without one nothing needs to be cut: a
     batch frame lists its files when it is built, and what is appended later is not in it.
     """
+    if callable(rule):
+        return rule(log)
     kind = check_rule("stop", rule)[0]
     if kind == "never" or (kind == "latest" and snapshot is None):
         return log
     if kind == "latest":
         return log.where(seq_to(log, snapshot, seq))
     if kind == "count":
-        return first_n(log, rule[1], physical=seq)
-    if split is None:
+        return first_n(log, rule[1], physical=seq, ties=() if one_stream and not split else tie_columns(log, split))
+    if split is None and one_stream:
         cuts = stop_cuts(log.withColumn("_all", F.lit(0)), rule, "_all", seq)
         return _until(log, cuts, 1, seq)
+    split = split or "stream"
     cuts = stop_cuts(log, rule, split, seq)
-    if n_splits is not None:
+    if one_stream and n_splits is not None:
         log = _until(log, cuts, n_splits, seq)
-    return (log.join(hinted(cuts, n_splits), split, "left")
+    return (log.join(hinted(cuts, n_splits if one_stream else None), split, "left")
             .where(F.col("cut").isNull() | (F.col("stream_seq") <= F.col("cut")))
             .select(*log.columns))
 

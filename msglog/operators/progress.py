@@ -58,6 +58,14 @@ def pending(deliveries: DataFrame, acks: DataFrame, ack: str = "each", n_splits:
     raise ValueError(f"ack policy must be 'each', 'all' or 'none', got {ack!r}")
 
 
+def unacknowledged(read: DataFrame, acks: DataFrame, ack: str) -> DataFrame:
+    """A read without what was acknowledged before: one by one (``each``), or everything up to
+    the highest acknowledged message of a split (``all``)."""
+    if ack == "each":
+        return read.join(acks.select(*KEYS).distinct(), KEYS, "left_anti")
+    return pending_cumulative(read, acks).select(*read.columns)
+
+
 def floors(deliveries: DataFrame, acks: DataFrame, n_splits: int | None = None) -> DataFrame:
     """``(split_id, ack_floor, delivered_floor)``: the last message below which nothing is
     outstanding, and the last one delivered."""

@@ -7,6 +7,7 @@ subject, ``mark_status`` tells stored, duplicate and rejected messages apart, an
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,9 +23,11 @@ from msglog.schema import HEADERS, WRITABLE
 from msglog.sources.store import (append_log, discard, log_exists, open_log, record_heads, saved, shared_dir,
                                   stream_heads)
 
+# Notes of batches; names starting with '_' are skipped when the directory is read as a log.
+BATCHES = "_batches"
 OK, DUPLICATE, FAILED = "ok", "duplicate", "failed"
-# monotonically_increasing_id() keeps the partition above this bit, the row below it.
-_PART_SHIFT = 33
+# Rows are numbered in spans of this many bits of their address: a large part is many spans.
+_SPAN_BITS = 20
 
 
 class CaptureError(ValueError):
@@ -155,7 +158,7 @@ class PublishResult:
 def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool = True,
             order_by: Sequence[str | Column] = (), dedupe: bool = True, dedupe_since: Column | None = None,
             partition_tokens: tuple[int, ...] = (), writers: int | None = None,
-            max_records_per_file: int | None = None) -> PublishResult:
+            max_records_per_file: int | None = None, batch_id: str | None = None) -> PublishResult:
     """Append messages to a stored log with dense sequences per stream.
 
     The batch is staged once in the shared folder, which fixes row addresses: sequences,
@@ -163,8 +166,16 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
     often a task is retried. ``order_by`` (a unique order) sorts the batch first; without it
     messages keep the order of their partitions. ``dedupe_since`` limits the look-up of known
     ids to stored messages at or past that time. One writer per stream at a time.
+
+    ``batch_id`` makes a replay harmless without message ids: the heads that the batch will leave
+    are noted under it before the append, and a batch whose heads are reached is not stored again.
     """
     spark = messages.sparkSession
+    note = os.path.join(path, BATCHES, batch_id) if batch_id else None
+    if note and _was_appended(spark, path, note):
+        stage = shared_dir(spark, "publish")
+        none = messages.limit(0).withColumns({"stream_seq": F.lit(None).cast("long"), "status": F.lit(OK)})
+        return PublishResult(none, {OK: 0, DUPLICATE: 0, FAILED: 0}, stage)
     filters = FilterSet.of(spark, live(registry).select("filter", "stream"))
     if order_by and filters.size <= BROADCAST_ROWS:
         # Capture by broadcast leaves rows where they are and is better done once they are
@@ -176,8 +187,8 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
         captured = _capture(messages, filters)
     stage = shared_dir(spark, "publish")
     batch = saved(captured.withColumn("_addr", F.monotonically_increasing_id()), "batch", stage) \
-        .withColumn("_bucket", F.shiftright("_addr", _PART_SHIFT))
-    # One row per stream and part first: a part is a task of the write above.
+        .withColumn("_bucket", F.shiftright("_addr", _SPAN_BITS))
+    # One row per stream and span of addresses first.
     runs = batch.groupBy("stream", "_bucket").agg(F.count(F.lit(1)).alias("n"), F.count("msg_id").alias("with_id"))
     stored_here = F.col("stream").isNotNull()
     total = lambda column, rows: F.coalesce(F.sum(F.when(rows, F.col(column))), F.lit(0))
@@ -212,9 +223,9 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
     if n_unstored or size.runs > size.parts:
         numbered = number_buckets(kept, ["stream"], "_addr", "_n")
     else:
-        # Whole parts of one stream each: the address within a part is the position.
+        # Whole spans of one stream each: the address within a span is the position.
         starts = bucket_offsets(kept, ["stream"]).select("stream", "_bucket", "_offset")
-        within = F.col("_addr") - F.shiftleft("_bucket", _PART_SHIFT)
+        within = F.col("_addr") - F.shiftleft("_bucket", _SPAN_BITS)
         numbered = kept.join(hinted(starts, size.runs), ["stream", "_bucket"]) \
             .withColumn("_n", F.col("_offset") + within + 1)
     heads = kept.groupBy("stream").agg(F.count(F.lit(1)).alias("_new"))
@@ -228,6 +239,9 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
                 else numbered.withColumn("_old", F.lit(0)))
     stored = numbered.withColumn("stream_seq", F.coalesce("_old", F.lit(0)) + F.col("_n"))
     if counts[OK]:
+        if note:
+            heads.where("_new > 0").select("stream", (F.col("_old") + F.col("_new")).alias("head")) \
+                .write.mode("overwrite").parquet(note)
         append_log(stored, path, partition_tokens, writers, max_records_per_file)
         record_heads(heads.select("stream", (F.col("_old") + F.col("_new")).alias("head")), path)
 
@@ -239,6 +253,20 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
     return PublishResult(results.withColumn("status", F.coalesce("status", F.lit(OK))).drop("_addr", "_bucket"), counts, stage)
 
 
+def _was_appended(spark: SparkSession, path: str, note: str) -> bool:
+    """Whether the streams of a noted batch have reached the heads it would leave. A batch that
+    is noted but stored in part only cannot be told from one that failed: it raises."""
+    if not log_exists(spark, note):
+        return False
+    planned = spark.read.schema("stream STRING, head LONG").parquet(note).withColumnRenamed("head", "_planned")
+    reached = planned.join(stream_heads(spark, path), "stream", "left") \
+        .select((F.coalesce("head", F.lit(0)) >= F.col("_planned")).alias("there"))
+    there = {row.there for row in reached.distinct().collect()}
+    if len(there) > 1:
+        raise RuntimeError(f"the batch noted in {note} is stored in part; remove its messages before a replay")
+    return there == {True}
+
+
 def _duplicates(batch: DataFrame, known: DataFrame | None, n_ids: int, stage: str) -> list[DataFrame]:
     """Addresses of messages whose id comes earlier in the batch or is in the log."""
     key = ["stream", "msg_id"]

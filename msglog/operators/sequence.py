@@ -78,35 +78,46 @@ def running_max(df: DataFrame, keys: Sequence[str], order: str, value: str, out:
             .select(*df.columns, out))
 
 
-def nth_seq(df: DataFrame, n: int, order: str = "stream_seq", width: int = BUCKET_WIDTH) -> DataFrame:
-    """One row, column ``cut``: the ``n``-th smallest ``order``, or NULL if there are fewer."""
-    keyed = df.select(order).withColumn("_bucket", _bucket(order, width))
+def nth_seq(df: DataFrame, n: int, order: str = "stream_seq", width: int = BUCKET_WIDTH,
+            ties: Sequence[str] = ()) -> DataFrame:
+    """One row, column ``cut``: the ``n``-th smallest ``order``, or NULL if there are fewer. With
+    ``ties``, which tell rows of one ``order`` apart, also column ``place``: all of that row's."""
+    keyed = df.select(order, *ties).withColumn("_bucket", _bucket(order, width))
     counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(_before([])), F.lit(0))
     target = (counts.withColumn("_before", before)
               .where((F.col("_before") < n) & (F.col("_before") + F.col("_n") >= n)))
-    # One bucket is left: at most `width` rows are ranked.
+    # One bucket is left: at most `width` rows of each stream are ranked.
     inside = keyed.where(F.col("_bucket") == target.select("_bucket").scalar())
-    ranked = inside.withColumn("_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy(order)))
+    ranked = inside.withColumn("_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy(order, *ties)))
     wanted = F.lit(n) - target.select("_before").scalar()
-    return ranked.where(F.col("_rank") == wanted).agg(F.max(order).alias("cut"))
+    return ranked.where(F.col("_rank") == wanted).agg(
+        F.max(order).alias("cut"), *([F.max(F.struct(order, *ties)).alias("place")] if ties else []))
 
 
-def first_n(df: DataFrame, n: int, order: str = "stream_seq", physical: tuple[str, int] | None = None) -> DataFrame:
-    """The first ``n`` rows by ``order``, an integer unique in ``df``.
+def first_n(df: DataFrame, n: int, order: str = "stream_seq", physical: tuple[str, int] | None = None,
+            ties: Sequence[str] = ()) -> DataFrame:
+    """The first ``n`` rows by ``order``, an integer; ``ties`` are columns that tell rows of one
+    ``order`` apart and decide between them, for reads over several streams or splits.
 
-    The cut is looked for in the ``order`` column alone; the second pass takes it to the scan,
-    so other columns are read around the first rows only, and the result stays distributed.
-    ``physical`` is a column that equals ``order`` minus an offset, where the scan has one.
+    The cut is looked for in these columns alone; the second pass takes it to the scan, so other
+    columns are read around the first rows only, and the result stays distributed. ``physical`` is
+    a column that equals ``order`` minus an offset, where the scan has one.
     """
     if n < 1:
         raise ValueError("a message limit must be at least 1")
     if n <= TOP_K_ROWS:
-        head = df.select(order).orderBy(order).limit(n)
-        cut = head.agg(F.when(F.count(F.lit(1)) == n, F.max(order)).alias("cut"))
+        head = df.select(order, *ties).orderBy(order, *ties).limit(n)
+        full = F.count(F.lit(1)) == n
+        cut = head.agg(F.when(full, F.max(order)).alias("cut"),
+                       *([F.when(full, F.max(F.struct(order, *ties))).alias("place")] if ties else []))
     else:
-        cut = nth_seq(df, n, order)
+        cut = nth_seq(df, n, order, ties=ties)
     column, offset = physical or (order, 0)
     everything = F.lit((1 << 63) - 1)
     bound = cut.select(F.coalesce(F.col("cut") - offset, everything).alias("bound"))
-    return df.where(F.col(column) <= bound.scalar())
+    kept = df.where(F.col(column) <= bound.scalar())
+    if not ties:
+        return kept
+    place = cut.select("place").scalar()
+    return kept.where(place.isNull() | (F.struct(order, *ties) <= place))

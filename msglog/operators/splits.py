@@ -60,6 +60,7 @@ class FilterSet:
 
     @classmethod
     def _of_table(cls, filters: DataFrame) -> FilterSet:
+        filters = filters.distinct()
         # One row per shape: its number depends on the depth of the subjects, not on the filters.
         found = (filters.groupBy(S.shape(F.col("filter")).alias("shape"))
                  .agg(F.count(F.lit(1)).alias("n"),
@@ -111,15 +112,19 @@ def _match_inline(log: DataFrame, names: dict[str, Column], out: str, subject: s
 
 
 def _match_join(log: DataFrame, filters: FilterSet, subject: str) -> DataFrame:
+    """Filters with a ``stream`` see that stream only. No filters deliver nothing."""
+    on = ["_key", "stream"] if "stream" in filters.frame.columns else ["_key"]
+    payload = [f for f in filters.frame.schema.fields if f.name not in on]
     if not filters.shapes:
-        return log.withColumn("filter", F.lit(None).cast("string")).where(F.lit(False))
+        return log.where(F.lit(False)).withColumns({f.name: F.lit(None).cast(f.dataType) for f in payload})
     keys = F.array(*[_key(F.lit(s), S.candidate(s, F.col("_words"))) for s in filters.shapes])
     keyed = (log.withColumn("_words", F.split(F.col(subject), r"\."))
+             .where(~F.array_contains("_words", ""))
              .withColumn("_key", F.explode(keys))
              .where(F.col("_key").isNotNull())
              .drop("_words"))
     table = filters.frame.withColumn("_key", _key(S.shape(F.col("filter")), F.col("filter")))
-    return keyed.join(hinted(table, filters.size), "_key").drop("_key")
+    return keyed.join(hinted(table, filters.size), on).select(*log.columns, *[f.name for f in payload])
 
 
 def _key(shape: Column, filter_: Column) -> Column:
@@ -158,32 +163,50 @@ def first_capture(log: DataFrame, filters: FilterSet, payload: str, subject: str
     return out.withColumn(payload, hit).drop("_words", *extra)
 
 
-def overlapping(filters: FilterSet) -> DataFrame:
-    """Pairs of filters that some subject could match both, ``a`` before ``b``.
+def _overlap_keys(filters: FilterSet) -> DataFrame:
+    """``(filter, stream, key, first)``: two filters overlap exactly when they share a key, one
+    as ``first`` and one not. ``stream`` is empty for filters that hold for all streams.
 
-    For two shapes, filters meet exactly when their words agree wherever both
-    shapes have a literal, so each pair of shapes is one equality join and only
-    real overlaps come out.
+    For two shapes, filters meet when their words agree wherever both shapes have a literal, so
+    each pair of shapes is one equality.
     """
-    words = filters.frame.select("filter").distinct().withColumn("_s", S.shape(F.col("filter"))) \
-        .withColumn("_w", F.split(F.col("filter"), r"\."))
+    stream = F.coalesce("stream", F.lit("")) if "stream" in filters.frame.columns else F.lit("")
+    words = filters.frame.select("filter", stream.alias("stream")).distinct() \
+        .withColumn("_s", S.shape(F.col("filter"))).withColumn("_w", F.split(F.col("filter"), r"\."))
     pairs = [(x, y) for i, x in enumerate(filters.shapes) for y in filters.shapes[i:] if _compatible(x, y)]
-    if not pairs:
-        return filters.frame.select(F.col("filter").alias("a"), F.col("filter").alias("b")).where(F.lit(False))
-
-    def side(which: int, name: str) -> DataFrame:
-        keys = []
-        for n, pair in enumerate(pairs):
-            shared = [i for i, (p, q) in enumerate(zip(*pair)) if p == q == "L"]
-            key = F.concat_ws(".", F.lit(str(n)), *[F.get(F.col("_w"), F.lit(i)) for i in shared])
-            keys.append(F.when(F.col("_s") == pair[which], key))
-        return (words.select(F.col("filter").alias(name), F.explode(F.array(*keys)).alias("_key"))
-                .where(F.col("_key").isNotNull()))
-
-    joined = side(0, "x").join(side(1, "y"), "_key").where(F.col("x") != F.col("y"))
+    keys = []
+    for n, pair in enumerate(pairs):
+        shared = [i for i, (p, q) in enumerate(zip(*pair)) if p == q == "L"]
+        key = F.concat_ws(".", F.lit(str(n)), *[F.get(F.col("_w"), F.lit(i)) for i in shared])
+        keys += [F.when(F.col("_s") == shape_, F.struct(key.alias("key"), F.lit(first).alias("first")))
+                 for shape_, first in zip(pair, (True, False))]
+    keyed = words.select("filter", "stream", F.explode(F.array(*keys) if keys else F.array().cast(
+        "array<struct<key:string,first:boolean>>")).alias("_k"))
+    return keyed.where(F.col("_k").isNotNull()).select("filter", "stream", "_k.key", "_k.first")
+
+
+def overlapping(filters: FilterSet) -> DataFrame:
+    """Pairs of filters that some subject could match both, ``a`` before ``b``: real overlaps only."""
+    keyed = _overlap_keys(filters)
+    one = keyed.where("first").select(F.col("filter").alias("x"), "stream", "key")
+    two = keyed.where("not first").select(F.col("filter").alias("y"), "stream", "key")
+    joined = one.join(two, ["stream", "key"]).where(F.col("x") != F.col("y"))
     return joined.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def overlap_witnesses(filters: FilterSet) -> DataFrame:
+    """One overlapping pair ``(a, b)`` for each key that has any: an aggregate, so the pairs of a
+    common key are never listed."""
+    one, two = F.when(F.col("first"), F.col("filter")), F.when(~F.col("first"), F.col("filter"))
+    ends = _overlap_keys(filters).groupBy("stream", "key").agg(
+        F.min(one).alias("a"), F.max(one).alias("c"), F.min(two).alias("b"), F.max(two).alias("d"))
+    pair = F.when(F.col("a") != F.col("b"), F.struct("a", "b")) \
+        .when(F.col("a") != F.col("d"), F.struct("a", F.col("d").alias("b"))) \
+        .when(F.col("c") != F.col("b"), F.struct(F.col("c").alias("a"), "b"))
+    return ends.where(pair.isNotNull()).select(pair.alias("_p")).select(
+        F.least("_p.a", "_p.b").alias("a"), F.greatest("_p.a", "_p.b").alias("b")).distinct()
+
+
 def _compatible(x: str, y: str) -> bool:
     """Whether two shapes can match subjects of the same length."""
     if x.endswith(">") and y.endswith(">"):
@@ -201,7 +224,7 @@ def check_no_overlap(spark: SparkSession, filters: Sequence[str] | DataFrame) ->
     if chosen.inline:
         clash = [pair for pair in combinations(chosen.inline, 2) if S.collide(*pair)]
     else:
-        clash = [(row.a, row.b) for row in overlapping(chosen).limit(5).collect()]
+        clash = [(row.a, row.b) for row in overlap_witnesses(chosen).limit(5).collect()]
     if clash:
         shown = ", ".join(f"{a} / {b}" for a, b in clash[:5])
         raise ValueError(f"overlapping subject filters in one read: {shown}")

@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from msglog.operators.splits import BROADCAST_ROWS, hinted
-from msglog.sources.store import saved
-
 N_BYTES = F.octet_length
 
 
@@ -52,18 +49,12 @@ def observed(frame: DataFrame, observation: Observation | str = "read") -> DataF
 
 
 def last_per_subject(log: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The newest message of every subject.
+    """The newest message of every subject of every stream; NULL is a subject like any other.
 
-    The newest sequences are found without touching other columns and counted. Few of them
-    are broadcast to the log, which is then neither sorted nor shuffled; for many subjects
-    each task keeps its newest messages and only those are shuffled.
+    Each task keeps one message per subject, and only those are shuffled.
     """
-    newest = saved(log.groupBy("subject").agg(F.max("stream_seq").alias("stream_seq")), "newest")
-    n_subjects = newest.count()
-    if n_subjects <= BROADCAST_ROWS:
-        return log.join(hinted(newest, n_subjects), ["subject", "stream_seq"]).select("subject", "stream_seq", *columns)
     row = F.max_by(F.struct("stream_seq", *columns), "stream_seq").alias("_row")
-    return log.groupBy("subject").agg(row).select("subject", "_row.*")
+    return log.groupBy("stream", "subject").agg(row).select("stream", "subject", "_row.*")
 
 
 def last_message(log: DataFrame) -> DataFrame:

@@ -11,13 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from msglog.operators.discovery import discover_filters
 from msglog.operators.positions import last_seq
 from msglog.operators.splits import FilterSet, match_splits, values, with_split
 from msglog.sources.adapters import EVENT_TOKENS, events_log
 
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-TYPE_FILTERS = tuple(f"events.{t}.>" for t in EVENT_TYPES)
-N_SPLITS = len(TYPE_FILTERS)
 PAYLOAD = T.StructType([T.StructField("k", T.IntegerType())])
 
 
@@ -29,15 +27,24 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_log(spark, sf_dir)
 
 
+def type_filters(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """A filter for each event type of the log, as discovered."""
+    return tuple(sorted(row["filter"] for row in discover_filters(log(spark, sf_dir), depth=2).collect()))
+
+
 def split_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole events log, read through one split per event type."""
-    chosen = FilterSet.of(spark, TYPE_FILTERS)
+    chosen = FilterSet.of(spark, type_filters(spark, sf_dir))
     return match_splits(log(spark, sf_dir), chosen, "consumer", tokens=EVENT_TOKENS, disjoint=True)
 
 
-def splits(spark: SparkSession) -> DataFrame:
+def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The splits of that read."""
-    return with_split(values(spark, [{"stream": "events", "filter": f} for f in TYPE_FILTERS]), "consumer")
+    return with_split(values(spark, [{"stream": "events", "filter": f} for f in type_filters(spark, sf_dir)]), "consumer")
+
+
+def n_splits(spark: SparkSession, sf_dir: str) -> int:
+    return len(type_filters(spark, sf_dir))
 
 
 def share_of_log(frame: DataFrame, numerator: int, denominator: int) -> int:

@@ -14,17 +14,20 @@ from msglog.functions import subjects as S
 from msglog.operators import discovery, positions
 from msglog.operators.progress import delivered_count
 from msglog.operators.sequence import first_n, running_max
-from msglog.operators.splits import FilterSet, match_filters, match_splits, multi_match, overlapping, share, values
+from msglog.operators.splits import (FilterSet, match_filters, match_splits, multi_match, overlapping, share, union_all,
+                                     values)
 from msglog.operators.stats import last_message, last_per_subject, stream_info
 from msglog.plans.catalog import query
-from msglog.plans.inputs import (N_SPLITS, PAYLOAD, TYPE_FILTERS, compressing, deliveries, k_of, log,
-                                 share_of_log, split_log)
-from msglog.sources.adapters import (EVENT_SEQ, EVENT_TOKENS, ORDER_TOKENS, documents_log, events_stream, orders_log,
+from msglog.plans.inputs import (PAYLOAD, compressing, deliveries, k_of, log, n_splits, share_of_log, split_log,
+                                 type_filters)
+from msglog.sources.adapters import (EVENT_SEQ, EVENT_TOKENS, ORDER_TOKENS, documents_log, events_log, events_stream, orders_log,
                                      table)
+from msglog.schema import ENVELOPE
 from msglog.sources.log import create_log_view, read_log
 from msglog.sources.store import saved, shared_dir
 from msglog.streaming.flows import drain
 
+ENVELOPE_COLUMNS = [f.name for f in ENVELOPE.fields]
 MID_JANUARY_MS = 1_705_276_800_000  # 2024-01-15 00:00:00 UTC
 
 
@@ -162,7 +165,7 @@ def stop_latest(spark: SparkSession, sf: str) -> DataFrame:
        ("L", "S"))
 def stop_seq(spark: SparkSession, sf: str) -> DataFrame:
     rule = ("seq", share_of_log(log(spark, sf), 2, 5))
-    return positions.stop_at(split_log(spark, sf), rule, "split_id", N_SPLITS, seq=EVENT_SEQ) \
+    return positions.stop_at(split_log(spark, sf), rule, "split_id", n_splits(spark, sf), seq=EVENT_SEQ, one_stream=True) \
         .select("split_id", "stream_seq")
 
 
@@ -171,7 +174,7 @@ def stop_seq(spark: SparkSession, sf: str) -> DataFrame:
   SELECT split_id, stream_seq FROM S LEFT JOIN cuts USING (split_id) WHERE cut IS NULL OR stream_seq <= cut""",
        ("L", "S"))
 def stop_time(spark: SparkSession, sf: str) -> DataFrame:
-    return positions.stop_at(split_log(spark, sf), ("time", MID_JANUARY_MS), "split_id", N_SPLITS, seq=EVENT_SEQ) \
+    return positions.stop_at(split_log(spark, sf), ("time", MID_JANUARY_MS), "split_id", n_splits(spark, sf), seq=EVENT_SEQ, one_stream=True) \
         .select("split_id", "stream_seq")
 
 
@@ -179,7 +182,7 @@ def stop_time(spark: SparkSession, sf: str) -> DataFrame:
   LIMIT (SELECT max(stream_seq) // 4 FROM L)""")
 def stop_count(spark: SparkSession, sf: str) -> DataFrame:
     rule = ("count", share_of_log(log(spark, sf), 1, 4))
-    return positions.stop_at(log(spark, sf), rule, seq=EVENT_SEQ).select("stream_seq", "subject")
+    return positions.stop_at(log(spark, sf), rule, seq=EVENT_SEQ, one_stream=True).select("stream_seq", "subject")
 
 
 @query("split_finished", """, cuts AS (SELECT split_id, min(stream_seq) AS cut FROM S
@@ -188,7 +191,7 @@ def stop_count(spark: SparkSession, sf: str) -> DataFrame:
   FROM S LEFT JOIN cuts USING (split_id) WHERE cut IS NULL OR stream_seq <= cut GROUP BY split_id""", ("L", "S"))
 def split_finished(spark: SparkSession, sf: str) -> DataFrame:
     rule = ("seq", positions.last_seq(log(spark, sf)) - 5)
-    return positions.finished(split_log(spark, sf), rule, "split_id", N_SPLITS, EVENT_SEQ)
+    return positions.finished(split_log(spark, sf), rule, "split_id", n_splits(spark, sf), EVENT_SEQ)
 
 
 @query("boundedness", """, T AS (SELECT max(stream_seq) AS last FROM L)
@@ -411,14 +414,14 @@ def meta_delivered(spark: SparkSession, sf: str) -> DataFrame:
 @query("meta_consumer_seq", """SELECT consumer, stream_seq AS "streamSeq",
   row_number() OVER (PARTITION BY consumer ORDER BY stream_seq) AS "consumerSeq" FROM S""", ("L", "S"))
 def meta_consumer_seq(spark: SparkSession, sf: str) -> DataFrame:
-    return read_log(spark, frame=log(spark, sf), filters=TYPE_FILTERS, tokens=EVENT_TOKENS,
+    return read_log(spark, frame=log(spark, sf), filters=type_filters(spark, sf), tokens=EVENT_TOKENS,
                     metadata=["consumer", "streamSeq", "consumerSeq"]).drop("value")
 
 
 @query("meta_pending", """SELECT consumer, stream_seq AS "streamSeq", count(*) OVER (PARTITION BY consumer)
   - row_number() OVER (PARTITION BY consumer ORDER BY stream_seq) AS pending FROM S""", ("L", "S"))
 def meta_pending(spark: SparkSession, sf: str) -> DataFrame:
-    return read_log(spark, frame=log(spark, sf), filters=TYPE_FILTERS, tokens=EVENT_TOKENS,
+    return read_log(spark, frame=log(spark, sf), filters=type_filters(spark, sf), tokens=EVENT_TOKENS,
                     metadata=["consumer", "streamSeq", "pending"]).drop("value")
 
 
@@ -535,12 +538,76 @@ def limit_filtered(spark: SparkSession, sf: str) -> DataFrame:
     return first_n(chosen, 10, physical=EVENT_SEQ).select(k_of().alias("k"), "stream_seq")
 
 
+_ALL = """, A AS (SELECT stream, subject, stream_seq FROM L UNION ALL
+  SELECT stream, subject, stream_seq FROM O UNION ALL SELECT stream, subject, stream_seq FROM D)"""
+
+
+def _envelopes(spark: SparkSession, sf: str) -> DataFrame:
+    """The events, orders and documents logs together."""
+    return union_all([events_log(spark, sf).select(*ENVELOPE_COLUMNS), orders_log(spark, sf).select(*ENVELOPE_COLUMNS),
+                      documents_log(spark, sf).select(*ENVELOPE_COLUMNS)])
+
+
+@query("limit_many_streams", _ALL + """ SELECT stream, stream_seq, subject FROM A ORDER BY stream_seq, stream LIMIT 1001""",
+       ("L", "O", "D"))
+def limit_many_streams(spark: SparkSession, sf: str) -> DataFrame:
+    """A limit over streams whose sequences meet: exactly so many rows."""
+    return read_log(spark, frame=_envelopes(spark, sf), limit=1001, headers_only=True,
+                    metadata=["stream", "streamSeq", "subject"]).select("stream", F.col("streamSeq").alias("stream_seq"), "subject")
+
+
+@query("stop_seq_many_streams", _ALL + """, E AS (SELECT *, CASE WHEN stream = 'docs' THEN 'docs.>' ELSE stream || '.>' END AS f FROM A),
+  C AS (SELECT stream, f, min(stream_seq) FILTER (stream_seq >= 777) AS cut FROM E GROUP BY stream, f)
+  SELECT E.stream, count(*) AS n, max(stream_seq) AS last_seq FROM E JOIN C USING (stream, f)
+  WHERE cut IS NULL OR stream_seq <= cut GROUP BY E.stream""", ("L", "O", "D"))
+def stop_seq_many_streams(spark: SparkSession, sf: str) -> DataFrame:
+    """Each split of each stream stops after its own first message at or past the stop."""
+    read = read_log(spark, frame=_envelopes(spark, sf), filters=["events.>", "orders.>", "docs.>"], stop=("seq", 777),
+                    headers_only=True, metadata=["stream", "streamSeq"])
+    return read.groupBy("stream").agg(F.count(F.lit(1)).alias("n"), F.max("streamSeq").alias("last_seq"))
+
+
+def _scoped(spark: SparkSession, sf: str) -> DataFrame:
+    """A registry over three streams: of orders only the first half of a filter's life counts, and
+    the catch-all filter holds for documents alone."""
+    half = F.lit(share_of_log(orders_log(spark, sf), 1, 2)).cast("long")
+    rows = [{"stream": "events", "filter": "events.click.>"}, {"stream": "orders", "filter": "orders.F.>"},
+            {"stream": "docs", "filter": ">"}]
+    return values(spark, rows).withColumn("from_seq", F.lit(0).cast("long")) \
+        .withColumn("to_seq", F.when(F.col("stream") == "orders", half))
+
+
+_SCOPED = _ALL + """, H AS (SELECT max(stream_seq) // 2 AS half FROM O)
+  SELECT stream, count(*) AS n, max(stream_seq) AS last_seq FROM A, H
+  WHERE (stream = 'events' AND starts_with(subject, 'events.click.')) OR stream = 'docs'
+    OR (stream = 'orders' AND starts_with(subject, 'orders.F.') AND stream_seq < half) GROUP BY stream"""
+
+
+@query("scan_registry_streams", _SCOPED, ("L", "O", "D"))
+def scan_registry_streams(spark: SparkSession, sf: str) -> DataFrame:
+    """Default filters hold for their own stream and time, and may be listed twice."""
+    registry = _scoped(spark, sf)
+    read = read_log(spark, frame=_envelopes(spark, sf), registry=registry.union(registry), headers_only=True,
+                    metadata=["stream", "streamSeq"])
+    return read.groupBy("stream").agg(F.count(F.lit(1)).alias("n"), F.max("streamSeq").alias("last_seq"))
+
+
+@query("scan_registry_withdrawn", _ALL + """, H AS (SELECT max(stream_seq) // 2 AS half FROM O)
+  SELECT stream, stream_seq FROM A, H WHERE stream = 'orders' AND starts_with(subject, 'orders.F.') AND stream_seq < half""",
+       ("L", "O", "D"))
+def scan_registry_withdrawn(spark: SparkSession, sf: str) -> DataFrame:
+    """A withdrawn filter delivers what was stored before it was withdrawn, and nothing after."""
+    registry = _scoped(spark, sf).where(F.col("to_seq").isNotNull())
+    read = read_log(spark, frame=_envelopes(spark, sf), registry=registry, headers_only=True, metadata=["stream", "streamSeq"])
+    return read.select("stream", F.col("streamSeq").alias("stream_seq"))
+
+
 @query("wm_late_audit", """, R AS (SELECT 'orders.' || o_orderstatus || '.>' AS "filter", stream_seq, "timestamp",
     max("timestamp") OVER (PARTITION BY o_orderstatus ORDER BY stream_seq) - INTERVAL 30 DAY AS wm FROM O)
   SELECT "filter", stream_seq, epoch_us(wm) // 1000 AS watermark_ms, "timestamp" < wm AS late FROM R""", ("O",))
 def wm_late_audit(spark: SparkSession, sf: str) -> DataFrame:
     """The watermark each message meets in its split, and whether it is behind it."""
-    chosen = FilterSet.of(spark, ["orders.F.>", "orders.O.>", "orders.P.>"])
+    chosen = FilterSet.of(spark, [row["filter"] for row in discovery.discover_filters(orders_log(spark, sf), depth=2).collect()])
     read = match_filters(orders_log(spark, sf), chosen, tokens=ORDER_TOKENS, disjoint=True) \
         .select("filter", "stream_seq", M.event_time(F.col("timestamp")).alias("event_time"))
     running = running_max(read, ["filter"], "stream_seq", "event_time", "_top")
@@ -559,19 +626,20 @@ def filter_skew(spark: SparkSession, sf: str) -> DataFrame:
     return share(matched, ["filter"])
 
 
-@query("readme_query", """SELECT upper(substr(event_type, length(event_type) - 3)) AS short_name, 2023 - k AS dob,
-  'bar.' || substr(upper(event_type), 1, 1) AS subject, '0.1-SNAPSHOT' AS version, CAST(user_id AS VARCHAR) AS trace_id
-  FROM L WHERE subject IN ('events.click.7', 'events.view.7') AND k >= 18 ORDER BY stream_seq LIMIT 10""")
+@query("readme_query", """SELECT stream_seq, CASE WHEN k >= 40 THEN 'high' ELSE lower(event_type) END AS band,
+  left(event_type, 2) || '/' || lpad(CAST(k AS VARCHAR), 3, '0') AS code, length(event_type) * 10 + k AS weight,
+  CAST(user_id AS VARCHAR) AS who, 2 AS n_keys
+  FROM L WHERE event_type IN ('click', 'signup') AND k BETWEEN 20 AND 60 ORDER BY stream_seq LIMIT 25""")
 def readme_query(spark: SparkSession, sf: str) -> DataFrame:
-    """String, arithmetic, map and array expressions over a decoded view, filtered by subject."""
-    people = log(spark, sf).withColumn("data", F.encode(F.to_json(F.struct(
-        F.col("event_type").alias("name"), k_of().alias("age"))), "UTF-8"))
+    """String, arithmetic, map and array expressions over a decoded view, filtered by subject and limited."""
+    source = log(spark, sf).withColumn("data", F.encode(F.to_json(F.struct("event_type", k_of().alias("k"))), "UTF-8"))
     view = f"log_{uuid.uuid4().hex}"
-    create_log_view(spark, view, frame=people, format="json", schema="name STRING, age INT",
+    create_log_view(spark, view, frame=source, format="json", schema="event_type STRING, k INT",
                     metadata=["subject", "headers", "streamSeq"])
     return spark.sql(f"""
-        SELECT upper(substring(name, char_length(name) - 3)) AS short_name, 2023 - age AS dob,
-               'bar.' || substr(upper(name), 0, 1) AS subject, h['version'][1] AS version, h['traceId'][0] AS trace_id
-        FROM (SELECT *, map('version', array('0.1', '0.1-SNAPSHOT'), 'traceId', headers['user']) AS h FROM {view})
-        WHERE subject IN ('events.click.7', 'events.view.7') AND age >= 18
-        ORDER BY streamSeq LIMIT 10""")
+        SELECT streamSeq AS stream_seq, CASE WHEN k >= 40 THEN 'high' ELSE lower(event_type) END AS band,
+               concat(left(event_type, 2), '/', lpad(CAST(k AS STRING), 3, '0')) AS code,
+               char_length(event_type) * 10 + k AS weight, h['who'][0] AS who, size(map_keys(h)) AS n_keys
+        FROM (SELECT *, map('who', headers['user'], 'levels', array('low', 'high')) AS h FROM {view})
+        WHERE split(subject, '[.]')[1] IN ('click', 'signup') AND k BETWEEN 20 AND 60
+        ORDER BY stream_seq LIMIT 25""")

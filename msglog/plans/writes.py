@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,12 +13,13 @@ from msglog.operators import progress as G
 from msglog.operators import publish as W
 from msglog.operators import stats
 from msglog.operators.discovery import discover_filters, unread
+from msglog.operators.positions import last_seq
 from msglog.operators.splits import values, with_split
 from msglog.plans.catalog import query
-from msglog.plans.inputs import (N_SPLITS, TYPE_FILTERS, acks, compressing, deliveries, instant, k_of, log, progress,
+from msglog.plans.inputs import (acks, compressing, deliveries, instant, k_of, log, n_splits, progress, type_filters,
                                  split_log, splits)
-from msglog.sources.adapters import EVENT_SEQ, EVENT_TOKENS, documents_log, events_stream, orders_log, table
-from msglog.sources.store import open_log, shared_dir
+from msglog.sources.adapters import EVENT_SEQ, EVENT_TOKENS, documents_log, events_log, events_stream, orders_log, table
+from msglog.sources.store import append_log, open_log, open_stream, shared_dir
 from msglog.streaming import flows
 
 
@@ -75,16 +78,16 @@ def _by_subject(messages: DataFrame) -> DataFrame:
     return messages.groupBy("subject").agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("sum_key"))
 
 
-@query("headers_write", """SELECT stream_seq, 2 AS n_keys, '0.1,0.1-SNAPSHOT' AS version, CAST(user_id AS VARCHAR) AS trace FROM L""")
+@query("headers_write", """SELECT stream_seq, 2 AS n_keys, event_type || '|' || CAST(k AS VARCHAR) AS labels, CAST(user_id AS VARCHAR) AS sender FROM L""")
 def headers_write(spark: SparkSession, sf: str) -> DataFrame:
     rows = log(spark, sf).select("subject", "stream_seq", F.create_map(
-        F.lit("version"), F.array(F.lit("0.1"), F.lit("0.1-SNAPSHOT")),
-        F.lit("none"), F.array().cast("array<string>"),
-        F.lit("trace"), F.array(F.col("user_id").cast("string"))).alias("headers"))
+        F.lit("labels"), F.array(F.col("event_type"), k_of().cast("string")),
+        F.lit("empty"), F.array().cast("array<string>"),
+        F.lit("sender"), F.array(F.col("user_id").cast("string"))).alias("headers"))
     h = F.col("headers")
     return W.outgoing(rows, keep=["stream_seq"]).select(
-        "stream_seq", F.size(h).alias("n_keys"), F.array_join(h["version"], ",").alias("version"),
-        H.first_value(h, "trace").alias("trace"))
+        "stream_seq", F.size(h).alias("n_keys"), F.array_join(h["labels"], "|").alias("labels"),
+        H.first_value(h, "sender").alias("sender"))
 
 
 @query("headers_event_time", """SELECT stream_seq, epoch_us("timestamp") // 1000 AS event_ms FROM L""")
@@ -136,8 +139,9 @@ def dedupe_window(spark: SparkSession, sf: str) -> DataFrame:
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:
     """Publish outcomes of the repeated log where ``signup`` subjects are not captured."""
-    streams = _registry(spark, *[("events", f) for f in TYPE_FILTERS if "signup" not in f])
-    return W.mark_status(W.capture(_repeated(spark, sf).drop("stream"), streams), "pub")
+    streams = _registry(spark, *[("events", f) for f in type_filters(spark, sf) if "signup" not in f])
+    messages = _repeated(spark, sf).drop("stream", "stream_seq")
+    return W.publish(messages, shared_dir(spark, "log"), streams, strict=False, order_by=["pub"]).messages
 
 
 _STATUS = _REPEATED + """, P AS (SELECT *, CASE WHEN event_type = 'signup' THEN 'failed'
@@ -159,8 +163,11 @@ def flow_out(spark: SparkSession, sf: str) -> DataFrame:
   FROM conversations""", ())
 def assign_seq(spark: SparkSession, sf: str) -> DataFrame:
     """Conversation turns become one dense sequence that follows sequence 100."""
-    turns = table(spark, sf, "conversations").withColumn("_order", F.col("conv_id") * 4096 + F.col("turn"))
-    return W.assign_seq(turns, "_order", start_after=100).select("conv_id", "turn", "stream_seq")
+    path = shared_dir(spark, "turns")
+    # Written in order: the address of a row is its place, whatever the ids and turns are.
+    (table(spark, sf, "conversations").repartitionByRange("conv_id", "turn", "role").sortWithinPartitions("conv_id", "turn", "role")
+     .withColumn("_order", F.monotonically_increasing_id()).write.parquet(path))
+    return W.assign_seq(spark.read.parquet(path), "_order", start_after=100).select("conv_id", "turn", "stream_seq")
 
 
 # --- sinks ------------------------------------------------------------------------------------
@@ -199,6 +206,39 @@ def sink_stream(spark: SparkSession, sf: str) -> DataFrame:
     return per_subject.withColumn("stream_last", stored.agg(F.max("stream_seq")).scalar())
 
 
+@query("sink_stream_replay", """SELECT subject, count(*) AS n, min(stream_seq) AS first_seq, max(stream_seq) AS last_seq FROM (
+    SELECT subject, row_number() OVER (ORDER BY o_orderkey) AS stream_seq FROM O) GROUP BY subject""", ("O",))
+def sink_stream_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch without message ids is replayed; its number keeps it from being stored twice."""
+    path, streams = shared_dir(spark, "log"), _registry(spark, ("orders", "orders.>"))
+    messages = _order_messages(spark, sf).withColumn("msg_id", F.lit(None).cast("string"))
+    for _ in range(2):
+        W.publish(messages, path, streams, order_by=["o"], batch_id="batch-0").discard()
+    return open_log(spark, path).groupBy("subject").agg(
+        F.count(F.lit(1)).alias("n"), F.min("stream_seq").alias("first_seq"), F.max("stream_seq").alias("last_seq"))
+
+
+@query("consume_catch_up", """SELECT subject, stream_seq FROM L WHERE event_type IN ('click', 'view')""")
+def consume_catch_up(spark: SparkSession, sf: str) -> DataFrame:
+    """`view` is registered when half of the log has passed; it still delivers from its begin."""
+    path, source = shared_dir(spark, "log"), events_log(spark, sf)
+    filters = ["events.click.>"]
+
+    def known(session: SparkSession) -> DataFrame:
+        return _registry(session, *[("events", f) for f in filters])
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        batch.select("subject", "stream_seq").write.mode("overwrite").parquet(f"{path}-out/batch={epoch}")
+
+    half = last_seq(source) // 2
+    for part in (F.col("stream_seq") <= half, F.col("stream_seq") > half):
+        append_log(source.where(part), path)
+        flows.consume(open_stream(spark, path), keep, f"{path}-checkpoint", known,
+                      stored=lambda session: open_log(session, path)).awaitTermination()
+        filters.append("events.view.>")
+    return spark.read.schema("subject STRING, stream_seq LONG").parquet(f"{path}-out").select("subject", "stream_seq")
+
+
 @query("sink_parallelism", """SELECT subject, count(*) AS n, min(stream_seq) AS first_seq FROM (
     SELECT subject, row_number() OVER (ORDER BY o_orderkey) AS stream_seq FROM O) GROUP BY subject""", ("O",))
 def sink_parallelism(spark: SparkSession, sf: str) -> DataFrame:
@@ -260,7 +300,7 @@ _P = ("L", "S", "deliveries", "acks")
 @query("ack_cumulative", """SELECT split_id, stream_seq, attempt FROM deliveries JOIN
   (SELECT split_id, max(stream_seq) AS top FROM acks GROUP BY split_id) USING (split_id) WHERE stream_seq <= top""", _P)
 def ack_cumulative(spark: SparkSession, sf: str) -> DataFrame:
-    return G.acked_cumulative(deliveries(spark, sf), acks(spark, sf), N_SPLITS).select("split_id", "stream_seq", "attempt")
+    return G.acked_cumulative(deliveries(spark, sf), acks(spark, sf), n_splits(spark, sf)).select("split_id", "stream_seq", "attempt")
 
 
 @query("ack_pending", """SELECT split_id, stream_seq, attempt FROM deliveries
@@ -279,7 +319,7 @@ def ack_none(spark: SparkSession, sf: str) -> DataFrame:
   SELECT split_id, coalesce(max(stream_seq) FILTER (first_open IS NULL OR stream_seq < first_open), 0) AS ack_floor,
     max(stream_seq) AS delivered_floor FROM deliveries LEFT JOIN u USING (split_id) GROUP BY split_id""", _P)
 def ack_floor(spark: SparkSession, sf: str) -> DataFrame:
-    return G.floors(deliveries(spark, sf), acks(spark, sf), N_SPLITS)
+    return G.floors(deliveries(spark, sf), acks(spark, sf), n_splits(spark, sf))
 
 
 @query("ack_pending_count", """SELECT split_id, count(DISTINCT stream_seq) FILTER
@@ -304,16 +344,16 @@ _Q = ("L", "S", "progress")
 @query("resume_from_progress", """SELECT s.split_id, s.stream_seq FROM S s LEFT JOIN progress p USING (split_id)
   WHERE s.stream_seq > coalesce(last_seq, 0) AND coalesce(status, 'active') = 'active'""", _Q)
 def resume_from_progress(spark: SparkSession, sf: str) -> DataFrame:
-    return G.resume(split_log(spark, sf), progress(spark, sf), splits(spark), N_SPLITS, EVENT_SEQ).select("split_id", "stream_seq")
+    return G.resume(split_log(spark, sf), progress(spark, sf), splits(spark, sf), n_splits(spark, sf), EVENT_SEQ).select("split_id", "stream_seq")
 
 
 @query("pause_resume", """SELECT s.split_id, s.stream_seq FROM S s LEFT JOIN progress p USING (split_id)
   WHERE s.stream_seq > coalesce(last_seq, 0) AND s.event_type <> 'click'""", _Q)
 def pause_resume(spark: SparkSession, sf: str) -> DataFrame:
     """`click` is paused and `view` resumed: what came meanwhile arrives, nothing is lost."""
-    name = {row["filter"]: row.split_id for row in splits(spark).collect()}
+    name = {row["filter"]: row.split_id for row in splits(spark, sf).collect()}
     state = G.set_status(progress(spark, sf), pause=(name["events.click.>"],), resume=(name["events.view.>"],))
-    return G.resume(split_log(spark, sf), state, splits(spark), N_SPLITS, EVENT_SEQ).select("split_id", "stream_seq")
+    return G.resume(split_log(spark, sf), state, splits(spark, sf), n_splits(spark, sf), EVENT_SEQ).select("split_id", "stream_seq")
 
 
 @query("progress_update", """, b AS (SELECT split_id, max(stream_seq) AS seen FROM S
@@ -331,9 +371,9 @@ def progress_update(spark: SparkSession, sf: str) -> DataFrame:
   WHERE "timestamp" < TIMESTAMP '2024-01-19' GROUP BY split_id""", ("L", "S"))
 def progress_subsume(spark: SparkSession, sf: str) -> DataFrame:
     """One epoch per day; the 18th is the last completed one and covers all before it."""
-    history = (split_log(spark, sf).withColumn("epoch", F.dayofmonth("timestamp").cast("long"))
+    history = (split_log(spark, sf).withColumn("epoch", F.date_diff(F.col("timestamp").cast("date"), F.lit("1970-01-01").cast("date")).cast("long"))
                .groupBy("split_id", "epoch").agg(F.max("stream_seq").alias("last_seq")))
-    return G.completed_progress(history, 18)
+    return G.completed_progress(history, (date(2024, 1, 18) - date(1970, 1, 1)).days)
 
 
 @query("unread_filters", """SELECT DISTINCT s."filter" FROM S s WHERE split_id NOT IN (SELECT split_id FROM progress)""", _Q)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +19,14 @@ from msglog.functions import metadata as M
 from msglog.functions import payload as P
 from msglog.functions.subjects import TokenColumns
 from msglog.operators import positions
-from msglog.operators.progress import with_attempt
+from msglog.operators.discovery import in_force
+from msglog.operators.progress import unacknowledged, with_attempt
 from msglog.operators.sequence import dense_seq, first_n
-from msglog.operators.splits import FilterSet, check_no_overlap, match_splits
-from msglog.sources.store import open_log, open_stream, token_columns
+from msglog.operators.splits import FilterSet, check_no_overlap, hinted, match_splits
+from msglog.sources.store import log_exists, open_log, open_stream, saved, stream_heads, token_columns
+
+# The columns of a registry that matter to a read: a filter may hold for one stream, and for a time.
+REGISTRY = frozenset(("stream", "filter", "from_seq", "to_seq"))
 
 
 @dataclass(frozen=True)
@@ -45,15 +49,23 @@ class ReadOptions:
     watermark: str | None = None
     headers_only: bool = False
     deliveries: DataFrame | None = None
+    acks: DataFrame | None = None
     partition_tokens: tuple[int, ...] = ()
     tokens: TokenColumns | None = None
     seq: positions.SeqColumn | None = None
     max_files: int | None = None
     max_bytes: int | None = None
 
+    ack: str = "none"
+
     def check(self) -> ReadOptions:
         positions.check_rule("start", self.start)
-        positions.check_rule("stop", self.stop)
+        if not callable(self.stop):
+            positions.check_rule("stop", self.stop)
+        if self.ack not in ("none", "all", "each"):
+            raise ValueError("ack must be 'none', 'all' or 'each'")
+        if (self.ack == "none") != (self.acks is None):
+            raise ValueError("the acks so far and an ack policy, 'all' or 'each', go together")
         if self.filters is not None and self.registry is not None:
             raise ValueError("give explicit filters or a registry of default filters, not both")
         if self.on_error not in ("fail", "null"):
@@ -71,7 +83,7 @@ class ReadOptions:
 
     @property
     def needs_split(self) -> bool:
-        return self.deliveries is not None or any(k in ("consumer", "consumerSeq", "pending") for k in self.metadata)
+        return self.deliveries is not None or self.acks is not None or any(k in ("consumer", "consumerSeq", "pending") for k in self.metadata)
 
     @property
     def bounded(self) -> bool:
@@ -98,34 +110,78 @@ def read_log(spark: SparkSession, path: str | None = None, *, frame: DataFrame |
         raise ValueError(f"stop rule {opts.stop[0]!r} does not fit a {'streaming' if log.isStreaming else 'batch'} log")
     if opts.stream is not None:
         log = log.where(F.col("stream") == opts.stream)
+    if path is not None and log.isStreaming and opts.start[0] == "latest" and opts.snapshot is None:
+        log = _past_heads(spark, log, path, opts.stream)
+        opts = replace(opts, start=("earliest",))
+    if path is not None and opts.limit is not None and opts.bounded:
+        return decode_log(select_messages(spark, log, opts, tokens, _last_block(spark, path)), opts)
     return decode_log(select_messages(spark, log, opts, tokens), opts)
 
 
+def _past_heads(spark: SparkSession, log: DataFrame, path: str, stream: str | None) -> DataFrame:
+    """What is appended to a stored log from now on: past the present head of each stream."""
+    heads = saved(stream_heads(spark, path), "heads") if log_exists(spark, path) else None
+    if heads is None:
+        return log
+    if stream is not None:
+        head = heads.where(F.col("stream") == stream).first()
+        return log if head is None else log.where(positions.seq_from(log, head["head"] + 1))
+    return (log.join(hinted(heads, heads.count()), "stream", "left")
+            .where(F.col("head").isNull() | (F.col("stream_seq") > F.col("head"))).select(*log.columns))
+
+
+def _last_block(spark: SparkSession, path: str) -> int | None:
+    """The last block of sequences that any stream of a stored log has."""
+    head = stream_heads(spark, path).agg(F.max("head")).first()[0] if log_exists(spark, path) else None
+    return None if head is None else head // positions.BLOCK
+
+
+def _first_blocks(log: DataFrame, n: int, last_block: int) -> DataFrame:
+    """A stored log cut to its first blocks of sequences, doubled until they hold ``n`` rows:
+    a limit reads the begin of a log and not the sequences of all of it."""
+    blocks = 1
+    while blocks <= last_block:
+        part = log.where(F.col(positions.BLOCK_COLUMN) < blocks)
+        if part.limit(n).count() == n:
+            return part
+        blocks *= 2
+    return log
+
+
 def select_messages(spark: SparkSession, log: DataFrame, opts: ReadOptions,
-                    tokens: TokenColumns | None = None) -> DataFrame:
-    """The envelopes a read delivers, before any payload is decoded."""
+                    tokens: TokenColumns | None = None, last_block: int | None = None) -> DataFrame:
+    """The envelopes a read delivers, before any payload is decoded. ``last_block``: of a stored
+    log, for reads with a limit."""
     streaming = log.isStreaming
     if streaming and (opts.limit is not None or "consumerSeq" in opts.metadata or "pending" in opts.metadata):
         raise ValueError("limit, consumerSeq and pending need a bounded read")
     if streaming and opts.start[0] == "latest" and opts.snapshot is None:
-        raise ValueError("start rule 'latest' on a stream needs a snapshot sequence")
+        raise ValueError("start rule 'latest' on a streaming frame needs a snapshot sequence; a log path does not")
     log = positions.start_at(log, opts.start, opts.snapshot, opts.seq)
 
-    split, n_splits = None, None
-    filters = opts.registry.select("filter").distinct() if opts.registry is not None else opts.filters
+    split, n_splits, one_stream = None, None, opts.stream is not None
+    filters = opts.registry.select(*REGISTRY.intersection(opts.registry.columns)) if opts.registry is not None else opts.filters
     if filters is not None:
         if opts.registry is None:
             check_no_overlap(spark, filters)
         chosen = FilterSet.of(spark, filters)
         log = match_splits(log, chosen, opts.consumer_prefix, tokens=tokens, disjoint=opts.registry is None)
         split, n_splits = "split_id", chosen.size
-    log = positions.stop_at(log, opts.stop, split, n_splits, opts.snapshot, opts.seq)
+        if opts.registry is not None:
+            # A history may hold a filter several times or for other streams: no number of splits.
+            log, n_splits = in_force(log), None
+    log = positions.stop_at(log, opts.stop, split, n_splits, opts.snapshot, opts.seq, one_stream)
+    if opts.ack != "none":
+        log = unacknowledged(log, opts.acks, opts.ack)
     if "consumerSeq" in opts.metadata or "pending" in opts.metadata:
         log = dense_seq(log, ["split_id"], "stream_seq", "consumer_seq", pending="pending")
     if "delivered" in opts.metadata and "delivered" not in log.columns:
         log = with_attempt(log, opts.deliveries)
     if opts.limit is not None:
-        log = first_n(log, opts.limit, physical=opts.seq)
+        if last_block is not None and positions.BLOCK_COLUMN in log.columns:
+            log = _first_blocks(log, opts.limit, last_block)
+        ties = () if one_stream and split is None else positions.tie_columns(log, split)
+        log = first_n(log, opts.limit, physical=opts.seq, ties=ties)
     if opts.watermark is not None:
         log = log.withColumn("event_time", M.event_time(F.col("timestamp"))).withWatermark("event_time", opts.watermark)
     return log

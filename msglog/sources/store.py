@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,8 +17,8 @@ from msglog.schema import ENVELOPE
 
 # Names starting with '_' are skipped when the directory is read as a log.
 HEADS = "_heads"
-# Up to this many streams the newest part of each is looked up on its own.
-MAX_HEAD_SCANS = 32
+# Up to this many streams the newest part of each is looked up by a condition of its own.
+MAX_HEAD_SCANS = 1000
 KEPT_SNAPSHOTS = 8
 
 
@@ -29,7 +29,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="msglog-")
-    return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+    path = os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+    fs, target = _file_system(spark, path)
+    fs.deleteOnExit(target)  # results are read lazily: what is in the folder goes when the application ends
+    return path
 
 
 def saved(frame: DataFrame, purpose: str, under: str | None = None) -> DataFrame:
@@ -127,18 +130,24 @@ def stream_heads(spark: SparkSession, path: str) -> DataFrame:
     known = spark.read.schema("stream STRING, head LONG").parquet(snapshots[-1])
     few = known.limit(MAX_HEAD_SCANS + 1).collect()
     if len(few) <= MAX_HEAD_SCANS:
-        newer = [log.where((F.col("stream") == row.stream) & (F.col(BLOCK_COLUMN) >= row.head // BLOCK)
-                           & (F.col("head") > row.head)) for row in few]
-        newer.append(log.where(~F.col("stream").isin([row.stream for row in few])))
-        found = reduce(DataFrame.unionByName, [part.drop(BLOCK_COLUMN) for part in newer], known)
+        # One scan: each stream is pruned by its own block, however old its head is.
+        newer = [(F.col("stream") == row.stream) & (F.col(BLOCK_COLUMN) >= row.head // BLOCK) & (F.col("head") > row.head)
+                 for row in few]
+        fresh = log.where(_any([~F.col("stream").isin([row.stream for row in few]), *newer]))
     else:
-        streams = known.agg(F.collect_set("stream")).scalar()
-        floor = known.agg(F.min("head")).scalar()
-        found = known.unionByName(
-            log.drop(BLOCK_COLUMN).where(~F.array_contains(streams, F.col("stream")) | (F.col("head") > floor)))
+        old = known.withColumnRenamed("head", "_old")
+        fresh = log.join(old, "stream", "left").where(F.col("_old").isNull() | (F.col("head") > F.col("_old")))
+    found = known.unionByName(fresh.select("stream", "head"))
     return found.groupBy("stream").agg(F.max("head").alias("head"))
 
 
+def _any(conditions: list) -> Column:
+    """A balanced disjunction: a long chain would nest too deep."""
+    while len(conditions) > 1:
+        conditions = [reduce(lambda a, b: a | b, conditions[i:i + 2]) for i in range(0, len(conditions), 2)]
+    return conditions[0]
+
+
 def record_heads(heads: DataFrame, path: str) -> None:
     """Write the heads of all streams as the newest snapshot; a few older ones are kept."""
     spark = heads.sparkSession

@@ -1,12 +1,13 @@
 """Streaming reads and writes with Structured Streaming.
 
 Spark's checkpoint holds the read position; a restarted query continues where its
-last committed batch ended. A batch that is replayed after a failure is absorbed by
-the message-id check of ``publish``.
+last committed batch ended. A batch that is replayed after a failure is known by its
+number, so ``publish`` stores it once, with message ids or without.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from msglog.functions.metadata import event_time
 from msglog.functions.subjects import TokenColumns, matches
-from msglog.operators.publish import publish
+from msglog.operators.positions import start_at
+from msglog.operators.publish import live, publish
 from msglog.operators.splits import FilterSet, match_splits, union_all
+from msglog.sources.store import log_exists
 
 
 def drain(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -55,17 +58,42 @@ def dedupe_stream(log: DataFrame, delay: str | None = None) -> DataFrame:
 
 def consume(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
             registry: Callable[[SparkSession], DataFrame], prefix: str = "consumer",
-            tokens: TokenColumns | None = None, interval: str | None = None) -> StreamingQuery:
+            tokens: TokenColumns | None = None, interval: str | None = None,
+            stored: Callable[[SparkSession], DataFrame] | None = None,
+            start: tuple = ("earliest",)) -> StreamingQuery:
     """Hand every micro-batch, with ``filter``, ``consumer`` and ``split_id``, to ``handle``.
 
-    The ``registry`` of filters is read again for each batch: a filter that was added is read
-    from then on, one that was withdrawn delivers nothing more.
+    The ``registry`` of filters, of one stream or all, is read again for each batch: a filter that
+    was added is read from then on, one that was withdrawn delivers nothing more. With the
+    ``stored`` log, a filter that is met for the first time also delivers what the query passed
+    before it was registered, from the position of ``start`` on. What each batch knew is kept
+    beside the checkpoint by its number, so a replayed batch delivers the same.
     """
+    seen = f"{checkpoint}-filters"
+    schema = "stream STRING, filter STRING, passed LONG, epoch LONG"
 
     def step(batch: DataFrame, epoch: int) -> None:
-        filters = registry(batch.sparkSession).select("filter").distinct()
-        chosen = FilterSet.of(batch.sparkSession, filters)
-        handle(match_splits(batch, chosen, prefix, tokens=tokens), epoch)
+        spark = batch.sparkSession
+        current = live(registry(spark))
+        current = current.select(*[c for c in ("stream", "filter") if c in current.columns]).distinct()
+        out = match_splits(batch, FilterSet.of(spark, current), prefix, tokens=tokens)
+        if stored is None:
+            handle(out, epoch)
+            return
+        past = spark.read.schema(schema).parquet(seen) if log_exists(spark, seen) else spark.createDataFrame([], schema)
+        past = past.where(F.col("epoch") < epoch)
+        keys = [c for c in ("stream", "filter") if c in current.columns]
+        new = current.join(past.where(F.col("filter").isNotNull()).select(*keys).distinct(), keys, "left_anti")
+        passed = past.where(F.col("filter").isNull()).groupBy("stream").agg(F.max("passed").alias("_passed"))
+        missed = start_at(stored(spark), start).join(passed, "stream").where(F.col("stream_seq") <= F.col("_passed"))
+        missed = match_splits(missed.select(*batch.columns), FilterSet.of(spark, new), prefix, tokens=tokens)
+        handle(missed.unionByName(out), epoch)
+        names = new.select(*(F.col(c) if c in keys else F.lit(None).cast("string").alias(c) for c in ("stream", "filter")),
+                           F.lit(None).cast("long").alias("passed"))
+        ends = batch.groupBy("stream").agg(F.max("stream_seq").alias("passed")) \
+            .select("stream", F.lit(None).cast("string").alias("filter"), "passed")
+        known = names.unionByName(ends).withColumn("epoch", F.lit(epoch).cast("long"))
+        known.write.mode("overwrite").parquet(f"{seen}/batch={epoch}")
 
     return _run(stream, step, checkpoint, interval)
 
@@ -84,8 +112,10 @@ def publish_stream(stream: DataFrame, path: str, registry: Callable[[SparkSessio
     and filters take effect while the query runs. Without ``interval`` the query handles
     what is available and stops."""
 
-    def write(batch: DataFrame, _: int) -> None:
+    query = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def write(batch: DataFrame, epoch: int) -> None:
         messages = prepare(batch) if prepare else batch
-        publish(messages, path, registry(batch.sparkSession), **options).discard()
+        publish(messages, path, registry(batch.sparkSession), batch_id=f"{query}-{epoch:012d}", **options).discard()
 
     return _run(stream, write, checkpoint, interval)

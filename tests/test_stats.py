@@ -14,13 +14,13 @@ def log(spark):
                   + [message(1, "t.a", b"yy", stream="t")])
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_last_per_subject(log, monkeypatch, few):
-    if not few:
-        monkeypatch.setattr(stats, "BROADCAST_ROWS", 0)
+def test_last_per_subject(spark, log):
     rows = stats.last_per_subject(log, ["msg_id", "data"]).collect()
     assert {r.subject: (r.stream_seq, r.msg_id, len(r.data)) for r in rows} == \
         {"s.a": (8, "8", 8), "s.b": (9, "9", 9), "t.a": (1, None, 2)}
+    twice = log_of(spark, [message(5, "a", stream="x"), message(5, "a", stream="y"), message(6, None, stream="x"), message(4, "a", stream="x")])
+    got = sorted(((r.stream, r.subject or "", r.stream_seq) for r in stats.last_per_subject(twice, []).collect()))
+    assert got == [("x", "", 6), ("x", "a", 5), ("y", "a", 5)]
 
 
 def test_stream_info(log):

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 import string
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from fixtures import START, column, log_of, message
@@ -64,13 +64,18 @@ def test_a_restart_neither_loses_nor_repeats(spark, path):
     assert run() == list(range(1, 61))
 
 
-def test_start_latest_on_a_stream_needs_a_snapshot(spark, path):
+def test_start_latest_on_a_stream(spark, path):
     append(spark, path, 1, ["x"] * 5, "s.a")
     with pytest.raises(ValueError, match="snapshot"):
-        read_log(spark, path, start=("latest",), stop=("never",))
+        read_log(spark, frame=open_stream(spark, path), start=("latest",), stop=("never",))
+    for n, options in enumerate(({}, {"stream": "s"}, {"stream": "new"})):
+        live = read_log(spark, path, start=("latest",), stop=("never",), metadata=["streamSeq"], **options)
+        append(spark, path, 6 + n, ["y"], "s.a")
+        flows.drain(live, f"{path}-live{n}", f"{path}-live{n}-checkpoint")
+        assert column(spark.read.schema(live.schema).parquet(f"{path}-live{n}"), "streamSeq") == ([6 + n] if n < 2 else [])
     stream = read_log(spark, path, start=("latest",), snapshot=3, stop=("never",), metadata=["streamSeq"])
     flows.drain(stream, f"{path}-out", f"{path}-checkpoint")
-    assert sorted(column(spark.read.parquet(f"{path}-out"), "streamSeq")) == [4, 5]
+    assert sorted(column(spark.read.parquet(f"{path}-out"), "streamSeq")) == [4, 5, 6, 7, 8]
 
 
 def test_a_poll_is_bounded_one_way_only(spark, path):
@@ -173,3 +178,51 @@ def test_dedupe_stream_then_publish(spark, path):
     flows.publish_stream(messages, f"{path}-t", registry, f"{path}-c", dedupe=False).awaitTermination()
     assert sorted(column(open_log(spark, f"{path}-t"), "stream_seq")) == [1, 2, 3, 4]
     assert W.OK == "ok"
+
+
+def test_a_replayed_batch_without_ids_is_stored_once(spark, path):
+    batch = log_of(spark, [message(i, "s.a", b"x") for i in range(1, 4)]).drop("stream", "stream_seq")
+    for epoch, total in (("q-0", 3), ("q-0", 3), ("q-1", 6), ("q-0", 6), ("q-1", 6)):
+        result = W.publish(batch, path, registry(spark), batch_id=epoch)
+        assert open_log(spark, path).count() == total and set(result.counts) == {"ok", "duplicate", "failed"}
+        assert result.messages.columns is not None
+        result.discard()
+    assert sorted(column(open_log(spark, path), "stream_seq")) == list(range(1, 7))
+
+
+def test_a_late_filter_is_caught_up_once(spark, path):
+    known, got = ["s.a"], []
+
+    def filters(session):
+        return session.createDataFrame([("s", f) for f in known], "stream string, filter string")
+
+    def handle(batch, epoch):
+        got.extend((r.subject, r.stream_seq) for r in batch.select("subject", "stream_seq").collect())
+
+    def run():
+        flows.consume(open_stream(spark, path), handle, f"{path}-checkpoint", filters,
+                      stored=lambda session: open_log(session, path)).awaitTermination()
+
+    append(spark, path, 1, ["x"] * 2, "s.a")
+    append(spark, path, 3, ["x"] * 2, "s.b")
+    run()
+    assert sorted(got) == [("s.a", 1), ("s.a", 2)]
+    known.append("s.b")
+    append(spark, path, 5, ["x"], "s.b")
+    run()
+    assert sorted(got) == [("s.a", 1), ("s.a", 2), ("s.b", 3), ("s.b", 4), ("s.b", 5)]
+    known.clear()  # no filters deliver nothing
+    append(spark, path, 6, ["x"], "s.b")
+    run()
+    assert len(got) == 5
+
+
+def test_the_watermark_of_a_union_is_that_of_its_slower_filter(spark, path):
+    rows = [message(i, "s.fast", b"", at=datetime(2024, 1, 1, i)) for i in range(1, 13)]
+    rows += [message(20 + i, "s.slow", b"", at=datetime(2024, 1, 1, i)) for i in range(1, 4)]
+    append_log(log_of(spark, rows), path)
+    merged = flows.split_watermarks(lambda: open_stream(spark, path), ["s.fast", "s.slow"], "10 minutes")
+    hourly = merged.groupBy(F.window("event_time", "1 hour").alias("w")).agg(F.count("*").alias("n")).select("w.end", "n")
+    flows.drain(hourly, f"{path}-hours", f"{path}-hours-checkpoint")
+    closed = spark.read.schema(hourly.schema).parquet(f"{path}-hours")
+    assert closed.agg(F.max("end")).first()[0] <= datetime(2024, 1, 1, 3) and closed.count() > 0
