@@ -1,11 +1,12 @@
 """A hidden Markov language model: Baum-Welch over all training texts, exact likelihood of every text.
 
 Model: a state emits a class of words, the class emits the word. A word's class is the hash of the
-word (``2**class_bits`` classes, the end of a text has one of its own), so emission tables are
-bounded whatever the vocabulary. Within its class a word has the probability
-(c + 0.5) / (sum over the class of (c + 0.5) + 0.5), c its count in the training tokens; the last
-0.5 is for words never seen. States, transitions and emissions are trained by Baum-Welch; emissions
-are smoothed towards the classes' overall shares, so with one state the model is the unigram model.
+word (``2**class_bits`` classes), the end of a text and all words never seen have one each of their
+own, so emission tables are bounded whatever the vocabulary. Within its class a word has the
+probability (c + 0.5) / (sum over the class of (c + 0.5)), c its count in the training tokens; the
+class of unseen words has 0.5, and its share is the same in all states. States, transitions and
+emissions are trained by Baum-Welch; emissions are smoothed towards the classes' overall shares, so
+with one state the model is the unigram model.
 
 Training: each task runs the scaled forward and backward recursions over its texts and adds up the
 expected counts; Spark sums them by class, the driver gets one row for each class and normalises.
@@ -53,7 +54,8 @@ class Settings:
 
     @property
     def classes(self) -> int:
-        return (1 << self.class_bits) + 1
+        """Hashed classes, then the end, then unseen words."""
+        return (1 << self.class_bits) + 2
 
 
 @dataclass(frozen=True)
@@ -97,7 +99,7 @@ def coded(docs: DataFrame, held_out: Column, settings: Settings) -> tuple[DataFr
 
         def flush() -> Iterator[pa.RecordBatch]:
             listed = list(vocabulary)
-            of = np.array([classes - 1 if w == END else xxhash.xxh64_intdigest(w, 42) & (classes - 2) for w in listed], dtype=np.uint16)
+            of = np.array([classes - 2 if w == END else xxhash.xxh64_intdigest(w, 42) & (classes - 3) for w in listed], dtype=np.uint16)
             n = np.zeros(len(listed), dtype=np.int64)
             for c, h in zip(codes, held, strict=True):
                 if not h:
@@ -238,18 +240,24 @@ def _counts_of(texts: DataFrame, model: Hmm, settings: Settings) -> tuple[np.nda
     return total[-1], total[classes:classes + k], total[:classes]
 
 
+def _emissions(weights: np.ndarray, unseen: float) -> np.ndarray:
+    """Columns that sum to one, with the same share of unseen words in each."""
+    out = np.zeros_like(weights)
+    total = weights[:-1].sum(axis=0)
+    out[:-1] = weights[:-1] / np.where(total > 0, total, 1) * (1 - unseen)
+    out[-1] = unseen
+    return out
+
+
 def train(texts: DataFrame, shares: np.ndarray, settings: Settings) -> Hmm:
-    """Baum-Welch from a seeded start; ``shares`` are the classes' shares of the training tokens."""
+    """Baum-Welch from a seeded start; ``shares`` are the classes' shares, that of unseen words last."""
     k, rng = settings.states, np.random.default_rng(settings.seed)
-    emit = shares[:, None] * np.exp(rng.normal(0.0, 0.5, (len(shares), k)))
-    model = Hmm(np.full(k, 1 / k), np.full((k, k), 0.1 / k) + 0.9 * np.eye(k), emit / emit.sum(axis=0))
-    for _ in range(settings.iterations):
+    emit = _emissions(shares[:, None] * np.exp(rng.normal(0.0, 0.5, (len(shares), k))), shares[-1])
+    model = Hmm(np.full(k, 1 / k), np.full((k, k), 0.1 / k) + 0.9 * np.eye(k), emit)
+    for _ in range(settings.iterations if shares[-1] < 1 else 0):
         start, moves, emissions = _counts_of(texts, model, settings)
-        if not emissions.any():
-            break
-        smooth = emissions + settings.smoothing * shares[:, None]
         model = Hmm((start + 1) / (start + 1).sum(), (moves + 0.1) / (moves + 0.1).sum(axis=1, keepdims=True),
-                    smooth / smooth.sum(axis=0))
+                    _emissions(emissions + settings.smoothing * shares[:, None], shares[-1]))
     return model
 
 
@@ -265,10 +273,11 @@ def scores(docs: DataFrame, held_out: Column, settings: Settings = Settings()) -
     by_class = (counts.where(known).groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("n"))
                 .toPandas())  # a row for each class at most
     tokens, distinct = int(by_class["c"].sum()), int(by_class["n"].sum())
-    mass = np.full(settings.classes, 0.5)
-    mass[by_class["class"].to_numpy(dtype=np.int64)] += (by_class["c"] + 0.5 * by_class["n"]).to_numpy(dtype=np.float64)
+    mass = np.zeros(settings.classes)
+    mass[by_class["class"].to_numpy(dtype=np.int64)] = (by_class["c"] + 0.5 * by_class["n"]).to_numpy(dtype=np.float64)
+    mass[-1] = 0.5
     model = train(texts, mass / mass.sum(), settings)
-    sent = docs.sparkSession.sparkContext.broadcast((model, np.log10(mass)))
+    sent = docs.sparkSession.sparkContext.broadcast((model, np.log10(np.where(mass > 0, mass, 1))))
     base_log = math.log10(tokens + 0.5 * (distinct + 1))
 
     def score(texts: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
@@ -277,6 +286,7 @@ def scores(docs: DataFrame, held_out: Column, settings: Settings = Settings()) -
         c, of = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
         c[counts["code"].to_numpy()] = counts["c"].to_numpy()
         of[counts["code"].to_numpy()] = counts["class"].to_numpy()
+        of[c == 0] = len(log_mass) - 1
         log_c = np.log10(c + 0.5)
         codes = [np.frombuffer(x, dtype="<i4") for x in texts["codes"]]
         own = np.array([log_c[x].sum() for x in codes])

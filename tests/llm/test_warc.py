@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import gzip
+import hashlib
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from msglog.llm import queries, warc
+from msglog.llm.common import shared_dir
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+SMALL = "/root/testdata/sf0.001"
+SAME = "<p>" + "é" * 600
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    rows = [(1, "http://A.b.org/x y", SAME), (3, "http://a.b.org/{1}", SAME), (3, "http://a.b.org/{1}", SAME), (None, None, None),
+            (5, "x\ny", ""), (2, None, SAME), (6, "http://c.org/", "short"), (7, "http://c.org/", "short"), (8, "http://c.org/", "z" * 200_000)]
+    return spark.createDataFrame([(*r, "k", 1) for r in rows], "page_id long, url string, html string, key string, block int")
+
+
+def test_query_agrees_with_its_sql(spark):
+    from check_oracles import compare, connect
+
+    name = "op5_warc_capture_index"
+    assert compare(queries.QUERIES[name](spark, SMALL), connect(SMALL), queries.ORACLES[name]) is None
+
+
+def test_round_trip(pages):
+    got = warc.archive_and_read(pages).collect()
+    want = []
+    for r in pages.collect():
+        body = (r.html or "").encode()
+        revisit = r.html == SAME and r.page_id != 3
+        want.append((r.page_id, len(body), hashlib.sha1(body).hexdigest(), "revisit" if revisit else "response", 3 if revisit else None))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("directory", [0, 1 << 20])
+def test_look_ups_by_url_and_by_capture(spark, pages, directory):
+    folder = shared_dir(spark, "warc")
+    blocks = warc.build_index(warc.write_archives(pages, folder), block_lines=2)
+    assert blocks.count() >= 4
+
+    def ids(*prefixes):
+        wanted = spark.createDataFrame([(p,) for p in prefixes], "prefix string")
+        return sorted(r.page_id or 0 for r in warc.read_records(warc.look_up(blocks, wanted, directory), folder).collect())
+
+    assert ids(warc.surt("http://C.org/") + " ") == [6, 7, 8]
+    assert ids(warc.capture_key("http://c.org/", 7)) == [7]
+    assert ids(warc.surt("http://a.b.org/{1}") + " ", warc.surt("http://c.org/") + " ", warc.capture_key(None, None)) == [0, 3, 3, 6, 7, 8]
+    assert ids(warc.surt("http://nowhere.org/") + " ") == []
+
+
+def test_archives_are_plain_gzip_members_that_ranges_hit(spark, pages):
+    folder = shared_dir(spark, "warc")
+    captures = warc.write_archives(pages, folder).collect()
+    for c in captures:
+        data = Path(folder.removeprefix("file:"), c.archive).read_bytes()
+        assert gzip.decompress(data).count(b"WARC/1.1\r\n") >= 1
+        assert gzip.decompress(data[c.offset:c.offset + c.length]).startswith(b"WARC/1.1\r\n")
+
+
+def test_damage_is_noticed():
+    record = bytearray(gzip.decompress(warc._record(1, "http://a/", b"payload", hashlib.sha1(b"other").hexdigest(), None)))
+    with pytest.raises(ValueError):
+        warc.parse_record(gzip.compress(bytes(record)))
+
+
+def test_no_pages(pages):
+    assert warc.archive_and_read(pages.limit(0)).count() == 0
+    assert warc.planned(pages).where(F.col("refers_to").isNotNull()).count() == 2
