@@ -49,8 +49,10 @@ DATE = "1970-01-01T00:00:00Z"  # pages carry no capture time
 
 
 def surt(url: str | None) -> str:
-    """The sort key of a url: host labels reversed, then the rest."""
-    head, mark, rest = (url or "").partition("://")
+    """The sort key of a url: host labels reversed, then the rest, escaped."""
+    # Spaces, line ends and braces end the parts of an index line.
+    url = re.sub(r"[ \n{]", lambda m: f"%{ord(m[0]):02X}", url or "")
+    head, mark, rest = url.partition("://")
     if not mark:
         return head
     host = re.match(r"[^/?#]*", rest)[0]
@@ -60,7 +62,7 @@ def surt(url: str | None) -> str:
 def capture_key(url: str | None, page_id: int | None) -> str:
     """The index key of one capture; spaces only end its parts."""
     number = "" if page_id is None else f"{page_id + (1 << 63):020d}"
-    return f"{surt(url).replace(' ', '%20')} {number} "
+    return f"{surt(url)} {number} "
 
 
 def _record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
@@ -170,7 +172,7 @@ def build_index(captures: DataFrame, block_lines: int = BLOCK_LINES) -> DataFram
                                               names=["block", "first_key", "lines"])
 
         for batch in batches:
-            held += [key.replace("{", "%7B").replace("\n", "%0A") + json.dumps({"a": a, "o": o, "n": n})
+            held += [key + json.dumps({"a": a, "o": o, "n": n})
                      for key, a, o, n in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
             while len(held) >= block_lines:
                 yield flush(held[:block_lines])
@@ -186,10 +188,6 @@ def _lines(packed: bytes) -> list[str]:
     return zlib.decompress(packed).decode("utf-8", "surrogatepass").split("\n")
 
 
-def _stored(prefix: str) -> str:
-    return prefix.replace("{", "%7B").replace("\n", "%0A")
-
-
 def look_up(blocks: DataFrame, prefixes: DataFrame, max_directory: int = MAX_DIRECTORY) -> DataFrame:
     """Captures (archive, offset, length) whose key starts with one of ``prefixes(prefix)``: a
     :func:`capture_key`, or :func:`surt` and a space for all captures of a url."""
@@ -208,11 +206,10 @@ def look_up(blocks: DataFrame, prefixes: DataFrame, max_directory: int = MAX_DIR
                     keys = [line.split("{")[0] for line in lines]
                     rows = [(p, *c) for k, c in zip(keys, captures(lines), strict=True) for p in {k, k[:k.rindex(" ", 0, -1) + 1]}]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)],
-                                                     names=["stored", "archive", "offset", "length"])
+                                                     names=["prefix", "archive", "offset", "length"])
 
-        stored = F.regexp_replace(F.regexp_replace("prefix", r"\{", "%7B"), "\n", "%0A")
-        return (blocks.select("lines").mapInArrow(opened, "stored string, " + found)
-                .join(wanted.select(stored.alias("stored")).distinct(), "stored").drop("stored").distinct())
+        return (blocks.select("lines").mapInArrow(opened, "prefix string, " + found)
+                .join(wanted, "prefix").drop("prefix").distinct())
 
     directory = sorted((r.first_key, r.block) for r in blocks.select("first_key", "block").collect())  # bounded by max_directory
     sent = blocks.sparkSession.sparkContext.broadcast(([k for k, _ in directory], [b for _, b in directory]))
@@ -221,7 +218,7 @@ def look_up(blocks: DataFrame, prefixes: DataFrame, max_directory: int = MAX_DIR
         keys, numbers = sent.value
         for batch in batches:
             rows = []
-            for prefix in map(_stored, batch.column(0).to_pylist()):
+            for prefix in batch.column(0).to_pylist():
                 first = max(0, bisect.bisect_left(keys, prefix) - 1)
                 for at in range(first, bisect.bisect_right(keys, prefix + "\U0010ffff")):
                     rows.append((numbers[at], prefix))
