@@ -132,12 +132,14 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int = 20_0
                 ends = np.searchsorted(pairs, np.arange(1, len(part) + 1) << bits)
                 for i, one in zip(part, np.split((pairs & ((1 << bits) - 1)).astype(np.int32), ends[:-1]), strict=True):
                     rows.append((one, toxic[i]))
-        bias, kept, weight = fit_ftrl(rows, bits, rates) if rows else (-1e-6, np.zeros(0, np.int64), np.zeros(0))
+        bias, kept, weight = fit_ftrl(rows, bits, rates) if rows else (-1e-6, np.zeros(0, np.int64), np.zeros(0))  # an empty task
         yield pa.RecordBatch.from_arrays([pa.array(np.append(kept, -1)), pa.array(np.append(weight, bias))],
                                          names=["feature", "weight"])
 
     got = (sample.repartition(1).sortWithinPartitions("place", "doc_id")
            .mapInArrow(train, "feature long, weight double").toPandas().sort_values("feature"))
+    if not len(got):  # no labelled rows, no task
+        return Model(bits, -1e-6, np.zeros(0, np.int64), np.zeros(0))
     return Model(bits, float(got["weight"].iloc[0]), got["feature"].to_numpy()[1:], got["weight"].to_numpy()[1:])
 
 
