@@ -15,12 +15,11 @@ from pyspark.sql import types as T
 
 from msglog.operators.sequence import first_n
 from msglog.operators.splits import hinted
+from msglog.schema import BLOCK, BLOCK_COLUMN
+from msglog.sources.store import saved
 
 # A physical column that equals the sequence minus an offset, for tables read as logs.
 SeqColumn = tuple[str, int]
-# Stored logs are partitioned by blocks of this many sequence numbers.
-BLOCK = 1 << 26
-BLOCK_COLUMN = "seq_block"
 
 START_RULES = ("earliest", "latest", "time", "seq")
 STOP_RULES = ("never", "latest", "seq", "time", "count")
@@ -124,10 +123,10 @@ def stop_at(log: DataFrame, rule: tuple, split: str | None = None, n_splits: int
     if kind == "count":
         return first_n(log, rule[1], physical=seq, ties=() if one_stream and not split else tie_columns(log, split))
     if split is None and one_stream:
-        cuts = stop_cuts(log.withColumn("_all", F.lit(0)), rule, "_all", seq)
-        return _until(log, cuts, 1, seq)
+        return _until(log, stop_cuts(log.withColumn("_all", F.lit(0)), rule, "_all", seq), 1, seq)
     split = split or "stream"
-    cuts = stop_cuts(log, rule, split, seq)
+    # One row per split, found in one pass over sequences and written out: it is used twice below.
+    cuts = saved(stop_cuts(log, rule, split, seq), "cuts")
     if one_stream and n_splits is not None:
         log = _until(log, cuts, n_splits, seq)
     return (log.join(hinted(cuts, n_splits if one_stream else None), split, "left")

@@ -56,3 +56,7 @@ PROGRESS = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("epoch", T.LongType()),
 ])
+
+# Stored logs are partitioned by blocks of this many sequence numbers.
+BLOCK = 1 << 26
+BLOCK_COLUMN = "seq_block"

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from msglog.functions.subjects import TokenColumns
-from msglog.operators.positions import BLOCK, BLOCK_COLUMN
-from msglog.schema import ENVELOPE
+from msglog.schema import BLOCK, BLOCK_COLUMN, ENVELOPE
 
 # Names starting with '_' are skipped when the directory is read as a log.
 HEADS = "_heads"
