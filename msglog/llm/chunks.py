@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from msglog.llm.common import free_name
+from msglog.llm.common import free_name, saved
 
 MIN_WORDS = 24
 WINDOW = 12
@@ -142,11 +142,14 @@ def repeated_chunks(rows: DataFrame, min_words: int = MIN_WORDS, window: int = W
     """Chunks whose digest stands in two places or more, with ``copies``, ``first_doc_id`` and
     ``first`` (whether this is the first place, by doc_id and position).
 
-    The chunks are made twice, once to count and once to join: that is cheaper than keeping them.
+    The chunks are made twice, once to count and once to join: that is cheaper than keeping them. The
+    shared digests are written out, so that both sides of the join are plain shuffles and AQE can
+    split a digest that many chunks have.
     """
     place = F.struct(F.col("doc_id").alias("first_doc_id"), F.col("start_word").alias("first_word"))
-    shared = (chunks(rows, min_words, window).groupBy(*DIGEST).agg(F.count("*").alias("copies"), F.min(place).alias("place"))
-              .where("copies > 1").select(*DIGEST, "copies", "place.*"))
+    shared = saved(chunks(rows, min_words, window).groupBy(*DIGEST)
+                   .agg(F.count("*").alias("copies"), F.min(place).alias("place"))
+                   .where("copies > 1").select(*DIGEST, "copies", "place.*"), "digests")
     return (chunks(rows, min_words, window).join(shared, DIGEST)
             .withColumn("first", F.col("doc_id").eqNullSafe(F.col("first_doc_id"))
                         & (F.col("start_word") == F.col("first_word"))))
