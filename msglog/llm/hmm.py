@@ -16,7 +16,7 @@ long texts be processed side by side. Scoring runs the forward recursion over wh
 Scale: texts are read once and coded against the vocabulary of their block (about ``block_bytes`` of
 text). The vocabularies meet in one shuffle, one row for each word and block, where a window over a
 word adds up its counts; a common word has a row per block, not per token. The counts go back to
-their blocks, and a block is scored by one task. All iterations read the coded texts, one 16-bit
+their blocks as arrays, and a block is scored by one task. All iterations read the coded texts, one 16-bit
 class for each token, from the shared folder.
 
 Defined cases: NULL and empty texts are the end token alone; repeated rows are learned and scored
@@ -136,15 +136,60 @@ def coded(docs: DataFrame, held_out: Column, settings: Settings) -> tuple[DataFr
     return texts, everything.where("kind = 1").select("block", "word", "code", "n", "class")
 
 
-def counted(vocabularies: DataFrame) -> DataFrame:
-    """Rows (block, code, class, c, once): a word's count over all blocks; ``once`` in one block only."""
-    spark = vocabularies.sparkSession
+PACKED = "kind int, block long, codes binary, classes binary, counts binary, class int, c long, n long"
+
+
+def counted(vocabularies: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """Counts over all blocks, from files in the shared folder: for each block (block, codes,
+    classes, counts), packed, and for each class (class, c, n), the tokens and words of the class.
+
+    Words meet in one shuffle; what goes back to a block are arrays, of each task one or a few.
+    """
+    spark, classes = vocabularies.sparkSession, settings.classes
+    names = [c.split()[0] for c in PACKED.split(", ")]
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int64()]
+
+    def batch_of(rows: int, **columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[c], t) if c in columns else pa.nulls(rows, t) for c, t in zip(names, kinds, strict=True)], names=names)
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, distinct = np.zeros(classes, dtype=np.int64), np.zeros(classes, dtype=np.int64)
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            block, code, of, c, once = (np.concatenate([x.column(i).to_numpy(zero_copy_only=False) for x in held]) for i in range(5))
+            own = once & (c > 0)
+            np.add.at(tokens, of[own], c[own])
+            np.add.at(distinct, of[own], 1)
+            order = np.argsort(block, kind="stable")
+            cuts = np.flatnonzero(np.diff(block[order])) + 1
+            parts = np.split(order, cuts)
+            return batch_of(len(parts), kind=[0] * len(parts), block=[int(block[p[0]]) for p in parts],
+                            codes=[code[p].astype("<i4").tobytes() for p in parts], classes=[of[p].astype("<u2").tobytes() for p in parts],
+                            counts=[c[p].astype("<i8").tobytes() for p in parts])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size >= 1_000_000:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
+        some = np.flatnonzero(distinct)
+        yield batch_of(len(some), kind=[1] * len(some), **{"class": some, "c": tokens[some], "n": distinct[some]})
+
     of_word = Window.partitionBy("word")
     rows = vocabularies.select("block", "code", "class", F.sum("n").over(of_word).alias("c"),
                                (F.row_number().over(of_word.orderBy("block")) == 1).alias("once"))
     path = shared_dir(spark, "counted")
-    rows.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    rows.mapInArrow(step, PACKED).write.partitionBy("kind").option("compression", "zstd").parquet(path)
+    everything = spark.read.schema(PACKED).parquet(path)
+    by_class = everything.where("kind = 1").groupBy("class").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
+    return everything.where("kind = 0").select("block", "codes", "classes", "counts"), by_class
 
 
 def _by_length(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,33 +218,46 @@ def forward(sequences: list[np.ndarray], model: Hmm) -> np.ndarray:
 
 
 def expected(sequences: list[np.ndarray], model: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, transitions (from, to) and emissions (class, state) of the sequences."""
+    """Expected starts, transitions (from, to) and emissions (class, state) of the sequences.
+
+    Tokens lie step by step, the longest sequences first, so a step is a slice; single precision
+    holds, as every step is scaled.
+    """
     lengths = np.array([len(s) for s in sequences], dtype=np.int64)
     order, active = _by_length(lengths)
-    flat = np.concatenate(sequences)
     base = (np.cumsum(lengths) - lengths)[order]
-    states = len(model.start)
-    kept, symbols, scales = [], [], []
-    a = None
-    for t, n in enumerate(active.tolist()):
-        symbols.append(flat[base[:n] + t])
-        a = (np.broadcast_to(model.start, (n, states)) if a is None else a[:n] @ model.move) * model.emit[symbols[-1]]
-        scale = a.sum(axis=1, keepdims=True)
-        a = a / scale
-        kept.append(a)
-        scales.append(scale)
+    symbol = np.concatenate(sequences)[np.concatenate([base[:n] + t for t, n in enumerate(active.tolist())])]
+    emit = model.emit.astype(np.float32)[symbol]
+    start, move, states = model.start.astype(np.float32), model.move.astype(np.float32), len(model.start)
+    back, ones = np.ascontiguousarray(move.T), np.ones(states, dtype=np.float32)
+    gamma, scale = np.empty_like(emit), np.empty((len(symbol), 1), dtype=np.float32)
+    ends = np.cumsum(active)
+    steps = list(zip((ends - active).tolist(), ends.tolist(), strict=True))
+    before = None
+    for a, b in steps:
+        here = gamma[a:b]
+        if before is None:
+            np.multiply(emit[a:b], start, out=here)
+        else:
+            np.matmul(before[:b - a], move, out=here)
+            here *= emit[a:b]
+        scale[a:b, 0] = here @ ones
+        here /= scale[a:b]
+        before = here
+    emit /= scale
     moves = np.zeros((states, states))
-    after = np.zeros((0, states))  # emission times backward probability of the next step, scaled
-    for t in range(len(kept) - 1, -1, -1):
-        beta = np.ones_like(kept[t])
-        if len(after):
-            beta[:len(after)] = after @ model.move.T
-            moves += kept[t][:len(after)].T @ after
-        after = model.emit[symbols[t]] * beta / scales[t]
-        kept[t] = kept[t] * beta
-    gamma, symbol = np.concatenate(kept), np.concatenate(symbols)
+    after = None  # emission times backward probability of the next step, scaled
+    for a, b in reversed(steps):
+        now = emit[a:b].copy()
+        if after is not None:
+            n = len(after)
+            moves += gamma[a:a + n].T @ after
+            beta = after @ back
+            gamma[a:a + n] *= beta
+            now[:n] *= beta
+        after = now
     emissions = np.stack([np.bincount(symbol, weights=gamma[:, k], minlength=len(model.emit)) for k in range(states)], axis=1)
-    return kept[0].sum(axis=0), moves * model.move, emissions
+    return gamma[:steps[0][1]].sum(axis=0, dtype=np.float64), moves * model.move, emissions
 
 
 def _counts_of(texts: DataFrame, model: Hmm, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -268,10 +326,8 @@ def scores(docs: DataFrame, held_out: Column, settings: Settings = Settings()) -
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of all documents;
     the model learns from those that are not held out. Scores are log10 probabilities."""
     texts, vocabularies = coded(docs, held_out, settings)
-    counts = counted(vocabularies)
-    known = F.col("once") & (F.col("c") > 0)
-    by_class = (counts.where(known).groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("n"))
-                .toPandas())  # a row for each class at most
+    counts, by_class = counted(vocabularies, settings)
+    by_class = by_class.toPandas()  # a row for each class at most
     tokens, distinct = int(by_class["c"].sum()), int(by_class["n"].sum())
     mass = np.zeros(settings.classes)
     mass[by_class["class"].to_numpy(dtype=np.int64)] = (by_class["c"] + 0.5 * by_class["n"]).to_numpy(dtype=np.float64)
@@ -282,10 +338,10 @@ def scores(docs: DataFrame, held_out: Column, settings: Settings = Settings()) -
 
     def score(texts: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         model, log_mass = sent.value
-        size = int(counts["code"].max()) + 1 if len(counts) else 0
-        c, of = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
-        c[counts["code"].to_numpy()] = counts["c"].to_numpy()
-        of[counts["code"].to_numpy()] = counts["class"].to_numpy()
+        code, c_of, class_of = (np.concatenate([np.frombuffer(x, dtype=kind) for x in counts[name]] or [np.zeros(0, dtype=kind)])
+                                for name, kind in (("codes", "<i4"), ("counts", "<i8"), ("classes", "<u2")))
+        c, of = np.zeros(len(code), dtype=np.int64), np.zeros(len(code), dtype=np.int64)
+        c[code], of[code] = c_of, class_of  # a block's codes are 0, 1, 2, ...
         of[c == 0] = len(log_mass) - 1
         log_c = np.log10(c + 0.5)
         codes = [np.frombuffer(x, dtype="<i4") for x in texts["codes"]]
@@ -299,4 +355,4 @@ def scores(docs: DataFrame, held_out: Column, settings: Settings = Settings()) -
             "base_score": own - n * base_log, "score": own - inside + forward([of[x] for x in codes], model)})
 
     return (texts.select("block", "doc_id", "held_out", "codes").groupBy("block")
-            .cogroup(counts.select("block", "code", "class", "c").groupBy("block")).applyInPandas(score, SCORES))
+            .cogroup(counts.groupBy("block")).applyInPandas(score, SCORES))
