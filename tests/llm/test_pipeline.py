@@ -42,11 +42,11 @@ def corpus(spark, tmp_path_factory, prose):
     spark.createDataFrame(rows, DOCUMENT).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
-    return folder, texts, kind, shared
+    return folder, texts, kind, shared, benchmark[2][1]
 
 
 def test_each_stage_takes_effect_and_keeps_clean_documents(spark, corpus, tmp_path):
-    folder, texts, kind, shared = corpus
+    folder, texts, kind, shared, item = corpus
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = []
     for n, (name, stage) in enumerate(corpus_pipeline.STAGES):
@@ -65,7 +65,9 @@ def test_each_stage_takes_effect_and_keeps_clean_documents(spark, corpus, tmp_pa
     assert sum(shared in t for t in cut.values() if t) == 1 and all(cut[i] == single[i] for i in of["clean"] & set(cut))
     for i in sorted(of["shares"] & set(cut))[1:]:
         assert len(cut[i].split()) <= len(texts[i].split()) - 40
-    assert set(cut) - set(clean) == of["benchmark"] & set(cut)
+    # Most copies of the item went as a repeated passage; the documents that still held one are gone.
+    dropped = set(cut) - set(clean)
+    assert dropped and dropped <= of["benchmark"] and not any(item in t for t in clean.values() if t)
     assert set(packed) == set(clean)
 
 
