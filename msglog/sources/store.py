@@ -30,8 +30,9 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="msglog-")
     path = os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
     fs, target = _file_system(spark, path)
+    fs.mkdirs(target)
     fs.deleteOnExit(target)  # results are read lazily: what is in the folder goes when the application ends
-    return path
+    return os.path.join(path, "files")
 
 
 def saved(frame: DataFrame, purpose: str, under: str | None = None) -> DataFrame:
