@@ -246,11 +246,12 @@ def near_classes(docs: DataFrame, key: str = "doc_id", k: int = 3, radius: int =
     node = F.col("f0") if n_words == 1 else F.xxhash64(*names)
     distinct = saved(prints.groupBy(*names).agg(F.min("key").alias("low")).withColumn("node", node), "distinct")
     roots = components(links(distinct.select("node", *names), radius, n_words, block_bits, piece))
-    root = F.coalesce("root", "node")
-    classed = distinct.join(roots, "node", "left").select(*names, "low", root.alias("root"), F.col("root").isNotNull().alias("linked"))
-    # Only linked fingerprints (and the roots they name) need the minimum over others.
-    lows = classed.groupBy("root").agg(F.min("low").alias("class"))
-    by_print = classed.join(lows, "root").select(*names, "class")
+    members = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    # The smallest keys of the components are written out: both sides of the joins below are plain
+    # shuffles then, and AQE can split a component or a fingerprint that many rows have.
+    lows = saved(members.join(distinct.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("lowest")), "lows")
+    by_print = saved(distinct.join(members, "node", "left").join(lows, "root", "left")
+                     .select(*names, F.when(F.col("root").isNull(), F.col("low")).otherwise(F.col("lowest")).alias("class")), "classes")
     return prints.join(by_print, names)
 
 
