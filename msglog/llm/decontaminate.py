@@ -1,20 +1,22 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Seeds: every test item is a list of words (letters and digits, A-Z lowered). Its ``n``-grams are
-counted over all documents. An n-gram is a seed if at most ``rare`` of the documents hold it, or if
-it is the rarest one of some ``stretch`` consecutive n-grams of its item: an item that is copied
-everywhere, or consists of common words, keeps seeds in all its parts.
+Seeds: every test item is a list of words (letters and digits, A-Z lowered), and each of its
+``n``-grams is a seed. None is left out for being common: an edited copy may hold no other. (The
+thinned seeds of :meth:`Items.seeds`, which ``rare`` and ``stretch`` belong to, are not used here.)
 
 Join: hashed seeds meet the n-grams of all documents. Each meeting fixes a diagonal of the document
 against the item; meetings of one item whose windows overlap are one window, the item's length and
-``slack`` words to either side. In the window, Smith-Waterman over words (match 2, mismatch -1,
-gap -1) gives the best local alignment; its share of the item's own score is the row's ``score``,
-and ``min_score`` or more makes a hit.
+``slack`` words to either side. A window is left out when the words it shares with the item, repeats
+counted, could not reach ``min_score`` if all of them matched; this loses nothing. In the others,
+Smith-Waterman over words (match 2, mismatch -1, gap -1) gives the best local alignment; its share
+of the item's own score is the row's ``score``, and ``min_score`` or more makes a hit.
+
+Limit: a copy that shares no ``n`` words in a row with its item has no seed and is not found.
 
 Scale: items come in blocks of ``block_items``, counted, so what is sent to the tasks is bounded; a
-longer benchmark takes more scans. A document is aligned in the task that read it: texts are not
-shuffled, and the only shuffle is that of the n-gram counts, of which a task gives one per n-gram of
-the block. Windows are scored together, anti-diagonal by word of the item, in slices of bounded size.
+longer benchmark takes more scans. A document is aligned in the task that read it: nothing is
+shuffled. Meetings are gathered for ``MEETINGS`` at a time, and windows are scored together,
+anti-diagonal by word of the item, in slices of bounded size.
 
 Defined cases: NULL and empty texts or items give no rows; items shorter than ``n`` words are seeded
 whole; equal items each get their rows; repeated document rows give repeated hits; an empty table
@@ -38,6 +40,7 @@ from msglog.llm.common import ranges, slices
 _KEEP = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 MATCH, MISMATCH, GAP = 2, -1, -1
 CELLS = 2_000_000  # of the alignments scored together
+MEETINGS = 500_000  # of seeds and words of documents, gathered together
 
 
 @dataclass(frozen=True)
@@ -95,6 +98,17 @@ class Items:
         self.gram = np.concatenate(grams) if grams else np.zeros(0, dtype=np.uint64)
         self.item = np.concatenate(item) if item else np.zeros(0, dtype=np.int64)
         self.place = np.concatenate(place) if place else np.zeros(0, dtype=np.int64)
+        # The distinct words, and each item's own as item * distinct words + word, with their repeats.
+        self.vocabulary, word = np.unique(self.words, return_inverse=True)
+        self.own, self.repeats = np.unique(np.repeat(np.arange(len(rows)), self.counts) * len(self.vocabulary) + word, return_counts=True)
+
+    def seeded(self) -> "Items":
+        """The same items, with their n-grams in the order of the look-up."""
+        out = object.__new__(Items)
+        out.__dict__.update(self.__dict__)
+        order = np.argsort(self.gram, kind="stable")
+        out.gram, out.item, out.place = self.gram[order], self.item[order], self.place[order]
+        return out
 
     def seeds(self, seen: dict[int, int], most: float, stretch: int) -> "Items":
         """The same items with only their seeds: the n-grams in ``most`` documents or fewer and the
@@ -165,16 +179,42 @@ def align(doc: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _windows(items: Items, row: np.ndarray, starts: np.ndarray, counts: np.ndarray,
-             found: list[tuple[np.ndarray, np.ndarray]], slack: int) -> tuple[np.ndarray, ...]:
-    """(row, item, first word, last word exclusive) of the windows around all seeds."""
-    at, seed = [], []
+             found: list[tuple[np.ndarray, np.ndarray]], slack: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(row, item, first word, last word exclusive) of the windows around all seeds, in batches; the
+    windows of a row and item come in one."""
+    met = []
     for position, code in found:
         low = np.searchsorted(items.gram, code)
-        high = np.searchsorted(items.gram, code, side="right")
-        count = high - low
-        at.append(np.repeat(position, count))
-        seed.append(ranges(low, count))
-    at, seed = np.concatenate(at), np.concatenate(seed)
+        count = np.searchsorted(items.gram, code, side="right") - low
+        some = np.flatnonzero(count)
+        met.append((position[some], low[some], count[some]))
+    at, low, count = (np.concatenate(x) for x in zip(*met, strict=True))
+    order = np.argsort(at, kind="stable")
+    at, low, count = at[order], low[order], count[order]
+    # Whole rows together; a row with more meetings takes its items by parts.
+    of_row = np.bincount(row[at], weights=count, minlength=len(starts)).astype(np.int64)
+    group = (np.cumsum(of_row) - of_row) // MEETINGS
+    bounds = np.searchsorted(row[at], np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(starts)))
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        parts = -(-int(count[a:b].sum()) // (2 * MEETINGS))
+        for part in range(parts):
+            held = []
+            for first in range(a, b, MEETINGS):
+                c = count[first:min(b, first + MEETINGS)]
+                cuts = np.searchsorted(np.cumsum(c), np.arange(MEETINGS, int(c.sum()) + MEETINGS, MEETINGS))
+                lower = 0
+                for upper in np.unique(np.minimum(cuts + 1, len(c))).tolist():
+                    seed = ranges(low[first + lower:first + upper], c[lower:upper])
+                    where = np.repeat(at[first + lower:first + upper], c[lower:upper])
+                    mine = items.item[seed] % parts == part
+                    held.append((where[mine], seed[mine]))
+                    lower = upper
+            yield _joined(items, row, starts, counts, *map(np.concatenate, zip(*held, strict=True)), slack)
+
+
+def _joined(items: Items, row: np.ndarray, starts: np.ndarray, counts: np.ndarray, at: np.ndarray, seed: np.ndarray,
+            slack: int) -> tuple[np.ndarray, ...]:
+    """The windows of meetings of words and seeds; overlapping ones of a row and item are one."""
     item, r = items.item[seed], row[at]
     begin = at - items.place[seed] - slack
     end = begin + items.counts[item] + 2 * slack
@@ -184,13 +224,33 @@ def _windows(items: Items, row: np.ndarray, starts: np.ndarray, counts: np.ndarr
     r, item, begin, end = r[order], item[order], begin[order], end[order]
     if not len(r):
         return r, item, begin, end
-    # Overlapping windows of a row and item are one; windows of an item are nearly equally long.
+    # Windows of an item are nearly equally long.
     new = np.ones(len(r), dtype=bool)
     new[1:] = (r[1:] != r[:-1]) | (item[1:] != item[:-1]) | (begin[1:] >= end[:-1])
     head = np.flatnonzero(new)
     return r[head], item[head], begin[head], np.maximum.reduceat(end, head)
 
 
+def _shared(items: Items, word: np.ndarray, item: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """How many words each window shares with its item, repeats counted; ``word`` numbers the words
+    of the documents in the items' vocabulary, -1 elsewhere."""
+    out = np.zeros(len(item), dtype=np.int64)
+    size = last - first
+    cuts = np.searchsorted(np.cumsum(size), np.arange(CELLS, int(size.sum()) + CELLS, CELLS))
+    a = 0
+    for b in np.unique(np.minimum(cuts + 1, len(size))).tolist():
+        w = word[ranges(first[a:b], size[a:b])]
+        known = np.flatnonzero(w >= 0)
+        window = np.repeat(np.arange(a, b), size[a:b])[known]
+        code = item[window] * len(items.vocabulary) + w[known]
+        place = np.minimum(np.searchsorted(items.own, code), len(items.own) - 1)
+        mine = items.own[place] == code
+        pair, times = np.unique(window[mine] * len(items.own) + place[mine], return_counts=True)
+        out += np.bincount(pair // len(items.own), np.minimum(times, items.repeats[pair % len(items.own)]), len(out)).astype(np.int64)
+        a = b
+    return out
+
+
 def _split(begin: np.ndarray, end: np.ndarray, length: np.ndarray, slack: int) -> tuple[np.ndarray, ...]:
     """Cut long joined windows into overlapping ones, so that a row of repeats is not one matrix."""
     step = length + 2 * slack
@@ -208,12 +268,20 @@ def _hits(texts: list[str], items: Items, settings: Settings) -> list[tuple]:
     if not len(h) or not len(items.gram):
         return []
     counts = np.bincount(row, minlength=len(texts))
-    r, item, begin, end = _windows(items, row, starts, counts, found, settings.slack)
-    if not len(r):
-        return []
-    owner, first, last = _split(begin, end, items.counts[item], settings.slack)
-    r, item = r[owner], item[owner]
-    # Common words that the window and the item share bound the score from above.
+    word = np.minimum(np.searchsorted(items.vocabulary, h), len(items.vocabulary) - 1)
+    word[items.vocabulary[word] != h] = -1
+    out: list[tuple] = []
+    for r, item, begin, end in _windows(items, row, starts, counts, found, settings.slack):
+        owner, first, last = _split(begin, end, items.counts[item], settings.slack)
+        r, item = r[owner], item[owner]
+        able = np.flatnonzero(_shared(items, word, item, first, last) >= settings.min_score * items.counts[item])
+        out += _scored(h, starts, items, settings, r[able], item[able], first[able], last[able])
+    return sorted(out)
+
+
+def _scored(h: np.ndarray, starts: np.ndarray, items: Items, settings: Settings, r: np.ndarray, item: np.ndarray,
+            first: np.ndarray, last: np.ndarray) -> list[tuple]:
+    """The hits of some windows."""
     order = np.lexsort((last - first, items.counts[item]))
     out: list[tuple] = []
     at = 0
@@ -241,43 +309,17 @@ def _hits(texts: list[str], items: Items, settings: Settings) -> list[tuple]:
         key = (hit[0], hit[1], hit[3])
         if key not in best or best[key][2] < hit[2]:
             best[key] = hit
-    return sorted(best.values())
-
-
-def _document_counts(docs: DataFrame, items: Items) -> dict[int, int]:
-    """In how many documents each n-gram of a block of items stands."""
-    grams, sizes = np.unique(items.gram), items.sizes
-    sent = docs.sparkSession.sparkContext.broadcast(grams)
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = sent.value
-        total = np.zeros(len(grams), dtype=np.int64)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            for part in slices(texts):
-                _, row, _, found = _positions([texts[i] for i in part], sizes)
-                for position, code in found:
-                    place = np.searchsorted(grams, code)
-                    hit = grams[np.minimum(place, len(grams) - 1)] == code if len(grams) else np.zeros(len(code), bool)
-                    pairs = np.unique(row[position[hit]] * len(grams) + place[hit])
-                    total += np.bincount(pairs % len(grams), minlength=len(grams)) if len(grams) else 0
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(grams[some].view(np.int64)), pa.array(total[some])], names=["gram", "n"])
-
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(step, "gram long, n long")
-    return {r[0]: r[1] for r in counted.groupBy("gram").agg(F.sum("n")).collect()}  # n-grams of one block of items
+    return list(best.values())
 
 
 def _seeded(docs: DataFrame, benchmark: DataFrame, settings: Settings) -> Iterator:
-    """The seeds of each block of items, broadcast; a block holds ``block_items`` items or so."""
-    total = docs.count()
+    """The items of each block with their seeds, broadcast; a block holds ``block_items`` items or so."""
     rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     blocks = max(1, -(-benchmark.count() // settings.block_items))
     numbered = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     for block in range(blocks):
         items = Items([(r[0], r[1]) for r in numbered.where(F.col("block") == block).collect()], settings.n)
-        seeds = items.seeds(_document_counts(docs, items), settings.rare * total, settings.stretch)
-        yield docs.sparkSession.sparkContext.broadcast(seeds)
+        yield docs.sparkSession.sparkContext.broadcast(items.seeded())
 
 
 def _batch_hits(texts: list[str | None], items: Items, settings: Settings) -> list[tuple]:

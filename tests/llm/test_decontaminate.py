@@ -70,6 +70,26 @@ def test_an_item_copied_everywhere_keeps_its_seeds(spark, prose):
     assert sorted(r.key for r in got) == list(range(60)) and all(r.score == 1.0 for r in got)
 
 
+@pytest.mark.parametrize("step", [5, 8])
+def test_edited_copies_in_many_documents_are_found(spark, prose, step):
+    # Every stretch of six 3-grams holds one that stands in no document, and the others are not rare.
+    item = prose(40).split()
+    copy = " ".join("edited" if i % step == step - 1 else w for i, w in enumerate(item))
+    rows = [(i, f"{prose(30)} {copy} {prose(30)}" if i < 60 else prose(100)) for i in range(100)]
+    docs, items = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], ITEMS)
+    assert sorted(r.key for r in D.contaminated(docs, items).collect()) == list(range(60))
+    assert sorted(r.doc_id for r in D.uncontaminated(docs, items).collect()) == list(range(60, 100))
+
+
+def test_meetings_gathered_by_parts_give_the_same_hits(prose, monkeypatch):
+    texts = [prose(40) for _ in range(30)]
+    items = D.Items([(i, t) for i, t in enumerate([*texts, texts[0], "two words"])], 3).seeded()
+    docs = [f"{prose(50)} {t} two words {prose(20)} {texts[0]}" for t in texts]
+    want = D._hits(docs, items, D.Settings())
+    monkeypatch.setattr(D, "MEETINGS", 7)
+    assert D._hits(docs, items, D.Settings()) == want and len(want) >= 110
+
+
 def test_seeds_keep_the_rarest_of_each_stretch():
     items = D.Items([(1, " ".join(f"w{i}" for i in range(30)))], 3)
     seen = {g: 100 + i for i, g in enumerate(items.gram.view(np.int64).tolist())}
