@@ -9,7 +9,9 @@ against the item; meetings of one item whose windows overlap are one window, the
 ``slack`` words to either side. A window is left out when the words it shares with the item, repeats
 counted, could not reach ``min_score`` if all of them matched; this loses nothing. In the others,
 Smith-Waterman over words (match 2, mismatch -1, gap -1) gives the best local alignment; its share
-of the item's own score is the row's ``score``, and ``min_score`` or more makes a hit.
+of the item's own score is the row's ``score``, and ``min_score`` or more makes a hit. What is left
+of the window on both sides of a hit is aligned again, until no further score passes; of two hits of
+an item that share over half of the shorter one, the better stays.
 
 Limit: a copy that shares no ``n`` words in a row with its item has no seed and is not found.
 
@@ -25,6 +27,7 @@ gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -274,16 +277,39 @@ def _hits(texts: list[str], items: Items, settings: Settings) -> list[tuple]:
     for r, item, begin, end in _windows(items, row, starts, counts, found, settings.slack):
         owner, first, last = _split(begin, end, items.counts[item], settings.slack)
         r, item = r[owner], item[owner]
-        able = np.flatnonzero(_shared(items, word, item, first, last) >= settings.min_score * items.counts[item])
-        out += _scored(h, starts, items, settings, r[able], item[able], first[able], last[able])
+        hits: list[tuple] = []
+        while len(r):
+            able = np.flatnonzero(_shared(items, word, item, first, last) >= settings.min_score * items.counts[item])
+            r, item, first, last = r[able], item[able], first[able], last[able]
+            window, share, a, b = _scored(h, items, settings, item, first, last)
+            r, item, first, last = r[window], item[window], first[window], last[window]
+            base = starts[r]
+            hits += zip(r.tolist(), item.tolist(), share.tolist(), (a - base).tolist(), (b - base).tolist(), strict=True)
+            r, item = np.tile(r, 2), np.tile(item, 2)
+            first, last = np.append(first, b), np.append(a, last)
+        out += _apart(hits)
     return sorted(out)
 
 
-def _scored(h: np.ndarray, starts: np.ndarray, items: Items, settings: Settings, r: np.ndarray, item: np.ndarray,
-            first: np.ndarray, last: np.ndarray) -> list[tuple]:
-    """The hits of some windows."""
+def _apart(hits: list[tuple]) -> list[tuple]:
+    """Without the hits that overlapping windows found twice: the best first."""
+    kept: dict[tuple[int, int], list[tuple]] = {}
+    for hit in sorted(hits, key=lambda x: (x[0], x[1], -x[2], x[3])):
+        near = kept.setdefault(hit[:2], [])
+        at = bisect_left(near, hit[3:])
+        for other in near[max(0, at - 2):at + 2]:
+            if 2 * (min(hit[4], other[1]) - max(hit[3], other[0])) > min(hit[4] - hit[3], other[1] - other[0]):
+                break
+        else:
+            insort(near, (hit[3], hit[4], hit[2]))
+    return [(*key, share, a, b) for key, near in kept.items() for a, b, share in near]
+
+
+def _scored(h: np.ndarray, items: Items, settings: Settings, item: np.ndarray, first: np.ndarray,
+            last: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(window, share, first word, last word exclusive) of the windows whose best alignment passes."""
     order = np.lexsort((last - first, items.counts[item]))
-    out: list[tuple] = []
+    out = [(np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
     at = 0
     while at < len(order):
         wide, tall = int((last - first)[order[at]]), int(items.counts[item[order[at]]])
@@ -299,17 +325,10 @@ def _scored(h: np.ndarray, starts: np.ndarray, items: Items, settings: Settings,
         test = items.words[items.starts[item[part], None] + np.arange(tall)].astype(np.int64)
         score, a, b = align(docs, test)
         share = score / (MATCH * tall)
-        for i in np.flatnonzero(share >= settings.min_score).tolist():
-            p = part[i]
-            base = first[p] - starts[r[p]]
-            out.append((int(r[p]), int(item[p]), float(share[i]), int(base + a[i]), int(base + b[i])))
+        ok = np.flatnonzero(share >= settings.min_score)
+        out.append((part[ok], share[ok], first[part[ok]] + a[ok], first[part[ok]] + b[ok]))
         at = stop
-    best: dict[tuple[int, int, int], tuple] = {}
-    for hit in out:  # overlapping windows may find one passage twice
-        key = (hit[0], hit[1], hit[3])
-        if key not in best or best[key][2] < hit[2]:
-            best[key] = hit
-    return list(best.values())
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def _seeded(docs: DataFrame, benchmark: DataFrame, settings: Settings) -> Iterator:

@@ -90,6 +90,16 @@ def test_meetings_gathered_by_parts_give_the_same_hits(prose, monkeypatch):
     assert D._hits(docs, items, D.Settings()) == want and len(want) >= 110
 
 
+@pytest.mark.parametrize("copies", [2, 5, 12])
+def test_copies_next_to_each_other_each_get_a_row(prose, copies):
+    item = prose(40)
+    items = D.Items([(1, item)], 3).seeded()
+    for between in (0, 1, 15):
+        text = prose(30) + "".join(f" {item} {prose(between)}" for _ in range(copies)) + prose(30)
+        want = [(0, 0, 1.0, 30 + i * (40 + between), 70 + i * (40 + between)) for i in range(copies)]
+        assert D._hits([text], items, D.Settings()) == want
+
+
 def test_seeds_keep_the_rarest_of_each_stretch():
     items = D.Items([(1, " ".join(f"w{i}" for i in range(30)))], 3)
     seen = {g: 100 + i for i, g in enumerate(items.gram.view(np.int64).tolist())}
