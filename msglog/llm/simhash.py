@@ -15,6 +15,13 @@ its queries of their own, so no task holds more than two pieces. The trees of a
 searched together, level by level. A task reports a spanning forest of what it has linked, not the
 pairs, so a group of m copies gives m - 1 rows. Exact copies are one fingerprint before any of it.
 
+Near copies of a share of equal shingles (:func:`alike_classes`): the same shards and trees only find
+candidates, at a radius wide of the mark; a link is one whose distinct shingles are compared in full.
+A node's nearest candidate of another class is compared first, in rounds, until no two classes join;
+then all candidates between different classes are, so what is joined are all candidate links that
+hold, and nothing else. Comparisons are rows, spread by link. Many texts that are candidates of each
+other and yet below the share are all compared: work by the square of such a group.
+
 Defined cases: texts without words have fingerprint zero and are linked like any other; texts with
 fewer words than a shingle are one shingle; repeated rows get the same class; the class of rows
 whose ids are all NULL is NULL; an empty table gives no rows.
@@ -36,6 +43,7 @@ from msglog.llm.components import components
 PIECE = 32_768
 FRONTIER = 1_000_000
 CHUNK = 100_000
+SIEVE = 1 << 24
 
 
 def shingle_hashes(text: str | None, k: int, seed: int = 42) -> np.ndarray:
@@ -181,58 +189,63 @@ def spanning(group: np.ndarray, node: np.ndarray, prints: np.ndarray, radius: in
     return node[joined], node[label[joined]]
 
 
-def links(prints: DataFrame, radius: int, n_words: int = 1, block_bits: int = 16, piece: int = PIECE) -> DataFrame:
-    """Spanning links (node, root) of distinct fingerprints ``prints(node, f0 ..)``."""
+def _dealt(prints: DataFrame, n_words: int, held: list[str], block_bits: int, piece: int) -> DataFrame:
+    """Rows (shard, low, high, node, held ..) of ``prints(node, f0 .., ..)``, each shard or pair of
+    its pieces together in one partition."""
     names = [f"f{i}" for i in range(n_words)]
     per_word, mask = 64 // block_bits, (1 << block_bits) - 1
     # The shard: number of the block, then its value.
     shards = F.array(*(
         F.lit((i * per_word + b) << 32).bitwiseOR(F.shiftrightunsigned(F.col(f), b * block_bits).bitwiseAND(F.lit(mask)))
         for i, f in enumerate(names) for b in range(per_word)))
-    rows = prints.select(F.explode(shards).alias("shard"), "node", *names)
+    rows = prints.select(F.explode(shards).alias("shard"), "node", *held)
     large = saved(rows.groupBy("shard").count().where(F.col("count") > piece)
                   .select("shard", F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "shards")
     own = F.pmod(F.xxhash64("node"), F.coalesce("pieces", F.lit(1))).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1))
-    dealt = (rows.join(large, "shard", "left").select("shard", "node", *names, own.alias("own"), other.alias("other"))
-             .select("shard", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-                     "node", *names)
-             .repartition(partitions(prints), "shard", "low", "high").sortWithinPartitions("shard", "low", "high", "node"))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(parts: list[np.ndarray], end: bool) -> tuple[list[np.ndarray], pa.RecordBatch | None]:
-            data = np.concatenate(parts)
-            new = np.ones(len(data), dtype=bool)
-            new[1:] = (data[1:, :3] != data[:-1, :3]).any(axis=1)
-            starts = np.flatnonzero(new)
-            cut = len(data) if end else starts[-1]
-            group = np.cumsum(new)[:cut]
-            body = data[:cut]
-            shared = np.bincount(group, minlength=1)[group] > 1 if cut else np.zeros(0, dtype=bool)
-            body, group = body[shared], group[shared]
-            out = None
+    return (rows.join(large, "shard", "left").select("shard", "node", *held, own.alias("own"), other.alias("other"))
+            .select("shard", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                    "node", *held)
+            .repartition(partitions(prints), "shard", "low", "high").sortWithinPartitions("shard", "low", "high", "node"))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(group, columns from the node on) of the groups of dealt rows that hold more than one."""
+    def flush(parts: list[np.ndarray], end: bool) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        data = np.concatenate(parts)
+        new = np.ones(len(data), dtype=bool)
+        new[1:] = (data[1:, :3] != data[:-1, :3]).any(axis=1)
+        cut = len(data) if end else np.flatnonzero(new)[-1]
+        group = np.cumsum(new)[:cut]
+        shared = np.bincount(group, minlength=1)[group] > 1 if cut else np.zeros(0, dtype=bool)
+        return [data[cut:]], group[shared], data[:cut, 3:][shared]
+
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
+        size += batch.num_rows
+        if size >= CHUNK:
+            held, group, body = flush(held, False)
+            size = len(held[0])
             if len(body):
-                a, b = spanning(group, body[:, 3], np.ascontiguousarray(body[:, 4:]).view(np.uint64), radius)
-                out = pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["node", "root"])
-            return [data[cut:]], out
+                yield group, body
+    if held and size:
+        _, group, body = flush(held, True)
+        if len(body):
+            yield group, body
 
-        held, size = [], 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
-            size += batch.num_rows
-            if size >= CHUNK:
-                held, out = flush(held, False)
-                size = len(held[0])
-                if out is not None:
-                    yield out
-        if held and size:
-            _, out = flush(held, True)
-            if out is not None:
-                yield out
 
-    return dealt.mapInArrow(search, "node long, root long")
+def links(prints: DataFrame, radius: int, n_words: int = 1, block_bits: int = 16, piece: int = PIECE) -> DataFrame:
+    """Spanning links (node, root) of distinct fingerprints ``prints(node, f0 ..)``."""
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, body in _groups(batches):
+            a, b = spanning(group, body[:, 0], np.ascontiguousarray(body[:, 1:]).view(np.uint64), radius)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["node", "root"])
+
+    names = [f"f{i}" for i in range(n_words)]
+    return _dealt(prints, n_words, names, block_bits, piece).mapInArrow(search, "node long, root long")
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", k: int = 3, radius: int = 3, n_words: int = 1,
@@ -255,8 +268,130 @@ def near_classes(docs: DataFrame, key: str = "doc_id", k: int = 3, radius: int =
     return prints.join(by_print, names)
 
 
+def _nearest(group: np.ndarray, body: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, nearest candidate of another class, its distance) of the rows (node, class, words ..)."""
+    node, label, prints = body[:, 0], body[:, 1], np.ascontiguousarray(body[:, 2:]).view(np.uint64)
+    far, other = np.full(len(node), prints.shape[1] * 64 + 1, dtype=np.int32), np.zeros(len(node), dtype=np.int64)
+    for a, b in Forest(group, prints).links(radius):
+        cross = label[a] != label[b]
+        a, b = a[cross], b[cross]
+        d = distance(prints[a], prints[b])
+        order = np.lexsort((node[b], d, a))
+        a, b, d = a[order], b[order], d[order]
+        first = np.flatnonzero(np.diff(a, prepend=-1))
+        a, b, d = a[first], b[first], d[first]
+        better = (d < far[a]) | ((d == far[a]) & (node[b] < other[a]))
+        far[a[better]], other[a[better]] = d[better], node[b[better]]
+    some = far <= radius
+    return node[some], other[some], far[some]
+
+
+def candidates(prints: DataFrame, radius: int, n_words: int, compared: int, block_bits: int, piece: int,
+               nearest: bool) -> DataFrame:
+    """Distinct candidate links (node, root) between different classes of ``prints(node, class, f0 ..)``:
+    the nearest of every node that has one, or all. ``compared`` words make the distance."""
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, body in _groups(batches):
+            if nearest:
+                found = [_nearest(group, body, radius)]
+            else:
+                node, label = body[:, 0], body[:, 1]
+                found = ((node[a], node[b], np.zeros(len(a), dtype=np.int32))
+                         for a, b in Forest(group, np.ascontiguousarray(body[:, 2:]).view(np.uint64)).links(radius)
+                         for keep in [(label[a] != label[b]) & (node[a] > node[b])] for a, b in [(a[keep], b[keep])])
+            for a, b, far in found:
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(far)], names=["node", "root", "far"])
+
+    held = ["class", *(f"f{i}" for i in range(compared))]
+    found = _dealt(prints, n_words, held, block_bits, piece).mapInArrow(search, "node long, root long, far int")
+    if nearest:
+        return found.groupBy("node").agg(F.min(F.struct("far", "root")).alias("near")).select("node", "near.root")
+    return found.select("node", "root").distinct()
+
+
+def _shingle_sets(docs: DataFrame, key: str, k: int, n_words: int) -> DataFrame:
+    """Rows (key, node, f0 ..): the node is a hash of the set of distinct shingles, the words are its fingerprint."""
+    names = [f"f{i}" for i in range(n_words)]
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, got = [], []
+            for t in batch.column(1):
+                hashes = np.unique(shingle_hashes(t.as_py(), k))
+                node.append(xxhash.xxh64_intdigest(hashes.tobytes()))
+                got.append([_majority(hashes if i == 0 else _mixed(hashes, i)) for i in range(n_words)] if len(hashes) else [0] * n_words)
+            rows = np.array(got, dtype="<u8").reshape(-1, n_words).view("<i8")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.array(node, dtype="<u8").view("<i8")), *(pa.array(rows[:, i]) for i in range(n_words))],
+                names=["key", "node", *names])
+
+    return (docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string"))
+            .mapInArrow(step, "key long, node long, " + ", ".join(f"{n} long" for n in names)))
+
+
+def _sets_of(docs: DataFrame, key: str, k: int, wanted: DataFrame) -> DataFrame:
+    """Rows (node, shingles) of ``wanted(node, key)``. A bitmap of the keys goes to the tasks that read the
+    texts, so that the join gets little more than the wanted sets; its size does not depend on the rows."""
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = np.zeros(SIEVE, dtype=bool)
+        for batch in batches:
+            mask[batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) % SIEVE] = True
+        if mask.any():
+            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(mask).tobytes()])], names=["mask"])
+
+    mask = np.zeros(SIEVE // 8, dtype=np.uint8)
+    for row in wanted.select("key").coalesce(8).mapInArrow(bits, "mask binary").toLocalIterator():
+        mask |= np.frombuffer(row[0], dtype=np.uint8)
+    sent = docs.sparkSession.sparkContext.broadcast(mask.tobytes())
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = np.unpackbits(np.frombuffer(sent.value, dtype=np.uint8))
+        for batch in batches:
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            for i in np.flatnonzero(mask[keys.view(np.uint64) % SIEVE]).tolist():  # one at a time: texts may be long
+                hashes = np.unique(shingle_hashes(batch.column(1)[i].as_py(), k))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 1]), pa.array([hashes.view("<i8")], pa.list_(pa.int64()))],
+                                                 names=["key", "shingles"])
+
+    found = (docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string"))
+             .mapInArrow(step, "key long, shingles array<long>"))
+    return found.join(wanted, "key").select("node", "shingles").dropDuplicates(["node"])
+
+
+def alike_classes(docs: DataFrame, key: str, k: int, radius: int, n_words: int, compared: int, block_bits: int,
+                  similarity: float, piece: int = PIECE) -> DataFrame:
+    """Rows (key, class) of all documents with non-NULL keys: the components of the candidate links whose
+    sets of distinct ``k``-word shingles have a Jaccard similarity of ``similarity`` or more."""
+    names = [f"f{i}" for i in range(n_words)]
+    rows = saved(_shingle_sets(docs, key, k, n_words), "shingle-sets")
+    nodes = saved(rows.groupBy("node").agg(F.min("key").alias("key"), *(F.first(f).alias(f) for f in names)), "nodes")
+    active, sets, roots = nodes.withColumn("class", F.col("node")), None, None
+    nearest = True
+    while True:
+        found = saved(candidates(active.select("node", "class", *names), radius, n_words, compared, block_bits, piece, nearest), "candidates")
+        if sets is None:  # every later candidate is one of these nodes
+            met = saved(nodes.join(found.select("node"), "node", "left_semi"), "met")
+            sets = saved(_sets_of(docs, key, k, met.select("node", "key")), "sets")
+        # The root's set comes first: a root of many links is then met by narrow rows only.
+        both = (found.join(sets.select(F.col("node").alias("root"), F.col("shingles").alias("of_root")), "root")
+                .join(sets, "node"))
+        same = F.size(F.array_intersect("shingles", "of_root"))
+        share = same / (F.size("shingles") + F.size("of_root") - same)
+        held = saved(both.where(share >= similarity).select("node", "root"), "held")
+        some = held.limit(1).count() > 0
+        if some:
+            roots = components(held if roots is None else roots.union(held))
+        if not nearest:
+            break
+        nearest = some
+        active = met.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node")) if roots is not None else met.withColumn("class", F.col("node"))
+    if roots is None:
+        return rows.select("key", F.col("node").alias("class"))
+    return rows.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("class"))
+
+
 # Four words from five-word shingles: 39 of 256 bits differ, in the mean, at a Jaccard similarity of 0.8.
-CLEAN = {"k": 5, "n_words": 4, "radius": 39, "block_bits": 12}
+CLEAN = {"k": 5, "n_words": 4, "compared": 4, "radius": 39, "block_bits": 12, "similarity": 0.8}
 
 
 def one_of_each(docs: DataFrame, **settings: int) -> DataFrame:
@@ -265,7 +400,7 @@ def one_of_each(docs: DataFrame, **settings: int) -> DataFrame:
     take part in one join only."""
     key = free_name(docs, "row_key")
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
-    classes = near_classes(keyed, key, **(CLEAN | settings))
+    classes = alike_classes(keyed, key, **(CLEAN | settings))
     ids = keyed.select(F.col(key).alias("key"), "doc_id").distinct()
     kept = saved(classes.select("key", "class").distinct().join(ids, "key").groupBy("class")
                  .agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))).alias("kept"))

@@ -107,3 +107,23 @@ def test_one_of_each_class_stays(spark, prose, odd, none):
     assert sorted(tuple(r) for r in kept.select("doc_id", "row_key").collect()) == [(1, "b"), (4, "d"), (9, "e"), (10, "f")]
     assert simhash.one_of_each(none).count() == 0
     assert simhash.one_of_each(odd).where("text is not null and text <> ''").count() >= 6
+
+
+def shares(a, b):
+    one, two = ({tuple(x.split()[i:i + 5]) for i in range(max(1, len(x.split()) - 4))} for x in (a, b))
+    return len(one & two) / len(one | two)
+
+
+def test_a_hot_group_is_joined_by_links_that_hold_only(spark, prose):
+    # Copies of one text that lie below 0.8 to each other, joined by the text; and a templated group, all below.
+    base, template = prose(200).split(), prose(120)
+    rows = [(0, " ".join(base))]
+    for i in range(1, 60):
+        copy = list(base)
+        for at in range(i % 40, 200, 55):
+            copy[at] = f"edit{i}"
+        rows.append((i, " ".join(copy)))
+    rows += [(i, f"{template} {prose(40)}") for i in range(100, 160)]
+    want = brute_classes(rows, lambda a, b: shares(a, b) >= 0.8)
+    kept = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(want) and len(kept) >= 60
