@@ -114,6 +114,26 @@ def shares(a, b):
     return len(one & two) / len(one | two)
 
 
+def test_isolated_pairs_are_dropped_by_their_exact_similarity(spark, prose):
+    rng = random.Random(17)
+    rows, bands = [], {}
+    for i in range(400):
+        base = prose(rng.choice([12, 60, 300])).split()
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), max(1, len(copy) * rng.randint(5, 60) // 1000)):
+            copy[at] = "edited"
+        similarity = shares(" ".join(base), " ".join(copy))
+        band = "below" if similarity < 0.8 else "low" if similarity < 0.85 else "high"
+        bands.setdefault(band, set()).add(i)
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    kept = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    dropped = {i for i in range(400) if 2 * i + 1 not in kept}
+    assert all(2 * i in kept for i in range(400)) and not dropped & bands["below"] and len(bands["below"]) >= 40
+    found = {b: (len(bands[b] & dropped), len(bands[b])) for b in ("low", "high")}
+    print(found)
+    assert found["low"][1] >= 30 and found["low"][0] >= 0.97 * found["low"][1] and found["high"][0] >= 0.99 * found["high"][1]
+
+
 def test_a_hot_group_is_joined_by_links_that_hold_only(spark, prose):
     # Copies of one text that lie below 0.8 to each other, joined by the text; and a templated group, all below.
     base, template = prose(200).split(), prose(120)
