@@ -365,7 +365,7 @@ def alike_classes(docs: DataFrame, key: str, k: int, radius: int, n_words: int,
     names = [f"f{i}" for i in range(n_words)]
     rows = saved(_shingle_sets(docs, key, k, n_words), "shingle-sets")
     nodes = saved(rows.groupBy("node").agg(F.min("key").alias("key"), *(F.first(f).alias(f) for f in names)), "nodes")
-    active, sets, roots = nodes.withColumn("class", F.col("node")), None, None
+    active, sets, good, roots = nodes.withColumn("class", F.col("node")), None, None, None
     nearest = True
     while True:
         found = saved(candidates(active.select("node", "class", *names), radius, n_words, compared, block_bits, piece, nearest), "candidates")
@@ -380,7 +380,8 @@ def alike_classes(docs: DataFrame, key: str, k: int, radius: int, n_words: int,
         held = saved(both.where(share >= similarity).select("node", "root"), "held")
         some = held.limit(1).count() > 0
         if some:
-            roots = components(held if roots is None else roots.union(held))
+            good = held if good is None else good.union(held)
+            roots = components(good)
         if not nearest:
             break
         nearest = some
