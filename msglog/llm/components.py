@@ -7,6 +7,7 @@ the shared folder, so a lost executor repeats one round at most.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +48,19 @@ def _small(edges: DataFrame) -> DataFrame:
     others = edges.join(low, "node").where("root <> low").select(
         F.col("root").alias("node"), F.col("low").alias("root"))
     return others.union(low.select("node", F.col("low").alias("root"))).distinct()
+
+
+def merge_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Join the label sets of linked rows; a label is the smallest row number of its set."""
+    while True:
+        one, two = label[a], label[b]
+        differ = one != two
+        if not differ.any():
+            return label
+        a, b = a[differ], b[differ]
+        np.minimum.at(label, np.maximum(one, two)[differ], np.minimum(one, two)[differ])
+        while True:
+            up = label[label]
+            if np.array_equal(up, label):
+                break
+            label = up

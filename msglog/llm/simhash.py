@@ -16,15 +16,13 @@ searched together, level by level. A task reports a spanning forest of what it h
 pairs, so a group of m copies gives m - 1 rows. Exact copies are one fingerprint before any of it.
 
 Near copies of a share of equal shingles (:func:`alike_classes`): the same shards and trees only find
-candidates, at a radius wide of the mark; a link is one whose distinct shingles are compared in full.
-A node's nearest candidate of another class is compared first, in rounds, until no two classes join;
-then all candidates between different classes are, so what is joined are all candidate links that
-hold, and nothing else. Comparisons are rows, spread by link. Many texts that are candidates of each
-other and yet below the share are all compared: work by the square of such a group.
+candidates, at a radius wide of the mark, and report a spanning forest of them; links are found by
+comparing the full sets of distinct shingles within each component (:mod:`msglog.llm.alike`).
 
 Defined cases: texts without words have fingerprint zero and are linked like any other; texts with
 fewer words than a shingle are one shingle; repeated rows get the same class; the class of rows
-whose ids are all NULL is NULL; an empty table gives no rows.
+whose ids are all NULL is NULL; texts of any length are read whole; columns but the key and the text
+are not looked at, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,13 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from msglog.llm import alike
 from msglog.llm.common import free_name, partitions, ranges, saved, words
-from msglog.llm.components import components
+from msglog.llm.components import components, merge_labels
 
 PIECE = 32_768
 FRONTIER = 1_000_000
 CHUNK = 100_000
-SIEVE = 1 << 24
 
 
 def shingle_hashes(text: str | None, k: int, seed: int = 42) -> np.ndarray:
@@ -60,9 +58,9 @@ def shingle_hashes(text: str | None, k: int, seed: int = 42) -> np.ndarray:
     return np.array([digest(flat[a:b], seed) for a, b in spans], dtype="<u8")
 
 
-def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
-    """Hashes for a further fingerprint word (the splitmix64 finaliser)."""
-    x = hashes + np.uint64((0x9E3779B97F4A7C15 * word) & 0xFFFFFFFFFFFFFFFF)
+def mixed(hashes: np.ndarray, step: int | np.ndarray) -> np.ndarray:
+    """Further hashes of hashes, others for each step (the splitmix64 finaliser)."""
+    x = hashes + np.atleast_1d(np.asarray(step, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -81,7 +79,7 @@ def fingerprint(text: str | None, k: int = 3, n_words: int = 1) -> list[int]:
     hashes = shingle_hashes(text, k)
     if not len(hashes):
         return [0] * n_words
-    return [_majority(hashes if i == 0 else _mixed(hashes, i)) for i in range(n_words)]
+    return [_majority(hashes if i == 0 else mixed(hashes, i)) for i in range(n_words)]
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", k: int = 3, n_words: int = 1) -> DataFrame:
@@ -158,22 +156,6 @@ class Forest:
                 first = last
 
 
-def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Join the label sets of linked rows; a label is the smallest row number of its set."""
-    while True:
-        one, two = label[a], label[b]
-        differ = one != two
-        if not differ.any():
-            return label
-        a, b = a[differ], b[differ]
-        np.minimum.at(label, np.maximum(one, two)[differ], np.minimum(one, two)[differ])
-        while True:
-            up = label[label]
-            if np.array_equal(up, label):
-                break
-            label = up
-
-
 def spanning(group: np.ndarray, node: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """(node, smaller linked node) pairs that span the links within each group; rows are sorted by
     group, and a node stands once in a group."""
@@ -182,9 +164,9 @@ def spanning(group: np.ndarray, node: np.ndarray, prints: np.ndarray, radius: in
         held.append((a, b))
         size += len(a)
         if size > FRONTIER:
-            label, held, size = _merge(label, *map(np.concatenate, zip(*held, strict=True))), [], 0
+            label, held, size = merge_labels(label, *map(np.concatenate, zip(*held, strict=True))), [], 0
     if held:
-        label = _merge(label, *map(np.concatenate, zip(*held, strict=True)))
+        label = merge_labels(label, *map(np.concatenate, zip(*held, strict=True)))
     joined = label != np.arange(len(label))
     return node[joined], node[label[joined]]
 
@@ -237,14 +219,16 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
             yield group, body
 
 
-def links(prints: DataFrame, radius: int, n_words: int = 1, block_bits: int = 16, piece: int = PIECE) -> DataFrame:
-    """Spanning links (node, root) of distinct fingerprints ``prints(node, f0 ..)``."""
+def links(prints: DataFrame, radius: int, n_words: int = 1, block_bits: int = 16, piece: int = PIECE,
+          compared: int | None = None) -> DataFrame:
+    """Spanning links (node, root) of distinct fingerprints ``prints(node, f0 ..)``. All words make shards;
+    the distance is that of the first ``compared`` ones, or of all."""
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, body in _groups(batches):
             a, b = spanning(group, body[:, 0], np.ascontiguousarray(body[:, 1:]).view(np.uint64), radius)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["node", "root"])
 
-    names = [f"f{i}" for i in range(n_words)]
+    names = [f"f{i}" for i in range(compared or n_words)]
     return _dealt(prints, n_words, names, block_bits, piece).mapInArrow(search, "node long, root long")
 
 
@@ -268,47 +252,6 @@ def near_classes(docs: DataFrame, key: str = "doc_id", k: int = 3, radius: int =
     return prints.join(by_print, names)
 
 
-def _nearest(group: np.ndarray, body: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(node, nearest candidate of another class, its distance) of the rows (node, class, words ..)."""
-    node, label, prints = body[:, 0], body[:, 1], np.ascontiguousarray(body[:, 2:]).view(np.uint64)
-    far, other = np.full(len(node), prints.shape[1] * 64 + 1, dtype=np.int32), np.zeros(len(node), dtype=np.int64)
-    for a, b in Forest(group, prints).links(radius):
-        cross = label[a] != label[b]
-        a, b = a[cross], b[cross]
-        d = distance(prints[a], prints[b])
-        order = np.lexsort((node[b], d, a))
-        a, b, d = a[order], b[order], d[order]
-        first = np.flatnonzero(np.diff(a, prepend=-1))
-        a, b, d = a[first], b[first], d[first]
-        better = (d < far[a]) | ((d == far[a]) & (node[b] < other[a]))
-        far[a[better]], other[a[better]] = d[better], node[b[better]]
-    some = far <= radius
-    return node[some], other[some], far[some]
-
-
-def candidates(prints: DataFrame, radius: int, n_words: int, compared: int, block_bits: int, piece: int,
-               nearest: bool) -> DataFrame:
-    """Distinct candidate links (node, root) between different classes of ``prints(node, class, f0 ..)``:
-    the nearest of every node that has one, or all. ``compared`` words make the distance."""
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, body in _groups(batches):
-            if nearest:
-                found = [_nearest(group, body, radius)]
-            else:
-                node, label = body[:, 0], body[:, 1]
-                found = ((node[a], node[b], np.zeros(len(a), dtype=np.int32))
-                         for a, b in Forest(group, np.ascontiguousarray(body[:, 2:]).view(np.uint64)).links(radius)
-                         for keep in [(label[a] != label[b]) & (node[a] > node[b])] for a, b in [(a[keep], b[keep])])
-            for a, b, far in found:
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(far)], names=["node", "root", "far"])
-
-    held = ["class", *(f"f{i}" for i in range(compared))]
-    found = _dealt(prints, n_words, held, block_bits, piece).mapInArrow(search, "node long, root long, far int")
-    if nearest:
-        return found.groupBy("node").agg(F.min(F.struct("far", "root")).alias("near")).select("node", "near.root")
-    return found.select("node", "root").distinct()
-
-
 def _shingle_sets(docs: DataFrame, key: str, k: int, n_words: int) -> DataFrame:
     """Rows (key, node, f0 ..): the node is a hash of the set of distinct shingles, the words are its fingerprint."""
     names = [f"f{i}" for i in range(n_words)]
@@ -319,7 +262,7 @@ def _shingle_sets(docs: DataFrame, key: str, k: int, n_words: int) -> DataFrame:
             for t in batch.column(1):
                 hashes = np.unique(shingle_hashes(t.as_py(), k))
                 node.append(xxhash.xxh64_intdigest(hashes.tobytes()))
-                got.append([_majority(hashes if i == 0 else _mixed(hashes, i)) for i in range(n_words)] if len(hashes) else [0] * n_words)
+                got.append([_majority(hashes if i == 0 else mixed(hashes, i)) for i in range(n_words)] if len(hashes) else [0] * n_words)
             rows = np.array(got, dtype="<u8").reshape(-1, n_words).view("<i8")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.array(node, dtype="<u8").view("<i8")), *(pa.array(rows[:, i]) for i in range(n_words))],
@@ -329,71 +272,23 @@ def _shingle_sets(docs: DataFrame, key: str, k: int, n_words: int) -> DataFrame:
             .mapInArrow(step, "key long, node long, " + ", ".join(f"{n} long" for n in names)))
 
 
-def _sets_of(docs: DataFrame, key: str, k: int, wanted: DataFrame) -> DataFrame:
-    """Rows (node, shingles) of ``wanted(node, key)``. A bitmap of the keys goes to the tasks that read the
-    texts, so that the join gets little more than the wanted sets; its size does not depend on the rows."""
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = np.zeros(SIEVE, dtype=bool)
-        for batch in batches:
-            mask[batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) % SIEVE] = True
-        if mask.any():
-            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(mask).tobytes()])], names=["mask"])
-
-    mask = np.zeros(SIEVE // 8, dtype=np.uint8)
-    for row in wanted.select("key").coalesce(8).mapInArrow(bits, "mask binary").toLocalIterator():
-        mask |= np.frombuffer(row[0], dtype=np.uint8)
-    sent = docs.sparkSession.sparkContext.broadcast(mask.tobytes())
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = np.unpackbits(np.frombuffer(sent.value, dtype=np.uint8))
-        for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for i in np.flatnonzero(mask[keys.view(np.uint64) % SIEVE]).tolist():  # one at a time: texts may be long
-                hashes = np.unique(shingle_hashes(batch.column(1)[i].as_py(), k))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 1]), pa.array([hashes.view("<i8")], pa.list_(pa.int64()))],
-                                                 names=["key", "shingles"])
-
-    found = (docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string"))
-             .mapInArrow(step, "key long, shingles array<long>"))
-    return found.join(wanted, "key").select("node", "shingles").dropDuplicates(["node"])
-
-
 def alike_classes(docs: DataFrame, key: str, k: int, radius: int, n_words: int, compared: int, block_bits: int,
-                  similarity: float, piece: int = PIECE) -> DataFrame:
+                  num: int, den: int, piece: int = PIECE, piece_bytes: int = alike.PIECE_BYTES) -> DataFrame:
     """Rows (key, class) of all documents with non-NULL keys: the components of the candidate links whose
-    sets of distinct ``k``-word shingles have a Jaccard similarity of ``similarity`` or more."""
+    sets of distinct ``k``-word shingles have ``den * common >= num * all``."""
     names = [f"f{i}" for i in range(n_words)]
     rows = saved(_shingle_sets(docs, key, k, n_words), "shingle-sets")
     nodes = saved(rows.groupBy("node").agg(F.min("key").alias("key"), *(F.first(f).alias(f) for f in names)), "nodes")
-    active, sets, good, roots = nodes.withColumn("class", F.col("node")), None, None, None
-    nearest = True
-    while True:
-        found = saved(candidates(active.select("node", "class", *names), radius, n_words, compared, block_bits, piece, nearest), "candidates")
-        if sets is None:  # every later candidate is one of these nodes
-            met = saved(nodes.join(found.select("node"), "node", "left_semi"), "met")
-            sets = saved(_sets_of(docs, key, k, met.select("node", "key")), "sets")
-        # The root's set comes first: a root of many links is then met by narrow rows only.
-        both = (found.join(sets.select(F.col("node").alias("root"), F.col("shingles").alias("of_root")), "root")
-                .join(sets, "node"))
-        same = F.size(F.array_intersect("shingles", "of_root"))
-        share = same / (F.size("shingles") + F.size("of_root") - same)
-        held = saved(both.where(share >= similarity).select("node", "root"), "held")
-        some = held.limit(1).count() > 0
-        if some:
-            good = held if good is None else good.union(held)
-            roots = components(good)
-        if not nearest:
-            break
-        nearest = some
-        active = met.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node")) if roots is not None else met.withColumn("class", F.col("node"))
-    if roots is None:
-        return rows.select("key", F.col("node").alias("class"))
-    return rows.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("class"))
+    texts = docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
+    found = links(nodes.select("node", *names), radius, n_words, block_bits, piece, compared)
+    held = alike.held_links(texts, nodes, found, lambda text: np.unique(shingle_hashes(text, k)), num, den, piece_bytes)
+    return (rows.select("key", "node").join(components(held), "node", "left")
+            .select("key", F.coalesce("root", "node").alias("class")))
 
 
 # At a Jaccard similarity of 0.8, 39 of 256 bits differ in the mean, with a deviation of 6; one of 40
 # blocks of 12 bits agrees in 99.7 % of cases.
-CLEAN = {"k": 5, "n_words": 8, "compared": 4, "radius": 60, "block_bits": 12, "similarity": 0.8}
+CLEAN = {"k": 5, "n_words": 8, "compared": 4, "radius": 60, "block_bits": 12, "num": 4, "den": 5}
 
 
 def one_of_each(docs: DataFrame, **settings: int) -> DataFrame:
