@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msglog.llm import chunks, decontaminate, hmm, merkle, packing, simhash, tokenfiles, toxicity, urls, warc
+from msglog.llm import chunks, decontaminate, hmm, merkle, minhash, packing, simhash, tokenfiles, toxicity, urls, warc
 from msglog.llm.common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,21 @@ def warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.documents_counted(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_tokens", "file", "document", "start")
+
+
+@_query("op11_minhash_classes", """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+g AS (SELECT doc_id, unnest(s) AS g FROM s),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN m USING (doc_id)""")
+def minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_classes(table(spark, sf_dir, "documents"), k=4, num=4, den=5)
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("class").alias("component_id"),
+                        F.col("key").eqNullSafe(F.col("class")).alias("kept"))
