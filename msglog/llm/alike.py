@@ -26,14 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msglog.llm.common import partitions, ranges, saved
+from msglog.llm.common import SIEVE, partitions, ranges, saved, sieve
 from msglog.llm.components import components, merge_labels
 
 PIECE_BYTES = 16 << 20
 CHUNK_BYTES = 4 << 20
 PAIRS = 1_000_000
 ELEMENTS = 4_000_000
-SIEVE = 1 << 24
 
 
 def _overlaps(a: np.ndarray, b: np.ndarray, code: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -162,17 +161,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, elements_of) -> DataFrame:
     comes more than once may come more than once. ``elements_of`` gives a text's distinct elements. A
     bitmap of the keys goes to the tasks that read the texts, so that the join gets little more than the
     wanted sets; its size does not depend on the rows."""
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = np.zeros(SIEVE, dtype=bool)
-        for batch in batches:
-            mask[batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) % SIEVE] = True
-        if mask.any():
-            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(mask).tobytes()])], names=["mask"])
-
-    mask = np.zeros(SIEVE // 8, dtype=np.uint8)
-    for row in wanted.select("key").coalesce(8).mapInArrow(bits, "mask binary").toLocalIterator():
-        mask |= np.frombuffer(row[0], dtype=np.uint8)
-    sent = docs.sparkSession.sparkContext.broadcast(mask.tobytes())
+    sent = sieve(wanted.select("key"))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask, done = np.unpackbits(np.frombuffer(sent.value, dtype=np.uint8)), set()

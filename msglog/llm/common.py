@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +14,8 @@ from msglog.sources.store import saved, shared_dir  # noqa: F401  (re-exported f
 
 # Python's bytes.split() and bytes.lower() cut at exactly \x20 and \x09-\x0D and lower exactly A-Z.
 SPACES = r"\x20\x09-\x0D"
+# Bits of a sieve.
+SIEVE = 1 << 24
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,21 +43,6 @@ def partitions(frame: DataFrame) -> int:
     return max(1, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.Table]:
-    """Join record batches until their texts hold ``limit`` bytes; a batch is never split."""
-    held, size = [], 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        size += batch.column(batch.schema.get_field_index(text)).nbytes
-        if size >= limit:
-            yield pa.Table.from_batches(held)
-            held, size = [], 0
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The integers start .. start + count - 1 of every pair, one after the other."""
     total = int(counts.sum())
@@ -65,15 +52,6 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, counts) + np.arange(total)
 
 
-def log10(x: float) -> float:
-    return math.log10(x)
-
-
-def arrow_map(frame: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
-    return frame.mapInArrow(step, schema)
-
-
 def slices(texts: list[str], limit: int = 4_000_000) -> Iterator[list[int]]:
     """Row numbers of consecutive texts that hold about ``limit`` characters together."""
     held, size = [], 0
@@ -93,3 +71,19 @@ def free_name(frame: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def sieve(keys: DataFrame) -> Broadcast:
+    """The long keys of a one-column frame as a packed bitmap of their remainders by ``SIEVE``. Its size does
+    not depend on the rows: what passes it is confirmed by a join, what does not is no key."""
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = np.zeros(SIEVE, dtype=bool)
+        for batch in batches:
+            mask[batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) % SIEVE] = True
+        if mask.any():
+            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(mask).tobytes()])], names=["mask"])
+
+    mask = np.zeros(SIEVE // 8, dtype=np.uint8)
+    for row in keys.coalesce(8).mapInArrow(bits, "mask binary").toLocalIterator():
+        mask |= np.frombuffer(row[0], dtype=np.uint8)
+    return keys.sparkSession.sparkContext.broadcast(mask.tobytes())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msglog.llm import chunks, decontaminate, hmm, merkle, minhash, packing, simhash, tokenfiles, toxicity, urls, warc
+from msglog.llm import chunks, decontaminate, hmm, merkle, minhash, packing, ranked, simhash, tokenfiles, toxicity, urls, vafile, warc
 from msglog.llm.common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,39 @@ def minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_classes(table(spark, sf_dir, "documents"), k=4, num=4, den=5)
     return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("class").alias("component_id"),
                         F.col("key").eqNullSafe(F.col("class")).alias("kept"))
+
+
+_ROUND = """
+a{i} AS (SELECT vec_id, v, c, d FROM (SELECT vec_id, v, c, CAST(list_sum(list_transform(range(1, 65), lambda i: (v[i] - m[i]) * (v[i] - m[i])))
+    AS BIGINT) AS d FROM v, c{i}) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1)"""
+_MOVE = """,
+u{i} AS (SELECT c, i, CAST(floor(sum(v[i]) / count(*)) AS BIGINT) AS x FROM a{i}, range(1, 65) AS t(i) GROUP BY c, i),
+c{j} AS (SELECT c, list(x ORDER BY i) AS m FROM u{i} GROUP BY c UNION ALL SELECT c, m FROM c{i} WHERE c NOT IN (SELECT c FROM a{i})),"""
+
+
+@_query("op12_vafile_clusters", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, v AS m FROM v QUALIFY c < 16),"""
+        + "".join(_ROUND.format(i=i) + (_MOVE.format(i=i, j=i + 1) if i < 3 else "") for i in range(4)) + """
+SELECT vec_id, CAST(a3.c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a3.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256 FROM a3 JOIN c3 ON a3.c = c3.c""")
+def vafile_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.clusters(table(spark, sf_dir, "embeddings"), n=16, rounds=3, salt="1:").drop("compared")
+
+
+@_query("op13_ranked_search", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+x AS (SELECT doc_id, len(t) AS n, t FROM d WHERE len(t) > 0),
+s AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM x),
+f AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS t FROM x) GROUP BY doc_id, n, t),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, s GROUP BY t, big_n),
+q AS (SELECT item_id, t, count(*) AS k FROM (SELECT item_id, unnest(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY item_id, t),
+r AS (SELECT item_id, doc_id, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * big_n) // big_l)))) AS BIGINT) AS score
+  FROM q JOIN f USING (t) JOIN w USING (t), s GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 20""")
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=20).withColumnRenamed("item", "item_id")
