@@ -16,13 +16,13 @@ from pyspark.sql import types as T
 from msglog.operators.sequence import first_n
 from msglog.operators.splits import hinted
 from msglog.schema import BLOCK, BLOCK_COLUMN
-from msglog.sources.store import saved
 
 # A physical column that equals the sequence minus an offset, for tables read as logs.
 SeqColumn = tuple[str, int]
 
 START_RULES = ("earliest", "latest", "time", "seq")
 STOP_RULES = ("never", "latest", "seq", "time", "count")
+_ONE = "_one"
 
 
 def check_rule(kind: str, rule: tuple) -> tuple:
@@ -86,7 +86,18 @@ def stop_cuts(log: DataFrame, rule: tuple, split: str = "split_id", seq: SeqColu
     """Per split, the sequence of the first message at or past the stop (the last one read)."""
     reached = (seq_from(log, rule[1], seq) if rule[0] == "seq"
                else F.col("timestamp") >= at_millis(log, "timestamp", rule[1]))
-    return log.where(reached).groupBy(split).agg(F.min("stream_seq").alias("cut"))
+    keys = [split, _ONE] if _ONE in log.columns else [split]
+    return log.where(reached).groupBy(*keys).agg(F.min("stream_seq").alias("cut"))
+
+
+def _one() -> Column:
+    """A key that is the same in all rows but no constant to the optimizer: where the split is a literal
+    (a table read as one stream, a single filter), the join with the cuts is still an equality."""
+    return F.shiftright("stream_seq", 62)
+
+
+def _with_cut(log: DataFrame, cuts: DataFrame, split: str, n_splits: int | None) -> DataFrame:
+    return log.withColumn(_ONE, _one()).join(hinted(cuts, n_splits), [split, _ONE], "left")
 
 
 def _until(log: DataFrame, cuts: DataFrame, n_splits: int, seq: SeqColumn | None) -> DataFrame:
@@ -124,12 +135,10 @@ def stop_at(log: DataFrame, rule: tuple, split: str | None = None, n_splits: int
         return first_n(log, rule[1], physical=seq, ties=() if one_stream and not split else tie_columns(log, split))
     if split is None and one_stream:
         return _until(log, stop_cuts(log.withColumn("_all", F.lit(0)), rule, "_all", seq), 1, seq)
-    split = split or "stream"
-    # One row per split, found in one pass over sequences and written out: it is used twice below.
-    cuts = saved(stop_cuts(log, rule, split, seq), "cuts")
+    cuts = stop_cuts(log.withColumn(_ONE, _one()), rule, split or "stream", seq)
     if one_stream and n_splits is not None:
         log = _until(log, cuts, n_splits, seq)
-    return (log.join(hinted(cuts, n_splits if one_stream else None), split, "left")
+    return (_with_cut(log, cuts, split or "stream", n_splits if one_stream else None)
             .where(F.col("cut").isNull() | (F.col("stream_seq") <= F.col("cut")))
             .select(*log.columns))
 
@@ -137,8 +146,8 @@ def stop_at(log: DataFrame, rule: tuple, split: str | None = None, n_splits: int
 def finished(log: DataFrame, rule: tuple, split: str = "split_id", n_splits: int | None = None,
              seq: SeqColumn | None = None) -> DataFrame:
     """Per split: messages read, last sequence read, and whether the stop was reached."""
-    cuts = hinted(stop_cuts(log, rule, split, seq), n_splits)
-    kept = log.join(cuts, split, "left").where(F.col("cut").isNull() | (F.col("stream_seq") <= F.col("cut")))
+    cuts = stop_cuts(log.withColumn(_ONE, _one()), rule, split, seq)
+    kept = _with_cut(log, cuts, split, n_splits).where(F.col("cut").isNull() | (F.col("stream_seq") <= F.col("cut")))
     return kept.groupBy(split).agg(
         F.count(F.lit(1)).alias("n_read"),
         F.max("stream_seq").alias("last_read"),

@@ -46,7 +46,7 @@ def compare(frame, con, sql: str) -> str | None:
 
 
 def main() -> int:
-    from conftest import session
+    from local_spark import session
 
     import __spark_entry__ as entry
 

@@ -8,18 +8,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-SF = "/root/testdata/sf0.01"
-
-
-def session() -> SparkSession:
-    spark = (SparkSession.builder.master("local[8]").appName("msglog")
-             .config("spark.sql.shuffle.partitions", "4")
-             .config("spark.ui.enabled", "false")
-             .config("spark.driver.memory", "8g")
-             .config("spark.sql.session.timeZone", "UTC")
-             .getOrCreate())
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+from local_spark import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

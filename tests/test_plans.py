@@ -5,8 +5,8 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SF
 from fixtures import log_of, message
+from local_spark import SF
 from pyspark.sql import functions as F
 
 from msglog.functions import subjects as S
@@ -109,3 +109,17 @@ def test_few_filters_need_no_join_and_many_no_nested_loop(spark):
     many = values(spark, [{"filter": f"events.*.{i}"} for i in range(50)])
     text = plan(match_filters(events_log(spark, SF), FilterSet.of(spark, many)))
     assert "BroadcastHashJoin" in text and "NestedLoop" not in text and "Cartesian" not in text
+
+
+@pytest.mark.parametrize("options", [{}, {"filters": ["events.click.>"]}, {"filters": ["events.click.>", "events.view.>"]}, {"stream": "events"}])
+@pytest.mark.parametrize("rule", [("seq", 50), ("time", 1_705_276_800_000), ("latest",)])
+def test_stops_of_a_table_read_as_one_stream_run_no_job_and_compare_no_pairs(spark, rule, options):
+    tracker, source = spark.sparkContext.statusTracker(), events_log(spark, SF)
+    spark.sparkContext.setJobGroup("stops", "building a read")
+    read = read_log(spark, frame=source, stop=rule, seq=EVENT_SEQ, metadata=["streamSeq"], **options)
+    jobs = tracker.getJobIdsForGroup("stops")
+    spark.sparkContext.setJobGroup("other", "")
+    assert not jobs
+    text = plan(read)
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert read.count() > 0
