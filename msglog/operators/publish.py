@@ -8,6 +8,7 @@ subject, ``mark_status`` tells stored, duplicate and rejected messages apart, an
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,17 +18,17 @@ from pyspark.sql import functions as F
 from msglog.functions import headers as H
 from msglog.functions import payload as P
 from msglog.functions.subjects import is_valid_subject
-from msglog.operators.sequence import bucket_offsets, dense_seq, number_buckets
+from msglog.operators.sequence import MAX_SPANS, SPAN_BITS, dense_seq, in_span, marked_spans
 from msglog.operators.splits import BROADCAST_ROWS, FilterSet, first_capture, hinted, union_all
-from msglog.schema import HEADERS, WRITABLE
-from msglog.sources.store import (append_log, discard, log_exists, open_log, record_heads, saved, shared_dir,
-                                  stream_heads)
+from msglog.schema import BATCH, BATCH_ROW, ENVELOPE, HEADERS, WRITABLE
+from msglog.sources import side
+from msglog.sources.side import known_ids
+from msglog.sources.store import (append_log, discard, log_exists, mark, marked, open_log, past_heads, record_heads, saved,
+                                  shared_dir, stream_heads)
 
-# Notes of batches; names starting with '_' are skipped when the directory is read as a log.
+# Folders of batches; names starting with '_' are skipped when the directory is read as a log.
 BATCHES = "_batches"
 OK, DUPLICATE, FAILED = "ok", "duplicate", "failed"
-# Rows are numbered in spans of this many bits of their address: a large part is many spans.
-_SPAN_BITS = 20
 
 
 class CaptureError(ValueError):
@@ -99,34 +100,35 @@ def mark_status(captured: DataFrame, order: str, known: DataFrame | None = None,
                 n_rows: int | None = None) -> DataFrame:
     """Add ``status``: ``failed`` without a stream, ``duplicate`` if the message id was stored
     before or comes earlier in ``order`` (a unique column), else ``ok``. Messages without an
-    id are never duplicates.
-
-    Copies of one id are reduced to their first before anything is shuffled; the join back
-    has only repeated ids on its other side.
-    """
+    id are never duplicates."""
+    found = union_all(_duplicates(captured, order, known, n_rows)).distinct().withColumn("_copy", F.lit(True))
+    status = F.when(F.col("stream").isNull(), FAILED).when(F.col("_copy"), DUPLICATE).otherwise(OK)
+    return (captured.join(hinted(found, n_rows), order, "left").withColumn("status", status)
+            .select(*captured.columns, "status"))
+
+
+def _duplicates(batch: DataFrame, order: str, known: DataFrame | None, n_ids: int | None,
+                stage: str | None = None) -> list[DataFrame]:
+    """The ``order`` of messages whose id comes earlier in the batch or is among the ``known`` ones. Copies of an
+    id are reduced to their first before anything is shuffled. ``n_ids``: the ids of the batch, where they
+    are counted; a small batch bounds what is found in it, otherwise that is written under ``stage``."""
     key = ["stream", "msg_id"]
-    has_id = F.col("stream").isNotNull() & F.col("msg_id").isNotNull()
-    repeated = (captured.where(has_id).groupBy(*key)
-                .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_copies"))
-                .where(F.col("_copies") > 1)
-                .select("stream", F.col("msg_id").alias("_id"), "_first"))
-    # Rows without an id match nothing; a key of their own keeps them out of one partition.
-    spread = F.when(has_id, F.col("msg_id")).otherwise(F.concat(F.lit("\u0000"), F.col(order).cast("string")))
-    out = captured.withColumn("_id", spread).join(repeated, ["stream", "_id"], "left")
-    duplicate = F.col("_first").isNotNull() & (F.col(order) > F.col("_first"))
-    if known is not None:
-        seen = _known_ids(captured.where(has_id).select(*key), known.select(*key), n_rows)
-        out = out.join(hinted(seen.withColumnRenamed("msg_id", "_id"), n_rows), ["stream", "_id"], "left")
-        duplicate = duplicate | F.col("_seen").isNotNull()
-    status = F.when(F.col("stream").isNull(), FAILED).when(has_id & duplicate, DUPLICATE).otherwise(OK)
-    return out.withColumn("status", status).select(*captured.columns, "status")
+    ids = batch.where(F.col("stream").isNotNull() & F.col("msg_id").isNotNull()).select(*key, order)
 
+    def sized(rows: DataFrame, name: str) -> tuple[DataFrame, int | None]:
+        if n_ids is None or n_ids <= BROADCAST_ROWS or stage is None:
+            return rows, n_ids
+        kept = saved(rows, name, stage)
+        return kept, kept.count()
 
-def _known_ids(ids: DataFrame, known: DataFrame, n_rows: int | None) -> DataFrame:
-    """Which of a batch's ids the log holds. A small batch is broadcast to the log, so the
-    log's ids are scanned but not shuffled."""
-    return known.join(hinted(ids, n_rows), ["stream", "msg_id"], "left_semi").distinct() \
-        .withColumn("_seen", F.lit(True))
+    repeated = sized(ids.groupBy(*key).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+                     .where(F.col("_copies") > 1).drop("_copies"), "repeated")
+    found = [ids.join(hinted(*repeated), key).where(F.col(order) > F.col("_first"))]
+    if known is not None:
+        # A small batch is broadcast to the known ids, so they are scanned but not shuffled.
+        seen = sized(known.select(*key).join(hinted(ids.select(*key), n_ids), key, "left_semi").distinct(), "seen")
+        found.append(ids.join(hinted(*seen), key, "left_semi"))
+    return [rows.select(order) for rows in found]
 
 
 def drop_duplicates(captured: DataFrame, order: str, known: DataFrame | None = None,
@@ -167,15 +169,19 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
     messages keep the order of their partitions. ``dedupe_since`` limits the look-up of known
     ids to stored messages at or past that time. One writer per stream at a time.
 
-    ``batch_id`` makes a replay harmless without message ids: the heads that the batch will leave
-    are noted under it before the append, and a batch whose heads are reached is not stored again.
+    ``batch_id`` makes a replay harmless, with message ids or without: the batch is staged in a folder of
+    its own beside the log, its number is stored with its rows, and a marker is left when all of it is
+    appended. A replay that finds the marker stores nothing. One that finds none looks for the rows that
+    carry the number: if there are none it starts anew, if some are missing it appends those, from the
+    staged files, whatever was published in between.
     """
     spark = messages.sparkSession
-    note = os.path.join(path, BATCHES, batch_id) if batch_id else None
-    if note and _was_appended(spark, path, note):
-        stage = shared_dir(spark, "publish")
-        none = messages.limit(0).withColumns({"stream_seq": F.lit(None).cast("long"), "status": F.lit(OK)})
-        return PublishResult(none, {OK: 0, DUPLICATE: 0, FAILED: 0}, stage)
+    home = os.path.join(path, BATCHES, batch_id) if batch_id else None
+    options = (partition_tokens, writers, max_records_per_file)
+    if home:
+        replayed = _replay(spark, path, home, batch_id, options)
+        if replayed is not None:
+            return replayed
     filters = FilterSet.of(spark, live(registry).select("filter", "stream"))
     if order_by and filters.size <= BROADCAST_ROWS:
         # Capture by broadcast leaves rows where they are and is better done once they are
@@ -185,107 +191,127 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
         captured = _capture(messages, filters).repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     else:
         captured = _capture(messages, filters)
-    stage = shared_dir(spark, "publish")
-    batch = saved(captured.withColumn("_addr", F.monotonically_increasing_id()), "batch", stage) \
-        .withColumn("_bucket", F.shiftright("_addr", _SPAN_BITS))
-    # One row per stream and span of addresses first.
-    runs = batch.groupBy("stream", "_bucket").agg(F.count(F.lit(1)).alias("n"), F.count("msg_id").alias("with_id"))
+    stage = os.path.join(home, "stage") if home else shared_dir(spark, "publish")
+    batch = saved(captured.withColumn("_addr", F.monotonically_increasing_id()), "batch", stage)
+    # One row per stream and span of addresses.
+    runs = batch.groupBy("stream", F.shiftright("_addr", SPAN_BITS)).agg(
+        F.count(F.lit(1)).alias("n"), F.count("msg_id").alias("with_id"))
     stored_here = F.col("stream").isNotNull()
     total = lambda column, rows: F.coalesce(F.sum(F.when(rows, F.col(column))), F.lit(0))
     size = runs.agg(
         total("n", F.lit(True)).alias("rows"), total("n", ~stored_here).alias("failed"),
-        total("with_id", stored_here).alias("ids"), F.count(F.lit(1)).alias("runs"),
-        F.count_distinct("_bucket").alias("parts")).first()
+        total("with_id", stored_here).alias("ids"), F.count(F.lit(1)).alias("runs")).first()
     if strict and size.failed:
         subjects = [row.subject for row in rejected(batch).select("subject").limit(5).collect()]
-        discard(spark, stage)
+        discard(spark, home or stage)
         raise CaptureError(f"{size.failed} messages have a subject no stream captures, such as {subjects}")
 
-    known = None
     exists = log_exists(spark, path)
-    if exists:
-        known = open_log(spark, path, partition_tokens).where(F.col("msg_id").isNotNull())
-        if dedupe_since is not None:
-            known = known.where(F.col("timestamp") >= dedupe_since)
-    left_out = [rejected(batch).select("_addr", F.lit(FAILED).alias("status"))] if size.failed else []
+    copies = None
     if dedupe and size.ids:
-        left_out += _duplicates(batch, known, size.ids, stage)
-    counts = {OK: size.rows, DUPLICATE: 0, FAILED: 0}
-    unstored = None
-    if left_out:
+        ids = batch.where(stored_here & F.col("msg_id").isNotNull()).select("stream", "msg_id")
+        known = known_ids(spark, path, ids, size.ids, dedupe_since, partition_tokens) if exists else None
         # Written out: the log changes below, and these rows must not follow it.
-        unstored = saved(union_all(left_out).distinct(), "unstored", stage)
-        counts.update({row.status: row["count"] for row in unstored.groupBy("status").count().collect()})
-        counts[OK] -= counts[DUPLICATE] + counts[FAILED]
-    n_unstored = size.rows - counts[OK]
-
-    kept = batch.join(hinted(unstored, n_unstored), "_addr", "left_anti") if n_unstored else batch
-    if n_unstored or size.runs > size.parts:
-        numbered = number_buckets(kept, ["stream"], "_addr", "_n")
-    else:
-        # Whole spans of one stream each: the address within a span is the position.
-        starts = bucket_offsets(kept, ["stream"]).select("stream", "_bucket", "_offset")
-        within = F.col("_addr") - F.shiftleft("_bucket", _SPAN_BITS)
-        numbered = kept.join(hinted(starts, size.runs), ["stream", "_bucket"]) \
-            .withColumn("_n", F.col("_offset") + within + 1)
-    heads = kept.groupBy("stream").agg(F.count(F.lit(1)).alias("_new"))
-    if exists:
-        # For the same reason: the heads move with the append.
-        before = saved(stream_heads(spark, path), "heads", stage).withColumnRenamed("head", "_old")
-        heads = heads.join(before, "stream", "full_outer").fillna(0, ["_new", "_old"])
-    else:
-        heads = heads.withColumn("_old", F.lit(0).cast("long"))
-    numbered = (numbered.join(hinted(before, before.count()), "stream", "left") if exists
-                else numbered.withColumn("_old", F.lit(0)))
-    stored = numbered.withColumn("stream_seq", F.coalesce("_old", F.lit(0)) + F.col("_n"))
+        copies = saved(union_all(_duplicates(batch, "_addr", known, size.ids, stage)).distinct(), "copies", stage)
+    n_copies = copies.count() if copies is not None else 0
+    counts = {OK: size.rows - size.failed - n_copies, DUPLICATE: n_copies, FAILED: size.failed}
+
+    kept = batch.where(stored_here).select("stream", "_addr")
+    if n_copies:
+        kept = kept.join(hinted(copies, n_copies), "_addr", "left_anti")
+    before = stream_heads(spark, path) if exists else spark.createDataFrame([], "stream STRING, head LONG")
+    # Sequences come from the spans of addresses that are kept; payloads stay where they are. The spans are
+    # written out: the heads move with the append.
+    spans = saved(marked_spans(kept, ["stream"], "_addr").join(before, "stream", "left").fillna(0, ["head"]), "spans", stage)
+    if home:
+        mark(spark, home, _STAGED)
+    stored = _numbered(batch, spans, size.runs).where(F.col("stream_seq").isNotNull())
     if counts[OK]:
-        if note:
-            heads.where("_new > 0").select("stream", (F.col("_old") + F.col("_new")).alias("head")) \
-                .write.mode("overwrite").parquet(note)
-        append_log(stored, path, partition_tokens, writers, max_records_per_file)
-        record_heads(heads.select("stream", (F.col("_old") + F.col("_new")).alias("head")), path)
-
-    results = batch.join(stored.select("_addr", "stream_seq"), "_addr", "left")
-    if unstored is not None:
-        results = results.join(hinted(unstored, n_unstored), "_addr", "left")
-    else:
-        results = results.withColumn("status", F.lit(OK))
-    return PublishResult(results.withColumn("status", F.coalesce("status", F.lit(OK))).drop("_addr", "_bucket"), counts, stage)
-
-
-def _was_appended(spark: SparkSession, path: str, note: str) -> bool:
-    """Whether the streams of a noted batch have reached the heads it would leave. A batch that
-    is noted but stored in part only cannot be told from one that failed: it raises."""
-    if not log_exists(spark, note):
-        return False
-    planned = spark.read.schema("stream STRING, head LONG").parquet(note).withColumnRenamed("head", "_planned")
-    reached = planned.join(stream_heads(spark, path), "stream", "left") \
-        .select((F.coalesce("head", F.lit(0)) >= F.col("_planned")).alias("there"))
-    there = {row.there for row in reached.distinct().collect()}
-    if len(there) > 1:
-        raise RuntimeError(f"the batch noted in {note} is stored in part; remove its messages before a replay")
-    return there == {True}
-
-
-def _duplicates(batch: DataFrame, known: DataFrame | None, n_ids: int, stage: str) -> list[DataFrame]:
-    """Addresses of messages whose id comes earlier in the batch or is in the log."""
-    key = ["stream", "msg_id"]
-    ids = batch.where(F.col("stream").isNotNull() & F.col("msg_id").isNotNull()).select(*key, "_addr")
-
-    def sized(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
-        """A small batch bounds what is found in it; otherwise that is written out and counted."""
-        if n_ids <= BROADCAST_ROWS:
-            return rows, n_ids
-        kept = saved(rows, name, stage)
-        return kept, kept.count()
-
-    repeated = sized(ids.groupBy(*key).agg(F.min("_addr").alias("_first"), F.count(F.lit(1)).alias("_copies"))
-                     .where(F.col("_copies") > 1).drop("_copies"), "repeated")
-    found = [ids.join(hinted(*repeated), key).where(F.col("_addr") > F.col("_first"))]
-    if known is not None:
-        seen = sized(_known_ids(ids.select(*key), known.select(*key), n_ids), "seen")
-        found.append(ids.join(hinted(*seen), key, "left_semi"))
-    return [rows.select("_addr", F.lit(DUPLICATE).alias("status")) for rows in found]
+        _append(stored, path, batch_id, options)
+        _finish(spark, path, home, size.ids)
+    elif home:
+        mark(spark, home, _DONE)
+    return PublishResult(_outcome(batch, spans, size.runs), counts, stage)
+
+
+# Markers of a batch: its rows are staged; its rows are all in the log.
+_STAGED, _DONE = "_staged", "_done"
+
+
+def _numbered(batch: DataFrame, spans: DataFrame, n_spans: int, how: str = "inner") -> DataFrame:
+    """Staged rows with the ``stream_seq`` they get, NULL for those that are left out."""
+    marked_, before_ = in_span("_addr")
+    spans = spans if n_spans > MAX_SPANS else F.broadcast(spans)
+    return (batch.withColumn("_span", F.shiftright("_addr", SPAN_BITS)).join(spans, ["stream", "_span"], how)
+            .withColumn("stream_seq", F.when(marked_, F.col("head") + F.col("_offset") + before_ + 1).cast("long"))
+            .select(*batch.columns, "stream_seq"))
+
+
+def _outcome(batch: DataFrame, spans: DataFrame, n_spans: int) -> DataFrame:
+    status = F.when(F.col("stream").isNull(), FAILED).when(F.col("stream_seq").isNull(), DUPLICATE).otherwise(OK)
+    return _numbered(batch, spans, n_spans, "left").withColumn("status", status).drop("_addr")
+
+
+def _append(stored: DataFrame, path: str, batch_id: str | None, options: tuple) -> None:
+    """Append numbered rows; those of a batch with a number carry it, and their place in the staged files."""
+    if batch_id:
+        stored = stored.withColumns({BATCH: F.lit(batch_id), BATCH_ROW: F.col("_addr")})
+    partition_tokens, writers, max_records_per_file = options
+    append_log(stored, path, partition_tokens, writers, max_records_per_file)
+
+
+def _finish(spark: SparkSession, path: str, home: str | None, n_ids: int | None) -> None:
+    """What follows an append: heads, side tables, the marker. All of it can be done again."""
+    if home:
+        mark(spark, home, _DONE)
+    record_heads(stream_heads(spark, path), path)
+    side.extend(spark, path, n_ids)
+
+
+def _replay(spark: SparkSession, path: str, home: str, batch_id: str, options: tuple) -> PublishResult | None:
+    """The result of a batch that was begun before, or None if it is to be stored as if it were new."""
+    stage = os.path.join(home, "stage")
+    if not marked(spark, home, _DONE):
+        if not marked(spark, home, _STAGED):
+            discard(spark, home)  # died while staging: nothing is in the log
+            return None
+        batch, spans = (spark.read.parquet(os.path.join(stage, name)) for name in ("batch", "spans"))
+        log = open_log(spark, path, options[0], batches=True) if log_exists(spark, path) else None
+        if log is None:
+            discard(spark, home)
+            return None
+        heads = spans.select("stream", "head").distinct()
+        since = past_heads(log, heads).select("stream", "stream_seq", BATCH, BATCH_ROW)
+        own = saved(since.where(F.col(BATCH) == batch_id).select(F.col(BATCH_ROW).alias("_addr")).distinct(), "own")
+        there = own.count()
+        if not there:
+            discard(spark, home)
+            return None
+        n_spans = spans.count()
+        missing = _numbered(batch, spans, n_spans).where(F.col("stream_seq").isNotNull()) \
+            .join(hinted(own, there), "_addr", "left_anti")
+        # Where something else was stored since, what is missing follows the present head; elsewhere it keeps its place.
+        others = since.where(F.col(BATCH).isNull() | (F.col(BATCH) != batch_id)).select("stream").distinct()
+        moved = others.join(stream_heads(spark, path), "stream").select("stream", F.col("head").alias("_now"))
+        again = marked_spans(missing.join(moved, "stream", "left_semi").select("stream", "_addr"), ["stream"], "_addr") \
+            .join(moved, "stream").withColumnRenamed("_now", "head")
+        again = saved(again, f"again-{uuid.uuid4().hex}", stage)
+        n_again = again.count()
+        late = _numbered(missing.drop("stream_seq"), again, n_again)
+        kept = missing.join(moved, "stream", "left_anti")
+        rest = saved(kept.unionByName(late), f"rest-{uuid.uuid4().hex}", stage)
+        n_rest = rest.count()
+        if n_rest:
+            _append(rest, path, batch_id, options)
+        _finish(spark, path, home, None)
+        return PublishResult(rest.drop("_addr").withColumn("status", F.lit(OK)), {OK: n_rest, DUPLICATE: 0, FAILED: 0}, stage)
+    none = spark.createDataFrame([], ENVELOPE).withColumn("status", F.lit(OK))
+    return PublishResult(none, {OK: 0, DUPLICATE: 0, FAILED: 0}, stage)
+
+
+def forget_batch(spark: SparkSession, path: str, batch_id: str) -> None:
+    """Drop what is kept of a batch that will not be replayed any more."""
+    discard(spark, os.path.join(path, BATCHES, batch_id))
 
 
 def publish_sql(spark: SparkSession, query: str, path: str, registry: DataFrame, *,

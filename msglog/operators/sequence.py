@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 BUCKET_WIDTH = 1 << 20
 # Limits up to this many rows use a top-k; larger ones look for the cut sequence.
 TOP_K_ROWS = 100_000
+# Bitmaps of marked rows hold this many bits of the order.
+SPAN_BITS = 15
+# Spans that may be sent to all tasks: 4 KB each at most.
+MAX_SPANS = 16_384
 
 
 def _bucket(order: str, width: int) -> Column:
@@ -63,6 +67,49 @@ def number_buckets(df: DataFrame, keys: Sequence[str], order: str, out: str,
     return numbered.select(*columns)
 
 
+def marked_spans(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """``(keys, _span, _n, _bits, _offset, _total)``: which rows of a key there are, a bitmap for every span of
+    32,768 values of ``order``, NULL where they are the first ones of the span without a gap; how many come
+    before the span; how many there are in all. Only keys and order are read and moved."""
+    place = F.col(order).bitwiseAND(F.lit((1 << SPAN_BITS) - 1))
+    spans = (rows.select(*keys, F.shiftright(order, SPAN_BITS).alias("_span"), place.alias("_place"))
+             .groupBy(*keys, "_span").agg(F.count(F.lit(1)).alias("_n"), F.max("_place").alias("_top"),
+                                          F.bitmap_construct_agg("_place").alias("_bits")))
+    before = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    return spans.select(*keys, "_span", "_n", F.when(F.col("_n") <= F.col("_top"), F.col("_bits")).alias("_bits"),
+                        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+                        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"))
+
+
+def in_span(order: str) -> tuple[Column, Column]:
+    """For a row joined with its span: whether it is marked, and how many marked rows of the span come before."""
+    place = f"(`{order}` & {(1 << SPAN_BITS) - 1})"
+    byte = f"CAST(conv(hex(substring(_bits, CAST({place} div 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    marked = F.expr(f"CASE WHEN _bits IS NULL THEN {place} < _n ELSE getbit({byte}, CAST({place} % 8 AS INT)) = 1 END")
+    before = F.expr(f"CASE WHEN _bits IS NULL THEN {place} ELSE bitmap_count(substring(_bits, 1, CAST({place} div 8 AS INT))) "
+                    f"+ bit_count({byte} & (shiftleft(1, CAST({place} % 8 AS INT)) - 1)) END")
+    return marked, before
+
+
+def positions(df: DataFrame, keys: Sequence[str], order: str, out: str, pending: str | None = None,
+              n_spans: int | None = None) -> DataFrame:
+    """:func:`dense_seq` without moving rows: only keys and order are aggregated, into bitmaps, which go to the
+    tasks that read the rows. ``n_spans`` bounds the spans of all keys; where it is unknown or too large to
+    send, rows are numbered by bucket."""
+    if n_spans is None or n_spans > MAX_SPANS:
+        return dense_seq(df, keys, order, out, pending)
+    spans = marked_spans(df, keys, order)
+    _, before = in_span(order)
+    # The span is a key that no optimizer takes for a constant, so the join is an equality for literal keys too.
+    found = df.withColumn("_span", F.shiftright(order, SPAN_BITS)).join(F.broadcast(spans), [*keys, "_span"])
+    found = found.withColumn(out, (F.col("_offset") + before + 1).cast("long"))
+    columns = [*df.columns, out]
+    if pending:
+        found = found.withColumn(pending, (F.col("_total") - F.col(out)).cast("long"))
+        columns.append(pending)
+    return found.select(*columns)
+
+
 def running_max(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str,
                 width: int = BUCKET_WIDTH) -> DataFrame:
     """The largest ``value`` of the key up to and including each row, by ``order``."""

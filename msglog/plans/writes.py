@@ -19,7 +19,9 @@ from msglog.plans.catalog import query
 from msglog.plans.inputs import (acks, compressing, deliveries, instant, k_of, log, n_splits, progress, type_filters,
                                  split_log, splits)
 from msglog.sources.adapters import EVENT_SEQ, EVENT_TOKENS, documents_log, events_log, events_stream, orders_log, table
-from msglog.sources.store import append_log, open_log, open_stream, shared_dir
+from msglog.sources import side
+from msglog.sources.log import read_log
+from msglog.sources.store import append_log, discard, open_log, open_stream, shared_dir
 from msglog.streaming import flows
 
 
@@ -218,6 +220,57 @@ def sink_stream_replay(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("stream_seq").alias("first_seq"), F.max("stream_seq").alias("last_seq"))
 
 
+@query("sink_replay_after_failure", """SELECT CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'rest' END AS stream,
+  count(*) * CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END AS n, 1 AS first_seq,
+  count(*) * CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END AS last_seq FROM
+  (SELECT CASE WHEN o_orderstatus = 'O' THEN 'O' ELSE '-' END AS o_orderstatus FROM O) GROUP BY o_orderstatus""", ("O",))
+def sink_replay_after_failure(spark: SparkSession, sf: str) -> DataFrame:
+    """The append of a batch without ids dies when one of its two streams is visible; another publish goes to
+    that stream before the batch is replayed. Each message is stored once."""
+    path = shared_dir(spark, "log")
+    streams = _registry(spark, ("open", "orders.O.>"), ("rest", "orders.F.>"), ("rest", "orders.P.>"))
+    messages = _order_messages(spark, sf).withColumn("msg_id", F.lit(None).cast("string"))
+    W.publish(messages, path, streams, order_by=["o"], batch_id="batch-0")
+    for part in ("stream=rest", "_heads", "_side", "_batches/batch-0/_done"):
+        discard(spark, f"{path}/{part}")
+    W.publish(messages.where("subject LIKE 'orders.O.%'"), path, streams, order_by=["o"]).discard()
+    W.publish(messages, path, streams, order_by=["o"], batch_id="batch-0").discard()
+    return open_log(spark, path).groupBy("stream").agg(
+        F.count(F.lit(1)).alias("n"), F.min("stream_seq").cast("int").alias("first_seq"), F.max("stream_seq").alias("last_seq"))
+
+
+@query("sink_dedupe_stored", """, R AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY part, o_orderkey) AS rn FROM
+    (SELECT *, 1 AS part FROM O WHERE o_orderkey % 3 < 2 UNION ALL SELECT *, 2 FROM O WHERE o_orderkey % 3 > 0))
+  SELECT part, count(*) AS n, count(*) FILTER (rn = 1) AS stored FROM R GROUP BY part""", ("O",))
+def sink_dedupe_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """A second batch repeats ids of the first, which are found in the id table of the log."""
+    path, streams = shared_dir(spark, "log"), _registry(spark, ("orders", "orders.>"))
+    messages, parts = _order_messages(spark, sf).withColumn("key", F.col("msg_id").cast("long")), []
+    for part, some in ((1, "key % 3 < 2"), (2, "key % 3 > 0")):
+        result = W.publish(messages.where(some), path, streams, order_by=["o"])
+        parts.append(result.messages.agg(F.lit(part).alias("part"), F.count(F.lit(1)).alias("n"), F.count("stream_seq").alias("stored")))
+    return parts[0].unionByName(parts[1])
+
+
+@query("stored_statistics", """SELECT 'orders' AS stream, count(*) AS n_messages, 1 AS first_seq, count(*) AS last_seq,
+  count(DISTINCT subject) AS n_subjects_estimate FROM O""", ("O",))
+def stored_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of a stored log from its side tables; so few subjects are estimated exactly."""
+    path = shared_dir(spark, "log")
+    W.publish(_order_messages(spark, sf), path, _registry(spark, ("orders", "orders.>")), order_by=["o"]).discard()
+    return side.stored_info(spark, path).withColumn("first_seq", F.col("first_seq").cast("int"))
+
+
+@query("stop_count_stored", """SELECT subject, stream_seq FROM (SELECT subject, row_number() OVER (ORDER BY o_orderkey) AS stream_seq FROM O)
+  WHERE subject LIKE 'orders.F.%' ORDER BY stream_seq LIMIT 100""", ("O",))
+def stop_count_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The first hundred messages of a filter; the counts of the log say where to look."""
+    path = shared_dir(spark, "log")
+    W.publish(_order_messages(spark, sf), path, _registry(spark, ("orders", "orders.>")), order_by=["o"]).discard()
+    return read_log(spark, path, stream="orders", filters=["orders.F.>"], stop=("count", 100), headers_only=True,
+                    metadata=["subject", "streamSeq"]).select("subject", F.col("streamSeq").alias("stream_seq"))
+
+
 @query("consume_catch_up", """SELECT subject, stream_seq FROM L WHERE event_type IN ('click', 'view')""")
 def consume_catch_up(spark: SparkSession, sf: str) -> DataFrame:
     """`view` is registered when half of the log has passed; it still delivers from its begin."""

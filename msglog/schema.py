@@ -60,3 +60,7 @@ PROGRESS = T.StructType([
 # Stored logs are partitioned by blocks of this many sequence numbers.
 BLOCK = 1 << 26
 BLOCK_COLUMN = "seq_block"
+
+# Rows of a batch with a number carry it, and their place in the staged batch. Reads do not see these columns.
+BATCH = "batch_id"
+BATCH_ROW = "batch_row"

@@ -21,8 +21,10 @@ from msglog.functions.subjects import TokenColumns
 from msglog.operators import positions
 from msglog.operators.discovery import in_force
 from msglog.operators.progress import unacknowledged, with_attempt
-from msglog.operators.sequence import dense_seq, first_n
+from msglog.operators.sequence import SPAN_BITS, first_n
+from msglog.operators.sequence import positions as number
 from msglog.operators.splits import FilterSet, check_no_overlap, hinted, match_splits
+from msglog.sources.side import COUNT_BITS, first_sequences
 from msglog.sources.store import log_exists, open_log, open_stream, saved, stream_heads, token_columns
 
 # The columns of a registry that matter to a read: a filter may hold for one stream, and for a time.
@@ -113,9 +115,11 @@ def read_log(spark: SparkSession, path: str | None = None, *, frame: DataFrame |
     if path is not None and log.isStreaming and opts.start[0] == "latest" and opts.snapshot is None:
         log = _past_heads(spark, log, path, opts.stream)
         opts = replace(opts, start=("earliest",))
-    if path is not None and opts.limit is not None and opts.bounded:
-        return decode_log(select_messages(spark, log, opts, tokens, _last_block(spark, path)), opts)
-    return decode_log(select_messages(spark, log, opts, tokens), opts)
+    counts = None
+    if path is not None and opts.bounded and (opts.limit is not None or (not callable(opts.stop) and opts.stop[0] == "count")):
+        counts = StoredCounts.of(spark, path, opts)
+    heads = stream_heads(spark, path) if path is not None and not log.isStreaming and log_exists(spark, path) else None
+    return decode_log(select_messages(spark, log, opts, tokens, counts, heads), opts)
 
 
 def _past_heads(spark: SparkSession, log: DataFrame, path: str, stream: str | None) -> DataFrame:
@@ -130,28 +134,50 @@ def _past_heads(spark: SparkSession, log: DataFrame, path: str, stream: str | No
             .where(F.col("head").isNull() | (F.col("stream_seq") > F.col("head"))).select(*log.columns))
 
 
-def _last_block(spark: SparkSession, path: str) -> int | None:
-    """The last block of sequences that any stream of a stored log has."""
-    head = stream_heads(spark, path).agg(F.max("head")).first()[0] if log_exists(spark, path) else None
-    return None if head is None else head // positions.BLOCK
+@dataclass(frozen=True)
+class StoredCounts:
+    """What the side tables of a stored log tell about where its first messages are."""
+
+    spark: SparkSession
+    path: str
+    stream: str | None
+    first: int
+    last: int
+
+    @classmethod
+    def of(cls, spark: SparkSession, path: str, opts: ReadOptions) -> StoredCounts | None:
+        if not log_exists(spark, path):
+            return None
+        last = stream_heads(spark, path).agg(F.max("head")).first()[0]
+        first = opts.start[1] if opts.start[0] == "seq" else 0
+        return None if last is None else cls(spark, path, opts.stream, first, last)
+
+    def cut(self, log: DataFrame, n: int, token: str | None, exact: bool) -> DataFrame:
+        """``log`` cut to a part from its begin that holds ``n`` of its rows, if it has as many. The counts name
+        the first guess: by stream and first subject token, they are never too low, and without filters
+        they are right. A guess that held too little is doubled."""
+        end = first_sequences(self.spark, self.path, n, self.stream, self.first, token)
+        if end is None:  # the counts end before, or there are none
+            end, exact = self.first + min(1 << COUNT_BITS, positions.BLOCK), False
+        while end <= self.last:
+            part = log.where((F.col(positions.BLOCK_COLUMN) < -(-end // positions.BLOCK)) & (F.col("stream_seq") < end))
+            if exact or part.limit(n).count() == n:
+                return part
+            exact, end = False, self.first + 2 * (end - self.first)
+        return log
 
 
-def _first_blocks(log: DataFrame, n: int, last_block: int) -> DataFrame:
-    """A stored log cut to its first blocks of sequences, doubled until they hold ``n`` rows:
-    a limit reads the begin of a log and not the sequences of all of it."""
-    blocks = 1
-    while blocks <= last_block:
-        part = log.where(F.col(positions.BLOCK_COLUMN) < blocks)
-        if part.limit(n).count() == n:
-            return part
-        blocks *= 2
-    return log
+def _first_token(filters: FilterSet | None) -> str | None:
+    """The first subject token that all filters of a short list share."""
+    tokens = {f.split(".")[0] for f in filters.inline} if filters is not None else set()
+    return tokens.pop() if len(tokens) == 1 and not tokens & {"*", ">"} else None
 
 
 def select_messages(spark: SparkSession, log: DataFrame, opts: ReadOptions,
-                    tokens: TokenColumns | None = None, last_block: int | None = None) -> DataFrame:
-    """The envelopes a read delivers, before any payload is decoded. ``last_block``: of a stored
-    log, for reads with a limit."""
+                    tokens: TokenColumns | None = None, counts: StoredCounts | None = None,
+                    heads: DataFrame | None = None) -> DataFrame:
+    """The envelopes a read delivers, before any payload is decoded. ``counts`` and ``heads``: of a stored
+    log, for reads that take the first messages, and for those that number messages."""
     streaming = log.isStreaming
     if streaming and (opts.limit is not None or "consumerSeq" in opts.metadata or "pending" in opts.metadata):
         raise ValueError("limit, consumerSeq and pending need a bounded read")
@@ -170,16 +196,24 @@ def select_messages(spark: SparkSession, log: DataFrame, opts: ReadOptions,
         if opts.registry is not None:
             # A history may hold a filter several times or for other streams: no number of splits.
             log, n_splits = in_force(log), None
+    plain, token = split is None and opts.start[0] == "earliest", _first_token(chosen if split else None)
+    if counts is not None and not callable(opts.stop) and opts.stop[0] == "count":
+        log = counts.cut(log, opts.stop[1], token, plain)
     log = positions.stop_at(log, opts.stop, split, n_splits, opts.snapshot, opts.seq, one_stream)
     if opts.ack != "none":
         log = unacknowledged(log, opts.acks, opts.ack)
     if "consumerSeq" in opts.metadata or "pending" in opts.metadata:
-        log = dense_seq(log, ["split_id"], "stream_seq", "consumer_seq", pending="pending")
+        # A look at the last sequence bounds what is sent; the rows themselves stay where they are.
+        ends = heads if heads is not None else log.groupBy("stream").agg(F.max("stream_seq").alias("head"))
+        if opts.stream is not None:
+            ends = ends.where(F.col("stream") == opts.stream)
+        spans = ends.agg(F.sum(F.shiftright("head", SPAN_BITS) + 1)).first()[0] or 0
+        log = number(log, ["split_id"], "stream_seq", "consumer_seq", pending="pending", n_spans=spans * chosen.size)
     if "delivered" in opts.metadata and "delivered" not in log.columns:
         log = with_attempt(log, opts.deliveries)
     if opts.limit is not None:
-        if last_block is not None and positions.BLOCK_COLUMN in log.columns:
-            log = _first_blocks(log, opts.limit, last_block)
+        if counts is not None:
+            log = counts.cut(log, opts.limit, token, False)
         ties = () if one_stream and split is None else positions.tie_columns(log, split)
         log = first_n(log, opts.limit, physical=opts.seq, ties=ties)
     if opts.watermark is not None:

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from msglog.functions.subjects import TokenColumns
-from msglog.schema import BLOCK, BLOCK_COLUMN, ENVELOPE
+from msglog.schema import BATCH, BATCH_ROW, BLOCK, BLOCK_COLUMN, ENVELOPE
 
 # Names starting with '_' are skipped when the directory is read as a log.
 HEADS = "_heads"
 # Up to this many streams the newest part of each is looked up by a condition of its own.
 MAX_HEAD_SCANS = 1000
 KEPT_SNAPSHOTS = 8
+BATCH_FIELDS = (T.StructField(BATCH, T.StringType()), T.StructField(BATCH_ROW, T.LongType()))
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -60,9 +61,11 @@ def stored_schema(positions: tuple[int, ...] = ()) -> T.StructType:
     return T.StructType([*ENVELOPE.fields, *extra, T.StructField(BLOCK_COLUMN, T.LongType())])
 
 
-def open_log(spark: SparkSession, path: str, positions: tuple[int, ...] = ()) -> DataFrame:
-    """Scan a stored log with its declared schema; nothing is inferred."""
-    return spark.read.schema(stored_schema(positions)).parquet(path)
+def open_log(spark: SparkSession, path: str, positions: tuple[int, ...] = (), batches: bool = False) -> DataFrame:
+    """Scan a stored log with its declared schema; nothing is inferred. ``batches`` adds which batch a row
+    came with, NULL for batches without a number."""
+    schema = stored_schema(positions)
+    return spark.read.schema(T.StructType([*schema.fields, *BATCH_FIELDS]) if batches else schema).parquet(path)
 
 
 def open_stream(spark: SparkSession, path: str, positions: tuple[int, ...] = (),
@@ -90,7 +93,7 @@ def append_log(frame: DataFrame, path: str, positions: tuple[int, ...] = (),
     if writers:
         # Range, not hash: a subject that holds a third of the rows is spread over writers.
         frame = frame.repartitionByRange(writers, *parts, "stream_seq")
-    columns = [f.name for f in stored_schema(positions)]
+    columns = [f.name for f in stored_schema(positions)] + [f.name for f in BATCH_FIELDS if f.name in frame.columns]
     writer = (frame.select(*columns).sortWithinPartitions(*parts, "stream_seq")
               .write.mode("append").partitionBy(*parts))
     if max_records_per_file:
@@ -108,12 +111,25 @@ def log_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Paths of what is in a folder, in order; none where there is no folder."""
+    fs, target = _file_system(spark, path)
+    return sorted(status.getPath().toString() for status in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def mark(spark: SparkSession, path: str, name: str) -> None:
+    """Leave an empty file in a folder: a statement that is made at once or not at all."""
+    fs, target = _file_system(spark, os.path.join(path, name))
+    fs.create(target, True).close()
+
+
+def marked(spark: SparkSession, path: str, name: str) -> bool:
+    return log_exists(spark, os.path.join(path, name))
+
+
 def _snapshots(spark: SparkSession, path: str) -> list[str]:
     """Paths of the head snapshots of a log, oldest first."""
-    fs, target = _file_system(spark, os.path.join(path, HEADS))
-    if not fs.exists(target):
-        return []
-    return sorted(status.getPath().toString() for status in fs.listStatus(target))
+    return list_folder(spark, os.path.join(path, HEADS))
 
 
 def stream_heads(spark: SparkSession, path: str) -> DataFrame:
@@ -123,22 +139,26 @@ def stream_heads(spark: SparkSession, path: str) -> DataFrame:
     looked at, so the cost follows what is new, not the size of the log; a snapshot that is
     missing or old costs a longer look but never a wrong head.
     """
-    log = open_log(spark, path).select("stream", BLOCK_COLUMN, F.col("stream_seq").alias("head"))
+    log = open_log(spark, path).select("stream", BLOCK_COLUMN, "stream_seq")
     snapshots = _snapshots(spark, path)
     if not snapshots:
-        return log.groupBy("stream").agg(F.max("head").alias("head"))
+        return log.groupBy("stream").agg(F.max("stream_seq").alias("head"))
     known = spark.read.schema("stream STRING, head LONG").parquet(snapshots[-1])
-    few = known.limit(MAX_HEAD_SCANS + 1).collect()
+    found = known.unionByName(past_heads(log, known).select("stream", F.col("stream_seq").alias("head")))
+    return found.groupBy("stream").agg(F.max("head").alias("head"))
+
+
+def past_heads(log: DataFrame, heads: DataFrame) -> DataFrame:
+    """The part of a stored log past ``heads(stream, head)``; streams without a head are whole."""
+    few = heads.limit(MAX_HEAD_SCANS + 1).collect()
     if len(few) <= MAX_HEAD_SCANS:
         # One scan: each stream is pruned by its own block, however old its head is.
-        newer = [(F.col("stream") == row.stream) & (F.col(BLOCK_COLUMN) >= row.head // BLOCK) & (F.col("head") > row.head)
+        newer = [(F.col("stream") == row.stream) & (F.col(BLOCK_COLUMN) >= row["head"] // BLOCK) & (F.col("stream_seq") > row["head"])
                  for row in few]
-        fresh = log.where(_any([~F.col("stream").isin([row.stream for row in few]), *newer]))
-    else:
-        old = known.withColumnRenamed("head", "_old")
-        fresh = log.join(old, "stream", "left").where(F.col("_old").isNull() | (F.col("head") > F.col("_old")))
-    found = known.unionByName(fresh.select("stream", "head"))
-    return found.groupBy("stream").agg(F.max("head").alias("head"))
+        return log.where(_any([~F.col("stream").isin([row.stream for row in few]), *newer])) if few else log
+    old = heads.select("stream", F.col("head").alias("_old"))
+    return (log.join(old, "stream", "left").where(F.col("_old").isNull() | (F.col("stream_seq") > F.col("_old")))
+            .select(*log.columns))
 
 
 def _any(conditions: list) -> Column:

@@ -17,10 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 from msglog.functions.metadata import event_time
 from msglog.functions.subjects import TokenColumns, matches
 from msglog.operators.positions import start_at
-from msglog.operators.publish import live, publish
+from msglog.operators.publish import forget_batch, live, publish
 from msglog.operators.splits import FilterSet, match_splits, union_all
 from msglog.sources.store import log_exists
 
+# What is kept of so many batches of a query; Spark replays none but the last.
+KEPT_BATCHES = 100
+
 
 def drain(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append everything available now to Parquet, then stop."""
@@ -117,5 +120,7 @@ def publish_stream(stream: DataFrame, path: str, registry: Callable[[SparkSessio
     def write(batch: DataFrame, epoch: int) -> None:
         messages = prepare(batch) if prepare else batch
         publish(messages, path, registry(batch.sparkSession), batch_id=f"{query}-{epoch:012d}", **options).discard()
+        if epoch >= KEPT_BATCHES:
+            forget_batch(batch.sparkSession, path, f"{query}-{epoch - KEPT_BATCHES:012d}")
 
     return _run(stream, write, checkpoint, interval)

@@ -123,3 +123,14 @@ def test_stops_of_a_table_read_as_one_stream_run_no_job_and_compare_no_pairs(spa
     text = plan(read)
     assert "NestedLoop" not in text and "Cartesian" not in text
     assert read.count() > 0
+
+
+@pytest.mark.parametrize("column", ["consumerSeq", "pending"])
+@pytest.mark.parametrize("filters", [["s.a.>"], ["s.a.>", "s.b.>"]])
+def test_positions_in_a_split_move_no_payload(spark, path, column, filters):
+    read = read_log(spark, path, filters=filters, partition_tokens=(1,), metadata=["subject", "streamSeq", column])
+    text = plan(read)
+    moved = re.findall(r"\(\d+\) (?:Broadcast)?Exchange\nInput \[\d+\]: \[(.*)\]", text)
+    assert moved and all("data#" not in columns and "headers#" not in columns for columns in moved)
+    assert "NestedLoop" not in text
+    assert read.count() == 50 * len(filters)

@@ -7,7 +7,7 @@ import pytest
 from fixtures import START, column, log_of, message
 from pyspark.sql import functions as F
 
-from msglog.operators import positions
+from msglog.operators import positions, sequence
 from msglog.operators.sequence import dense_seq, first_n, nth_seq, running_max
 from msglog.operators.splits import FilterSet, match_splits
 
@@ -122,3 +122,23 @@ def test_time_literals_follow_the_column_type(spark):
     at = int((START + timedelta(seconds=2)).timestamp() * 1000)
     for frame in (log, local):
         assert column(positions.start_at(frame, ("time", at)), "stream_seq") == [2, 3]
+
+
+@pytest.mark.parametrize("gap", [1, 7, 40_000])
+def test_positions_by_bitmap_agree_with_ranks(spark, gap):
+    rows = [("abc"[i % 3], i * gap + i % 2) for i in range(1, 400)]
+    frame = spark.createDataFrame(rows, "split_id STRING, stream_seq LONG").repartition(5)
+    by_rank = sequence.dense_seq(frame, ["split_id"], "stream_seq", "n", pending="left")
+    by_bits = sequence.positions(frame, ["split_id"], "stream_seq", "n", pending="left", n_spans=10)
+    assert sorted(map(tuple, by_bits.collect())) == sorted(map(tuple, by_rank.collect()))
+
+
+def test_marked_rows_of_a_span(spark):
+    marked_rows = spark.createDataFrame([(i,) for i in [*range(50), 60, 32_767, 32_768, 32_769]], "a LONG").withColumn("k", F.lit(1))
+    spans = sequence.marked_spans(marked_rows, ["k"], "a")
+    assert {r._span: (r._n, r._bits is None, r._offset) for r in spans.collect()} == {0: (52, False, 0), 1: (2, True, 52)}
+    every = spark.range(32_780).select(F.col("id").alias("a"), F.lit(1).alias("k"), F.shiftright("id", 15).alias("_span"))
+    marked, before = sequence.in_span("a")
+    got = {r.a: (r.m, r.b) for r in every.join(spans, ["k", "_span"]).select("a", marked.alias("m"), before.alias("b")).collect()}
+    assert sorted(a for a, (m, _) in got.items() if m) == [*range(50), 60, 32_767, 32_768, 32_769]
+    assert got[60][1] == 50 and got[32_767][1] == 51 and got[61][1] == 51 and got[32_769][1] == 1

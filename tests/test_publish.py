@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import string
 from datetime import timedelta
 
@@ -280,3 +281,99 @@ def test_custom_encoder(spark):
 def test_assign_seq_follows_what_is_stored(spark):
     rows = spark.createDataFrame([(30,), (10,), (20,)], "o LONG")
     assert {r.o: r.stream_seq for r in W.assign_seq(rows, "o", 60).collect()} == {10: 61, 20: 62, 30: 63}
+
+
+class Died(Exception):
+    pass
+
+
+def dying(monkeypatch, when: str, part=None):
+    """The next append dies before, in the middle (after ``part`` of it) or after it."""
+    plain, left = W.append_log, [1]
+
+    def append(frame, *args):
+        if not left:
+            return plain(frame, *args)
+        left.clear()
+        if when == "middle":
+            plain(frame.where(part), *args)
+        elif when == "after":
+            plain(frame, *args)
+        raise Died
+
+    monkeypatch.setattr(W, "append_log", append)
+
+
+def unnamed(spark, n: int, subject: str = "s.a"):
+    rows = spark.range(n).select(F.concat(F.lit(f"{subject}."), F.col("id").cast("string")).alias("subject"), "id")
+    return W.outgoing(rows, format="string", columns=["subject"], keep=["id"])
+
+
+@pytest.mark.parametrize("between", [0, 3, 10])
+@pytest.mark.parametrize("when,part", [("before", None), ("middle", "stream_seq % 2 = 0"), ("middle", "_addr & 1 = 1"), ("middle", "stream = 't'"), ("after", None)])
+def test_a_batch_that_died_is_stored_once_whatever_came_between(spark, path, monkeypatch, when, part, between):
+    both = registry(spark, ("s", "s.>"), ("t", "t.>"))
+    W.publish(unnamed(spark, 2, "s.first"), path, both, batch_id="q-0")
+    batch = unnamed(spark, 5).unionByName(unnamed(spark, 4, "t.a"))
+    with monkeypatch.context() as patch:
+        dying(patch, when, part)
+        with pytest.raises(Died):
+            W.publish(batch, path, both, order_by=["subject"], batch_id="q-1")
+    if between:
+        W.publish(unnamed(spark, between, "s.other"), path, both, batch_id="r-0")
+    result = W.publish(batch, path, both, order_by=["subject"], batch_id="q-1")
+    stored = {"before": 9, "after": 0}.get(when)
+    assert stored is None and 0 < result.counts["ok"] < 9 or result.counts["ok"] == stored
+    assert result.messages.count() == result.counts["ok"]
+    for _ in range(2):
+        log = open_log(spark, path).collect()
+        names = [bytes(r.data).decode() for r in log]
+        assert sorted(names) == sorted([f"s.first.{i}" for i in range(2)] + [f"s.a.{i}" for i in range(5)] + [f"t.a.{i}" for i in range(4)]
+                                       + [f"s.other.{i}" for i in range(between)])
+        assert len({(r.stream, r.stream_seq) for r in log}) == len(log)
+        assert W.publish(batch, path, both, order_by=["subject"], batch_id="q-1").counts["ok"] == 0
+    for stream in "st":
+        seen = [r.stream_seq for r in log if r.stream == stream]
+        assert between and when == "middle" or sorted(seen) == list(range(1, len(seen) + 1))
+
+
+def test_a_batch_that_died_while_it_was_finished_is_finished(spark, path, monkeypatch):
+    from msglog.sources import side
+
+    def broken(*args):
+        raise Died
+
+    rows = ids_batch(spark, ["a", "b"])
+    with monkeypatch.context() as patch:
+        patch.setattr(side, "extend", broken)
+        with pytest.raises(Died):
+            W.publish(rows, path, registry(spark), batch_id="q-0")
+    assert W.publish(rows, path, registry(spark), batch_id="q-0").counts["ok"] == 0
+    assert W.publish(ids_batch(spark, ["b", "c"]), path, registry(spark)).counts == {"ok": 1, "duplicate": 1, "failed": 0}
+    assert side.is_covered(spark, path)
+
+
+def test_a_batch_that_died_while_staging_starts_anew(spark, path, monkeypatch):
+    def broken(*args):
+        raise Died
+
+    with monkeypatch.context() as patch:
+        patch.setattr(W, "marked_spans", broken)
+        with pytest.raises(Died):
+            W.publish(unnamed(spark, 3), path, registry(spark), batch_id="q-0")
+    assert W.publish(unnamed(spark, 3), path, registry(spark), batch_id="q-0").counts["ok"] == 3
+    W.forget_batch(spark, path, "q-0")
+    assert W.publish(unnamed(spark, 3), path, registry(spark), batch_id="q-0").counts["ok"] == 3  # it is no longer known
+
+
+def test_a_batch_with_a_duplicate_moves_no_payload(spark, path):
+    result = W.publish(ids_batch(spark, ["a", "b", "a", None, "c"]), path, registry(spark), order_by=["n"])
+    batch, spans = (spark.read.parquet(f"{result.stage}/{name}") for name in ("batch", "spans"))
+    assert spans.where("_bits IS NOT NULL").count() == 1
+    for frame in (W._numbered(batch, spans, 1), result.messages):
+        plan = frame._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        moved = re.findall(r"\(\d+\) (?:Broadcast)?Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+        assert moved and all("data#" not in columns for columns in moved)
+    assert [(r.msg_id, r.stream_seq) for r in result.messages.orderBy("n").collect()] == \
+        [("a", 1), ("b", 2), ("a", None), (None, 3), ("c", 4)]

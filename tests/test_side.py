@@ -1,0 +1,148 @@
+"""Side tables: what they hold, what a look-up opens, and that they are never needed for a right result."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from fixtures import column, log_of, message
+from pyspark.sql import functions as F
+
+from msglog.operators import publish as W
+from msglog.operators import stats
+from msglog.operators.splits import values
+from msglog.sources import log as source
+from msglog.sources import side
+from msglog.sources.log import read_log
+from msglog.sources.store import append_log, discard, list_folder, open_log, shared_dir
+
+
+@pytest.fixture
+def path(spark):
+    return shared_dir(spark, "test")
+
+
+def registry(spark):
+    return values(spark, [{"stream": s, "filter": f"{s}.>"} for s in "stu"])
+
+
+def send(spark, path, ids, subject="s.a", at=None, **options):
+    rows = log_of(spark, [message(n, subject, b"x", at=at, msg_id=i) for n, i in enumerate(ids, 1)]).drop("stream", "stream_seq")
+    return W.publish(rows, path, registry(spark), order_by=["msg_id"], **options)
+
+
+def files_of(frame, folder: str) -> set[str]:
+    return {f for f in frame.inputFiles() if f"/{folder}/" in f}
+
+
+def rows_read(frame, folder: str) -> set[str]:
+    """The files under a folder that a scan opens after partition pruning."""
+    return {r.f for r in frame.select(F.input_file_name().alias("f")).distinct().collect() if f"/{folder}/" in r.f}
+
+
+def test_ids_are_looked_up_in_their_buckets_and_times(spark, path):
+    from datetime import datetime
+
+    for day in range(1, 4):
+        send(spark, path, [f"{day}-{i}" for i in range(300)], at=datetime(2024, 1, day, 12))
+    batch = spark.createDataFrame([("s", "2-17"), ("s", "new")], "stream STRING, msg_id STRING")
+    found = side.known_ids(spark, path, batch, 2)
+    assert {r.msg_id for r in found.collect()} == {"2-17"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*bucket#\d+ (IN|=)", plan) and "EqualTo(msg_id,2-17)" in plan or "In(msg_id, [2-17,new])" in plan
+    total = len([f for f in files_of(spark.read.parquet(f"{path}/{side.IDS}"), side.IDS)])
+    large = spark.createDataFrame([("s", f"2-{i}") for i in range(300)], "stream STRING, msg_id STRING")
+    opened = rows_read(side.known_ids(spark, path, large, 300, F.lit(datetime(2024, 1, 3))), side.IDS)
+    assert 0 < len(opened) <= total // 3
+    one = side.known_ids(spark, path, batch.where("msg_id = '2-17'"), 1)
+    assert len(rows_read(one, side.IDS)) <= 1
+    assert not rows_read(one, "stream=s")  # the log itself is not opened
+
+
+def test_duplicates_are_found_with_side_tables_old_missing_or_doubled(spark, path):
+    send(spark, path, ["a", "b"])
+    append_log(log_of(spark, [message(3, "s.a", msg_id="c")]), path)  # no side tables were written for it
+    assert send(spark, path, ["a", "c", "d"]).counts == {"ok": 1, "duplicate": 2, "failed": 0}
+    assert side.is_covered(spark, path)
+    for step in list_folder(spark, f"{path}/{side.STEPS}"):
+        discard(spark, step)
+    assert not side.is_covered(spark, path)
+    assert send(spark, path, ["a", "d", "e"]).counts == {"ok": 1, "duplicate": 2, "failed": 0}
+    assert side.is_covered(spark, path)
+    discard(spark, f"{path}/{side.IDS}")
+    discard(spark, f"{path}/{side.STEPS}")
+    assert send(spark, path, ["b", "e", "f"]).counts == {"ok": 1, "duplicate": 2, "failed": 0}
+    assert sorted(column(open_log(spark, path), "msg_id")) == list("abcdef")
+
+
+def test_an_unfinished_step_does_not_count(spark, path):
+    send(spark, path, ["a", "b"])
+    step = list_folder(spark, f"{path}/{side.STEPS}")[-1]
+    discard(spark, f"{step}/_done")
+    assert side.covered(spark, path).collect() == []
+    send(spark, path, ["c"])
+    info = side.stored_info(spark, path).first()
+    assert (info.n_messages, info.first_seq, info.last_seq, info.n_subjects_estimate) == (3, 1, 3, 1)
+
+
+def test_steps_are_merged(spark, path, monkeypatch):
+    monkeypatch.setattr(side, "KEPT_STEPS", 2)
+    for i in range(5):
+        send(spark, path, [f"{i}-{j}" for j in range(3)], subject=f"{'st'[i % 2]}.{i}")
+    assert len(list_folder(spark, f"{path}/{side.STEPS}")) <= 3
+    exact = {r.stream: tuple(r)[1:] for r in stats.stream_info(open_log(spark, path)).select(
+        "stream", "n_messages", "first_seq", "last_seq", "n_subjects").collect()}
+    stored = side.stored_info(spark, path)
+    assert {r.stream: tuple(r)[1:] for r in stored.select("stream", "n_messages", "first_seq", "last_seq", "n_subjects_estimate").collect()} == exact
+
+
+def test_statistics_read_side_rows_only_and_look_past_them_if_asked(spark, path):
+    send(spark, path, [str(i) for i in range(50)])
+    append_log(log_of(spark, [message(51, "s.new"), message(1, "u.x", stream="u")]), path)
+    known = side.stored_info(spark, path)
+    assert all("/_side/" in f for f in known.inputFiles())
+    assert [(r.stream, r.n_messages) for r in known.collect()] == [("s", 50)]
+    assert {r.stream: (r.n_messages, r.n_subjects_estimate) for r in side.stored_info(spark, path, look_past=True).collect()} \
+        == {"s": (51, 2), "u": (1, 1)}
+
+
+@pytest.fixture(scope="module")
+def blocks(spark):
+    """Three streams of 50 small spans each, published in ten batches."""
+    where = shared_dir(spark, "test")
+    with pytest.MonkeyPatch.context() as patch:
+        small(patch)
+        for b in range(5):
+            rows = [message(0, f"{s}.{'ab'[i % 2]}", b"x") for s in "stu" for i in range(160)]
+            W.publish(log_of(spark, rows).drop("stream", "stream_seq").coalesce(1), where, registry(spark))
+    return where
+
+
+def small(patch):
+    from msglog.operators import positions
+    from msglog.sources import store
+
+    for module in (positions, store):
+        patch.setattr(module, "BLOCK", 16)
+    for module in (side, source):
+        patch.setattr(module, "COUNT_BITS", 4)
+
+
+@pytest.mark.parametrize("options,reads", [
+    ({"stop": ("count", 10)}, 1), ({"stop": ("count", 40)}, 1), ({"stop": ("count", 10), "stream": "s"}, 1), ({"limit": 10}, 1),
+    ({"stop": ("count", 10), "stream": "t", "filters": ["t.a"]}, 2), ({"stop": ("count", 100), "stream": "t", "filters": ["t.>"]}, 7),
+    ({"stop": ("count", 7), "start": ("seq", 400), "stream": "u"}, 26), ({"stop": ("count", 100_000)}, 50)])
+def test_a_count_reads_the_blocks_it_needs(spark, blocks, monkeypatch, options, reads):
+    small(monkeypatch)
+    read = read_log(spark, blocks, headers_only=True, metadata=["stream", "subject", "streamSeq"], **options)
+    got = sorted((r.streamSeq, r.stream) for r in read.collect())
+    first, n = options.get("start", (0, 0))[-1] or 0, options.get("limit") or options["stop"][1]
+    every = sorted((r.stream_seq, r.stream) for r in open_log(spark, blocks).select("stream", "stream_seq", "subject").collect()
+                   if r.stream in options.get("stream", "stu") and r.stream_seq >= first
+                   and (options.get("filters") or [r.subject])[0] in (r.subject, f"{r.stream}.>"))
+    assert got == every[:n]
+    if reads < 50:
+        opened = {int(re.search(r"seq_block=(\d+)", r.f)[1]) for r in read_log(
+            spark, blocks, **{**options, "headers_only": True, "metadata": ["streamSeq"]}).select(F.input_file_name().alias("f")).collect()}
+        assert opened and max(opened) <= reads
+        assert re.search(r"seq_block#\d+L? < ", read._jdf.queryExecution().toString())
