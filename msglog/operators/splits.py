@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msglog.functions import subjects as S
+from msglog.operators.components import components
+from msglog.sources.store import saved
 
 # Lists up to this length are matched by predicates, without a join.
 INLINE_FILTERS = 16
@@ -194,6 +196,33 @@ def overlapping(filters: FilterSet) -> DataFrame:
     return joined.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def overlap_classes(filters: FilterSet) -> DataFrame:
+    """``(stream, filter, class, n_overlaps)`` of every filter: the first filter of those that chains of overlaps
+    join it with, and the number of filters it overlaps. All filters of one side of a key overlap all of the
+    other, so both come from a row for each key; pairs are never listed."""
+    keyed = _overlap_keys(filters)
+    sides = keyed.groupBy("stream", "key").agg(
+        F.sum(F.col("first").cast("int")).alias("_one"), F.sum((~F.col("first")).cast("int")).alias("_two"),
+        F.min(F.xxhash64("stream", "filter")).alias("root")).where((F.col("_one") > 0) & (F.col("_two") > 0))
+    met = saved(keyed.join(sides, ["stream", "key"]).select(
+        "stream", "filter", F.xxhash64("stream", "filter").alias("node"), "root",
+        F.when(F.col("first"), F.col("_two")).otherwise(F.col("_one")).alias("n")), "met")
+    # The key of a filter's own shape has the filter itself on both sides, and no other.
+    counts = met.groupBy("stream", "filter", "node").agg((F.sum("n") - 2).alias("n_overlaps"))
+    roots = components(met.select("node", "root"))
+    named = counts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = named.groupBy("root").agg(F.min("filter").alias("class"))
+    return named.join(first, "root").select("stream", "filter", "class", "n_overlaps")
+
+
+def overlaps_of(filters: FilterSet, filter_: str) -> DataFrame:
+    """The filters that overlap one of them, on request: only its own keys are looked up."""
+    keyed = _overlap_keys(filters)
+    own = keyed.where(F.col("filter") == filter_).select("stream", "key", F.col("first").alias("_own"))
+    found = keyed.join(own, ["stream", "key"]).where((F.col("first") != F.col("_own")) & (F.col("filter") != filter_))
+    return found.select("stream", "filter").distinct()
+
+
 def overlap_witnesses(filters: FilterSet) -> DataFrame:
     """One overlapping pair ``(a, b)`` for each key that has any: an aggregate, so the pairs of a
     common key are never listed."""

@@ -14,7 +14,7 @@ from msglog.functions import subjects as S
 from msglog.operators import discovery, positions
 from msglog.operators.progress import delivered_count
 from msglog.operators.sequence import first_n, running_max
-from msglog.operators.splits import (FilterSet, match_filters, match_splits, multi_match, overlapping, share, union_all,
+from msglog.operators.splits import (FilterSet, match_filters, match_splits, multi_match, overlap_classes, overlapping, share, union_all,
                                      values)
 from msglog.operators.stats import last_message, last_per_subject, stream_info
 from msglog.plans.catalog import query
@@ -318,6 +318,15 @@ def filters_overlap(spark: SparkSession, sf: str) -> DataFrame:
     return overlapping(FilterSet.of(spark, saved(_mixed_filters(spark, sf), "filters")))
 
 
+@query("filters_overlap_classes", _MIXED + """, W AS (SELECT f, string_split(f, '.') AS w FROM F),
+  P AS (SELECT a.f AS a, b.f AS b FROM W a JOIN W b ON a.f <> b.f AND (a.w[2] = b.w[2] OR '*' IN (a.w[2], b.w[2]))
+    AND (a.w[3] = b.w[3] OR '>' IN (a.w[3], b.w[3])))
+  SELECT f AS "filter", (SELECT min(f) FROM F) AS class, count(b) AS n_overlaps FROM F LEFT JOIN P ON a = f GROUP BY f""")
+def filters_overlap_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every user's filter meets every type's, so the filters are one class."""
+    return overlap_classes(FilterSet.of(spark, saved(_mixed_filters(spark, sf), "filters"))).select("filter", "class", "n_overlaps")
+
+
 @query("multi_match", """, F AS (SELECT DISTINCT 'events.*.' || user_id AS f, '^events\\.[^.]+\\.' || user_id || '$' AS p FROM L
     UNION ALL SELECT 'events.click.>', '^events\\.click\\..+$' UNION ALL SELECT 'events.view.>', '^events\\.view\\..+$')
   SELECT stream, stream_seq, count(*) AS n_filters FROM L JOIN F ON regexp_matches(subject, p)

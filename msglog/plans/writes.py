@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ from msglog.sources import side
 from msglog.sources.log import read_log
 from msglog.sources.store import append_log, discard, open_log, open_stream, shared_dir
 from msglog.streaming import flows
+from msglog.streaming.redelivery import redeliver_stream
 
 
 def _registry(spark: SparkSession, *entries: tuple[str, str]) -> DataFrame:
@@ -292,6 +294,54 @@ def consume_catch_up(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("subject STRING, stream_seq LONG").parquet(f"{path}-out").select("subject", "stream_seq")
 
 
+class _Stopped(RuntimeError):
+    pass
+
+
+@query("consume_progress", """, T AS (SELECT max(stream_seq) // 3 AS third FROM L)
+  SELECT event_type, CASE WHEN event_type = 'view' AND stream_seq > third AND stream_seq <= 2 * third THEN 2
+    ELSE least(2, (stream_seq - 1) // third) END AS batch, stream_seq FROM L, T WHERE event_type IN ('click', 'view')""")
+def consume_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches; the second one dies in its handler and `view` is paused in it: every message arrives once."""
+    path, source, status, dies = shared_dir(spark, "log"), events_log(spark, sf), {"click": "active", "view": "active"}, []
+
+    def known(session: SparkSession) -> DataFrame:
+        return values(session, [{"stream": "events", "filter": f"events.{t}.>", "status": x} for t, x in status.items()])
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        batch.select(F.split_part("subject", F.lit("."), F.lit(2)).alias("event_type"), F.lit(epoch).cast("long").alias("batch"), "stream_seq") \
+            .write.mode("overwrite").parquet(f"{path}-out/epoch={epoch}")
+        if dies:
+            raise _Stopped(dies.pop())
+
+    third = last_seq(source) // 3
+    for n, part in enumerate((F.col("stream_seq") <= third, F.col("stream_seq").between(third + 1, 2 * third), F.col("stream_seq") > 2 * third)):
+        append_log(source.where(part), path)
+        status["view"] = "paused" if n == 1 else "active"
+        dies += ["as if killed"] * (n == 1)
+        for _ in range(2):  # the second run has nothing to do, or the batch that died
+            try:
+                flows.consume(open_stream(spark, path), keep, f"{path}-checkpoint", known,
+                              stored=lambda session: open_log(session, path)).awaitTermination()
+            except StreamingQueryException:
+                continue
+    return spark.read.schema("event_type STRING, batch LONG, stream_seq LONG").parquet(f"{path}-out").select("event_type", "batch", "stream_seq")
+
+
+@query("flow_out_stream", """SELECT 'ok' AS status, count(*) AS n_records, CAST(sum(octet_length(encode(props))) AS BIGINT) AS n_bytes FROM L""")
+def flow_out_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """What a publishing query has measured batch by batch."""
+    path = shared_dir(spark, "log")
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        return W.outgoing(batch, format=lambda data: data, columns=F.col("data"), timestamp=F.col("timestamp"), msg_id=F.col("msg_id"))
+
+    flows.publish_stream(events_stream(spark, sf, max_files=1), path, lambda s: _registry(s, ("events", "events.>")),
+                         f"{path}-checkpoint", prepare, metrics=f"{path}-metrics").awaitTermination()
+    return flows.flow_metrics(spark, f"{path}-metrics").groupBy("status").agg(
+        F.sum("n_records").alias("n_records"), F.sum("n_bytes").alias("n_bytes"))
+
+
 @query("sink_parallelism", """SELECT subject, count(*) AS n, min(stream_seq) AS first_seq FROM (
     SELECT subject, row_number() OVER (ORDER BY o_orderkey) AS stream_seq FROM O) GROUP BY subject""", ("O",))
 def sink_parallelism(spark: SparkSession, sf: str) -> DataFrame:
@@ -342,8 +392,7 @@ def wm_stream(spark: SparkSession, sf: str) -> DataFrame:
   SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS n FROM E, W GROUP BY day, wm HAVING day + INTERVAL 1 DAY <= wm""")
 def wm_split_stream(spark: SparkSession, sf: str) -> DataFrame:
     """`view` ends on the 20th: the slower split holds the watermark of the union back."""
-    source = lambda: events_stream(spark, sf).where((F.col("event_type") != "view")
-                                                    | (F.col("timestamp") < instant("2024-01-20 00:00:00")))
+    source = events_stream(spark, sf).where((F.col("event_type") != "view") | (F.col("timestamp") < instant("2024-01-20 00:00:00")))
     merged = flows.split_watermarks(source, ["events.click.>", "events.view.>"], "1 hour", EVENT_TOKENS)
     daily = (merged.groupBy(F.window("event_time", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n"))
              .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "n"))
@@ -398,6 +447,27 @@ def redeliver(spark: SparkSession, sf: str) -> DataFrame:
     return G.redeliver(deliveries(spark, sf), acks(spark, sf), instant("2024-01-25 00:00:00"), "1 DAY", max_deliver=2)
 
 
+@query("redeliver_stream", """, last AS (SELECT split_id, stream_seq, max(attempt) AS attempt, max(delivered_at) AS last_at
+    FROM deliveries GROUP BY split_id, stream_seq)
+  SELECT split_id, stream_seq, attempt + 1 AS attempt FROM last
+  WHERE (split_id, stream_seq) NOT IN (SELECT (split_id, stream_seq) FROM acks)
+    AND date_trunc('milliseconds', last_at) + INTERVAL 1 DAY <= TIMESTAMP '2024-01-25' AND attempt < 2""", _P)
+def redeliver_in_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with state and timers: deliveries and acknowledgements are streams, time ends on the 25th."""
+    path, now = shared_dir(spark, "redelivery"), instant("2024-01-25 00:00:00")
+    told = deliveries(spark, sf).where(F.col("delivered_at") <= now).select(
+        "split_id", "stream_seq", "attempt", F.col("delivered_at").cast("timestamp").alias("delivered_at"))
+    clock = spark.range(1).select(F.lit("").alias("split_id"), F.lit(-1).cast("long").alias("stream_seq"), F.lit(0).alias("attempt"),
+                                  now.cast("timestamp").alias("delivered_at"))
+    told.unionByName(clock).write.parquet(f"{path}/deliveries")
+    known = acks(spark, sf).withColumn("acked_at", instant("2024-01-20 00:00:00").cast("timestamp"))
+    known.write.parquet(f"{path}/acks")
+    due = redeliver_stream(spark.readStream.schema(told.schema).parquet(f"{path}/deliveries"),
+                           spark.readStream.schema(known.schema).parquet(f"{path}/acks"), "1 DAY", max_deliver=2)
+    flows.drain(due, f"{path}/rows", f"{path}/checkpoint")
+    return spark.read.schema(due.schema).parquet(f"{path}/rows").select("split_id", "stream_seq", "attempt")
+
+
 _Q = ("L", "S", "progress")
 
 

@@ -14,6 +14,7 @@ from msglog.operators.stats import observed
 from msglog.sources.log import read_log
 from msglog.sources.store import append_log, open_log, open_stream, shared_dir
 from msglog.streaming import flows
+from msglog.streaming.redelivery import redeliver_stream
 
 
 @pytest.fixture
@@ -226,3 +227,128 @@ def test_the_watermark_of_a_union_is_that_of_its_slower_filter(spark, path):
     flows.drain(hourly, f"{path}-hours", f"{path}-hours-checkpoint")
     closed = spark.read.schema(hourly.schema).parquet(f"{path}-hours")
     assert closed.agg(F.max("end")).first()[0] <= datetime(2024, 1, 1, 3) and closed.count() > 0
+
+
+def test_fifty_watermarks_are_one_scan(spark, path):
+    rows = [message(i, f"s.{i % 50}", at=START + timedelta(hours=i if i % 50 else i // 2)) for i in range(1, 401)]
+    append_log(log_of(spark, rows), path)
+    names = [f"s.{i}" for i in range(50)]
+    merged = flows.split_watermarks(open_stream(spark, path), names, "1 hour")
+    daily = merged.groupBy(F.window("event_time", "1 day").alias("w")).agg(F.count("*").alias("n")).select("w.end", "n")
+    query = flows.drain(daily, f"{path}-days", f"{path}-days-checkpoint")
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 1
+    assert sum(p.numInputRows for p in query.recentProgress) == 400  # each message is read once
+    assert query.recentProgress[0].sources is not None and len(query.recentProgress[0].sources) == 1
+    closed = [r.end for r in spark.read.schema(daily.schema).parquet(f"{path}-days").collect()]
+    assert max(closed) <= START + timedelta(hours=199) and len(closed) >= 7  # s.0 is half as far as the others
+
+
+def test_a_filter_without_messages_holds_the_watermark_back(spark, path):
+    append_log(log_of(spark, [message(i, "s.a", at=START + timedelta(hours=i)) for i in range(1, 60)]), path)
+    merged = flows.split_watermarks(open_stream(spark, path), ["s.a", "s.b"], "1 hour")
+    daily = merged.groupBy(F.window("event_time", "1 day").alias("w")).agg(F.count("*").alias("n")).select("w.end", "n")
+    flows.drain(daily, f"{path}-days", f"{path}-days-checkpoint")
+    assert spark.read.schema(daily.schema).parquet(f"{path}-days").count() == 0
+
+
+class Broken(Exception):
+    pass
+
+
+def test_a_query_that_dies_resumes_each_split_and_a_paused_one_loses_nothing(spark, path):
+    from msglog.sources.store import list_folder
+
+    status, got, broken = {"s.a": "active", "s.b": "active"}, {}, []
+
+    def filters(session):
+        return session.createDataFrame([("s", f, x) for f, x in status.items()], "stream string, filter string, status string")
+
+    def handle(batch, epoch):
+        got[epoch] = sorted((r.subject, r.stream_seq) for r in batch.select("subject", "stream_seq").collect())
+        if broken:
+            broken.clear()
+            raise Broken
+
+    def run(first):
+        append_log(log_of(spark, [message(i, f"s.{'ab'[i % 2]}") for i in range(first, first + 4)]).coalesce(1), path)
+        query = flows.consume(open_stream(spark, path), handle, f"{path}-checkpoint", filters, stored=lambda s: open_log(s, path))
+        try:
+            query.awaitTermination()
+        except Exception:
+            flows.consume(open_stream(spark, path), handle, f"{path}-checkpoint", filters,
+                          stored=lambda s: open_log(s, path)).awaitTermination()
+        return {r.split_id.split("consumer-")[1]: (r.last_seq, r.status) for r in flows.consumed(spark, f"{path}-checkpoint").collect()}
+
+    run(1)
+    assert got[0] == [("s.a", 2), ("s.a", 4), ("s.b", 1), ("s.b", 3)]
+    status["s.b"] = "paused"
+    broken.append(1)
+    state = run(5)
+    assert got[1] == [("s.a", 6), ("s.a", 8)]
+    assert sorted(state.values()) == [(4, "paused"), (8, "active")]
+    del status["s.a"]  # withdrawn
+    run(9)
+    assert got[2] == []
+    status |= {"s.a": "active", "s.b": "active"}
+    state = run(13)
+    assert got[3] == [("s.a", i) for i in (10, 12, 14, 16)] + [("s.b", i) for i in (5, 7, 9, 11, 13, 15)]
+    assert sorted(state.values()) == [(16, "active")] * 2
+    assert len(list_folder(spark, f"{path}-checkpoint-state")) <= flows.KEPT_STATES + 1
+
+
+@pytest.mark.parametrize("catch_up,want", [(True, [1, 2, 3, 4, 5, 6]), (False, [1, 2, 5, 6])])
+def test_a_filter_that_comes_back_catches_up_or_skips(spark, path, catch_up, want):
+    known, got = ["b.>"], []
+
+    def run(first):
+        append_log(log_of(spark, [message(i, "b.x") for i in range(first, first + 2)]).coalesce(1), path)
+        flows.consume(open_stream(spark, path), lambda batch, _: got.extend(r.stream_seq for r in batch.collect()), f"{path}-checkpoint",
+                      lambda s: s.createDataFrame([("s", f) for f in known], "stream string, filter string"),
+                      stored=lambda s: open_log(s, path), catch_up=catch_up).awaitTermination()
+
+    run(1)
+    known.clear()
+    run(3)
+    known.append("b.>")
+    run(5)
+    assert sorted(got) == want
+
+
+def test_outcomes_of_a_publishing_query_are_kept(spark, path, monkeypatch):
+    monkeypatch.setattr(flows, "MERGED_EPOCHS", 2)
+    for i in range(5):
+        append(spark, path, 2 * i + 1, ["xy", "z"], "s.a")
+    doubled = open_stream(spark, path, max_files=1).drop("stream", "stream_seq").withColumn("msg_id", F.expr("if(msg_id = '4', '3', msg_id)"))
+    flows.publish_stream(doubled, f"{path}-t", registry, f"{path}-c", metrics=f"{path}-m").awaitTermination()
+    rows = flows.flow_metrics(spark, f"{path}-m")
+    assert {r.status: (r.n, r.b) for r in rows.groupBy("status").agg(F.sum("n_records").alias("n"), F.sum("n_bytes").alias("b")).collect()} \
+        == {"ok": (9, 14), "duplicate": (1, 1)}
+    assert rows.select("epoch").distinct().count() == 5
+
+
+def test_unacknowledged_messages_come_again_until_their_attempts_are_used_up(spark, path):
+    at = lambda minutes: START + timedelta(minutes=minutes)
+    d_schema, a_schema = "split_id STRING, stream_seq LONG, attempt INT, delivered_at TIMESTAMP", "split_id STRING, stream_seq LONG, acked_at TIMESTAMP"
+
+    def add(deliveries, acks):
+        spark.createDataFrame(deliveries, d_schema).coalesce(1).write.mode("append").parquet(f"{path}-d")
+        spark.createDataFrame(acks, a_schema).coalesce(1).write.mode("append").parquet(f"{path}-a")
+
+    def run():
+        due = redeliver_stream(spark.readStream.schema(d_schema).parquet(f"{path}-d"), spark.readStream.schema(a_schema).parquet(f"{path}-a"),
+                               "10 minutes", max_deliver=3)
+        flows.drain(due, f"{path}-out", f"{path}-c")
+        rows = spark.read.schema(due.schema).parquet(f"{path}-out").collect()
+        return sorted((r.split_id, r.stream_seq, r.attempt, (r.due_at - START).seconds // 60) for r in rows)
+
+    add([("x", 1, 1, at(0)), ("x", 2, 1, at(0)), ("y", 1, 1, at(0)), ("x", 3, 3, at(0)), ("t", -1, 0, at(5))], [("x", 1, at(1))])
+    assert run() == []
+    add([("t", -1, 0, at(12))], [])  # time passes, with a restart in between
+    first = [("x", 2, 2, 10), ("y", 1, 2, 10)]
+    assert run() == first
+    add([("t", -1, 0, at(15))], [("y", 1, at(14))])
+    assert run() == first
+    add([("t", -1, 0, at(60))], [])
+    assert run() == sorted([*first, ("x", 2, 3, 20)])
+    add([("t", -1, 0, at(600))], [])
+    assert run() == sorted([*first, ("x", 2, 3, 20)])
