@@ -4,6 +4,7 @@ import hashlib
 import sys
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from msglog.llm import merkle, queries
@@ -40,11 +41,39 @@ def test_next_rows_over_many_ranges_and_a_hot_id(spark):
     assert key == sorted(key, reverse=True)
 
 
-def test_differing_branches_locate_edits(spark):
-    a, b = "s0 p0\np1\n\ns1 p0\np1\np2\n\ns2", "s0 p0\np1\n\ns1 p0\nEDIT\np2\nmore\n\ns2"
-    row = spark.range(1).select(merkle.differing(merkle.tree(F.lit(a)), merkle.tree(F.lit(b))).alias("d"),
-                                merkle.root(merkle.tree(F.lit(a))).alias("x"), merkle.root(merkle.tree(F.lit(b))).alias("y")).first()
-    assert [tuple(p) for p in row.d] == [(1, 1), (1, 3)] and row.x != row.y
+@pytest.mark.parametrize("a,b,new,gone", [
+    ("s0 p0\np1\n\ns1 p0\np1\np2\n\ns2", "s0 p0\np1\n\ns1 p0\nEDIT\np2\nmore\n\ns2", [(1, 1), (1, 3)], [(1, 1)]),
+    ("p0\np1\np2", "front\np0\np1\np2", [(0, 0)], []),  # an insertion is one place, wherever it stands
+    ("s0\n\ns1\n\ns2", "s0\n\nnew\n\ns1\n\ns2", [(1, 0)], []),
+    ("a\n\nb\n\nc", "c\n\na", [], [(1, 0)]), ("same", "same", [], [])])
+def test_differing_branches_locate_edits(spark, a, b, new, gone):
+    one, two = merkle.tree(F.lit(a)), merkle.tree(F.lit(b))
+    row = spark.range(1).select(merkle.differing(two, one).alias("new"), merkle.differing(one, two).alias("gone"),
+                                merkle.root(one).alias("x"), merkle.root(two).alias("y")).first()
+    assert [tuple(p) for p in row.new] == new and [tuple(p) for p in row.gone] == gone and (row.x == row.y) == (a == b)
+
+
+def test_runs_are_the_lowest_nodes_and_hold_all_of_a_text(spark):
+    text = "  One two. three  four five six seven! x\ty \n\n\nlast  line "
+    row = spark.range(1).select(merkle.tree(F.lit(text)).alias("t"), merkle.runs(merkle.tree(F.lit(text))).alias("r"),
+                                F.regexp_extract_all(F.lit(text.split("\n")[0]), F.lit(merkle.RUN), F.lit(0)).alias("cut")).first()
+    assert "".join(row.cut) == text.split("\n")[0] and len(row.cut) > 3
+    runs = [x for s in row.t for p in s.paragraphs for x in p.runs]
+    assert set(row.r) == set(runs)
+    for section in row.t:
+        for p in section.paragraphs:
+            assert p.digest == hashlib.sha256(("p" + "".join(p.runs)).encode()).hexdigest()
+
+
+def test_rows_without_ids_are_dealt_over_ranges(spark):
+    rows = [(None, f"t{i}") for i in range(400)] + [(i, f"x{i}") for i in range(20)]
+    got = merkle.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    follow = {r.text: r.next_text for r in got}
+    at, seen = "x19", []
+    for _ in rows:
+        seen.append(at)
+        at = follow[at]
+    assert at == "x19" and seen[:20] == [f"x{i}" for i in range(19, -1, -1)] and len(set(seen)) == 420
 
 
 def test_splitting_keeps_texts_apart(spark):
