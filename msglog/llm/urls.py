@@ -23,7 +23,9 @@ verdicts blocks; an empty list gives every url the default; extra columns are le
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -35,7 +37,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_BYTES = 256 * 1024 * 1024
+MAX_BYTES = 32 * 1024 * 1024
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -126,16 +128,19 @@ def _judge(array: DigestArray, hosts: list[str], paths: list[str]) -> tuple[list
     best = [(-1, -1)] * len(hosts)
     found = array.find(keys, host_bytes)
     for c in np.flatnonzero(found >= 0).tolist():
-        i, rank = owner[c], (len(keys[c]), host_bytes[c])
+        text = keys[c].decode("utf-8", "surrogatepass")
+        # The longest rule has the most characters; of equally long ones, the most in its host.
+        i, rank = owner[c], (len(text), len(keys[c][:host_bytes[c]].decode("utf-8", "surrogatepass")))
         if rank > best[i]:
             best[i] = rank
-            rule[i], block[i] = keys[c].decode("utf-8", "surrogatepass"), bool(array.block[found[c]])
+            rule[i], block[i] = text, bool(array.block[found[c]])
     return rule, block
 
 
 def _sent_file(spark: SparkSession, rows: list) -> str:
     """Write the array on the driver and hand it to all executors; the name they open it by."""
-    folder = tempfile.mkdtemp(prefix="urls-")
+    folder = tempfile.mkdtemp(prefix="urls-")  # of the driver; executors get copies of the file
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     handle, path = tempfile.mkstemp(prefix="rules-", suffix=".digests", dir=folder)
     os.close(handle)
     DigestArray.write(path, [(r.host, r.path, r.verdict == "block") for r in rows])

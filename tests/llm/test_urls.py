@@ -54,3 +54,11 @@ def test_collisions_are_confirmed(tmp_path, monkeypatch):
         found = int(array.find([(host + tail).encode()], [len(host)])[0])
         assert found >= 0 and bool(array.block[found]) == block
     assert array.find([b"h1/p9", b"nothing"], [2, 3]).tolist() == [-1, -1]
+
+
+@pytest.mark.parametrize("max_bytes", [0, 1 << 20])
+def test_length_is_counted_in_characters_on_both_ways(spark, max_bytes):
+    rules = spark.createDataFrame([("org", "/éé", "block"), ("ab.org", "/", "allow")], RULES)
+    pages = spark.createDataFrame([(1, "http://ab.org/éé/x"), (2, "http://ab.org/é")], "page_id long, url string")
+    got = {r.key: (r.rule, r.verdict) for r in urls.judge(pages, rules, max_bytes=max_bytes).collect()}
+    assert got == {1: ("ab.org/", "allow"), 2: ("ab.org/", "allow")}
