@@ -1,8 +1,7 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Seeds: every test item is a list of words (letters and digits, A-Z lowered), and each of its
-``n``-grams is a seed. None is left out for being common: an edited copy may hold no other. (The
-thinned seeds of :meth:`Items.seeds`, which ``rare`` and ``stretch`` belong to, are not used here.)
+``n``-grams is a seed. None is left out for being common: an edited copy may hold no other.
 
 Join: hashed seeds meet the n-grams of all documents. Each meeting fixes a diagonal of the document
 against the item; meetings of one item whose windows overlap are one window, the item's length and
@@ -15,8 +14,8 @@ an item that share over half of the shorter one, the better stays.
 
 Limit: a copy that shares no ``n`` words in a row with its item has no seed and is not found.
 
-Scale: items come in blocks of ``block_items``, counted, so what is sent to the tasks is bounded; a
-longer benchmark takes more scans. A document is aligned in the task that read it: nothing is
+Scale: distinct items come in blocks of about ``block_items`` and ``block_bytes``, counted, so what is sent to
+the tasks is bounded; a longer benchmark takes more scans. A document is aligned in the task that read it: nothing is
 shuffled. Meetings are gathered for ``MEETINGS`` at a time, and windows are scored together,
 anti-diagonal by word of the item, in slices of bounded size.
 
@@ -38,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msglog.llm.common import ranges, slices
+from msglog.llm.common import ranges, saved, slices
 
 _KEEP = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -49,11 +48,10 @@ MEETINGS = 500_000  # of seeds and words of documents, gathered together
 @dataclass(frozen=True)
 class Settings:
     n: int = 3
-    rare: float = 0.0005
-    stretch: int = 6
     slack: int = 12
     min_score: float = 0.5
     block_items: int = 20_000
+    block_bytes: int = 8_000_000
 
 
 def item_words(text: str | None) -> list[bytes]:
@@ -79,8 +77,11 @@ def _grams(h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
 class Items:
     """A block of test items: their words and the n-grams they may be found by."""
 
-    def __init__(self, rows: list[tuple[int, str | None]], n: int):
-        rows = [(i, w) for i, w in ((i, item_words(t)) for i, t in rows) if w]
+    def __init__(self, rows: list[tuple], n: int):
+        """``rows`` are (id, text) or (id, text, how often the item comes)."""
+        found = [(i, w, sum(times) or 1) for i, w, times in ((i, item_words(t), times) for i, t, *times in rows) if w]
+        self.times = [times for _, _, times in found]
+        rows = [(i, w) for i, w, _ in found]
         self.ids = np.array([-1 if i is None else i for i, _ in rows], dtype=np.int64)
         self.null = np.array([i is None for i, _ in rows], dtype=bool)
         self.words, self.counts = _hashed([w for _, w in rows])
@@ -113,23 +114,6 @@ class Items:
         out.gram, out.item, out.place = self.gram[order], self.item[order], self.place[order]
         return out
 
-    def seeds(self, seen: dict[int, int], most: float, stretch: int) -> "Items":
-        """The same items with only their seeds: the n-grams in ``most`` documents or fewer and the
-        rarest of every ``stretch`` n-grams of an item."""
-        order = np.lexsort((self.place, self.item))
-        gram, item, place = self.gram[order], self.item[order], self.place[order]
-        count = np.array([seen.get(g, 0) for g in gram.view(np.int64).tolist()], dtype=np.int64)
-        keep = count <= most
-        bounds = np.append(np.flatnonzero(np.diff(item, prepend=-1)), len(item))
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            for first in range(a, max(a + 1, b - stretch + 1)):
-                keep[first + int(np.argmin(count[first:min(b, first + stretch)]))] = True
-        out = object.__new__(Items)
-        out.__dict__.update(self.__dict__)
-        by_gram = np.flatnonzero(keep)[np.argsort(gram[keep], kind="stable")]
-        out.gram, out.item, out.place = gram[by_gram], item[by_gram], place[by_gram]
-        return out
-
 
 def _positions(texts: list[str], sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """Word hashes, their rows, the rows' first words, and (positions, n-gram codes) for each size."""
@@ -333,11 +317,14 @@ def _scored(h: np.ndarray, items: Items, settings: Settings, item: np.ndarray, f
 
 def _seeded(docs: DataFrame, benchmark: DataFrame, settings: Settings) -> Iterator:
     """The items of each block with their seeds, broadcast; a block holds ``block_items`` items or so."""
-    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    blocks = max(1, -(-benchmark.count() // settings.block_items))
+    # An item that comes more than once is looked for once; its rows are repeated at the end.
+    rows = saved(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).groupBy("item_id", "text")
+                 .agg(F.count(F.lit(1)).alias("times")), "items")
+    size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-size[0] // settings.block_items), -(-size[1] // settings.block_bytes))
     numbered = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     for block in range(blocks):
-        items = Items([(r[0], r[1]) for r in numbered.where(F.col("block") == block).collect()], settings.n)
+        items = Items([tuple(r) for r in numbered.where(F.col("block") == block).select("item_id", "text", "times").collect()], settings.n)
         yield docs.sparkSession.sparkContext.broadcast(items.seeded())
 
 
@@ -359,7 +346,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", set
             for batch in batches:
                 ids = batch.column(0).to_pylist()
                 hits = [(ids[r], None if items.null[i] else int(items.ids[i]), s, a, b)
-                        for r, i, s, a, b in _batch_hits(batch.column(1).to_pylist(), items, settings)]
+                        for r, i, s, a, b in _batch_hits(batch.column(1).to_pylist(), items, settings) for _ in range(items.times[i])]
                 cols = list(zip(*hits, strict=True)) if hits else [[]] * 5
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],

@@ -54,7 +54,7 @@ def planted(spark, prose):
 @pytest.mark.parametrize("block_items", [7, 1000])
 def test_planted_copies_are_found_and_nothing_else(planted, block_items):
     docs, items, want = planted
-    settings = D.Settings(block_items=block_items, rare=0.05)
+    settings = D.Settings(block_items=block_items)
     got = D.contaminated(docs, items, settings=settings).collect()
     assert {(r.key, r.item_id) for r in got} == want
     assert all(r.score >= 0.5 and 30 <= r.last_word - r.first_word <= 45 for r in got)
@@ -99,15 +99,6 @@ def test_copies_next_to_each_other_each_get_a_row(prose, copies):
         want = [(0, 0, 1.0, 30 + i * (40 + between), 70 + i * (40 + between)) for i in range(copies)]
         assert D._hits([text], items, D.Settings()) == want
 
-
-def test_seeds_keep_the_rarest_of_each_stretch():
-    items = D.Items([(1, " ".join(f"w{i}" for i in range(30)))], 3)
-    seen = {g: 100 + i for i, g in enumerate(items.gram.view(np.int64).tolist())}
-    places = sorted(items.seeds(seen, 0, 6).place.tolist())
-    assert places == list(range(0, 23))  # rising counts: the first of every six
-    assert sorted(items.seeds(seen, 1000, 6).place.tolist()) == list(range(28))
-
-
 def test_odd_rows(spark, odd, none, planted):
     items = planted[1].where("item_id is null or item_id <> 52")
     assert D.contaminated(odd, items).count() == 0
@@ -117,3 +108,14 @@ def test_odd_rows(spark, odd, none, planted):
     assert kept.columns == odd.columns and kept.count() == odd.count()
     tiny = spark.createDataFrame([(9, "two words")], ITEMS)
     assert sorted((r.key or 0) for r in D.contaminated(odd, tiny).collect()) == [0, 5, 5]
+
+
+def test_repeated_items_are_looked_for_once_and_blocks_are_bounded_by_bytes(spark, prose):
+    text = prose(40)
+    items = [(1, text)] * 50 + [(2, text), (3, prose(40))]
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"{prose(20)} {text} {prose(20)}"), (2, prose(90))], "doc_id long, text string")
+    blocks = [sent.value for sent in D._seeded(docs, asked, D.Settings(block_bytes=len(text)))]
+    assert len(blocks) >= 2 and sorted(t for b in blocks for t in b.times) == [1, 1, 50]
+    found = D.contaminated(docs, asked, settings=D.Settings(block_bytes=len(text))).collect()
+    assert sorted((r.key, r.item_id) for r in found) == [(1, 1)] * 50 + [(1, 2)]
