@@ -191,8 +191,13 @@ def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS,
     same rows. Sequences are numbered within their packing task, the task's number in the high bits.
     """
     staged = saved(pieces, "pieces")
-    count = staged.where(F.col("length") < length).count()
+    # A whole piece is a sequence by itself and stays where it is; those numbers are below zero.
+    whole = staged.where(F.col("length") == length).withColumns(
+        {"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    staged = staged.where(F.col("length") < length)
+    count = staged.count()
     tasks = max(1, -(-count // pieces_per_task))
+
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [b for b in batches if len(b)]
         if rows:  # slots that share a partition share sequences; the smallest slot names them
@@ -205,8 +210,9 @@ def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS,
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in staged.schema.fields)
     # A hash of the row deals short and long pieces evenly; the order makes every attempt pack alike.
     mixed = staged.withColumn("slot", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(tasks)))
-    return (mixed.repartition(tasks, "slot").sortWithinPartitions(F.desc("length"), "slot", "doc_id", "piece", "ids_crc32")
-            .mapInPandas(fill, columns + ", sequence_id long, offset long"))
+    packed = (mixed.repartition(tasks, "slot").sortWithinPartitions(F.desc("length"), "slot", "doc_id", "piece", "ids_crc32")
+              .mapInPandas(fill, columns + ", sequence_id long, offset long"))
+    return packed.unionByName(whole)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) -> DataFrame:

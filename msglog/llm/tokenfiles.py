@@ -27,12 +27,14 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from msglog.llm.common import saved, shared_dir
+from msglog.llm.common import partitions, saved, shared_dir
 from msglog.llm.packing import ByteTokenizer, default_tokenizer
 
 END_ID = 50_256
 WIDTH = 2  # bytes of an id: this vocabulary has fewer than 65,536
 BLOCK_TOKENS = 1_000_000
+# Blocks that a task reads, one after the other.
+BLOCKS_PER_TASK = 64
 FILE_BYTES = 256 * 1024 * 1024
 
 WRITTEN = "doc_id long, file string, document long, bytes long"
@@ -96,7 +98,10 @@ def scan_blocks(files: DataFrame, folder: str, end_id: int = END_ID, width: int
                     [pa.array([file]), pa.array([block]), pa.array([len(ids)]), pa.array([ends.tolist()], pa.list_(pa.int32()))],
                     names=["file", "block", "tokens", "ends"])
 
-    return blocks.repartition("file", "block").mapInArrow(step, "file string, block long, tokens long, ends array<int>")
+    # A row stands for a block of bytes: the number of tasks follows the blocks, not the size of the rows.
+    n_blocks = files.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    tasks = max(1, min(n_blocks, max(partitions(files), -(-n_blocks // BLOCKS_PER_TASK))))
+    return blocks.repartition(tasks, "file", "block").mapInArrow(step, "file string, block long, tokens long, ends array<int>")
 
 
 def stitch(blocks: DataFrame) -> DataFrame:

@@ -44,6 +44,7 @@ MIN_SHARED = 1000
 BLOCK_LINES = 3000
 ARCHIVE_BYTES = 64 * 1024 * 1024
 READ_SPAN = 8 * 1024 * 1024
+READ_BYTES = 64 * 1024 * 1024  # of records that a task reads
 MAX_DIRECTORY = 64 * 1024 * 1024
 DATE = "1970-01-01T00:00:00Z"  # pages carry no capture time
 
@@ -263,8 +264,11 @@ def read_records(captures: DataFrame, folder: str, payloads: bool = False) -> Da
         if opened is not None:
             opened.close()
 
+    # A capture is a narrow row that stands for its record: the number of tasks follows the records' bytes.
+    captures = saved(captures.select("archive", "offset", "length"), "captures")
+    size = captures.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     near = F.floor(F.col("offset") / READ_SPAN)
-    return (captures.select("archive", "offset", "length").repartition("archive", near).sortWithinPartitions("archive", "offset")
+    return (captures.repartition(max(partitions(captures), -(-size // READ_BYTES)), "archive", near).sortWithinPartitions("archive", "offset")
             .mapInArrow(step, RECORDS + (", payload binary" if payloads else "")))
 
 

@@ -84,3 +84,41 @@ def test_packed_documents(spark, odd, library):
 
 def test_no_documents(none):
     assert packing.pack_documents(none).count() == 0
+
+
+def test_whole_pieces_are_sequences_of_their_own_and_are_not_sent_to_one_task(spark):
+    rows = spark.range(2000).selectExpr("id as doc_id", "0 as piece", "0L as start", "16L as length", "id as ids_crc32")
+    some = spark.range(30).selectExpr("id + 5000 as doc_id", "0 as piece", "0L as start", "5L as length", "id as ids_crc32")
+    packed = packing.pack(rows.repartition(8).union(some.coalesce(1)), length=16, pieces_per_task=100)
+    got = packed.collect()
+    assert len({r.sequence_id for r in got if r.length == 16}) == 2000 and all(r.offset == 0 for r in got if r.length == 16)
+    assert not {r.sequence_id for r in got if r.length == 16} & {r.sequence_id for r in got if r.length < 16}
+    assert len({r.sequence_id for r in got if r.length < 16}) == 10  # three of five tokens in each
+    assert "Exchange" in packed._jdf.queryExecution().toString()
+    whole = packed.where("length = 16")
+    assert "Exchange" not in whole._jdf.queryExecution().optimizedPlan().toString() or whole.rdd.getNumPartitions() > 1
+
+
+def plain_best_fit(lengths: list[int], length: int, open_bins: int) -> list[tuple[int, int]]:
+    """Best fit by looking at every open sequence."""
+    free, made, out = {}, 0, []
+    for need in lengths:
+        fits = [(space, -order, at) for at, (space, order) in free.items() if space >= need]
+        if fits:
+            space, _, at = min(fits)
+        else:
+            space, at, made = length, made, made + 1
+            if need < length and len(free) == open_bins:
+                del free[min(free, key=lambda x: (free[x][0], -free[x][1]))]
+        out.append((at, length - space))
+        free.pop(at, None)
+        if space > need:
+            free[at] = (space - need, len(out))
+    return out
+
+
+@settings(max_examples=200, deadline=None)
+@given(lengths=st.lists(st.integers(1, 12), max_size=60), open_bins=st.integers(1, 6))
+def test_placement_agrees_with_a_plain_best_fit(lengths, open_bins):
+    sequence, offset = packing.best_fit(np.array(lengths, dtype=np.int64), 12, open_bins)
+    assert list(zip(sequence.tolist(), offset.tolist(), strict=True)) == plain_best_fit(lengths, 12, open_bins)

@@ -7,6 +7,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from msglog.llm import tokenfiles
 from msglog.llm.common import shared_dir
 from msglog.llm.packing import default_tokenizer
@@ -59,3 +61,12 @@ def test_files_are_flat_and_roll_over(spark, odd):
 
 def test_no_documents(none):
     assert tokenfiles.documents_counted(none).count() == 0
+
+
+def test_blocks_are_dealt_over_tasks(spark, tmp_path):
+    np.zeros(4000, dtype="<u2").tofile(tmp_path / "0.tokens")
+    listed = spark.createDataFrame([("0.tokens", 8000)], "file string, bytes long")
+    blocks = tokenfiles.scan_blocks(listed, str(tmp_path), end_id=9, block_tokens=100)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    tasks = blocks.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 1 and blocks.count() == 40

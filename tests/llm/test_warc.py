@@ -74,3 +74,11 @@ def test_damage_is_noticed():
 def test_no_pages(pages):
     assert warc.archive_and_read(pages.limit(0)).count() == 0
     assert warc.planned(pages).where(F.col("refers_to").isNotNull()).count() == 2
+
+
+def test_records_are_read_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "READ_SPAN", 1000)
+    pages = spark.createDataFrame([(i, f"http://h{i}.org/", f"<p>{i}</p>" * 50) for i in range(200)], "page_id long, url string, html string")
+    read = warc.archive_and_read(pages)
+    assert read.count() == 200
+    assert read.select(F.spark_partition_id().alias("p")).distinct().count() > 1
