@@ -57,17 +57,24 @@ def differing(a: Column, b: Column) -> Column:
     """Places (section, paragraph), from 0, of tree ``a`` that tree ``b`` has nothing equal to: sections that
     ``b`` has anywhere are not entered, and the paragraphs of others are looked for in the sections of ``b``
     that ``a`` does not have. The other way round gives what ``b`` has and ``a`` has not."""
-    own, other = (F.transform(t, lambda s: s["digest"]) for t in (a, b))
-    # The paragraphs of the other tree's sections that are not matched as a whole.
-    rest = F.flatten(F.transform(F.filter(b, lambda s: ~F.array_contains(own, s["digest"])),
-                                 lambda s: F.transform(s["paragraphs"], lambda p: p["digest"])))
-
-    def within(s: Column, i: Column) -> Column:
-        places = F.filter(F.transform(s["paragraphs"], lambda p, j: F.when(~F.array_contains(rest, p["digest"]), j)), lambda j: j.isNotNull())
-        return F.when(F.array_contains(other, s["digest"]), F.array().cast("array<struct<section:int,paragraph:int>>")).otherwise(
+    def matched(nodes: Column) -> Column:
+        # The paragraphs of the other tree's sections that are not matched as a whole.
+        rest = F.flatten(F.transform(F.filter(b, lambda s: ~F.array_contains(nodes["own"], s["digest"])),
+                                     lambda s: F.transform(s["paragraphs"], lambda p: p["digest"])))
+        return _with(rest, lambda known: F.flatten(F.transform(a, lambda s, i: within(s, i, nodes, known))))
+
+    def within(s: Column, i: Column, nodes: Column, known: Column) -> Column:
+        places = F.filter(F.transform(s["paragraphs"], lambda p, j: F.when(~F.array_contains(known, p["digest"]), j)), lambda j: j.isNotNull())
+        return F.when(F.array_contains(nodes["other"], s["digest"]), F.array().cast("array<struct<section:int,paragraph:int>>")).otherwise(
             F.transform(places, lambda j: F.struct(i.alias("section"), j.alias("paragraph"))))
 
-    return F.flatten(F.transform(a, within))
+    digests = [F.transform(t, lambda s: s["digest"]) for t in (a, b)]
+    return _with(F.struct(digests[0].alias("own"), digests[1].alias("other")), matched)
+
+
+def _with(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def runs(sections: Column) -> Column:
@@ -144,11 +151,11 @@ def with_next(docs: DataFrame, extra: dict[str, Column] | None = None) -> DataFr
 def edited_copies(docs: DataFrame) -> DataFrame:
     """Every text, the text with its last third replaced by the start of the next document, the
     fingerprints of both, and their likenesses."""
-    rows = with_next(docs)
+    rows = with_next(docs, {"tree": tree(F.col("text"))})
     n = F.char_length("text")
     third = F.floor(n / 3).cast("int")
     rows = rows.select(
-        "doc_id", n.cast("long").alias("n_chars"), tree(F.col("text")).alias("tree"), tree(F.col("next_text")).alias("next_tree"),
+        "doc_id", n.cast("long").alias("n_chars"), "tree", "next_tree",
         F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third)).alias("edited"))
     rows = rows.withColumn("edited_tree", tree(F.col("edited")))
     return rows.select(
