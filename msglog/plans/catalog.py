@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +11,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+# What the query that is being built has looked up; each query looks again.
+FOUND: dict = {}
 
 # The logs of msglog.sources.adapters, as SQL over the source tables.
 _L = """L AS (SELECT 'events' AS stream, 'events.' || event_type || '.' || user_id AS subject,
@@ -48,7 +51,12 @@ def query(name: str, sql: str | None = None, uses: tuple[str, ...] = ("L",)) ->
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            FOUND.clear()
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = with_logs(sql, *uses) if uses else sql.strip()
         return fn

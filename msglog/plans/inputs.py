@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from msglog.operators.discovery import discover_filters
 from msglog.operators.positions import last_seq
 from msglog.operators.splits import FilterSet, match_splits, values, with_split
+from msglog.plans.catalog import FOUND
 from msglog.sources.adapters import EVENT_TOKENS, events_log
 
 PAYLOAD = T.StructType([T.StructField("k", T.IntegerType())])
@@ -28,8 +29,10 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def type_filters(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
-    """A filter for each event type of the log, as discovered."""
-    return tuple(sorted(row["filter"] for row in discover_filters(log(spark, sf_dir), depth=2).collect()))
+    """A filter for each event type of the log, as discovered: once for each query."""
+    if sf_dir not in FOUND:
+        FOUND[sf_dir] = tuple(sorted(row["filter"] for row in discover_filters(log(spark, sf_dir), depth=2).collect()))
+    return FOUND[sf_dir]
 
 
 def split_log(spark: SparkSession, sf_dir: str) -> DataFrame:
