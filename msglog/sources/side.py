@@ -64,12 +64,7 @@ def extend(spark: SparkSession, path: str, n_ids: int | None = None) -> None:
     ids = new.where(F.col("msg_id").isNotNull())
     n_ids = ids.count() if n_ids is None else n_ids
     if n_ids:
-        # One file a bucket of each step, larger ones are cut; a hot time is dealt over all buckets.
-        (ids.select("stream", "msg_id", "stream_seq", "timestamp", _bucket("msg_id").alias("bucket"))
-         .repartition(ID_BUCKETS, "bucket").sortWithinPartitions("bucket", "timestamp").write.mode("append")
-         .option("parquet.bloom.filter.enabled#msg_id", "true").option("maxRecordsPerFile", ID_ROWS)
-         .option("parquet.bloom.filter.expected.ndv#msg_id", str(max(64, min(ID_ROWS, 2 * n_ids // ID_BUCKETS))))
-         .partitionBy("bucket").parquet(os.path.join(path, IDS)))
+        _write_ids(ids.withColumn("bucket", _bucket("msg_id")), _id_folder(spark, path), n_ids)
     number = int(os.path.basename(steps[-1])) + 1 if steps else 0
     folder = os.path.join(path, STEPS, f"{number:012d}")
     token = F.split_part("subject", F.lit("."), F.lit(1))
@@ -94,13 +89,42 @@ def _merge(spark: SparkSession, path: str, number: int) -> None:
         discard(spark, step)
 
 
+def _id_folder(spark: SparkSession, path: str) -> str:
+    """The folder of the id table: the newest finished one that :func:`compact_ids` wrote, or the first."""
+    done = [f for f in list_folder(spark, path) if os.path.basename(f).startswith(f"{IDS}-") and marked(spark, f, "_done")]
+    return done[-1] if done else os.path.join(path, IDS)
+
+
+def compact_ids(spark: SparkSession, path: str) -> None:
+    """Rewrite the id table with few files: a publish adds up to one to each bucket. To be run between publishes,
+    as often as their number doubles; until it is finished the old files count."""
+    old = _id_folder(spark, path)
+    if not log_exists(spark, old):
+        return
+    number = int(old.rpartition("-")[2]) + 1 if os.path.basename(old) != IDS else 1
+    new = os.path.join(path, f"{IDS}-{number:012d}")
+    rows = spark.read.schema(_ID_SCHEMA).parquet(old)
+    _write_ids(rows, new, rows.count())
+    mark(spark, new, "_done")
+    discard(spark, old)
+
+
+def _write_ids(rows: DataFrame, folder: str, n_ids: int) -> None:
+    """One file a bucket, larger ones are cut; a hot time is dealt over all buckets."""
+    (rows.select(*(f.split()[0] for f in _ID_SCHEMA.split(", "))).repartition(ID_BUCKETS, "bucket")
+     .sortWithinPartitions("bucket", "timestamp").write.mode("append")
+     .option("parquet.bloom.filter.enabled#msg_id", "true").option("maxRecordsPerFile", ID_ROWS)
+     .option("parquet.bloom.filter.expected.ndv#msg_id", str(max(64, min(ID_ROWS, 2 * n_ids // ID_BUCKETS))))
+     .partitionBy("bucket").parquet(folder))
+
+
 def known_ids(spark: SparkSession, path: str, ids: DataFrame, n_ids: int, since: Column | None = None,
               positions: tuple[int, ...] = ()) -> DataFrame:
     """Rows (stream, msg_id, timestamp) of a log among which all known ones of ``ids(stream, msg_id)`` are. Of the
     id table only the buckets in question are opened, and of them the times; a small batch names its ids, which asks the
     Bloom filters of the files. More rows than asked for may come: they are to be joined by id."""
     late = tail(spark, path, positions).where(F.col("msg_id").isNotNull()).select("stream", "msg_id", "timestamp")
-    table = os.path.join(path, IDS)
+    table = _id_folder(spark, path)
     if log_exists(spark, table):
         stored = spark.read.schema(_ID_SCHEMA).parquet(table)
         if n_ids <= NAMED_IDS:

@@ -75,6 +75,21 @@ def test_duplicates_are_found_with_side_tables_old_missing_or_doubled(spark, pat
     assert sorted(column(open_log(spark, path), "msg_id")) == list("abcdef")
 
 
+def test_the_id_table_is_compacted(spark, path):
+    for i in range(4):
+        send(spark, path, [f"{i}-{j}" for j in range(40)])
+    before = spark.read.parquet(f"{path}/{side.IDS}").inputFiles()
+    for n in (1, 2):
+        side.compact_ids(spark, path)
+        folder = side._id_folder(spark, path)
+        after = spark.read.schema(side._ID_SCHEMA).parquet(folder)
+        assert folder.endswith(f"{side.IDS}-{n:012d}") and len(after.inputFiles()) <= side.ID_BUCKETS < len(before)
+        assert after.count() == 160 + 2 * (n - 1)
+        assert send(spark, path, [f"{n}-7", f"new-{n}", f"x-{n}"]).counts == {"ok": 2, "duplicate": 1, "failed": 0}
+    assert not list_folder(spark, f"{path}/{side.IDS}")
+    assert send(spark, path, ["new-1", "x-2", "y"]).counts == {"ok": 1, "duplicate": 2, "failed": 0}
+
+
 def test_an_unfinished_step_does_not_count(spark, path):
     send(spark, path, ["a", "b"])
     step = list_folder(spark, f"{path}/{side.STEPS}")[-1]
