@@ -18,7 +18,8 @@ of all shuffles; only :func:`without_repeats`, which rewrites them, moves them o
 
 Defined cases: NULL, empty and short texts have no chunks; a passage repeated within one text counts
 too; texts of several rows are copies of each other, but rows with one doc_id tie for the first place
-and all hold it; a NULL id comes first.
+and all hold it; a NULL id comes first; texts of any length are read whole; columns but id and text are
+not looked at, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

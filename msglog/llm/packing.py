@@ -14,7 +14,9 @@ length, which fills all but the last sequences of a task; what is lost per piece
 every size.
 
 Defined cases: NULL and empty texts are one token (``end_id``); repeated rows are packed each; an
-empty table gives no rows; further columns of the input are ignored.
+empty table gives no rows; further columns of the input are ignored, whatever their names; a text of any
+length is cut into whole pieces and one shorter one; of equally long pieces the order is that of their
+task, id, place and checksum, and of open sequences with equal space the one last used is taken.
 """
 
 from __future__ import annotations

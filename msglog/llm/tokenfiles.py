@@ -14,7 +14,8 @@ task attempt, and only files of attempts that Spark committed are listed.
 
 Defined cases: NULL and empty texts are a document of no tokens; the end-of-document token written
 out in a text is ordinary text; what follows a file's last separator is an unfinished document
-(``ended`` false); an empty file or table gives no rows; repeated rows are documents each.
+(``ended`` false); an empty file or table gives no rows; repeated rows are documents each; a text longer
+than a block ends in a later one; columns but id and text are not looked at, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,7 +12,10 @@ every text, whole, where it is read, without a shuffle.
 
 Defined cases: NULL and empty texts have no features and get the score of the bias alone; NULL
 labels are left out; an id labelled twice counts as toxic if any label says so; an id with several
-texts is fitted on one of them; without labels every score is 0.5 - a hair, so nothing is rejected.
+texts is fitted on one of them; without labels every score is 0.5 - a hair, so nothing is rejected;
+texts with equal features have equal scores, and a score of exactly 0.5 is rejected; repeated rows are
+scored each; texts of any length are read whole; columns but id and text are not looked at, whatever
+their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

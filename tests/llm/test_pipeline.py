@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from msglog.llm import queries
@@ -84,5 +85,30 @@ def test_an_empty_table_and_no_labels_pass_through(spark, corpus, tmp_path):
     assert corpus_pipeline.run(spark, folder).count() == 0
 
 
+def test_odd_rows_pass_through_every_stage(spark, corpus, odd, tmp_path, prose):
+    """Clashing columns, ties, repeated rows, NULL ids and a very long text, beside clean documents."""
+    extra = ["row", "key", "score", "block", "row_key", "cuts", "class", "node"]
+    clean = [(10_000 + i, prose(100)) for i in range(20)]
+    rows = odd.select("doc_id", "text").union(spark.createDataFrame(clean + clean[:2], "doc_id long, text string"))
+    for name in extra:
+        rows = rows.withColumn(name, F.lit("x"))
+    docs, kept, folder = rows, [], f"{tmp_path}/tables"
+    spark.read.parquet(f"{corpus[0]}/benchmark.parquet").write.parquet(f"{folder}/benchmark.parquet")
+    spark.read.parquet(f"{corpus[0]}/labels.parquet").limit(0).write.parquet(f"{folder}/labels.parquet")
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, folder)
+        if n < len(corpus_pipeline.STAGES) - 1:
+            assert out.columns == rows.columns, name
+        out.write.parquet(f"{tmp_path}/{n}")
+        docs = spark.read.parquet(f"{tmp_path}/{n}")
+        kept.append(docs.collect())
+    single = [r.doc_id for r in kept[1]]
+    assert sorted(i for i in single if i and i >= 10_000) == [i for i, _ in clean]  # of repeated rows one stays
+    assert single.count(5) == 1 and 7 in single and len([i for i in single if i in (1, 2, 3)]) <= 1
+    assert {r.doc_id for r in kept[4]} == {r.doc_id for r in kept[3]}
+    long = [r for r in kept[4] if r.doc_id == 7]
+    assert sum(r.length for r in long) > 30_000 and len(long) > 10
+
+
 def test_every_operator_has_one_query():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, len(queries.QUERIES) + 1))
