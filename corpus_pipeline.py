@@ -2,8 +2,11 @@
 
 Each stage is one operator of ``msglog.llm`` over all documents that its predecessor kept. Stages but
 the last return the columns of documents; ``n_chars`` follows the text. NULL texts stay, as empty
-ones do, but of all texts without words one row stays (they are copies of each other). Labels and
-benchmark items come from the tables beside the documents.
+ones do, but of all texts without words one row stays (they are copies of each other). Of rows that are
+equal in id and text one stays; of copies with several ids the smallest id, and of several texts with that
+id the one whose hash is smallest. Texts of any length are read whole. Further columns are carried along,
+whatever their names. An empty table stays empty. Labels and benchmark items come from the tables beside
+the documents.
 """
 
 from __future__ import annotations
