@@ -10,13 +10,15 @@ with one state the model is the unigram model.
 
 Training: each task runs the scaled forward and backward recursions over its texts and adds up the
 expected counts; Spark sums them by class, the driver gets one row for each class and normalises.
-Training reads texts in runs of up to ``segment`` tokens, each a sequence of its own, which lets
-long texts be processed side by side. Scoring runs the forward recursion over whole texts.
+A long text is worked on in segments of ``segment`` tokens side by side: products of the segments'
+transition and emission matrices first give the state before and the weights behind each, so the
+counts are those of the whole text. Scoring runs the forward recursion over whole texts.
 
 Scale: texts are read once and coded against the vocabulary of their block (about ``block_bytes`` of
 text). The vocabularies meet in one shuffle, one row for each word and block, where a window over a
-word adds up its counts; a common word has a row per block, not per token. The counts go back to
-their blocks as arrays, and a block is scored by one task. All iterations read the coded texts, one 16-bit
+word adds up its counts. However common a word is, it has one row of each block's tens of thousands,
+so no word is a larger share of the rows than that; summing by word and joining back would send all
+of them twice. The counts go back to their blocks as arrays, and a block is scored by one task. All iterations read the coded texts, one 16-bit
 class for each token, from the shared folder.
 
 Defined cases: NULL and empty texts are the end token alone; repeated rows are learned and scored
@@ -217,18 +219,92 @@ def forward(sequences: list[np.ndarray], model: Hmm) -> np.ndarray:
     return out
 
 
-def expected(sequences: list[np.ndarray], model: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, transitions (from, to) and emissions (class, state) of the sequences.
+@dataclass(frozen=True)
+class Cut:
+    """Texts cut into segments, and what each segment gets from its neighbours in the same text.
+
+    ``before`` is the state distribution at the end of the segment before (zeros for a text's first
+    one), ``after`` the backward weights at its own end, scaled so that the posterior sums to one.
+    """
 
-    Tokens lie step by step, the longest sequences first, so a step is a slice; single precision
+    segments: list[np.ndarray]
+    first: np.ndarray
+    before: np.ndarray
+    after: np.ndarray
+
+
+def _products(segments: list[np.ndarray], model: Hmm) -> np.ndarray:
+    """For each segment the matrix from the distribution before its first token to that behind its
+    last one, scaled: entry (i, j) weighs the paths that emit the segment from state i to state j."""
+    k = len(model.start)
+    out = np.zeros((len(segments), k, k))
+    for a in range(0, len(segments), 1000):
+        part = segments[a:a + 1000]
+        lengths = np.array([len(x) for x in part], dtype=np.int64)
+        order, active = _by_length(lengths)
+        flat, base = np.concatenate(part), (np.cumsum(lengths) - lengths)[order]
+        m = np.tile(np.eye(k), (len(part), 1, 1))
+        for t, n in enumerate(active.tolist()):
+            here = (m[:n].reshape(n * k, k) @ model.move).reshape(n, k, k) if t else m[:n]
+            here = here * model.emit[flat[base[:n] + t]][:, None, :]
+            m[:n] = here / here.sum(axis=(1, 2), keepdims=True)
+        out[a + order] = m
+    return out
+
+
+def cut(sequences: list[np.ndarray], model: Hmm, segment: int) -> Cut:
+    """The sequences in segments of ``segment`` tokens, which can then be worked on side by side and
+    give the expected counts of the whole sequences."""
+    k = len(model.start)
+    number = np.array([-(-len(s) // segment) for s in sequences], dtype=np.int64)
+    segments = [s[i:i + segment] for s in sequences for i in range(0, len(s), segment)]
+    base = np.cumsum(number) - number
+    first = np.zeros(len(segments), dtype=bool)
+    first[base] = True
+    before, after = np.zeros((len(segments), k)), np.ones((len(segments), k))
+    long = np.flatnonzero(number > 1)
+    if len(long):
+        at = np.concatenate([np.arange(base[i], base[i] + number[i]) for i in long.tolist()])
+        product = np.zeros((len(segments), k, k))
+        product[at] = _products([segments[i] for i in at.tolist()], model)
+        order, active = _by_length(number[long])
+        heads = base[long][order]
+        for j, n in enumerate(active.tolist()[1:], 1):  # carry the state to the next segment
+            here = heads[:n] + j
+            enter = np.broadcast_to(model.start, (n, k)) if j == 1 else before[here - 1] @ model.move
+            end = np.einsum("ni,nij->nj", enter, product[here - 1])
+            before[here] = end / end.sum(axis=1, keepdims=True)
+        for j, n in reversed(list(enumerate(active.tolist()[1:], 1))):
+            here = heads[:n] + j
+            weight = np.einsum("nij,nj->ni", product[here], after[here]) @ model.move.T
+            after[here - 1] = weight / (weight * before[here]).sum(axis=1, keepdims=True)
+    return Cut(segments, first, before, after)
+
+
+def expected(sequences: list[np.ndarray], model: Hmm, segment: int = 512) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, transitions (from, to) and emissions (class, state) of the sequences."""
+    whole, start, moves, emissions = cut(sequences, model, segment), 0.0, 0.0, 0.0
+    for a in range(0, len(whole.segments), 1000):
+        part = slice(a, a + 1000)
+        got = _expected(Cut(whole.segments[part], whole.first[part], whole.before[part], whole.after[part]), model)
+        start, moves, emissions = start + got[0], moves + got[1], emissions + got[2]
+    return start, moves, emissions
+
+
+def _expected(part: Cut, model: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected counts of some segments, the transitions into them included.
+
+    Tokens lie step by step, the longest segments first, so a step is a slice; single precision
     holds, as every step is scaled.
     """
-    lengths = np.array([len(s) for s in sequences], dtype=np.int64)
+    lengths = np.array([len(s) for s in part.segments], dtype=np.int64)
     order, active = _by_length(lengths)
     base = (np.cumsum(lengths) - lengths)[order]
-    symbol = np.concatenate(sequences)[np.concatenate([base[:n] + t for t, n in enumerate(active.tolist())])]
+    symbol = np.concatenate(part.segments)[np.concatenate([base[:n] + t for t, n in enumerate(active.tolist())])]
     emit = model.emit.astype(np.float32)[symbol]
-    start, move, states = model.start.astype(np.float32), model.move.astype(np.float32), len(model.start)
+    move, states = model.move.astype(np.float32), len(model.start)
+    first, into, leave = part.first[order], part.before[order].astype(np.float32), part.after[order].astype(np.float32)
+    enter = np.where(first[:, None], model.start.astype(np.float32), into @ move)
     back, ones = np.ascontiguousarray(move.T), np.ones(states, dtype=np.float32)
     gamma, scale = np.empty_like(emit), np.empty((len(symbol), 1), dtype=np.float32)
     ends = np.cumsum(active)
@@ -237,7 +313,7 @@ def expected(sequences: list[np.ndarray], model: Hmm) -> tuple[np.ndarray, np.nd
     for a, b in steps:
         here = gamma[a:b]
         if before is None:
-            np.multiply(emit[a:b], start, out=here)
+            np.multiply(emit[a:b], enter, out=here)
         else:
             np.matmul(before[:b - a], move, out=here)
             here *= emit[a:b]
@@ -249,15 +325,19 @@ def expected(sequences: list[np.ndarray], model: Hmm) -> tuple[np.ndarray, np.nd
     after = None  # emission times backward probability of the next step, scaled
     for a, b in reversed(steps):
         now = emit[a:b].copy()
+        n = 0
         if after is not None:
             n = len(after)
             moves += gamma[a:a + n].T @ after
             beta = after @ back
             gamma[a:a + n] *= beta
             now[:n] *= beta
+        gamma[a + n:b] *= leave[n:b - a]
+        now[n:] *= leave[n:b - a]
         after = now
+    moves += into.T @ after
     emissions = np.stack([np.bincount(symbol, weights=gamma[:, k], minlength=len(model.emit)) for k in range(states)], axis=1)
-    return gamma[:steps[0][1]].sum(axis=0, dtype=np.float64), moves * model.move, emissions
+    return gamma[:steps[0][1]][first].sum(axis=0, dtype=np.float64), moves * model.move, emissions
 
 
 def _counts_of(texts: DataFrame, model: Hmm, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -273,7 +353,7 @@ def _counts_of(texts: DataFrame, model: Hmm, settings: Settings) -> tuple[np.nda
         size = 0
 
         def add() -> None:
-            start, moves, emissions = expected(held, model)
+            start, moves, emissions = expected(held, model, segment)
             total[:classes] += emissions
             total[classes:classes + k] += moves
             total[-1] += start
@@ -281,7 +361,7 @@ def _counts_of(texts: DataFrame, model: Hmm, settings: Settings) -> tuple[np.nda
         for batch in batches:
             for one in batch.column(0):
                 tokens = np.frombuffer(one.as_py(), dtype="<u2").astype(np.int64)
-                held += [tokens[i:i + segment] for i in range(0, len(tokens), segment)]
+                held.append(tokens)
                 size += len(tokens)
                 if size >= 500_000:
                     add()

@@ -50,6 +50,18 @@ def test_recursions_agree_with_all_paths(model):
     assert len(hmm.forward([], model)) == 0
 
 
+@pytest.mark.parametrize("segment", [1, 2, 3, 5])
+def test_counts_do_not_depend_on_where_a_text_is_cut(model, segment):
+    rng = np.random.default_rng(2)
+    sequences = [rng.integers(0, 5, n) for n in (1, 6, 3, 8, 1, 7)]
+    want = [brute(model, s) for s in sequences]
+    for got, i in zip(hmm.expected(sequences, model, segment), (1, 2, 3), strict=True):
+        assert np.allclose(got, sum(w[i] for w in want), rtol=1e-4)
+    long = [rng.integers(0, 5, n) for n in (5000, 40, 1301, 3)]
+    for got, other in zip(hmm.expected(long, model, segment), hmm.expected(long, model, 10_000), strict=True):
+        assert np.allclose(got, other, rtol=1e-3)
+
+
 @pytest.fixture(scope="module")
 def tongues(spark):
     """Two tongues that share a few words: states have something to find."""
@@ -82,7 +94,7 @@ def test_states_beat_single_words_on_held_out_texts(tongues):
 
 def test_more_passes_never_lose_training_likelihood(tongues):
     def likelihood(n):
-        return sum(r.score for r in scored(tongues, hmm.Settings(**{**SMALL.__dict__, "iterations": n, "smoothing": 1e-6, "segment": 10_000})).collect() if not r.held_out)
+        return sum(r.score for r in scored(tongues, hmm.Settings(**{**SMALL.__dict__, "iterations": n, "smoothing": 1e-6})).collect() if not r.held_out)
 
     assert likelihood(1) < likelihood(3) < likelihood(6)
 
