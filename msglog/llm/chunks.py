@@ -1,7 +1,7 @@
 """Repeated passages by content-defined chunking with a gear rolling hash.
 
-Cut points: a gear hash rolls over the bytes of a text (A-Z lowered, white space made spaces); it
-depends on the last ``GEAR`` bytes only. Its value is read at the word ends, and a word end is a cut
+Cut points: a gear hash rolls over the bytes of a text (A-Z lowered, each run of white space made one
+space, so copies that are spaced otherwise are copies); it depends on the last ``GEAR`` bytes only. Its value is read at the word ends, and a word end is a cut
 point if it has the smallest value of some ``window`` consecutive word ends. So cut points follow
 the content: an insertion moves none beyond its neighbourhood, and no ``window`` word ends are
 without one. A chunk runs from a cut point to the first cut point at least ``min_words`` words on;
@@ -84,28 +84,24 @@ def cut_points(values: np.ndarray, window: int = WINDOW) -> np.ndarray:
 def text_chunks(text: str | None, min_words: int = MIN_WORDS, window: int = WINDOW) -> list[tuple]:
     """(start word, end word, start byte, end byte, digest) of the chunks of a text; ends exclusive."""
     raw = (text or "").encode("utf-8", "surrogatepass").lower().translate(_SPACED)
-    flat = np.frombuffer(raw, dtype=np.uint8)
-    starts, ends = word_spans(flat)
-    if len(starts) < min_words + window:
-        return _whole(raw, starts, ends, min_words)
-    cuts = cut_points(gear(flat)[ends - 1], window)  # a cut lies behind the word
-    last = np.searchsorted(cuts, cuts + min_words)
-    inside = last < len(cuts)
-    first, final = cuts[inside] + 1, cuts[last[inside]]
-    digest = xxhash.xxh3_128_digest
-    a, b = starts[first].tolist(), ends[final].tolist()
-    out = [(w, v + 1, x, y, digest(raw[x:y]))
-           for w, v, x, y in zip(first.tolist(), final.tolist(), a, b, strict=True)]
-    return out + _whole(raw, starts, ends, min_words) if not out else out
-
-
-def _whole(raw: bytes, starts: np.ndarray, ends: np.ndarray, min_words: int) -> list[tuple]:
-    """A text too short for cut points is one chunk, so that copies of it are found."""
+    starts, ends = word_spans(np.frombuffer(raw, dtype=np.uint8))
+    even = b" ".join(raw.split())  # one space between words: what is hashed
+    upto = np.cumsum(ends - starts + 1) - 1
+    since = upto - (ends - starts)
     n = len(starts)
-    if n < min_words:
-        return []
-    a, b = int(starts[0]), int(ends[-1])
-    return [(0, n, a, b, xxhash.xxh3_128_digest(raw[a:b]))]
+    if n >= min_words + window:
+        cuts = cut_points(gear(np.frombuffer(even, dtype=np.uint8))[upto - 1], window)  # a cut lies behind the word
+        last = np.searchsorted(cuts, cuts + min_words)
+        inside = last < len(cuts)
+        first, final = cuts[inside] + 1, cuts[last[inside]]
+    else:
+        first = final = np.zeros(0, dtype=np.int64)
+    if not len(first) and n >= min_words:  # too short for cut points: one chunk, so that copies of it are found
+        first, final = np.array([0]), np.array([n - 1])
+    digest = xxhash.xxh3_128_digest
+    return [(w, v + 1, a, b, digest(even[x:y]))
+            for w, v, a, b, x, y in zip(first.tolist(), final.tolist(), starts[first].tolist(), ends[final].tolist(),
+                                        since[first].tolist(), upto[final].tolist(), strict=True)]
 
 
 CHUNK = ("row long, doc_id long, start_word int, end_word int, start_byte int, end_byte int, "
@@ -195,7 +191,9 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int = W
     key, cut = free_name(docs, "row"), free_name(docs, "cuts")
     rows = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     named = rows.select(F.col(key).alias("row"), "doc_id", "text")
-    cuts = (spans(repeated_chunks(named, min_words, window)).where("not kept").groupBy("row")
+    # Like rows have like chunks: one of each is enough, however often a row is repeated.
+    repeated = repeated_chunks(named, min_words, window).where("not first").dropDuplicates(["row", "start_word"])
+    cuts = (spans(repeated).groupBy("row")
             .agg(F.sort_array(F.collect_list(F.struct("start_byte", "end_byte"))).alias(cut))
             .withColumnRenamed("row", key))
     names = docs.columns

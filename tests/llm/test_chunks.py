@@ -17,6 +17,35 @@ def test_every_passage_of_over_50_words_is_found_whatever_is_around_it(prose):
         assert {c[4] for c in chunks.text_chunks(one)} & {c[4] for c in chunks.text_chunks(two)}
 
 
+def test_white_space_makes_no_difference(spark, prose):
+    passage = prose(52)
+    rows = [(1, f"{prose(60)} {passage} {prose(60)}"), (2, f"  {prose(30)}\n{passage.replace(' ', '  ')}\r\n\r\n{prose(70)}"),
+            (3, f"{prose(80)}\t{passage.replace(' ', chr(13) + chr(10))}  ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r["doc_id"], r["kept"]) for r in flagged(docs)} == {(1, True), (2, False), (3, False)}
+    kept = {r.doc_id: r.text for r in chunks.without_repeats(docs).collect()}
+    for i, text in rows[1:]:
+        w = text.split()
+        begin = {2: 30, 3: 80}[i]
+        got = kept[i].split()
+        assert got[:begin] == w[:begin] and len(got) <= len(w) - 24 and (len(w) == begin + 52 or got[begin - len(w) + 52:] == w[begin + 52:])
+    for _, text in rows:
+        raw, words = text.encode(), text.split()
+        for a, b, x, y, _ in chunks.text_chunks(text):
+            assert raw[x:y].decode().split() == words[a:b]
+
+
+def test_a_row_that_comes_often_is_cut_once(spark, prose):
+    passage = prose(70)
+    many = [(5, f"{prose(40)} {passage} {prose(40)}")] * 300
+    docs = spark.createDataFrame([(1, f"{prose(30)} {passage}"), *many], "doc_id long, text string").repartition(6)
+    kept = chunks.without_repeats(docs)
+    texts = [r.text for r in kept.where("doc_id = 5").collect()]
+    assert len(texts) == 300 and len(set(texts)) == 1 and 80 <= len(texts[0].split()) <= 126
+    named = docs.select(chunks.F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
+    assert chunks.repeated_chunks(named).where("not first").count() >= 300
+
+
 def test_insertions_move_no_distant_cut(prose):
     text = prose(2000)
     before, after = ({c[4] for c in chunks.text_chunks(t)} for t in (text, "inserted words here " + text))
