@@ -247,7 +247,7 @@ def _products(segments: list[np.ndarray], model: Hmm) -> np.ndarray:
         for t, n in enumerate(active.tolist()):
             here = (m[:n].reshape(n * k, k) @ model.move).reshape(n, k, k) if t else m[:n]
             here = here * model.emit[flat[base[:n] + t]][:, None, :]
-            m[:n] = here / here.sum(axis=(1, 2), keepdims=True)
+            m[:n] = here if t % 8 else here / here.sum(axis=(1, 2), keepdims=True)  # eight factors do not underflow
         out[a + order] = m
     return out
 
@@ -284,8 +284,10 @@ def cut(sequences: list[np.ndarray], model: Hmm, segment: int) -> Cut:
 def expected(sequences: list[np.ndarray], model: Hmm, segment: int = 512) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected starts, transitions (from, to) and emissions (class, state) of the sequences."""
     whole, start, moves, emissions = cut(sequences, model, segment), 0.0, 0.0, 0.0
-    for a in range(0, len(whole.segments), 1000):
-        part = slice(a, a + 1000)
+    slot = np.cumsum([len(s) for s in whole.segments]) // 500_000
+    bounds = [*np.flatnonzero(np.diff(slot, prepend=-1)).tolist(), len(whole.segments)]
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        part = slice(a, b)
         got = _expected(Cut(whole.segments[part], whole.first[part], whole.before[part], whole.after[part]), model)
         start, moves, emissions = start + got[0], moves + got[1], emissions + got[2]
     return start, moves, emissions
