@@ -1,10 +1,14 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Seeds: every test item is a list of words (letters and digits, A-Z lowered), and each of its
-``n``-grams is a seed. None is left out for being common: an edited copy may hold no other.
+Seeds: every test item is a list of words (letters and digits, A-Z lowered). Where a document and an item
+have a run of ``n`` words or more in common, the seed is the rarest ``n``-gram of the run (the one that
+fewest places of the items hold; the first, on ties). It is chosen for each run when the document is read, so
+an edited copy that holds only common n-grams has its seed all the same.
 
-Join: hashed seeds meet the n-grams of all documents. Each meeting fixes a diagonal of the document
-against the item; meetings of one item whose windows overlap are one window, the item's length and
+Join: hashed n-grams of the items meet those of all documents. Places of an n-gram that have the same
+words around them, as in templates, are one class; a class whose neighbour in the run is rarer, and in the
+document too, is passed over whole. Each seed fixes a diagonal of the document
+against the item; seeds of one item whose windows overlap are one window, the item's length and
 ``slack`` words to either side. A window is left out when the words it shares with the item, repeats
 counted, could not reach ``min_score`` if all of them matched; this loses nothing. In the others,
 Smith-Waterman over words (match 2, mismatch -1, gap -1) gives the best local alignment; its share
@@ -43,6 +47,7 @@ _KEEP = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 MATCH, MISMATCH, GAP = 2, -1, -1
 CELLS = 2_000_000  # of the alignments scored together
 MEETINGS = 500_000  # of seeds and words of documents, gathered together
+EDGE, ANY = 1 << 32, 1 << 33  # in place of a word: the text ends here; the neighbour is no rarer
 
 
 @dataclass(frozen=True)
@@ -107,11 +112,27 @@ class Items:
         self.own, self.repeats = np.unique(np.repeat(np.arange(len(rows)), self.counts) * len(self.vocabulary) + word, return_counts=True)
 
     def seeded(self) -> "Items":
-        """The same items, with their n-grams in the order of the look-up."""
+        """The same items, with their n-grams in the order of the look-up: by n-gram, and by the words
+        before and behind where the n-gram there is rarer (``ANY`` where it is not)."""
         out = object.__new__(Items)
         out.__dict__.update(self.__dict__)
-        order = np.argsort(self.gram, kind="stable")
+        _, code, times = np.unique(self.gram, return_inverse=True, return_counts=True)
+        rank = times[code] * (len(times) + 1) + code
+        beside = self.item[1:] == self.item[:-1]
+        word = self.starts[self.item] + self.place
+        left, right = np.full(len(rank), ANY, dtype=np.uint64), np.full(len(rank), ANY, dtype=np.uint64)
+        at = np.flatnonzero(beside & (rank[:-1] <= rank[1:])) + 1
+        left[at] = self.words[word[at] - 1]
+        at = np.flatnonzero(beside & (rank[1:] < rank[:-1]))
+        right[at] = self.words[word[at] + self.n]
+        order = np.lexsort((right, left, self.gram))
         out.gram, out.item, out.place = self.gram[order], self.item[order], self.place[order]
+        left, right = left[order], right[order]
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (out.gram[1:] != out.gram[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+        head = np.flatnonzero(new)
+        out.class_gram, out.left, out.right = out.gram[head], left[head], right[head]
+        out.bounds = np.append(head, len(order))
         return out
 
 
@@ -165,19 +186,25 @@ def align(doc: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return best, first, last
 
 
-def _windows(items: Items, row: np.ndarray, starts: np.ndarray, counts: np.ndarray,
+def _windows(items: Items, h: np.ndarray, row: np.ndarray, starts: np.ndarray, counts: np.ndarray,
              found: list[tuple[np.ndarray, np.ndarray]], slack: int) -> Iterator[tuple[np.ndarray, ...]]:
     """(row, item, first word, last word exclusive) of the windows around all seeds, in batches; the
     windows of a row and item come in one."""
+    before, behind = np.full(len(h), EDGE, dtype=np.uint64), np.full(len(h), EDGE, dtype=np.uint64)
+    same = np.flatnonzero(row[1:] == row[:-1])
+    before[same + 1] = h[same]
+    same = np.flatnonzero(row[items.n:] == row[:len(row) - items.n]) if len(row) > items.n else same[:0]
+    behind[same] = h[same + items.n]
     met = []
     for position, code in found:
-        low = np.searchsorted(items.gram, code)
-        count = np.searchsorted(items.gram, code, side="right") - low
-        some = np.flatnonzero(count)
-        met.append((position[some], low[some], count[some]))
-    at, low, count = (np.concatenate(x) for x in zip(*met, strict=True))
+        low = np.searchsorted(items.class_gram, code)
+        high = np.searchsorted(items.class_gram, code, side="right")
+        some = np.flatnonzero(high > low)
+        met.append((position[some], low[some], high[some]))
+    at, low, high = (np.concatenate(x) for x in zip(*met, strict=True))
     order = np.argsort(at, kind="stable")
-    at, low, count = at[order], low[order], count[order]
+    at, low, high = at[order], low[order], high[order]
+    count = items.bounds[high] - items.bounds[low]  # of places of the items: at most so many are seeds
     # Whole rows together; a row with more meetings takes its items by parts.
     of_row = np.bincount(row[at], weights=count, minlength=len(starts)).astype(np.int64)
     group = (np.cumsum(of_row) - of_row) // MEETINGS
@@ -191,8 +218,13 @@ def _windows(items: Items, row: np.ndarray, starts: np.ndarray, counts: np.ndarr
                 cuts = np.searchsorted(np.cumsum(c), np.arange(MEETINGS, int(c.sum()) + MEETINGS, MEETINGS))
                 lower = 0
                 for upper in np.unique(np.minimum(cuts + 1, len(c))).tolist():
-                    seed = ranges(low[first + lower:first + upper], c[lower:upper])
-                    where = np.repeat(at[first + lower:first + upper], c[lower:upper])
+                    part_of = slice(first + lower, first + upper)
+                    kind = ranges(low[part_of], high[part_of] - low[part_of])
+                    where = np.repeat(at[part_of], high[part_of] - low[part_of])
+                    rarest = np.flatnonzero((items.left[kind] != before[where]) & (items.right[kind] != behind[where]))
+                    kind, where = kind[rarest], where[rarest]
+                    places = items.bounds[kind + 1] - items.bounds[kind]
+                    seed, where = ranges(items.bounds[kind], places), np.repeat(where, places)
                     mine = items.item[seed] % parts == part
                     held.append((where[mine], seed[mine]))
                     lower = upper
@@ -207,7 +239,7 @@ def _joined(items: Items, row: np.ndarray, starts: np.ndarray, counts: np.ndarra
     end = begin + items.counts[item] + 2 * slack
     begin = np.maximum(begin, starts[r])
     end = np.minimum(end, starts[r] + counts[r])
-    order = np.lexsort((begin, item, r))
+    order = np.lexsort((end, begin, item, r))
     r, item, begin, end = r[order], item[order], begin[order], end[order]
     if not len(r):
         return r, item, begin, end
@@ -258,7 +290,7 @@ def _hits(texts: list[str], items: Items, settings: Settings) -> list[tuple]:
     word = np.minimum(np.searchsorted(items.vocabulary, h), len(items.vocabulary) - 1)
     word[items.vocabulary[word] != h] = -1
     out: list[tuple] = []
-    for r, item, begin, end in _windows(items, row, starts, counts, found, settings.slack):
+    for r, item, begin, end in _windows(items, h, row, starts, counts, found, settings.slack):
         owner, first, last = _split(begin, end, items.counts[item], settings.slack)
         r, item = r[owner], item[owner]
         hits: list[tuple] = []

@@ -90,6 +90,38 @@ def test_meetings_gathered_by_parts_give_the_same_hits(prose, monkeypatch):
     assert D._hits(docs, items, D.Settings()) == want and len(want) >= 110
 
 
+def all_seeds(items, h, row, starts, counts, found, slack):
+    """The windows of every n-gram that a text and an item share."""
+    met = [(p, s) for position, code in found for p, c in zip(position.tolist(), code, strict=True) for s in np.flatnonzero(items.gram == c).tolist()]
+    at, seed = np.array(sorted(met), dtype=np.int64).reshape(-1, 2).T
+    return D._joined(items, row, starts, counts, at, seed, slack)
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdef", "abcdefghijklmnopqrst"])
+def test_the_rarest_seed_of_each_run_gives_the_windows_of_all_seeds(letters):
+    rng = random.Random(len(letters))
+    for _ in range(40):
+        items = D.Items([(i, " ".join(rng.choices(letters, k=rng.randint(1, 14)))) for i in range(12)], 3).seeded()
+        h, row, starts, found = D._positions([" ".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(4)] + ["", "a b c"], items.sizes)
+        args = items, h, row, starts, np.bincount(row, minlength=6), found, 2
+        got = [np.concatenate(x).tolist() for x in zip(*D._windows(*args), strict=True)] or [[]] * 4
+        want = all_seeds(*args)
+        assert got == [x.tolist() for x in want]
+
+
+def test_a_template_of_many_items_is_one_seed(prose, monkeypatch):
+    template = prose(20)
+    rows = [(i, f"{template} {prose(20)}") for i in range(300)]
+    items = D.Items(rows, 3).seeded()
+    seeds = []
+    joined = D._joined
+    monkeypatch.setattr(D, "_joined", lambda i, r, s, c, at, seed, slack: seeds.append(len(seed)) or joined(i, r, s, c, at, seed, slack))
+    text = f"{prose(30)} {rows[7][1]} {prose(30)}"
+    hits = D._hits([text], items, D.Settings())
+    assert (0, 7, 1.0, 30, 70) in hits
+    assert sum(seeds) < 600  # 18 n-grams of the template stand in 300 items each
+
+
 @pytest.mark.parametrize("copies", [2, 5, 12])
 def test_copies_next_to_each_other_each_get_a_row(prose, copies):
     item = prose(40)
