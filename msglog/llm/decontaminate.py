@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Seeds: every test item is a list of words (letters and digits, A-Z lowered). Where a document and an item
-have a run of ``n`` words or more in common, the seed is the rarest ``n``-gram of the run (the one that
-fewest places of the items hold; the first, on ties). It is chosen for each run when the document is read, so
+have a run of ``n`` words or more in common, the seed is the rarest ``n``-gram of the run: an n-gram is
+passed over where its neighbour in the run stands in fewer places of the items (or in as many, to its
+left), so the rarest always stays. This is decided for each run when the document is read, so
 an edited copy that holds only common n-grams has its seed all the same.
 
 Join: hashed n-grams of the items meet those of all documents. Places of an n-gram that have the same
@@ -117,7 +118,7 @@ class Items:
         out = object.__new__(Items)
         out.__dict__.update(self.__dict__)
         _, code, times = np.unique(self.gram, return_inverse=True, return_counts=True)
-        rank = times[code] * (len(times) + 1) + code
+        rank = times[code]
         beside = self.item[1:] == self.item[:-1]
         word = self.starts[self.item] + self.place
         left, right = np.full(len(rank), ANY, dtype=np.uint64), np.full(len(rank), ANY, dtype=np.uint64)
