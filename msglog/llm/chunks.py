@@ -11,9 +11,14 @@ Chunks with equal 128-bit digests are copies. A passage of n words that stands i
 found whatever surrounds it if n > min_words + 2 * window + 2 (the gear's bytes); with the defaults,
 every passage of over 50 words. What is reported has ``min_words`` equal words at least.
 
+Growth: cut points lie some words inside a passage. So the ends of a later place are compared with the words
+around its first place and moved outwards, word by word, as long as these are equal, up to ``BEFORE`` and
+``BEHIND`` words: more than a cut point can lie inside a passage. First places keep the ends that the cut points give.
+
 Scale: digests are counted with the copies of a task combined before the shuffle; only digests that
 stand in two places or more are joined back, and a digest held by a third of the rows is a hot key
-of an ordinary equality join whose other side has one row for it, which AQE splits. Texts stay out
+of an ordinary equality join whose other side has one row for it, which AQE splits. Words travel only for
+the first and last chunk of a span, which a bitmap of fixed size picks in a further pass. Texts stay out
 of all shuffles; only :func:`without_repeats`, which rewrites them, moves them once.
 
 Defined cases: NULL, empty and short texts have no chunks; a passage repeated within one text counts
@@ -32,11 +37,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from msglog.llm.common import free_name, saved
+from msglog.llm.common import free_name, saved, sieve
 
 MIN_WORDS = 24
 WINDOW = 12
 GEAR = 8
+BEFORE, BEHIND = MIN_WORDS, MIN_WORDS + 2 * WINDOW
 _SPACED = bytes(32 if c in (9, 10, 11, 12, 13) else c for c in range(256))
 
 
@@ -154,32 +160,101 @@ def repeated_chunks(rows: DataFrame, min_words: int = MIN_WORDS, window: int = W
 
 def spans(repeated: DataFrame) -> DataFrame:
     """Overlapping or adjoining repeated chunks of a row as one span: (row, doc_id, kept, start_word,
-    end_word, start_byte, end_byte, copies, first_doc_id). ``kept`` spans are first places; the other
-    spans have an earlier copy. A window holds the chunks of one document."""
+    end_word, start_byte, end_byte, copies, first_doc_id, head, tail). ``kept`` spans are first places; the
+    other spans have an earlier copy. ``head`` and ``tail`` name the first and the last chunk. A window
+    holds the chunks of one document."""
     of_row = Window.partitionBy("row", "first").orderBy("start_word")
     begins = F.coalesce(F.col("start_word") > F.lag("end_word").over(of_row), F.lit(True))
     numbered = repeated.withColumn("begins", begins.cast("int")).withColumn("span", F.sum("begins").over(of_row))
+    chunk = F.struct("start_word", *DIGEST)
     return (numbered.groupBy("row", "first", "span")
             .agg(F.first("doc_id").alias("doc_id"), F.min("start_word").alias("start_word"),
                  F.max("end_word").alias("end_word"), F.min("start_byte").alias("start_byte"),
                  F.max("end_byte").alias("end_byte"), F.max("copies").alias("copies"),
-                 F.min("first_doc_id").alias("first_doc_id"))
+                 F.min("first_doc_id").alias("first_doc_id"), F.min(chunk).alias("head"), F.max(chunk).alias("tail"))
             .select("row", "doc_id", F.col("first").alias("kept"), "start_word", "end_word", "start_byte", "end_byte",
-                    "copies", "first_doc_id"))
+                    "copies", "first_doc_id", "head", "tail"))
+
+
+SIDE = "row long, doc_id long, start_word int, digest_high long, digest_low long, left boolean, words array<int>, bytes array<int>"
+
+
+def _sides(rows: DataFrame, heads: DataFrame, tails: DataFrame, min_words: int, window: int) -> DataFrame:
+    """The words (hashed) and byte places before the chunks that may be heads and behind those that may be
+    tails, from the chunk outwards."""
+    masks = [(True, sieve(heads)), (False, sieve(tails))]
+    names = [c.split()[0] for c in SIDE.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+
+    def side(raw: bytes, starts: np.ndarray, ends: np.ndarray, first: int, last: int, left: bool) -> tuple[list[int], list[int]]:
+        at = range(first - 1, max(-1, first - 1 - BEFORE), -1) if left else range(last, min(len(starts), last + BEHIND))
+        return ([xxhash.xxh32_intdigest(raw[starts[i]:ends[i]]) - (1 << 31) for i in at], [int((starts if left else ends)[i]) for i in at])
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = [(left, np.frombuffer(mask.value, dtype=np.uint8)) for left, mask in masks]
+        for batch in batches:
+            out: list[tuple] = []
+            for row, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                found = text_chunks(text.as_py(), min_words, window)
+                halves = np.frombuffer(b"".join(c[4] for c in found), dtype="<i8").reshape(-1, 2)
+                place = halves[:, 1].view(np.uint64) % np.uint64(8 * len(bits[0][1]))
+                chosen = [(left, i) for left, mask in bits
+                          for i in np.flatnonzero(mask[place >> np.uint64(3)] >> (np.uint64(7) - (place & np.uint64(7))).astype(np.uint8) & 1).tolist()]
+                if chosen:
+                    raw = text.as_py().encode("utf-8", "surrogatepass").lower().translate(_SPACED)
+                    starts, ends = word_spans(np.frombuffer(raw, dtype=np.uint8))
+                    out += [(row, doc_id, found[i][0], *halves[i].tolist(), left, *side(raw, starts, ends, *found[i][:2], left)) for left, i in chosen]
+                if len(out) >= 10_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+                    out = []
+            columns = list(zip(*out, strict=True)) if out else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    return rows.select("row", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(step, SIDE)
+
+
+def grown(found: DataFrame, rows: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
+    """The :func:`spans` of ``rows``, those of later places grown to where they stop being like the first
+    place; ``found`` has to be written out. Grown spans of a row may overlap."""
+    later = found.where("not kept")
+    ends = [later.select(F.col(f"{end}.digest_low")) for end in ("head", "tail")]
+    sides = saved(_sides(rows, *ends, min_words, window), "sides")
+    key = [*DIGEST, "left"]
+    first = sides.groupBy(*key).agg(F.min(F.struct("doc_id", "start_word", "row", "words")).alias("origin"))
+    like = F.array_position(F.zip_with("words", "origin.words", lambda a, b: a.eqNullSafe(b)), F.lit(False))
+    more = F.when(like == 0, F.size("words")).otherwise(like - 1).cast("int")
+    # Equal rows have equal sides: one of each.
+    place = ["doc_id", "start_word", *DIGEST]
+    moved = (sides.join(first, key).where(more > 0).withColumn("more", more)
+             .select("row", F.xxhash64(*place).alias("at"), "left", "more", F.element_at("bytes", F.col("more")).alias("byte"))
+             .dropDuplicates(["row", "at", "left"]))
+
+    def of(end: str, left: bool) -> DataFrame:
+        return moved.where(F.col("left") == F.lit(left)).select(
+            "row", F.col("at").alias(f"{end}_at"), F.lit(False).alias("kept"),
+            F.col("more").alias(f"{end}_more"), F.col("byte").alias(f"{end}_byte"))
+
+    named = found.withColumns({f"{end}_at": F.xxhash64("doc_id", *(f"{end}.{c}" for c in place[1:])) for end in ("head", "tail")})
+    joined = named.join(of("head", True), ["row", "head_at", "kept"], "left").join(of("tail", False), ["row", "tail_at", "kept"], "left")
+    return joined.select("row", "doc_id", "kept", (F.col("start_word") - F.coalesce("head_more", F.lit(0))).alias("start_word"),
+                         (F.col("end_word") + F.coalesce("tail_more", F.lit(0))).alias("end_word"),
+                         F.coalesce("head_byte", "start_byte").alias("start_byte"), F.coalesce("tail_byte", "end_byte").alias("end_byte"),
+                         "copies", "first_doc_id")
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
-    """Spans of all repeated passages of ``docs(doc_id, text)``."""
+    """Spans of all repeated passages of ``docs(doc_id, text)``. Rows are numbered by their place in the
+    partitions of ``docs``, so it should be a table: where they differ each time it is read, spans do not grow."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    return spans(repeated_chunks(rows, min_words, window))
+    return grown(saved(spans(repeated_chunks(rows, min_words, window)), "spans"), rows, min_words, window)
 
 
 def without_spans(text: str, cut: list[tuple[int, int]]) -> str:
-    """A text without byte ranges (ascending, apart) and the white space behind each."""
+    """A text without byte ranges (ascending) and the white space behind each."""
     raw, out, at = text.encode("utf-8", "surrogatepass"), [], 0
     for start, end in cut:
         out.append(raw[at:start])
-        at = end
+        at = max(at, end)
         while at < len(raw) and raw[at] in b" \t\n\r\x0b\x0c":
             at += 1
     return b"".join([*out, raw[at:]]).decode("utf-8", "surrogatepass")
@@ -193,7 +268,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int = W
     named = rows.select(F.col(key).alias("row"), "doc_id", "text")
     # Like rows have like chunks: one of each is enough, however often a row is repeated.
     repeated = repeated_chunks(named, min_words, window).where("not first").dropDuplicates(["row", "start_word"])
-    cuts = (spans(repeated).groupBy("row")
+    cuts = (grown(saved(spans(repeated), "spans"), named, min_words, window).groupBy("row")
             .agg(F.sort_array(F.collect_list(F.struct("start_byte", "end_byte"))).alias(cut))
             .withColumnRenamed("row", key))
     names = docs.columns
