@@ -352,3 +352,19 @@ def test_unacknowledged_messages_come_again_until_their_attempts_are_used_up(spa
     assert run() == sorted([*first, ("x", 2, 3, 20)])
     add([("t", -1, 0, at(600))], [])
     assert run() == sorted([*first, ("x", 2, 3, 20)])
+
+
+def test_messages_of_a_span_share_a_state(spark, path):
+    d_schema, a_schema = "split_id STRING, stream_seq LONG, attempt INT, delivered_at TIMESTAMP", "split_id STRING, stream_seq LONG, acked_at TIMESTAMP"
+    seqs = [-4097, -4096, -1, 0, *range(4000, 4300), 8191, 8192]  # ends of spans, and two spans with many messages
+    acked = [s for s in seqs if s % 2]
+    told = [("x", s, 1, START) for s in seqs] + [("y", 4096, 2, START), ("t", -1, 0, START + timedelta(minutes=10))]
+    spark.createDataFrame(told, d_schema).coalesce(1).write.parquet(f"{path}-d")
+    spark.createDataFrame([("x", s, START) for s in acked], a_schema).coalesce(1).write.parquet(f"{path}-a")
+    due = redeliver_stream(spark.readStream.schema(d_schema).parquet(f"{path}-d"), spark.readStream.schema(a_schema).parquet(f"{path}-a"),
+                           "10 minutes", max_deliver=2)
+    query = flows.drain(due, f"{path}-out", f"{path}-c")
+    rows = spark.read.schema(due.schema).parquet(f"{path}-out").collect()
+    assert sorted(map(tuple, rows)) == sorted(("x", s, 2, START + timedelta(minutes=10)) for s in seqs if s not in acked)
+    states = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert 0 < max(states) < len(seqs) / 10
