@@ -1,0 +1,24 @@
+from __future__ import annotations
+
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from msglog.operators.publish import outgoing
+from msglog.plans.inputs import CODED_ROWS, compressing
+
+
+def test_payloads_are_coded_a_few_at_a_time():
+    deflate, inflate = compressing()
+    texts = [None if i % 7 == 0 else "é" * i for i in range(3 * CODED_ROWS + 1)]
+    packed = list(deflate.func(iter([pa.array(texts), pa.array(["", "x"])])))
+    assert [len(part) for part in packed] == [CODED_ROWS] * 3 + [1, 2]
+    read = list(inflate.func(iter(packed)))
+    assert max(len(part) for part in read) <= CODED_ROWS
+    assert [text for part in read for text in part.to_pylist()] == [*texts, "", "x"]
+
+
+def test_a_custom_codec_keeps_null_and_empty_payloads(spark):
+    deflate, inflate = compressing()
+    rows = spark.createDataFrame([("a.b", None), ("a.c", ""), ("a.d", "ä\u0000🜁" * 999)], "subject string, text string")
+    sent = outgoing(rows, format=deflate, columns=F.col("text"))
+    assert sorted(map(tuple, sent.select("subject", inflate("data")).collect())) == sorted(map(tuple, rows.collect()))
