@@ -29,6 +29,10 @@ from msglog.sources.store import (append_log, discard, log_exists, mark, marked,
 # Folders of batches; names starting with '_' are skipped when the directory is read as a log.
 BATCHES = "_batches"
 OK, DUPLICATE, FAILED = "ok", "duplicate", "failed"
+# So many rows a writer sorts at most, where their number is given; a larger batch is appended in parts.
+WRITER_ROWS = 1 << 20
+# Rows of a staged file are addressed in so many low bits, without gaps.
+ROW_BITS = 33
 
 
 class CaptureError(ValueError):
@@ -167,7 +171,8 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
     duplicates and results all derive from the staged files and come out the same however
     often a task is retried. ``order_by`` (a unique order) sorts the batch first; without it
     messages keep the order of their partitions. ``dedupe_since`` limits the look-up of known
-    ids to stored messages at or past that time. One writer per stream at a time.
+    ids to stored messages at or past that time. One writer per stream at a time. With ``writers``, so many tasks
+    append; of a batch of over 2²⁰ rows for each they append one part after the other, in the order of the batch.
 
     ``batch_id`` makes a replay harmless, with message ids or without: the batch is staged in a folder of
     its own beside the log, its number is stored with its rows, and a marker is left when all of it is
@@ -227,7 +232,7 @@ def publish(messages: DataFrame, path: str, registry: DataFrame, *, strict: bool
         mark(spark, home, _STAGED)
     stored = _numbered(batch, spans, size.runs).where(F.col("stream_seq").isNotNull())
     if counts[OK]:
-        _append(stored, path, batch_id, options)
+        _append(stored, path, batch_id, options, counts[OK])
         _finish(spark, path, home, size.ids)
     elif home:
         mark(spark, home, _DONE)
@@ -252,12 +257,32 @@ def _outcome(batch: DataFrame, spans: DataFrame, n_spans: int) -> DataFrame:
     return _numbered(batch, spans, n_spans, "left").withColumn("status", status).drop("_addr")
 
 
-def _append(stored: DataFrame, path: str, batch_id: str | None, options: tuple) -> None:
-    """Append numbered rows; those of a batch with a number carry it, and their place in the staged files."""
-    if batch_id:
-        stored = stored.withColumns({BATCH: F.lit(batch_id), BATCH_ROW: F.col("_addr")})
+def _append(stored: DataFrame, path: str, batch_id: str | None, options: tuple, n_rows: int) -> None:
+    """Append numbered rows; those of a batch with a number carry it, and their place in the staged files. Where the
+    number of writers is given, they take one part of the batch after the other, so that what a writer sorts is bounded."""
     partition_tokens, writers, max_records_per_file = options
-    append_log(stored, path, partition_tokens, writers, max_records_per_file)
+    parts = [stored]
+    if writers and n_rows > writers * WRITER_ROWS:
+        parts = [stored.where(part) for part in _parts(stored, writers * WRITER_ROWS)]
+    for rows in parts:
+        if batch_id:
+            rows = rows.withColumns({BATCH: F.lit(batch_id), BATCH_ROW: F.col("_addr")})
+        append_log(rows, path, partition_tokens, writers, max_records_per_file)
+
+
+def _parts(stored: DataFrame, n_rows: int) -> list[Column]:
+    """Ranges of addresses, in order, with at most so many rows each: small staged files go together, large ones
+    are cut. A range is looked up in the row groups, so the staged files are read once in all."""
+    files = stored.groupBy(F.shiftright("_addr", ROW_BITS)).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_addr").alias("low"), F.max("_addr").alias("high")).orderBy("low").collect()
+    starts, room = [], 0
+    for file in files:
+        if file.n > room:
+            starts += range(file.low, file.high + 1, n_rows)
+            room = max(n_rows, file.n)
+        room -= file.n
+    ranges = zip(starts, [*starts[1:], None])
+    return [F.col("_addr") >= low if high is None else (F.col("_addr") >= low) & (F.col("_addr") < high) for low, high in ranges]
 
 
 def _finish(spark: SparkSession, path: str, home: str | None, n_ids: int | None) -> None:
@@ -302,7 +327,7 @@ def _replay(spark: SparkSession, path: str, home: str, batch_id: str, options: t
         rest = saved(kept.unionByName(late), f"rest-{uuid.uuid4().hex}", stage)
         n_rest = rest.count()
         if n_rest:
-            _append(rest, path, batch_id, options)
+            _append(rest, path, batch_id, options, n_rest)
         _finish(spark, path, home, None)
         return PublishResult(rest.drop("_addr").withColumn("status", F.lit(OK)), {OK: n_rest, DUPLICATE: 0, FAILED: 0}, stage)
     none = spark.createDataFrame([], ENVELOPE).withColumn("status", F.lit(OK))

@@ -256,6 +256,36 @@ def test_writers_and_token_partitions(spark, path):
     assert log.select(F.input_file_name()).distinct().count() >= 10
 
 
+@pytest.mark.parametrize("dies", [False, True])
+def test_writers_take_a_large_batch_in_parts(spark, path, monkeypatch, dies):
+    monkeypatch.setattr(W, "WRITER_ROWS", 10)
+    append, sizes = W.append_log, []
+
+    def counted(rows, *rest):
+        if dies and len(sizes) == 2:
+            sizes.clear()
+            monkeypatch.setattr(W, "append_log", append)
+            raise OSError("died")
+        sizes.append(rows.count())
+        append(rows, *rest)
+
+    monkeypatch.setattr(W, "append_log", counted)
+    ids = [str(i // 2 if i % 10 == 1 else i) for i in range(155)]  # some come twice
+    rows = ids_batch(spark, ids).unionByName(ids_batch(spark, [None] * 45, "t.x").withColumn("n", F.col("n") + 1000))
+    options = dict(order_by=["n"], writers=3, partition_tokens=(1,), batch_id="b-0")
+    both = registry(spark, ("s", "s.>"), ("t", "t.>"))
+    if dies:
+        with pytest.raises(OSError):
+            W.publish(rows, path, both, **options)
+    W.publish(rows, path, both, **options)
+    log = open_log(spark, path, (1,))
+    want = list(dict.fromkeys(ids))
+    assert [r.msg_id for r in log.where("stream = 's'").orderBy("stream_seq").collect()] == want
+    assert seqs(log.where("stream = 's'")) == list(range(1, len(want) + 1)) and seqs(log.where("stream = 't'")) == list(range(1, 46))
+    if not dies:
+        assert max(sizes) <= 30 and sum(sizes) == len(want) + 45
+
+
 def test_insert_from_sql(spark, path):
     people(spark).createOrReplaceTempView("people_log")
     W.publish_sql(spark, "SELECT subject, headers, upper(subject) AS loud FROM people_log LIMIT 5", path, registry(spark))
